@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rategrid.functions.text import trim_space
 
@@ -40,6 +41,9 @@ COMMON_ENTITIES = [
 _RARE_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|#160|amp);)#?[A-Za-z0-9]+;"
 
 
+_LINKS = T.ArrayType(T.StringType())
+
+
 def element_text(html: Column) -> Column:
     """Markup without comments, scripts and styles."""
     return F.regexp_replace(html, _NOT_MARKUP, "")
@@ -51,7 +55,7 @@ def _decode_common(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(_LINKS)
 def _decode_all(links: pd.Series) -> pd.Series:
     return links.map(
         lambda values: None
@@ -82,7 +86,7 @@ def decoded_links(links: Column) -> Column:
 
 # --- tables -------------------------------------------------------------------
 
-_TABLE_ROWS = "array<array<array<string>>>"
+_TABLE_ROWS = T.ArrayType(T.ArrayType(_LINKS))
 _MAX_COLSPAN = 1000  # fixed value: HTML standard, larger spans count as 1000
 _MAX_ROWSPAN = 65534  # fixed value: HTML standard
 

@@ -126,7 +126,7 @@ def overlap_join(bands: DataFrame, ranges: DataFrame, top_level: int = 40) -> Da
     are held at the top level and cover as many buckets as they need.
     """
 
-    def own(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    def with_level(df: DataFrame, lo: str, hi: str) -> DataFrame:
         level = F.least(_level_of(F.col(lo), F.col(hi)), F.lit(top_level))
         return df.withColumn("__level", level)
 
@@ -137,23 +137,25 @@ def overlap_join(bands: DataFrame, ranges: DataFrame, top_level: int = 40) -> Da
             F.explode(F.sequence(_bucket(F.col(lo), level), _bucket(F.col(hi), level))),
         )
 
-    def at_coarser(df: DataFrame, lo: str, hi: str, from_level: Column) -> DataFrame:
-        df = df.withColumn(
-            "__grid",
-            F.explode(F.when(from_level <= top_level, F.sequence(from_level, F.lit(top_level)))),
-        )
+    def at_coarser(df: DataFrame, lo: str, hi: str, from_level: Column, used: DataFrame) -> DataFrame:
+        # Only the grids the other side has intervals on, at most top_level + 1.
+        grids = F.filter(used.scalar(), lambda g: g >= from_level)
+        df = df.withColumn("__grid", F.explode(grids))
         grid = F.col("__grid")
         return df.withColumn(
             "__bucket", F.explode(F.sequence(_bucket(F.col(lo), grid), _bucket(F.col(hi), grid)))
         )
 
-    b = own(bands.where(F.col("lo") <= F.col("hi")), "lo", "hi")
-    p = own(ranges.where(F.col("post_lo") <= F.col("post_hi")), "post_lo", "post_hi")
-    b_on_p = at_coarser(b, "lo", "hi", F.col("__level")).drop("__level").join(
+    def used_levels(df: DataFrame) -> DataFrame:
+        return df.agg(F.collect_set("__level"))
+
+    b = with_level(bands.where(F.col("lo") <= F.col("hi")), "lo", "hi")
+    p = with_level(ranges.where(F.col("post_lo") <= F.col("post_hi")), "post_lo", "post_hi")
+    b_on_p = at_coarser(b, "lo", "hi", F.col("__level"), used_levels(p)).drop("__level").join(
         at_own(p, "post_lo", "post_hi").drop("__level"), ["__grid", "__bucket"]
     )
     p_on_b = at_own(b, "lo", "hi").drop("__level").join(
-        at_coarser(p, "post_lo", "post_hi", F.col("__level") + 1).drop("__level"),
+        at_coarser(p, "post_lo", "post_hi", F.col("__level") + 1, used_levels(b)).drop("__level"),
         ["__grid", "__bucket"],
     )
     # A pair can share two buckets: keep it in the one where both have begun.
