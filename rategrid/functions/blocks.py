@@ -1,120 +1,128 @@
-"""Ordered work over groups of any size.
-
-Numbering, running totals and carrying a value down are window functions over a
-document. One document may hold a large share of all rows, and a window puts a
-whole group into one task. Here a group is cut into blocks of its integer order
-column. Each block is handled on its own, one small row per block is summed up
-over the group, and the two are put together again by an equi-join on
-(keys, block). A task then holds one block, never one document.
-
-The order column must be integral and unique in its group. Blocks are even when
-it counts up without large holes, as line and page numbers do.
+"""Ordered and group-wide work over groups of any size.
+
+Numbering lines, carrying a heading down or comparing a row with its document's
+header are window functions over a document. One document may hold a large share
+of all rows, and a window puts a whole group into one task. Here a group is cut
+into blocks of its integer order column. A first pass reduces each block to one
+small row; these rows are summed up over the group and joined back on
+(keys, block). No task then holds more than one block of rows, and the rows
+themselves are shuffled once.
+
+The order column must be integral. Blocks are even when it counts up without
+large holes, as line and page numbers do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
+BLOCK = "__block"
 BLOCK_ROWS = 16384
-_BLOCK = "__block"
 
 
-def _with_block(df: DataFrame, order: str, block_rows: int) -> DataFrame:
-    return df.withColumn(_BLOCK, F.floor(F.col(order) / F.lit(block_rows)).cast("bigint"))
+def with_block(df: DataFrame, order: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    return df.withColumn(BLOCK, F.floor(F.col(order) / F.lit(block_rows)).cast("bigint"))
 
 
-def _inside(keys: Sequence[str], order: str):
-    return Window.partitionBy(*keys, _BLOCK).orderBy(order)
+def inside_block(keys: Sequence[str], order: str) -> WindowSpec:
+    return Window.partitionBy(*keys, BLOCK).orderBy(order)
 
 
-def _across(keys: Sequence[str]):
-    """All earlier blocks of the group: one row per block."""
-    return (
-        Window.partitionBy(*keys)
-        .orderBy(_BLOCK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def across_blocks(keys: Sequence[str]) -> WindowSpec:
+    """Over the block rows of a group, one per block."""
+    return Window.partitionBy(*keys).orderBy(BLOCK)
 
 
-def sum_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: Column,
-    out: str,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over all earlier rows of the group."""
-    keys = list(keys)
-    rows = _with_block(df, order, block_rows).withColumn("__value", value.cast("bigint"))
-    totals = rows.groupBy(*keys, _BLOCK).agg(F.sum("__value").alias("__total"))
-    before = totals.select(
-        *keys, _BLOCK, F.sum("__total").over(_across(keys)).alias("__before")
-    )
-    earlier = _inside(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    return (
-        rows.join(before, [*keys, _BLOCK], "left")
-        .withColumn("__in_block", F.sum("__value").over(earlier))
-        .withColumn(out, F.coalesce("__before", zero) + F.coalesce("__in_block", zero))
-        .drop(_BLOCK, "__value", "__before", "__in_block")
-    )
+def earlier(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Add ``out``: 1, 2, 3, ... within the group."""
-    return sum_before(df, keys, order, F.lit(1), out, block_rows).withColumn(
-        out, F.col(out) + 1
-    )
+def so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def whole(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def carry_down(
+def _or_zero(*sums: Column) -> Column:
+    zero = F.lit(0).cast("bigint")
+    return sum((F.coalesce(s, zero) for s in sums[1:]), F.coalesce(sums[0], zero))
+
+
+def place(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    value: Column,
-    out: str,
+    *,
+    before: Mapping[str, Column] | None = None,
+    latest: Mapping[str, Column] | None = None,
+    least: Mapping[str, Column] | None = None,
+    greatest: Mapping[str, Column] | None = None,
+    facts: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add ``out``: the last non-NULL ``value`` at or before the row."""
+    """Add columns that a row takes from the rest of its group.
+
+    ``before``    sum of the value over the earlier rows of the group
+    ``latest``    last non-NULL value at or before the row
+    ``least``     smallest value in the group
+    ``greatest``  largest value in the group
+    ``facts``     columns of a table with one row per key; NULL without one
+
+    ``df`` is read twice, and all columns asked for share the two passes. The
+    order column must be unique in its group for ``before`` and ``latest``.
+    """
+    before, latest = dict(before or {}), dict(latest or {})
+    least, greatest = dict(least or {}), dict(greatest or {})
     keys = list(keys)
-    rows = _with_block(df, order, block_rows).withColumn("__value", value)
-    latest = rows.groupBy(*keys, _BLOCK).agg(
-        F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col(order))).alias("__last")
-    )
-    before = latest.select(
-        *keys, _BLOCK, F.last("__last", ignorenulls=True).over(_across(keys)).alias("__before")
+    values = {**before, **latest, **least, **greatest}
+    inner = {name: f"__{name}" for name in values}
+    rows = with_block(df, order, block_rows)
+    for name, value in values.items():
+        rows = rows.withColumn(inner[name], value)
+
+    reduced = [F.sum(inner[n]).alias(n) for n in before]
+    reduced += [
+        F.max_by(inner[n], F.when(F.col(inner[n]).isNotNull(), F.col(order))).alias(n)
+        for n in latest
+    ]
+    reduced += [F.min(inner[n]).alias(n) for n in least]
+    reduced += [F.max(inner[n]).alias(n) for n in greatest]
+    grouped = rows.groupBy(*keys, BLOCK)
+    blocks = grouped.agg(*reduced) if reduced else rows.select(*keys, BLOCK).distinct()
+    across = across_blocks(keys)
+    blocks = blocks.select(
+        *keys,
+        BLOCK,
+        *[F.sum(n).over(earlier(across)).alias(n) for n in before],
+        *[F.last(n, ignorenulls=True).over(earlier(across)).alias(n) for n in latest],
+        *[F.min(n).over(whole(across)).alias(n) for n in least],
+        *[F.max(n).over(whole(across)).alias(n) for n in greatest],
     )
-    so_far = _inside(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        rows.join(before, [*keys, _BLOCK], "left")
-        .withColumn("__in_block", F.last("__value", ignorenulls=True).over(so_far))
-        .withColumn(out, F.coalesce("__in_block", "__before"))
-        .drop(_BLOCK, "__value", "__before", "__in_block")
+    if facts is not None:
+        blocks = blocks.join(facts, keys, "left")
+
+    placed = rows.drop(*[inner[n] for n in [*least, *greatest]]).join(
+        blocks, [*keys, BLOCK], "left"
     )
+    inside = inside_block(keys, order)
+    for n in before:
+        placed = placed.withColumn(n, _or_zero(F.col(n), F.sum(inner[n]).over(earlier(inside))))
+    for n in latest:
+        here = F.last(inner[n], ignorenulls=True).over(so_far(inside))
+        placed = placed.withColumn(n, F.coalesce(here, F.col(n)))
+    return placed.drop(BLOCK, *[inner[n] for n in [*before, *latest]])
 
 
-def attach(
-    df: DataFrame,
-    facts: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    how: str = "left",
-    block_rows: int = BLOCK_ROWS,
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: str, out: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Join ``facts`` (one row per key) to rows, spreading a large key over its blocks.
-
-    ``facts`` is first repeated once per block that occurs, so the join key is
-    (keys, block) and no single key meets all of its rows in one task.
-    """
-    keys = list(keys)
-    rows = _with_block(df, order, block_rows)
-    blocks = rows.select(*keys, _BLOCK).distinct()
-    spread = blocks.join(facts, keys, "inner")
-    return rows.join(spread, [*keys, _BLOCK], how).drop(_BLOCK)
+    """Add ``out``: 1, 2, 3, ... within the group."""
+    one = F.lit(1).cast("bigint")
+    numbered = place(df, keys, order, before={out: one}, block_rows=block_rows)
+    return numbered.withColumn(out, F.col(out) + 1)

@@ -11,29 +11,33 @@ from pyspark.sql.window import Window
 SPLITS = 256
 
 
-def level_ordinals(df: DataFrame, column: str) -> DataFrame:
-    """Distinct levels in ascending order with ordinals 1, 2, 3, ...
+def with_ordinals(levels: DataFrame) -> DataFrame:
+    """Add ``ordinal`` 1, 2, 3, ... to levels (level, n), each level once.
 
     Levels are cut into ranges at up to ``SPLITS`` levels picked by hash, numbered
     within their range, and moved up by the number of levels in lower ranges. So
     no task sorts all levels, however many there are.
+
+    All passes read the same two columns, which lets Spark reuse one shuffle of
+    the counted levels for them.
     """
-    levels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct()
+    some = F.struct("level", "n")
     picked = (
         levels.groupBy(F.pmod(F.xxhash64("level"), F.lit(SPLITS)).alias("slot"))
-        .agg(F.min_by("level", F.xxhash64(F.lit("split"), F.col("level"))).alias("split"))
-        .agg(F.collect_list("split").alias("splits"))
+        .agg(F.min_by(some, F.xxhash64(F.lit("split"), F.col("level"))).alias("split"))
+        .agg(F.collect_list("split.level"))
     )
-    placed = levels.withColumn(
-        "range", F.size(F.filter(picked.scalar(), lambda s: s <= F.col("level")))
+    placed = levels.withColumn("splits", picked.scalar()).select(
+        "level", "n", F.size(F.filter("splits", lambda s: s <= F.col("level"))).alias("range")
     )
     lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    moved = placed.groupBy("range").count().select(
-        "range", F.coalesce(F.sum("count").over(lower), F.lit(0)).alias("below")
+    present = F.count(F.when(F.col("n") > 0, 1))
+    moved = placed.groupBy("range").agg(present.alias("levels")).select(
+        "range", F.coalesce(F.sum("levels").over(lower), F.lit(0)).alias("below")
     )
     inside = Window.partitionBy("range").orderBy("level")
     return (
         placed.join(moved, "range")
         .withColumn("ordinal", (F.col("below") + F.row_number().over(inside)).cast("int"))
-        .select("level", "ordinal")
+        .select("level", "ordinal", "n")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rategrid.functions.money import dollar_label, money_to_double
-from rategrid.functions.ordinals import level_ordinals
+from rategrid.functions.ordinals import with_ordinals
 
 BAND_KEYS = ("state", "band")
 
@@ -39,14 +39,16 @@ def merge_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def finish_bands(parts: DataFrame, keys: Sequence[str], na: str = "propagate") -> DataFrame:
     """``lo`` and ``hi``. With ``na="propagate"`` one unknown amount makes the band
-    unknown, with ``na="ignore"`` it is left out."""
-    if na not in ("propagate", "ignore"):
-        raise ValueError("na must be 'propagate' or 'ignore'")
+    unknown, with ``na="ignore"`` it is left out; ``na="both"`` adds the latter as
+    ``lo_known`` and ``hi_known``."""
+    if na not in ("propagate", "ignore", "both"):
+        raise ValueError("na must be 'propagate', 'ignore' or 'both'")
     if na == "ignore":
         return parts.select(*keys, "lo", "hi")
     whole = F.col("n") == F.col("n_known")
+    known = [F.col(c).alias(f"{c}_known") for c in ("lo", "hi")] if na == "both" else []
     return parts.select(
-        *keys, F.when(whole, F.col("lo")).alias("lo"), F.when(whole, F.col("hi")).alias("hi")
+        *keys, *[F.when(whole, F.col(c)).alias(c) for c in ("lo", "hi")], *known
     )
 
 
@@ -72,9 +74,9 @@ def below_level(df: DataFrame, column: str, threshold, levels: DataFrame | None
 
 def ordered_levels(df: DataFrame, column: str) -> DataFrame:
     """Levels of an ordered variable with ordinal and number of rows."""
-    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where(F.col(column).isNotNull())
-    ordinals = level_ordinals(df, column)
-    return ordinals.join(counted.withColumnRenamed(column, "level"), "level")
+    known = df.where(F.col(column).isNotNull())
+    counted = known.groupBy(F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    return with_ordinals(counted)
 
 
 def _overlap(lo: Column, hi: Column, p_lo: Column, p_hi: Column) -> Column:
@@ -139,8 +141,9 @@ def overlap_join(bands: DataFrame, ranges: DataFrame, top_level: int = 40) -> Da
 
     def at_coarser(df: DataFrame, lo: str, hi: str, from_level: Column, used: DataFrame) -> DataFrame:
         # Only the grids the other side has intervals on, at most top_level + 1.
-        grids = F.filter(used.scalar(), lambda g: g >= from_level)
-        df = df.withColumn("__grid", F.explode(grids))
+        grids = F.filter("__used", lambda g: g >= from_level)
+        df = df.withColumn("__used", used.scalar()).withColumn("__grid", F.explode(grids))
+        df = df.drop("__used")
         grid = F.col("__grid")
         return df.withColumn(
             "__bucket", F.explode(F.sequence(_bucket(F.col(lo), grid), _bucket(F.col(hi), grid)))

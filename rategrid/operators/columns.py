@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from rategrid.functions.blocks import attach
+from rategrid.functions.blocks import place
 from rategrid.functions.text import trim_space
 
 WIDE_GAP = r"(?U)\s{2,}"  # fixed value: columns are two or more blanks apart
@@ -51,8 +51,7 @@ def padded_cells(
 ) -> DataFrame:
     """``cells`` rows of ragged tables, each row filled with "" to its table's width."""
     keys = list(keys)
-    width = rows.groupBy(*keys).agg(F.max(F.size(cells)).alias("__width"))
-    wide = attach(rows, width, keys, row)
+    wide = place(rows, keys, row, greatest={"__width": F.size(cells)})
     filled = F.transform(
         F.sequence(F.lit(0), F.col("__width") - 1),
         lambda i: F.coalesce(F.get(F.col(cells), i), F.lit("")),
@@ -134,7 +133,7 @@ def cut_widths(
         lambda acc, cell: acc + F.length(F.regexp_replace(cell, r"(?U)\s", "")),
     )
     return (
-        attach(lines, spec, keys, row)
+        place(lines, keys, row, facts=spec)
         .withColumn("__cells", F.transform("__spec", cut))
         .withColumn("truncated", bare > inside)
         .select(*keys, row, "truncated", F.posexplode("__cells").alias("col_no", "cell"))
@@ -177,37 +176,44 @@ TYPE_PATTERNS = [
 _NUMERIC = {"integer", "double", "number"}
 
 
+def _type_checks(cell: str) -> dict[str, Column]:
+    """Per type whether the cell has it; NULL for a cell that says nothing."""
+    text = trim_space(F.col(cell))
+    value = F.when((text != "") & (text != "NA"), text)
+    checks = {}
+    for name, pattern in TYPE_PATTERNS:
+        fits = value.rlike(pattern)
+        if name in _NUMERIC:
+            fits = fits & ~value.rlike(_LEADING_ZERO)
+        checks[f"is_{name}"] = fits
+    return checks
+
+
+def _first_type() -> Column:
+    guess = F.lit("character")
+    for name, _ in reversed(TYPE_PATTERNS):
+        held = F.coalesce(F.col(f"is_{name}"), F.lit(True))
+        guess = F.when(held, F.lit(name)).otherwise(guess)
+    return guess
+
+
 def guess_types(cells: DataFrame, keys: Sequence[str], cell: str = "cell") -> DataFrame:
     """Type of each column (keys name one column): the first that all its cells have.
 
     Empty and "NA" cells say nothing; a column of nothing else is logical.
     """
-    value = trim_space(F.col(cell))
-    given = F.when((value != "") & (value != "NA"), value)
-    checks = []
-    for name, pattern in TYPE_PATTERNS:
-        fits = F.col("__value").rlike(pattern)
-        if name in _NUMERIC:
-            fits = fits & ~F.col("__value").rlike(_LEADING_ZERO)
-        checks.append(F.coalesce(F.bool_and(fits), F.lit(True)).alias(f"__{name}"))
-    guess = F.lit("character")
-    for name, _ in reversed(TYPE_PATTERNS):
-        guess = F.when(F.col(f"__{name}"), F.lit(name)).otherwise(guess)
-    return (
-        cells.withColumn("__value", given)
-        .groupBy(*keys)
-        .agg(*checks)
-        .select(*keys, guess.alias("type"))
-    )
+    checks = _type_checks(cell)
+    held = [F.bool_and(check).alias(name) for name, check in checks.items()]
+    return cells.groupBy(*keys).agg(*held).select(*keys, _first_type().alias("type"))
 
 
 def text_cells(
-    cells: DataFrame, table_keys: Sequence[str], row: str = "row_no"
+    cells: DataFrame, table_keys: Sequence[str], row: str = "row_no", cell: str = "cell"
 ) -> DataFrame:
     """Cells of the columns that are text."""
-    keys = [*table_keys, "col_no"]
-    kept = guess_types(cells, keys).where(F.col("type") == "character").drop("type")
-    return attach(cells, kept, keys, row, "inner")
+    checks = _type_checks(cell)
+    typed = place(cells, [*table_keys, "col_no"], row, least=checks)
+    return typed.where(_first_type() == "character").drop(*checks)
 
 
 def text_columns(df: DataFrame) -> DataFrame:

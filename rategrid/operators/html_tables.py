@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import attach
+from rategrid.functions.blocks import place
 from rategrid.functions.markup import with_table_rows
 from rategrid.operators.links import FORWARD, REVERSE
 
@@ -55,8 +55,6 @@ def rows_with_header(rows: Column) -> Column:
 
 def promote_header(cells: DataFrame, keys: list[str]) -> DataFrame:
     """The same for a ``cells`` table: row 0 becomes ``header`` and is dropped."""
-    names = cells.where(F.col("row_no") == 0).select(
-        *keys, "col_no", F.col("cell").alias("header")
-    )
-    body = cells.where(F.col("row_no") > 0)
-    return attach(body, names, [*keys, "col_no"], "row_no")
+    name = F.when(F.col("row_no") == 0, F.col("cell"))
+    headed = place(cells, [*keys, "col_no"], "row_no", greatest={"header": name})
+    return headed.where(F.col("row_no") > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import attach, carry_down
+from rategrid.functions.blocks import place
 from rategrid.functions.money import money_to_double, strip_footnote_digit, strip_footnote_marks
 from rategrid.functions.text import is_blank, trim_space
 from rategrid.operators.columns import split_mixed
@@ -34,22 +34,6 @@ def sheet_heading(cells: Column) -> Column:
     return F.when(~has_rate(cells) | name.rlike(HEADING_NAME), name)
 
 
-def carry_heading(
-    lines: DataFrame, key: str = "doc_id", header_line: int | None = None
-) -> DataFrame:
-    """Steps of a sheet (key, line_no, heading, step, cells) under their heading."""
-    cells = lines.where(~is_blank(F.col("line"))).select(
-        key, "line_no", line_cells(F.col("line")).alias("cells")
-    )
-    if header_line is not None:
-        cells = cells.where(F.col("line_no") != header_line)
-    carried = carry_down(cells, [key], "line_no", sheet_heading(F.col("cells")), "heading")
-    return carried.where(has_rate(F.col("cells"))).select(
-        key, "line_no", "heading",
-        strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells",
-    )
-
-
 def header_labels(cells: Column) -> Column:
     """Column labels; a cell that also holds a date is two labels."""
     return F.flatten(F.transform(cells, lambda c: F.split(c, _DATE_AHEAD)))
@@ -64,17 +48,34 @@ def effective_date(label: Column) -> Column:
     )
 
 
-def unpivot_rates(
-    steps: DataFrame, headers: DataFrame, key: str = "doc_id"
-) -> DataFrame:
-    """One row per step and rate column.
+def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -> DataFrame:
+    """Steps of a sheet (key, line_no, heading, step, cells, labels) under their heading.
 
-    ``headers`` has one row per sheet: ``labels``, the name column's label first.
+    ``header_line`` is the number of the line with the column labels; without such
+    a line ``labels`` is NULL.
     """
+    cells = lines.where(~is_blank(F.col("line"))).select(
+        key, "line_no", line_cells(F.col("line")).alias("cells")
+    )
+    is_header = F.col("line_no") == header_line
+    carried = place(
+        cells,
+        [key],
+        "line_no",
+        latest={"heading": F.when(~is_header, sheet_heading(F.col("cells")))},
+        greatest={"labels": F.when(is_header, header_labels(F.col("cells")))},
+    )
+    return carried.where(~is_header & has_rate(F.col("cells"))).select(
+        key, "line_no", "heading",
+        strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells", "labels",
+    )
+
+
+def unpivot_rates(steps: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per step and rate column, with the column's label and date."""
     rates = F.slice(F.col("cells"), 2, F.greatest(F.size("cells") - 1, F.lit(0)))
     return (
-        attach(steps, headers, [key], "line_no")
-        .select(
+        steps.select(
             key, "line_no", "heading", "step", "labels",
             F.posexplode(rates).alias("__i", "__rate"),
         )
@@ -90,11 +91,8 @@ def unpivot_rates(
 
 
 def sheet_rates(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rate sheets whose first line holds the column labels."""
-    headers = lines.where(F.col("line_no") == 1).select(
-        key, header_labels(line_cells(F.col("line"))).alias("labels")
-    )
-    return unpivot_rates(carry_heading(lines, key, header_line=1), headers, key)
+    """Rates of sheets whose first line holds the column labels."""
+    return unpivot_rates(carry_heading(lines, key, header_line=1), key)
 
 
 def to_common_band(

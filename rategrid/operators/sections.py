@@ -2,9 +2,8 @@
 
 Two forms of the same rules. ``cut_text`` is for a document held in one row and
 never shuffles. ``cut_pages`` is for documents of many page rows: it places the
-section with small per-page facts (line count, last hits) and only then touches
-the text of the pages that hold a part of it. A document is never gathered into
-one row or one task.
+section with small facts per page and per block of pages (line counts, last hits)
+and then cuts the pages. A document is never gathered into one row or one task.
 
 A layout says where the section is: ``start_pattern``, ``start_offset``,
 ``end_pattern``, ``end_offset``, ``skip_pattern``. An empty pattern stands for the
@@ -17,7 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import attach, sum_before
+from rategrid.functions.blocks import (
+    BLOCK,
+    across_blocks,
+    earlier,
+    inside_block,
+    place,
+    whole,
+    with_block,
+)
 from rategrid.functions.text import (
     Pattern,
     drop_blank,
@@ -30,6 +37,7 @@ from rategrid.functions.text import (
     split_lines,
 )
 
+PAGE_BLOCK = 4096  # pages in a block of a document
 LAYOUT = ["start_pattern", "start_offset", "end_pattern", "end_offset", "skip_pattern"]
 
 
@@ -131,79 +139,89 @@ def section_rejects(cut: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def page_lines(pages: DataFrame, key: str = "doc_id") -> DataFrame:
     """Lines of all pages, numbered through the document."""
-    counted = pages.select(key, "page_no", F.size(split_lines(F.col("text"))).alias("n_lines"))
-    placed = sum_before(counted, [key], "page_no", F.col("n_lines"), "before").drop("n_lines")
-    rows = numbered(split_lines(F.col("text")), F.col("before"))
-    return pages.join(placed, [key, "page_no"]).select(key, F.inline(rows))
+    n_lines = F.size(split_lines(F.col("text"))).cast("bigint")
+    placed = place(
+        pages.select(key, "page_no", "text"), [key], "page_no",
+        before={"before": n_lines}, block_rows=PAGE_BLOCK,
+    )
+    return placed.select(key, F.inline(numbered(split_lines(F.col("text")), F.col("before"))))
 
 
-def page_facts(pages: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per page: number of lines, lines before it, and last hits counted through the
-    document. Holds no text."""
+def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per block of pages: its lines, the lines before it, and its document's span.
+
+    ``laid_out`` has pages with block and layout. Each page is reduced to its
+    number of lines and last hits; a block of pages becomes one row before
+    anything meets the rest of its document.
+    """
     lines = F.col("__lines")
-    facts = pages.withColumn("__lines", split_lines(F.col("text"))).select(
-        key,
-        "page_no",
-        *LAYOUT,
+    facts = laid_out.withColumn("__lines", split_lines(F.col("text"))).select(
+        key, BLOCK, "page_no", *LAYOUT,
         F.size(lines).cast("bigint").alias("n_lines"),
         last_match(lines, F.col("start_pattern")).alias("start_hit"),
         last_match(lines, F.col("end_pattern")).alias("end_hit"),
     )
-    return (
-        sum_before(facts, [key], "page_no", F.col("n_lines"), "before")
-        .withColumn("start_hit", F.col("before") + F.col("start_hit"))
-        .withColumn("end_hit", F.col("before") + F.col("end_hit"))
+    above = F.coalesce(F.sum("n_lines").over(earlier(inside_block([key], "page_no"))), F.lit(0))
+    blocks = (
+        facts.withColumn("above", above)
+        .groupBy(key, BLOCK)
+        .agg(
+            F.sum("n_lines").alias("n_lines"),
+            F.max(F.col("above") + F.col("start_hit")).alias("start_hit"),
+            F.max(F.col("above") + F.col("end_hit")).alias("end_hit"),
+            *[F.max(name).alias(name) for name in LAYOUT],
+        )
     )
-
-
-def section_bounds(facts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document: first and last line of the section, or why there is none."""
-    whole = facts.groupBy(key).agg(
-        F.sum("n_lines").alias("n_lines"),
-        F.max("start_hit").alias("start_hit"),
-        F.max("end_hit").alias("end_hit"),
-        *[F.max(name).alias(name) for name in LAYOUT],
+    across = across_blocks([key])
+    placed = blocks.withColumn(
+        "before", F.coalesce(F.sum("n_lines").over(earlier(across)), F.lit(0))
+    ).select(
+        key, BLOCK, "n_lines", "before", *LAYOUT,
+        F.sum("n_lines").over(whole(across)).alias("__n"),
+        F.max(F.col("before") + F.col("start_hit")).over(whole(across)).alias("__start"),
+        F.max(F.col("before") + F.col("end_hit")).over(whole(across)).alias("__end"),
     )
-    span = section_span(
-        F.col("n_lines"), F.col("start_hit"), F.col("end_hit"), layout_columns()
+    span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns())
+    return placed.withColumn("span", span).select(
+        key, BLOCK, "n_lines", "before", "skip_pattern", "span.*"
     )
-    return whole.select(key, span.alias("span")).select(key, "span.*")
 
 
 def cut_pages(
-    pages: DataFrame, key: str = "doc_id", skip_blank: bool = True
+    pages: DataFrame, layouts: DataFrame, key: str = "doc_id", skip_blank: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Kept lines (key, line_no, line) of every section, and the rejected documents.
 
-    ``pages`` has one row per (key, page_no) with ``text`` and the layout columns
-    of its document.
+    ``pages`` has one row per (key, page_no) with ``text``; ``layouts`` one row per
+    document with the layout columns. Everything is joined on (key, block), so the
+    text is shuffled once for both passes.
     """
-    facts = page_facts(pages, key)
-    bounds = section_bounds(facts, key)
-    wanted = bounds.where(F.col("reason").isNull()).select(key, "first", "last")
-    parts = (
-        attach(
-            facts.select(key, "page_no", "before", "n_lines"), wanted, [key], "page_no", "inner"
-        )
-        .where(
-            (F.col("before") < F.col("last"))
-            & (F.col("before") + F.col("n_lines") >= F.col("first"))
-        )
-        .select(key, "page_no", "before", "first", "last")
+    rows = with_block(pages.select(key, "page_no", "text"), "page_no", PAGE_BLOCK)
+    blocks = rows.select(key, BLOCK).distinct()
+    spread = blocks.join(layouts.select(key, *LAYOUT), key, "left")
+    spans = page_spans(rows.join(spread, [key, BLOCK]), key)
+    wanted = spans.where(
+        F.col("reason").isNull()
+        & (F.col("before") < F.col("last"))
+        & (F.col("before") + F.col("n_lines") >= F.col("first"))
+    ).select(key, BLOCK, "before", "skip_pattern", "first", "last")
+
+    n_lines = F.size("__lines")
+    above = F.sum(n_lines).over(earlier(inside_block([key], "page_no")))
+    page = (
+        rows.join(wanted, [key, BLOCK])
+        .withColumn("__lines", split_lines(F.col("text")))
+        .withColumn("before", F.col("before") + F.coalesce(above, F.lit(0)))
+        .where((F.col("before") < F.col("last")) & (F.col("before") + n_lines >= F.col("first")))
     )
     from_line = F.greatest(F.col("first") - F.col("before"), F.lit(1))
-    n_taken = F.least(F.col("last") - F.col("before"), F.size("__lines")) - from_line + 1
+    n_taken = F.least(F.col("last") - F.col("before"), n_lines) - from_line + 1
     taken = numbered(
         F.slice(F.col("__lines"), from_line.cast("int"), n_taken.cast("int")),
         F.col("before") + from_line - 1,
     )
-    lines = (
-        pages.select(key, "page_no", "text", "skip_pattern")
-        .join(parts, [key, "page_no"])
-        .withColumn("__lines", split_lines(F.col("text")))
-        .select(key, F.inline(_kept(taken, F.col("skip_pattern"), skip_blank)))
-    )
-    return lines, section_rejects(bounds, key)
+    kept = page.select(key, F.inline(_kept(taken, F.col("skip_pattern"), skip_blank)))
+    return kept, section_rejects(spans.select(key, "reason").distinct(), key)
 
 
 # --- single steps on lines ----------------------------------------------------
@@ -226,18 +244,15 @@ def without_blank(lines: DataFrame, trim: bool = False) -> DataFrame:
     return kept.withColumn("line", F.trim("line")) if trim else kept
 
 
-def without_repeats(lines: DataFrame, pattern: Pattern, key: str = "doc_id") -> DataFrame:
-    """Drop every line with the pattern but the document's first one.
+def only_matching(lines: DataFrame, pattern: Pattern) -> DataFrame:
+    return lines.where(matches(F.col("line"), pattern))
 
-    The first hit of each document is a plain aggregate, joined back by blocks of
-    lines; only heading lines take part in the join.
-    """
-    headings = lines.where(matches(F.col("line"), pattern))
-    first = headings.groupBy(key).agg(F.min("line_no").alias("line_no"))
-    kept = headings.join(first, [key, "line_no"], "left_semi")
-    return lines.where(~F.coalesce(matches(F.col("line"), pattern), F.lit(False))).unionByName(
-        kept
-    )
+
+def without_repeats(lines: DataFrame, pattern: Pattern, key: str = "doc_id") -> DataFrame:
+    """Drop every line with the pattern but the document's first one."""
+    hit = F.coalesce(matches(F.col("line"), pattern), F.lit(False))
+    placed = place(lines, [key], "line_no", least={"__first": F.when(hit, F.col("line_no"))})
+    return placed.where(~hit | (F.col("line_no") == F.col("__first"))).drop("__first")
 
 
 def without_repeats_in(rows: Column, pattern: Pattern) -> Column:
@@ -277,20 +292,3 @@ def text_check(pages: DataFrame, key: str = "doc_id", at_least: int = 15) -> Dat
         F.count(F.lit(1)).alias("pages_read"),
         (F.count(F.lit(1)) == expected).alias("complete"),
     )
-
-
-# --- by document type ---------------------------------------------------------
-
-
-def route_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """HTML documents, text documents, and rejects for scans and unknown types."""
-    kind = F.lower(F.col("doc_type"))
-    reason = F.when(kind == "scan.pdf", F.lit("scanned document")).otherwise(
-        F.concat(F.lit("unknown type: "), F.coalesce("doc_type", F.lit("NULL")))
-    )
-    known = F.coalesce(kind.isin("html", "pdf"), F.lit(False))
-    rejected = docs.where(~known).select(
-        F.lit("doc_type").alias("stage"), F.col("doc_id").cast("string").alias("key"),
-        reason.alias("reason"),
-    )
-    return docs.where(kind == "html"), docs.where(kind == "pdf"), rejected

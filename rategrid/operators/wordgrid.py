@@ -1,8 +1,8 @@
 """Tables from positioned words (doc_id, page_no, x, y, text, space).
 
-The words of one text line (one ``y`` of a page) become one row. Everything wider
-than a line (header, last line, line numbers) comes from small aggregates per
-page, joined back by blocks of ``y``, so a page of any length is spread out.
+The words of one text line (one ``y`` of a page) become one row. What a line
+takes from its page (header, last line, number of earlier lines) is worked out by
+blocks of ``y``, so a page of any length is spread out.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import attach, number_rows
+from rategrid.functions.blocks import place
 from rategrid.functions.text import trim_space
 
 PAGE = ["doc_id", "page_no"]
@@ -67,18 +67,21 @@ def aligned_headers(header: Column, cells: Column) -> Column:
 
 def word_table(words: DataFrame, remove_last: bool = True) -> DataFrame:
     """Body lines of every page: (doc_id, page_no, y, row_no, headers, cells)."""
-    lines = text_lines(words)
-    placed = attach(lines, page_headers(lines), PAGE, "y")
-    body = placed.where(F.col("y") > F.col("header_y"))
+    # The header is a page's first line, so the lines before a row number the rows.
+    placed = place(
+        text_lines(words),
+        PAGE,
+        "y",
+        before={"row_no": F.lit(1).cast("bigint")},
+        least={"header": F.struct("y", "words")},
+        greatest={"last_y": F.col("y")},
+    )
+    body = placed.where(F.col("y") > F.col("header.y"))
     if remove_last:
         body = body.where(F.col("y") < F.col("last_y"))
-    cells = body.select(
-        *PAGE, "y", "header_words", glued_cells(F.col("words")).alias("cells")
-    )
-    return number_rows(cells, PAGE, "y", "row_no").select(
-        *PAGE, "y", "row_no",
-        aligned_headers(F.col("header_words"), F.col("cells")).alias("headers"),
-        "cells",
+    names = F.transform("header.words", lambda w: w["text"])
+    return body.withColumn("cells", glued_cells(F.col("words"))).select(
+        *PAGE, "y", "row_no", aligned_headers(names, F.col("cells")).alias("headers"), "cells"
     )
 
 

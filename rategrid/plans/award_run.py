@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rategrid.functions.money import money_to_double
 from rategrid.functions.text import trim_space
-from rategrid.operators.bands import salary_bands
+from rategrid.operators.bands import BAND_KEYS, band_parts, finish_bands, merge_parts
 from rategrid.operators.columns import split_wide
 from rategrid.operators.links import award_path, resolve_sources, split_by_order
 from rategrid.operators.rates import to_common_band
@@ -23,12 +23,14 @@ def acquire(sources: DataFrame, pages: DataFrame, folder: str) -> tuple[DataFram
     return registry, rejected
 
 
-def extract(pages: DataFrame, level: Column, amount: Column) -> tuple[DataFrame, DataFrame]:
-    """Raw salary rows (doc_id, line_no, level, annual) of paged awards, and rejects.
+def extract(
+    pages: DataFrame, layouts: DataFrame, level: Column, amount: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Pay rows (doc_id, line_no, level, annual) of paged awards, and rejects.
 
     ``level`` and ``amount`` pick their value from ``cells``.
     """
-    lines, rejected = cut_pages(pages)
+    lines, rejected = cut_pages(pages, layouts)
     cells = lines.select("doc_id", "line_no", split_wide(F.col("line")).alias("cells"))
     rows = cells.select(
         "doc_id", "line_no", trim_space(level).alias("level"),
@@ -37,7 +39,14 @@ def extract(pages: DataFrame, level: Column, amount: Column) -> tuple[DataFrame,
     return rows, rejected
 
 
-def analyse(salaries: DataFrame, crosswalk: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bands of salaries (state, level, annual), and levels without a band."""
-    banded, rejected = to_common_band(salaries, crosswalk)
-    return salary_bands(banded), rejected
+def analyse(
+    rows: DataFrame, docs: DataFrame, crosswalk: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Bands of pay rows, and levels without a band.
+
+    Rows are reduced per document and level before they meet the documents'
+    states, so a document of many rows is small by then.
+    """
+    parts = band_parts(rows, ["doc_id", "level"]).join(docs.select("doc_id", "state"), "doc_id")
+    banded, rejected = to_common_band(parts, crosswalk)
+    return finish_bands(merge_parts(banded, BAND_KEYS), BAND_KEYS), rejected

@@ -99,11 +99,8 @@ def _bands_na(spark, sf_dir):
     )
     parts = band_parts(clean_salaries(raw), ["s_suppkey", "band"])
     keys = ["state", "band"]
-    whole = merge_parts(parts.join(states_of_suppliers(spark, sf_dir), "s_suppkey"), keys)
-    known = finish_bands(whole, keys, na="ignore")
-    return finish_bands(whole, keys).join(
-        known.withColumnsRenamed({"lo": "lo_known", "hi": "hi_known"}), keys
-    )
+    by_state = parts.join(states_of_suppliers(spark, sf_dir), "s_suppkey")
+    return finish_bands(merge_parts(by_state, keys), keys, na="both")
 
 
 @query(

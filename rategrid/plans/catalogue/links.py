@@ -52,10 +52,9 @@ def _link_extract(spark, sf_dir):
     """,
 )
 def _link_filter(spark, sf_dir):
-    pages = page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
-    sources = page_sources(spark, sf_dir).select("page_id", "pattern")
+    index = page_links(page_sources(spark, sf_dir, "html"))
     kept = matching_links(F.col("links"), F.col("pattern"))
-    return pages.join(sources, "page_id").select("page_id", F.explode(kept).alias("href"))
+    return index.select("page_id", F.explode(kept).alias("href"))
 
 
 @query(
@@ -109,8 +108,7 @@ def _link_absolute(spark, sf_dir):
     """,
 )
 def _latest_link(spark, sf_dir):
-    index = page_sources(spark, sf_dir).drop("url").join(table(spark, sf_dir, "pages"), "page_id")
-    return latest_links(index).select("page_id", "latest")
+    return latest_links(page_sources(spark, sf_dir, "html")).select("page_id", "latest")
 
 
 @query(
@@ -159,13 +157,13 @@ def _resolve_sources(spark, sf_dir):
 @query(
     "award_path",
     """
-    SELECT c_custkey, 'data-raw/awards/' || upper(c_name) || '.' || lower(c_mktsegment)
+    SELECT c_custkey, 'awards/' || upper(c_name) || '.' || lower(c_mktsegment)
              AS award_file
     FROM customer
     """,
 )
 def _award_path(spark, sf_dir):
-    path = award_path(F.col("c_name"), F.col("c_mktsegment"), "data-raw/awards")
+    path = award_path(F.col("c_name"), F.col("c_mktsegment"), "awards")
     return table(spark, sf_dir, "customer").select("c_custkey", path.alias("award_file"))
 
 

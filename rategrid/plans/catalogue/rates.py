@@ -25,7 +25,7 @@ _STEPS = """
 
 @query("carry_heading", f"WITH {_STEPS} SELECT doc_id, line_no, heading, step FROM s")
 def _carry_heading(spark, sf_dir):
-    return carry_heading(order_sheets(spark, sf_dir), header_line=1).drop("cells")
+    return carry_heading(order_sheets(spark, sf_dir), header_line=1).drop("cells", "labels")
 
 
 @query(

@@ -30,7 +30,7 @@ from rategrid.operators.sections import (
     without_repeats_in,
 )
 from rategrid.plans.catalogue.registry import query, table
-from rategrid.plans.inputs import award_pages_with_layouts, part_pages
+from rategrid.plans.inputs import award_doc_layouts, award_pages, part_pages
 
 # A word looked for in documents of each language.
 WORDS = {"en": " the ", "fr": " les ", "de": " und ", "es": " que "}
@@ -167,7 +167,7 @@ def _section_text_rejects(spark, sf_dir):
     """,
 )
 def _section_slice(spark, sf_dir):
-    return cut_pages(award_pages_with_layouts(spark, sf_dir))[0]
+    return cut_pages(award_pages(spark, sf_dir), award_doc_layouts(spark, sf_dir))[0]
 
 
 @query(
@@ -183,7 +183,7 @@ def _section_slice(spark, sf_dir):
     """,
 )
 def _section_rejects(spark, sf_dir):
-    return cut_pages(award_pages_with_layouts(spark, sf_dir))[1]
+    return cut_pages(award_pages(spark, sf_dir), award_doc_layouts(spark, sf_dir))[1]
 
 
 @query(
@@ -347,15 +347,14 @@ def _dispatch_doc_type(spark, sf_dir):
         ).alias("text"),
     )
     docs = part.join(part_pages(spark, sf_dir), "doc_id")
-    rows, rejected = extract_tables(docs, layout_literals("^RATES", 1, "^END", -1, ""))
-    cells = [F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(3)]
-    none = F.lit(None).cast("string")
-    return rows.select(
-        F.col("doc_id").cast("string").alias("key"), "route", "row_no", *cells,
-        none.alias("reason"),
-    ).unionByName(
-        rejected.select(
-            "key", F.col("stage").alias("route"), F.lit(None).cast("bigint").alias("row_no"),
-            none.alias("c0"), none.alias("c1"), none.alias("c2"), "reason",
-        )
+    extracted = extract_tables(docs, layout_literals("^RATES", 1, "^END", -1, ""))
+    return extracted.select(
+        F.col("doc_id").cast("string").alias("key"),
+        F.coalesce("route", F.lit("doc_type")).alias("route"),
+        "reason",
+        F.explode_outer("rows").alias("row"),
+    ).select(
+        "key", "route", "row.row_no",
+        *[F.get("row.cells", F.lit(i)).alias(f"c{i}") for i in range(3)],
+        "reason",
     )

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rategrid import schemas
-from rategrid.functions.blocks import attach
 from rategrid.operators.combine import with_layouts
 from rategrid.plans.catalogue.registry import table
 from rategrid.sources.literal import literal_table
@@ -102,10 +101,9 @@ def award_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opening.unionByName(rows).unionByName(closing)
 
 
-def award_pages_with_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the layout of each document's state."""
-    docs = with_layouts(award_docs(spark, sf_dir), award_layouts(spark))
-    return attach(award_pages(spark, sf_dir), docs, ["doc_id"], "page_no")
+def award_doc_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout of each award, NULL where its state has none."""
+    return with_layouts(award_docs(spark, sf_dir), award_layouts(spark))
 
 
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,10 +128,11 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_sources(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """One source per page: every fifth is a document itself, the others are index
-    pages, newest link last or first."""
+    pages, newest link last or first. ``more`` names further columns of the page."""
     return table(spark, sf_dir, "pages").select(
+        *more,
         F.concat(F.lit("S"), F.col("page_id")).alias("state"),
         "page_id",
         "url",

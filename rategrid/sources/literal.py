@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Fixed values, shared by the layouts: columns of a layout table are those of
-# rategrid.schemas.LAYOUTS. "" means no pattern, None means do not extract.
+# Where the pay tables of known awards start and end. Columns as in
+# schemas.LAYOUTS; "" means no pattern, None means do not extract.
 DEFAULT_LAYOUTS = [
     ("QLD", "", 0, "", 0, ""),
     ("WA", "SALARIES – PROFESSIONAL DIVISION", 2, "SCHEDULE 3", -2, r"^\s+\d+$"),
