@@ -24,8 +24,23 @@ BLOCK = "__block"
 BLOCK_ROWS = 16384
 
 
-def with_block(df: DataFrame, order: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    return df.withColumn(BLOCK, F.floor(F.col(order) / F.lit(block_rows)).cast("bigint"))
+def with_block(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    block_rows: int = BLOCK_ROWS,
+    shuffle: bool = False,
+) -> DataFrame:
+    """Add the block number, with ``shuffle`` after shuffling by keys and block.
+
+    The block is worked out above the shuffle, from the order column, and is never
+    NULL: so passes that use the same columns have the same plan up to the shuffle,
+    and Spark runs it once.
+    """
+    block = F.coalesce(F.floor(F.col(order) / F.lit(block_rows)), F.lit(0)).cast("bigint")
+    if shuffle:
+        df = df.repartition(*keys, block)
+    return df.withColumn(BLOCK, block)
 
 
 def inside_block(keys: Sequence[str], order: str) -> WindowSpec:
@@ -65,6 +80,7 @@ def place(
     greatest: Mapping[str, Column] | None = None,
     facts: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
+    shuffle_first: bool = False,
 ) -> DataFrame:
     """Add columns that a row takes from the rest of its group.
 
@@ -74,15 +90,22 @@ def place(
     ``greatest``  largest value in the group
     ``facts``     columns of a table with one row per key; NULL without one
 
-    ``df`` is read twice, and all columns asked for share the two passes. The
-    order column must be unique in its group for ``before`` and ``latest``.
+    All columns asked for share two passes over ``df``. By default the first pass
+    reads only what the values need and reduces it before its shuffle. With
+    ``shuffle_first`` the rows are shuffled by (keys, block) before any value is
+    worked out; when both passes need the same columns Spark runs that shuffle, and
+    all that is below it, once. That is the better way when the values come from
+    the wide column of the rows (a line, a page) or ``df`` is costly.
+
+    Keys and order must not be NULL. The order column must be unique in its group
+    for ``before`` and ``latest``.
     """
     before, latest = dict(before or {}), dict(latest or {})
     least, greatest = dict(least or {}), dict(greatest or {})
     keys = list(keys)
     values = {**before, **latest, **least, **greatest}
     inner = {name: f"__{name}" for name in values}
-    rows = with_block(df, order, block_rows)
+    rows = with_block(df, keys, order, block_rows, shuffle_first)
     for name, value in values.items():
         rows = rows.withColumn(inner[name], value)
 
@@ -108,7 +131,7 @@ def place(
         blocks = blocks.join(facts, keys, "left")
 
     placed = rows.drop(*[inner[n] for n in [*least, *greatest]]).join(
-        blocks, [*keys, BLOCK], "left"
+        blocks, [*keys, BLOCK]
     )
     inside = inside_block(keys, order)
     for n in before:

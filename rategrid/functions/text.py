@@ -27,7 +27,7 @@ def matches(line: Column, pattern: Pattern) -> Column:
 
 
 def trim_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(line: Column) -> Column:

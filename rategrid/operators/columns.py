@@ -119,7 +119,7 @@ def cut_widths(
     """
     keys = list(keys)
     spec = widths.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("col_no", "begin", "end"))).alias("__spec")
+        F.sort_array(F.collect_list(F.struct("col_no", "begin", "end"))).alias("__spec")
     )
     text = F.col(line)
 

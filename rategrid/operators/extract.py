@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import inlined
 from rategrid.operators.columns import split_wide
 from rategrid.operators.html_tables import html_tables, newest_table
 from rategrid.operators.sections import cut_text
@@ -50,7 +51,7 @@ def extract_tables(docs: DataFrame, layout: dict[str, Column] | None = None) ->
 
 
 def extracted_rows(extracted: DataFrame) -> DataFrame:
-    return extracted.where(F.col("reason").isNull()).select("doc_id", "route", F.inline("rows"))
+    return inlined(extracted, ["doc_id", "route"], "rows", "row_no")
 
 
 def extract_rejects(extracted: DataFrame) -> DataFrame:

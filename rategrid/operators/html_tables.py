@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import exploded
 from rategrid.functions.blocks import place
 from rategrid.functions.markup import with_table_rows
 from rategrid.operators.links import FORWARD, REVERSE
@@ -27,9 +28,8 @@ def newest_table(tables: Column, order: Column) -> Column:
 def table_cells(df: DataFrame, tables: str = "tables") -> DataFrame:
     """``cells`` rows (table_no, row_no, col_no from 0) of all tables of a document."""
     other = [c for c in df.columns if c != tables]
-    rows = df.select(*other, F.posexplode(tables).alias("table_no", "__rows")).select(
-        *other, "table_no", F.posexplode("__rows").alias("row_no", "__cells")
-    )
+    rows = exploded(df, other, tables, "table_no", "__rows")
+    rows = rows.select(*other, "table_no", F.posexplode("__rows").alias("row_no", "__cells"))
     return rows.select(
         *other, "table_no", "row_no", F.posexplode("__cells").alias("col_no", "cell")
     )

@@ -54,20 +54,25 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
     ``header_line`` is the number of the line with the column labels; without such
     a line ``labels`` is NULL.
     """
-    cells = lines.where(~is_blank(F.col("line"))).select(
-        key, "line_no", line_cells(F.col("line")).alias("cells")
-    )
     is_header = F.col("line_no") == header_line
+    given = lines.select(key, "line_no", "line").where(~is_blank(F.col("line")))
+    cells = line_cells(F.col("line"))
     carried = place(
-        cells,
+        given,
         [key],
         "line_no",
-        latest={"heading": F.when(~is_header, sheet_heading(F.col("cells")))},
-        greatest={"labels": F.when(is_header, header_labels(F.col("cells")))},
+        latest={"heading": F.when(~is_header, sheet_heading(cells))},
+        greatest={"labels": F.when(is_header, header_labels(cells))},
+        shuffle_first=True,
     )
-    return carried.where(~is_header & has_rate(F.col("cells"))).select(
-        key, "line_no", "heading",
-        strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells", "labels",
+    return (
+        carried.where(~is_header)
+        .withColumn("cells", line_cells(F.col("line")))
+        .where(has_rate(F.col("cells")))
+        .select(
+            key, "line_no", "heading",
+            strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells", "labels",
+        )
     )
 
 

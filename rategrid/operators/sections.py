@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import inlined
 from rategrid.functions.blocks import (
     BLOCK,
     across_blocks,
@@ -123,9 +124,7 @@ def cut_text(
 
 def section_rows(cut: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per kept line of the sections found by ``cut_text``."""
-    return cut.where(F.col("reason").isNull()).select(
-        key, F.inline("section")
-    )
+    return inlined(cut, [key], "section", "line_no")
 
 
 def section_rejects(cut: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -142,9 +141,10 @@ def page_lines(pages: DataFrame, key: str = "doc_id") -> DataFrame:
     n_lines = F.size(split_lines(F.col("text"))).cast("bigint")
     placed = place(
         pages.select(key, "page_no", "text"), [key], "page_no",
-        before={"before": n_lines}, block_rows=PAGE_BLOCK,
+        before={"before": n_lines}, block_rows=PAGE_BLOCK, shuffle_first=True,
     )
-    return placed.select(key, F.inline(numbered(split_lines(F.col("text")), F.col("before"))))
+    rows = numbered(split_lines(F.col("text")), F.col("before"))
+    return inlined(placed, [key], rows, "line_no")
 
 
 def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -196,7 +196,8 @@ def cut_pages(
     document with the layout columns. Everything is joined on (key, block), so the
     text is shuffled once for both passes.
     """
-    rows = with_block(pages.select(key, "page_no", "text"), "page_no", PAGE_BLOCK)
+    text = pages.select(key, "page_no", "text")
+    rows = with_block(text, [key], "page_no", PAGE_BLOCK, shuffle=True)
     blocks = rows.select(key, BLOCK).distinct()
     spread = blocks.join(layouts.select(key, *LAYOUT), key, "left")
     spans = page_spans(rows.join(spread, [key, BLOCK]), key)
@@ -220,8 +221,8 @@ def cut_pages(
         F.slice(F.col("__lines"), from_line.cast("int"), n_taken.cast("int")),
         F.col("before") + from_line - 1,
     )
-    kept = page.select(key, F.inline(_kept(taken, F.col("skip_pattern"), skip_blank)))
-    return kept, section_rejects(spans.select(key, "reason").distinct(), key)
+    kept = _kept(taken, F.col("skip_pattern"), skip_blank)
+    return inlined(page, [key], kept, "line_no"), section_rejects(spans.select(key, "reason").distinct(), key)
 
 
 # --- single steps on lines ----------------------------------------------------
@@ -255,13 +256,13 @@ def without_repeats(lines: DataFrame, pattern: Pattern, key: str = "doc_id") ->
     return placed.where(~hit | (F.col("line_no") == F.col("__first"))).drop("__first")
 
 
-def without_repeats_in(rows: Column, pattern: Pattern) -> Column:
-    """The same for the numbered lines of a document held in one row."""
+def without_repeats_in(docs: DataFrame, rows: str, pattern: Pattern) -> DataFrame:
+    """The same for the numbered lines of documents held in one row each."""
     first = first_match(F.transform(rows, lambda r: r["line"]), pattern)
-    return F.filter(
-        rows,
-        lambda r, i: ~matches(r["line"], pattern) | (i + 1 == first),
+    kept = F.filter(
+        rows, lambda r, i: ~matches(r["line"], pattern) | (i + 1 == F.col("__first"))
     )
+    return docs.withColumn("__first", first).withColumn(rows, kept).drop("__first")
 
 
 def after_head(rows: Column, n: int) -> Column:

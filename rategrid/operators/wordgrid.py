@@ -21,7 +21,7 @@ LABEL = "label"  # name of the first column, which has no header word
 
 def text_lines(words: DataFrame) -> DataFrame:
     """One row per page and ``y`` with its words from left to right."""
-    ordered = F.array_sort(F.collect_list(F.struct("x", "text", "space")))
+    ordered = F.sort_array(F.collect_list(F.struct("x", "text", "space")))
     return words.groupBy(*PAGE, "y").agg(ordered.alias("words"))
 
 
@@ -75,6 +75,7 @@ def word_table(words: DataFrame, remove_last: bool = True) -> DataFrame:
         before={"row_no": F.lit(1).cast("bigint")},
         least={"header": F.struct("y", "words")},
         greatest={"last_y": F.col("y")},
+        shuffle_first=True,
     )
     body = placed.where(F.col("y") > F.col("header.y"))
     if remove_last:

@@ -13,6 +13,6 @@ from rategrid.plans.catalogue import (  # noqa: F401 - importing registers the q
     tables,
     words,
 )
-from rategrid.plans.catalogue.registry import ORACLES, QUERIES
+from rategrid.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -17,7 +17,7 @@ from rategrid.operators.bands import (
     overlap_ranges,
     salary_bands,
 )
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import money, salaries, states_of_suppliers, supplier_salaries
 
 # Posts whose pay range is laid over the bands.

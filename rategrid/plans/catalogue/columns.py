@@ -17,7 +17,7 @@ from rategrid.operators.columns import (
     split_wide,
     text_cells,
 )
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 
 
 @query(

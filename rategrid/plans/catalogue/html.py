@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import exploded, inlined
 from rategrid.operators.html_tables import (
     html_tables,
     newest_table,
@@ -11,7 +12,7 @@ from rategrid.operators.html_tables import (
     rows_with_header,
     table_cells,
 )
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import part_pages
 
 # The cells of both tables of a part page, as (table_no, row_no, col_no, cell).
@@ -84,9 +85,7 @@ def _html_cells_spanned(spark, sf_dir):
     f"WITH {_CELLS} SELECT doc_id, row_no, col_no, cell FROM cells WHERE {_NEWEST}",
 )
 def _html_latest_table(spark, sf_dir):
-    rows = _newest_rows(spark, sf_dir).select(
-        "doc_id", F.posexplode("rows").alias("row_no", "cells")
-    )
+    rows = exploded(_newest_rows(spark, sf_dir), ["doc_id"], "rows", "row_no", "cells")
     return rows.select("doc_id", "row_no", F.posexplode("cells").alias("col_no", "cell"))
 
 
@@ -100,9 +99,8 @@ _HEADED = f"""
 
 @query("header_promote", _HEADED)
 def _header_promote(spark, sf_dir):
-    return _newest_rows(spark, sf_dir).select(
-        "doc_id", F.inline(rows_with_header(F.col("rows")))
-    )
+    cells = rows_with_header(F.col("rows"))
+    return inlined(_newest_rows(spark, sf_dir), ["doc_id"], cells, "row_no")
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import exploded
 from rategrid.functions.urls import absolute_url
 from rategrid.operators.links import (
     absolute_links,
@@ -14,7 +15,7 @@ from rategrid.operators.links import (
     resolve_sources,
     split_by_order,
 )
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import page_sources
 
 _LINKS = """regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)"""
@@ -40,7 +41,7 @@ _SOURCES = """
 )
 def _link_extract(spark, sf_dir):
     pages = page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
-    return pages.select("page_id", F.posexplode("links").alias("pos", "href"))
+    return exploded(pages, ["page_id"], "links", "pos", "href")
 
 
 @query(
@@ -54,7 +55,7 @@ def _link_extract(spark, sf_dir):
 def _link_filter(spark, sf_dir):
     index = page_links(page_sources(spark, sf_dir, "html"))
     kept = matching_links(F.col("links"), F.col("pattern"))
-    return index.select("page_id", F.explode(kept).alias("href"))
+    return exploded(index, ["page_id"], kept, "pos", "href").drop("pos")
 
 
 @query(

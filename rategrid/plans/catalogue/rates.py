@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from rategrid.operators.columns import split_mixed
 from rategrid.operators.rates import carry_heading, clean_pay_points, sheet_rates, to_common_band
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import order_sheets
 from rategrid.sources.literal import literal_table
 

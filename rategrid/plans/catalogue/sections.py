@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import inlined
 from rategrid.functions.text import (
     drop_blank,
     drop_matching,
@@ -29,7 +30,7 @@ from rategrid.operators.sections import (
     without_repeats,
     without_repeats_in,
 )
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import award_doc_layouts, award_pages, part_pages
 
 # A word looked for in documents of each language.
@@ -78,7 +79,7 @@ def _turn_pages(spark, sf_dir):
 
 @query("doc_lines", f"WITH {_LINES} SELECT doc_id, line_no, line FROM lines")
 def _doc_lines(spark, sf_dir):
-    return _document_rows(spark, sf_dir).select("doc_id", F.inline("rows"))
+    return inlined(_document_rows(spark, sf_dir), ["doc_id"], "rows", "line_no")
 
 
 @query("doc_lines_paged", f"WITH {_TURN_LINES} SELECT doc_id, line_no, line FROM lines")
@@ -193,7 +194,7 @@ def _section_rejects(spark, sf_dir):
 )
 def _skip_lines(spark, sf_dir):
     rows = _document_rows(spark, sf_dir).withColumn("rows", drop_matching(F.col("rows"), _word()))
-    return rows.select("doc_id", F.inline("rows"))
+    return inlined(rows, ["doc_id"], "rows", "line_no")
 
 
 @query(
@@ -217,7 +218,7 @@ def _skip_blank(spark, sf_dir):
     # A line of blanks after every line but the last.
     spaced = F.replace(F.col("text"), F.lit("\n"), F.lit("\n \t \n"))
     rows = _document_rows(spark, sf_dir, spaced).withColumn("rows", drop_blank(F.col("rows")))
-    return rows.select("doc_id", F.inline("rows"))
+    return inlined(rows, ["doc_id"], "rows", "line_no")
 
 
 @query(
@@ -243,9 +244,10 @@ def _skip_blank_paged(spark, sf_dir):
 def _repeat_headers(spark, sf_dir):
     # A heading after every line but the last.
     headed = F.replace(F.col("text"), F.lit("\n"), F.lit("\nCLASSIFICATION  PAY\n"))
-    kept = without_repeats_in(F.col("rows"), "^CLASSIFICATION")
-    rows = _document_rows(spark, sf_dir, headed).withColumn("rows", kept)
-    return rows.select("doc_id", F.inline("rows"))
+    rows = without_repeats_in(
+        _document_rows(spark, sf_dir, headed), "rows", "^CLASSIFICATION"
+    )
+    return inlined(rows, ["doc_id"], "rows", "line_no")
 
 
 @query(
@@ -274,19 +276,19 @@ def _repeat_headers_paged(spark, sf_dir):
 def _page_subset(spark, sf_dir):
     pages = pages_matching(_turn_pages(spark, sf_dir), " (les|the) ")
     rows = numbered(split_lines(F.col("text")))
-    return pages.select("doc_id", "page_no", F.inline(rows))
+    return inlined(pages, ["doc_id", "page_no"], rows, "line_no")
 
 
 @query("skip_head", f"WITH {_LINES} SELECT doc_id, line_no, line FROM lines WHERE line_no > 3")
 def _skip_head(spark, sf_dir):
     rows = _document_rows(spark, sf_dir).withColumn("rows", after_head(F.col("rows"), 3))
-    return rows.select("doc_id", F.inline("rows"))
+    return inlined(rows, ["doc_id"], "rows", "line_no")
 
 
 @query("head_lines", f"WITH {_LINES} SELECT doc_id, line_no, line FROM lines WHERE line_no <= 21")
 def _head_lines(spark, sf_dir):
     rows = _document_rows(spark, sf_dir).withColumn("rows", head(F.col("rows"), 21))
-    return rows.select("doc_id", F.inline("rows"))
+    return inlined(rows, ["doc_id"], "rows", "line_no")
 
 
 @query(

@@ -9,7 +9,7 @@ from rategrid import schemas
 from rategrid.operators.bands import clean_salaries
 from rategrid.operators.combine import combine_states, with_layouts
 from rategrid.operators.faults import split_faults
-from rategrid.plans.catalogue.registry import query, table
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import award_docs, salaries
 from rategrid.sources.literal import literal_table
 from rategrid.sources.readers import read_csv

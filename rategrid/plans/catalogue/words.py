@@ -15,7 +15,7 @@ from rategrid.operators.wordgrid import (
     word_columns,
     word_table,
 )
-from rategrid.plans.catalogue.registry import query
+from rategrid.plans.registry import query
 from rategrid.plans.inputs import LAST_PAGE, order_words
 
 _ROWS = """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rategrid import schemas
 from rategrid.operators.combine import with_layouts
-from rategrid.plans.catalogue.registry import table
+from rategrid.plans.registry import table
 from rategrid.sources.literal import literal_table
 
 # Page number of the closing page of an award; row pages count up from 1.
