@@ -178,7 +178,8 @@ def covered_ticks(bands: DataFrame, start: int = 0, stop: int = 180000, step: in
     """Axis ticks that lie inside each band, with their dollar labels."""
     first = F.greatest(F.ceil((F.col("lo") - start) / step), F.lit(0))
     last = F.least(F.floor((F.col("hi") - start) / step), F.lit((stop - start) // step))
-    steps = F.when(first <= last, F.sequence(first, last))
+    known = F.col("lo").isNotNull() & F.col("hi").isNotNull()
+    steps = F.when(known & (first <= last), F.sequence(first, last))
     return (
         bands.withColumn("tick", F.explode(steps))
         .withColumn("tick", (F.lit(start) + F.col("tick") * step).cast("bigint"))

@@ -46,6 +46,26 @@ def separate(line: Column, names: Sequence[str], merge_rest: bool = False) -> li
     return into_columns(split_wide(line, len(names) if merge_rest else -1), names)
 
 
+def unique_names(names: Sequence[str | None]) -> list[str]:
+    """Names usable as columns: empty and repeated ones get their position added."""
+    given = ["" if name is None else name for name in names]
+    return [
+        name if name and given.count(name) == 1 else f"{name}...{i}"
+        for i, name in enumerate(given, start=1)
+    ]
+
+
+def generated_names(n: int) -> list[str]:
+    return [f"c{i}" for i in range(1, n + 1)]
+
+
+def to_wide(
+    rows: DataFrame, names: Sequence[str | None], keys: Sequence[str], cells: str = "cells"
+) -> DataFrame:
+    """One column per name. The row already holds its cells, so nothing is grouped."""
+    return rows.select(*keys, *into_columns(F.col(cells), unique_names(names)))
+
+
 def padded_cells(
     rows: DataFrame, keys: Sequence[str], cells: str = "cells", row: str = "row_no"
 ) -> DataFrame:
