@@ -167,26 +167,26 @@ def _band_overlap(spark, sf_dir):
     "band_overlap_table",
     """
     WITH b AS (
-      SELECT l_suppkey AS s_suppkey, l_linenumber AS band,
+      SELECT l_linenumber AS band, CAST(floor(l_extendedprice / 1000) AS BIGINT) AS step,
              min(l_extendedprice) AS lo, max(l_extendedprice) AS hi
       FROM lineitem GROUP BY 1, 2),
     p AS (SELECT s_name AS post, s_acctbal * 9 AS post_lo, s_acctbal * 9 + s_nationkey AS post_hi
           FROM supplier)
-    SELECT s_suppkey, band, lo, hi, post, post_lo, post_hi,
+    SELECT band, step, lo, hi, post, post_lo, post_hi,
            least(hi, post_hi) - greatest(lo, post_lo) AS overlap
     FROM b JOIN p ON lo <= post_hi AND hi >= post_lo
     """,
 )
 def _band_overlap_table(spark, sf_dir):
-    bands = salary_bands(
-        clean_salaries(supplier_salaries(spark, sf_dir)), ["s_suppkey", "band"]
-    )
+    # Narrow steps of pay and narrow posts, so a post meets a few steps only.
+    raw = supplier_salaries(spark, sf_dir).drop("s_suppkey")
+    steps = clean_salaries(raw).withColumn("step", F.floor(F.col("annual") / 1000))
     posts = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("post"),
         (F.col("s_acctbal") * 9).alias("post_lo"),
         (F.col("s_acctbal") * 9 + F.col("s_nationkey")).alias("post_hi"),
     )
-    return overlap_join(bands, posts)
+    return overlap_join(salary_bands(steps, ["band", "step"]), posts)
 
 
 @query(

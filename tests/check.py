@@ -1,4 +1,4 @@
-"""Compare every query with its SQL: ``python tests/check.py [sf] [name ...]``."""
+"""Compare every query with its SQL: ``python tests/check.py [sf or folder] [name ...]``."""
 
 from __future__ import annotations
 
@@ -60,7 +60,7 @@ def main() -> None:
     from rategrid.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if "/" in sf else f"/root/testdata/sf{sf}"
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
