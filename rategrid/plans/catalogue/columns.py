@@ -192,7 +192,7 @@ def _text_columns(spark, sf_dir):
 
 def _ocr_lines(spark, sf_dir):
     line = F.concat(
-        F.lit("AHP"), F.col("p_size"), F.lit("-"), F.col("p_partkey") % 10, F.lit(" $ "),
+        F.lit("AHP"), F.col("p_size"), F.lit("-"), F.right(F.col("p_partkey").cast("string"), F.lit(1)), F.lit(" $ "),
         F.col("p_size") * 1000, F.lit(" p.a. "), F.lit("$"), F.col("p_size") * 2000,
     )
     return table(spark, sf_dir, "part").select("p_partkey", line.alias("line"))
@@ -201,7 +201,7 @@ def _ocr_lines(spark, sf_dir):
 @query(
     "ocr_repair",
     """
-    SELECT p_partkey, 'AHP' || p_size || '-' || p_partkey % 10 || ' | $' || p_size * 1000
+    SELECT p_partkey, 'AHP' || p_size || '-' || right(CAST(p_partkey AS VARCHAR), 1) || ' | $' || p_size * 1000
              || ' p.a. $' || p_size * 2000 AS line
     FROM part
     """,
@@ -214,7 +214,7 @@ def _ocr_repair(spark, sf_dir):
     "ocr_split",
     """
     SELECT p_partkey, unnest([0, 1, 2]) AS col_no,
-           unnest(['AHP' || p_size || '-' || p_partkey % 10, '$' || p_size * 1000,
+           unnest(['AHP' || p_size || '-' || right(CAST(p_partkey AS VARCHAR), 1), '$' || p_size * 1000,
                    '$' || p_size * 2000]) AS cell
     FROM part
     """,

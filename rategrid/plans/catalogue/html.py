@@ -18,7 +18,7 @@ from rategrid.plans.inputs import part_pages
 # The cells of both tables of a part page, as (table_no, row_no, col_no, cell).
 _CELLS = """
     c AS (
-      SELECT p_partkey AS doc_id, unnest([
+      SELECT p_partkey AS doc_id, p_type, unnest([
         struct_pack(t := 0, r := 0, c := 0, v := 'Field'),
         struct_pack(t := 0, r := 0, c := 1, v := 'Value'),
         struct_pack(t := 0, r := 0, c := 2, v := 'Value'),
@@ -36,17 +36,17 @@ _CELLS = """
         struct_pack(t := 1, r := 2, c := 2, v := CAST(p_size AS VARCHAR))]) AS s
       FROM part),
     cells AS (
-      SELECT doc_id, CAST(s.t AS INTEGER) AS table_no, CAST(s.r AS INTEGER) AS row_no,
+      SELECT doc_id, p_type, CAST(s.t AS INTEGER) AS table_no, CAST(s.r AS INTEGER) AS row_no,
              CAST(s.c AS INTEGER) AS col_no, s.v AS cell FROM c)
 """
-# Newest table last for even part numbers, first for odd ones.
-_NEWEST = "table_no = CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END"
+# The newest table is the last one for these types, else the first.
+_NEWEST = "table_no = CASE WHEN p_type IN ('ECONOMY', 'SMALL', 'MEDIUM') THEN 1 ELSE 0 END"
 
 
 def _newest_rows(spark, sf_dir):
     pages = html_tables(part_pages(spark, sf_dir))
-    order = F.when(F.col("doc_id") % 2 == 0, "fwd").otherwise("rev")
-    return pages.select("doc_id", newest_table(F.col("tables"), order).alias("rows"))
+    newest = newest_table(F.col("tables"), F.col("order"))
+    return pages.select("doc_id", newest.alias("rows"))
 
 
 @query(
@@ -93,7 +93,7 @@ _HEADED = f"""
     WITH {_CELLS}
     SELECT b.doc_id, b.row_no, b.col_no, h.cell AS header, b.cell
     FROM cells b JOIN cells h USING (doc_id, table_no, col_no)
-    WHERE b.row_no > 0 AND h.row_no = 0 AND b.{_NEWEST.replace('doc_id', 'b.doc_id')}
+    WHERE b.row_no > 0 AND h.row_no = 0 AND b.{_NEWEST.replace('p_type', 'b.p_type')}
 """
 
 

@@ -23,9 +23,9 @@ _ORIGIN = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
 _SOURCES = """
     src AS (
       SELECT 'S' || page_id AS state, page_id, url,
-             CASE WHEN page_id % 5 = 0 THEN 'WEB' ELSE 'IDX' END AS type,
-             CASE WHEN page_id % 7 <> 3 THEN 'en' END AS pattern,
-             CASE WHEN page_id % 2 = 0 THEN 'Fwd' ELSE 'rev' END AS "order",
+             CASE WHEN url LIKE '%.html' THEN 'WEB' ELSE 'IDX' END AS type,
+             CASE WHEN url NOT LIKE '%/de/%' THEN 'en' END AS pattern,
+             CASE WHEN url LIKE 'https%' THEN 'Fwd' ELSE 'rev' END AS "order",
              html
       FROM pages)
 """
@@ -117,7 +117,8 @@ def _latest_link(spark, sf_dir):
     """
     WITH s AS (
       SELECT 'S' || page_id AS state,
-             CASE page_id % 4 WHEN 0 THEN 'Fwd' WHEN 1 THEN 'rev' WHEN 2 THEN 'newest' END AS o
+             CASE WHEN url LIKE '%#top' THEN 'newest' WHEN url LIKE '%/de/%' THEN NULL
+                  WHEN url LIKE 'https%' THEN 'Fwd' ELSE 'rev' END AS o
       FROM pages)
     SELECT state AS key, 'ok' AS stage, CAST(NULL AS VARCHAR) AS reason
     FROM s WHERE lower(o) IN ('fwd', 'rev')
@@ -128,8 +129,8 @@ def _latest_link(spark, sf_dir):
     """,
 )
 def _order_rejects(spark, sf_dir):
-    kind = F.col("page_id") % 4
-    order = F.when(kind == 0, "Fwd").when(kind == 1, "rev").when(kind == 2, "newest")
+    url = F.col("url")
+    order = F.when(url.endswith("#top"), "newest").when(~url.contains("/de/"), F.col("order"))
     sources = page_sources(spark, sf_dir).withColumn("order", order)
     good, bad = split_by_order(sources)
     return good.select(

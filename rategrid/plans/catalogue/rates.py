@@ -108,12 +108,12 @@ def _level_crosswalk(spark, sf_dir):
 @query(
     "footnote_clean",
     """
-    SELECT p_partkey, CAST(p_size % 10 AS VARCHAR) AS pay_point
+    SELECT p_partkey, right(CAST(p_size AS VARCHAR), 1) AS pay_point
     FROM part WHERE p_type NOT IN ('SMALL', 'LARGE')
     """,
 )
 def _footnote_clean(spark, sf_dir):
-    point = (F.col("p_size") % 10).cast("string")
+    point = F.right(F.col("p_size").cast("string"), F.lit(1))
     kind = F.col("p_type")
     text = (
         F.when(kind == "PROMO", F.concat(point, F.lit("1")))

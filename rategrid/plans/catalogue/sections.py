@@ -339,16 +339,12 @@ def _dispatch_doc_type(spark, sf_dir):
         .when(F.col("p_type") == "LARGE", "scan.pdf")
         .otherwise("docx")
     )
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("doc_id"),
-        kind.alias("doc_type"),
-        F.lit("fwd").alias("order"),
-        F.concat_ws(
-            "\n", F.lit("RATES"), F.concat_ws("  ", "p_name", "p_brand"),
-            F.concat_ws("   ", F.lit("size"), "p_size"), F.lit("END"),
-        ).alias("text"),
+    text = F.concat_ws(
+        "\n", F.lit("RATES"), F.concat_ws("  ", "p_name", "p_brand"),
+        F.concat_ws("   ", F.lit("size"), "p_size"), F.lit("END"),
     )
-    docs = part.join(part_pages(spark, sf_dir), "doc_id")
+    pages = part_pages(spark, sf_dir, kind.alias("doc_type"), text.alias("text"))
+    docs = pages.withColumn("order", F.lit("fwd"))
     extracted = extract_tables(docs, layout_literals("^RATES", 1, "^END", -1, ""))
     return extracted.select(
         F.col("doc_id").cast("string").alias("key"),

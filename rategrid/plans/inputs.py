@@ -106,8 +106,9 @@ def award_doc_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_layouts(award_docs(spark, sf_dir), award_layouts(spark))
 
 
-def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HTML per part: an older and a newer table of its attributes."""
+def part_pages(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """HTML per part: two tables of its attributes, and which of them is the newer.
+    ``more`` gives further columns of the part."""
     cell = lambda c: F.concat(F.lit("<td> "), c.cast("string"), F.lit(" </td>"))
     row = lambda *cs: F.concat(F.lit("<tr>"), *map(cell, cs), F.lit("</tr>\n"))
     head = F.lit("<tr><td>Field</td><td>Value</td><td>Value</td></tr>\n")
@@ -121,24 +122,28 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("doc_id"),
+        F.when(F.col("p_type").isin("ECONOMY", "SMALL", "MEDIUM"), "fwd").otherwise("rev")
+        .alias("order"),
         F.concat(
             F.lit("<html><body><!-- <table><tr><td>old</td></tr></table> --><p>Rates</p>"),
             older, F.lit("<p>now</p>"), newer, F.lit("</body></html>"),
         ).alias("html"),
+        *more,
     )
 
 
 def page_sources(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    """One source per page: every fifth is a document itself, the others are index
-    pages, newest link last or first. ``more`` names further columns of the page."""
+    """One source per page, told apart by its address: ``.html`` pages are documents
+    themselves, the others index pages; links are newest last on https and newest
+    first on http; German pages have no pattern. ``more`` names further columns."""
     return table(spark, sf_dir, "pages").select(
         *more,
         F.concat(F.lit("S"), F.col("page_id")).alias("state"),
         "page_id",
         "url",
-        F.when(F.col("page_id") % 5 == 0, "WEB").otherwise("IDX").alias("type"),
-        F.when(F.col("page_id") % 7 != 3, "en").alias("pattern"),
-        F.when(F.col("page_id") % 2 == 0, "Fwd").otherwise("rev").alias("order"),
+        F.when(F.col("url").endswith(".html"), "WEB").otherwise("IDX").alias("type"),
+        F.when(~F.col("url").contains("/de/"), "en").alias("pattern"),
+        F.when(F.col("url").startswith("https"), "Fwd").otherwise("rev").alias("order"),
     )
 
 

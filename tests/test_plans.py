@@ -24,7 +24,7 @@ NARROW = {
     "html_latest_table", "header_promote", "link_extract", "link_filter", "link_absolute",
     "latest_link", "award_path", "mixed_split", "doc_lines", "last_match", "section_text",
     "skip_lines", "skip_blank", "repeat_headers", "page_subset", "skip_head", "head_lines",
-    "footnote_clean", "fault_isolated", "order_rejects", "combine_states", "ordered_filter",
+    "footnote_clean", "fault_isolated", "dispatch_doc_type", "order_rejects", "combine_states", "ordered_filter",
 }
 
 
