@@ -62,16 +62,17 @@ def test_filter_after_aggregate_reaches_the_scan(spark, tmp_path, salary_file):
     assert "LessThan(band,6)" in text
 
 
-@pytest.mark.parametrize(
-    ("text", "value"),
-    [
-        (" $78,909 ", 78909.0), ("1,307.96", 1307.96), ("-5", -5.0), ("$ 1 2", 12.0),
-        (" $9 ", 9.0), ("12d", None), ("NaN", None), ("0x1F", None), ("1e5", None),
-        ("", None), ("n/a", None), (None, None), (".5", None), ("5.", None),
-    ],
-)
-def test_money(one, text, value):
-    assert one(money_to_double(F.lit(text).cast("string"))) == value
+MONEY = [
+    (" $78,909 ", 78909.0), ("1,307.96", 1307.96), ("-5", -5.0), ("$ 1 2", 12.0),
+    ("\u00a0$9\u2003", 9.0), ("12d", None), ("NaN", None), ("0x1F", None), ("1e5", None),
+    ("", None), ("n/a", None), (None, None), (".5", None), ("5.", None),
+]
+
+
+def test_money(frame):
+    found = frame(MONEY, "text string, value double").select(
+        "text", "value", money_to_double(F.col("text")).alias("found"))
+    assert [r.text for r in found.collect() if r.found != r.value] == []
 
 
 def test_dollar_label(one):

@@ -25,28 +25,25 @@ from rategrid.operators.links import (
 from rategrid.sources.readers import read_html_files
 
 
-def links_of(frame, html):
-    return page_links(frame([(html,)], "html string")).first()["links"]
-
-
-@pytest.mark.parametrize(
-    ("html", "links"),
-    [
-        ('<a href="x">1</a><A HREF="y" >2</A>', ["x", "y"]),
-        ("<a href='x y'>1</a><a href=z>2</a>", ["x y", "z"]),
-        ('<a name="n">1</a><a class="c" href="x" title="t">2</a>', [None, "x"]),
-        ('<!-- <a href="no"> --><a href="x">1</a><!-- open <a href="no">', ["x"]),
-        ("<script>'<a href=\"no\">'</script><a href=\"x\">1</a>", ["x"]),
-        ('<abbr href="no"><a data-href="no" href="x?a=1&amp;b=2">1</a>', ["x?a=1&b=2"]),
-        ('<a title="href=\'no\' >" href="x">1</a>', ["x"]),
-        ('<a href="caf&eacute;&amp;lt;">1</a><a href="p&#233;">2</a>', ["café&lt;", "pé"]),
-        ('<a\n  href = "x"\n>1</a>', ["x"]),
-        ("<p>none</p>", []),
-        ('<a href="">1</a>', [""]),
-    ],
-)
-def test_links(frame, html, links):
-    assert links_of(frame, html) == links
+LINKED = [
+    ('<a href="x">1</a><A HREF="y" >2</A>', ["x", "y"]),
+    ("<a href='x y'>1</a><a href=z>2</a>", ["x y", "z"]),
+    ('<a name="n">1</a><a class="c" href="x" title="t">2</a>', [None, "x"]),
+    ('<!-- <a href="no"> --><a href="x">1</a><!-- open <a href="no">', ["x"]),
+    ("<script>'<a href=\"no\">'</script><a href=\"x\">1</a>", ["x"]),
+    ('<abbr href="no"><a data-href="no" href="x?a=1&amp;b=2">1</a>', ["x?a=1&b=2"]),
+    ('<a title="href=\'no\' >" href="x">1</a>', ["x"]),
+    ('<a href="caf&eacute;&amp;lt;">1</a><a href="p&#233;">2</a>', ["café&lt;", "pé"]),
+    ('<a\n  href = "x"\n>1</a>', ["x"]),
+    ("<p>none</p>", []),
+    ('<a href="">1</a>', [""]),
+]
+
+
+def test_links(frame):
+    pages = frame([(i, html) for i, (html, _) in enumerate(LINKED)], "id int, html string")
+    found = {r.id: r.links for r in page_links(pages).collect()}
+    assert found == {i: links for i, (_, links) in enumerate(LINKED)}
 
 
 BASES = ["http://h.org/a/b/c.html?q=1#f", "https://h.org", "http://h.org/a/b/", "https://h.org?x=/y"]
@@ -54,10 +51,11 @@ LINKS = ["/x", "x/y", "../x", "../../../x", "./x", "x/./y/../z", "..", ".", "?q=
          "//cdn.org/z", "ftp://o.org/p", "mailto:a@b.c", "/a/../b/./c?d=../e", "x?y=/../z", "x/.."]
 
 
-@pytest.mark.parametrize("base", BASES)
-@pytest.mark.parametrize("link", LINKS)
-def test_absolute_url(one, base, link):
-    assert one(absolute_url(F.lit(base), F.lit(link))) == urljoin(base, link)
+def test_absolute_url(frame):
+    pairs = frame([(b, x) for b in BASES for x in LINKS], "base string, link string")
+    found = pairs.select("base", "link", absolute_url(F.col("base"), F.col("link")).alias("url"))
+    for r in found.collect():
+        assert r.url == urljoin(r.base, r.link), (r.base, r.link)
 
 
 def test_absolute_url_of_empty_link_drops_the_fragment(one):
@@ -68,22 +66,17 @@ def test_absolute_url_of_empty_link_drops_the_fragment(one):
 PAGE = '<a href="/old-Award.pdf">1</a><a href="/other.pdf">2</a><a href="new-Award.pdf">3</a>'
 
 
-@pytest.mark.parametrize(
-    ("pattern", "order", "latest"),
-    [
-        ("Award", "fwd", "http://h/d/new-Award.pdf"),
-        ("Award", "REV", "http://h/old-Award.pdf"),
-        ("^/other", "fwd", "http://h/other.pdf"),
-        ("none", "fwd", None),
-        ("", "fwd", None),
-        (None, "rev", None),
-        ("Award", "up", None),
-    ],
-)
-def test_latest_link(frame, pattern, order, latest):
-    index = frame([("http://h/d/i", PAGE, pattern, order)],
+def test_latest_link(frame):
+    wanted = {
+        ("Award", "fwd"): "http://h/d/new-Award.pdf",
+        ("Award", "REV"): "http://h/old-Award.pdf",
+        ("^/other", "fwd"): "http://h/other.pdf",
+        ("none", "fwd"): None, ("", "fwd"): None, (None, "rev"): None, ("Award", "up"): None,
+    }
+    index = frame([("http://h/d/i", PAGE, *key) for key in wanted],
                   "url string, html string, pattern string, order string")
-    assert latest_links(index).first()["latest"] == latest
+    found = {(r.pattern, r.order): r.latest for r in latest_links(index).collect()}
+    assert found == wanted
 
 
 def test_resolve_sources(frame):
