@@ -18,11 +18,13 @@ from pyspark.sql import types as T
 
 from rategrid.functions.text import trim_space
 
-# Comments, scripts and styles hold no elements. An unclosed one runs to the end.
+# Comments, scripts and styles hold no elements; an unclosed one runs to the end.
+# Declarations run to the next ">".
 _NOT_MARKUP = (
     r"(?is)<!--.*?(?:-->|\z)"
     r"|<script\b.*?(?:</script\s*>|\z)"
     r"|<style\b.*?(?:</style\s*>|\z)"
+    r"|<[!?][^>]*>"
 )
 _ANCHOR = r"""(?i)<a(?=[\s>/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _OTHER_ATTRIBUTE = (

@@ -17,6 +17,13 @@ def money_to_double(text: Column) -> Column:
     return F.when(bare.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), bare.try_cast("double"))
 
 
+def is_money(text: Column) -> Column:
+    """Whether ``money_to_double`` gives a number; for tests on many cells."""
+    return text.rlike(
+        r"(?U)^[$,\s]*(?:-[$,\s]*)?[0-9][$,\s0-9]*(?:\.[$,\s]*[0-9][$,\s0-9]*)?$"
+    )
+
+
 def dollar_label(amount: Column) -> Column:
     """Axis label, for example ``$20,000``."""
     return F.concat(F.lit("$"), F.format_number(amount, 0))

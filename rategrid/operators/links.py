@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.functions.blocks import place
 from rategrid.functions.markup import decoded_links, raw_links
 from rategrid.functions.text import Pattern, matches
 from rategrid.functions.urls import absolute_url
 
 FORWARD, REVERSE = "fwd", "rev"  # earliest link first / newest link first
+SPREAD = 256  # parts of the sources that name one page
 
 
 def page_links(pages: DataFrame, out: str = "links") -> DataFrame:
@@ -88,29 +90,29 @@ def latest_links(index: DataFrame, out: str = "latest") -> DataFrame:
 def resolve_sources(sources: DataFrame, pages: DataFrame) -> DataFrame:
     """Add ``doc_url``: newest link of an index source, own address of any other.
 
-    Only the links of a page meet the sources, not its markup. A page serves
-    however many sources name it; address, pattern and order are reduced to
-    their distinct combinations before they meet the pages.
+    ``pages`` has one row per address. Only the links of a page meet the sources,
+    not its markup, and they meet each combination of address, pattern and order
+    once. Sources are spread over ``SPREAD`` parts by state, so a page that many
+    of them name is not one join key.
     """
-    linked = page_links(pages.select("url", "html")).select("url", "links")
-    wanted = sources.where(F.col("type") == "IDX").select("url", "pattern", "order").distinct()
-    newest = newest_link(matching_links(F.col("links"), F.col("pattern")), F.col("order"))
-    resolved = wanted.join(linked, "url").select(
-        F.col("url").alias("__url"), F.col("pattern").alias("__pattern"),
-        F.col("order").alias("__order"),
-        absolute_url(F.col("url"), newest).alias("__latest"),
-    )
-    same = (
-        (F.col("type") == "IDX")
-        & (F.col("url") == F.col("__url"))
-        & F.col("pattern").eqNullSafe(F.col("__pattern"))
-        & F.col("order").eqNullSafe(F.col("__order"))
+    key = ["__url", "__pattern", "__order"]
+    keyed = sources.drop("doc_url").select(
+        "*",
+        F.coalesce("url", F.lit("")).alias("__url"),
+        F.coalesce("pattern", F.lit("")).alias("__pattern"),
+        F.coalesce("order", F.lit("")).alias("__order"),
+        F.pmod(F.xxhash64("state"), F.lit(SPREAD)).alias("__part"),
     )
+    linked = page_links(pages.select(F.col("url").alias("__url"), "html")).drop("html")
+    wanted = keyed.where(F.col("type") == "IDX").select(*key).distinct()
+    found = matching_links(F.col("links"), F.col("__pattern"))
+    newest = absolute_url(F.col("__url"), newest_link(found, F.col("__order")))
+    latest = wanted.join(linked, "__url").select(*key, newest.alias("__latest"))
+    doc_url = F.when(F.col("type") == "IDX", F.col("__latest")).otherwise(F.col("url"))
     return (
-        sources.drop("doc_url").join(resolved, same, "left")
-        .withColumn("doc_url", F.when(F.col("type") == "IDX", F.col("__latest"))
-                    .otherwise(F.col("url")))
-        .drop("__url", "__pattern", "__order", "__latest")
+        place(keyed, key, "__part", facts=latest, block_rows=1)
+        .withColumn("doc_url", doc_url)
+        .drop(*key, "__part", "__latest")
     )
 
 

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rategrid.functions.blocks import place
-from rategrid.functions.money import money_to_double, strip_footnote_digit, strip_footnote_marks
+from rategrid.functions.money import (
+    is_money,
+    money_to_double,
+    strip_footnote_digit,
+    strip_footnote_marks,
+)
 from rategrid.functions.text import is_blank, trim_space
 from rategrid.operators.columns import split_mixed
 
@@ -22,7 +27,7 @@ def line_cells(line: Column) -> Column:
 def has_rate(cells: Column) -> Column:
     """Whether any cell after the first is an amount."""
     rest = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
-    return F.exists(rest, lambda c: money_to_double(c).isNotNull())
+    return F.exists(rest, is_money)
 
 
 def sheet_heading(cells: Column) -> Column:
@@ -34,6 +39,12 @@ def sheet_heading(cells: Column) -> Column:
     return F.when(~has_rate(cells) | name.rlike(HEADING_NAME), name)
 
 
+def section_name(cells: Column) -> Column:
+    """Name of a level or grade, NULL on any other line."""
+    name = strip_footnote_marks(F.get(cells, F.lit(0)))
+    return F.when(name.rlike(HEADING_NAME), name)
+
+
 def header_labels(cells: Column) -> Column:
     """Column labels; a cell that also holds a date is two labels."""
     return F.flatten(F.transform(cells, lambda c: F.split(c, _DATE_AHEAD)))
@@ -49,8 +60,10 @@ def effective_date(label: Column) -> Column:
 
 
 def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -> DataFrame:
-    """Steps of a sheet (key, line_no, heading, step, cells, labels) under their heading.
+    """Steps of a sheet: key, line_no, section, heading, step, cells, labels.
 
+    ``heading`` is the nearest heading above a step and ``section`` the nearest one
+    named like a level or grade: a sheet may list job titles below a grade.
     ``header_line`` is the number of the line with the column labels; without such
     a line ``labels`` is NULL.
     """
@@ -61,7 +74,10 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
         given,
         [key],
         "line_no",
-        latest={"heading": F.when(~is_header, sheet_heading(cells))},
+        latest={
+            "heading": F.when(~is_header, sheet_heading(cells)),
+            "section": F.when(~is_header, section_name(cells)),
+        },
         greatest={"labels": F.when(is_header, header_labels(cells))},
         shuffle_first=True,
     )
@@ -70,7 +86,7 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
         .withColumn("cells", line_cells(F.col("line")))
         .where(has_rate(F.col("cells")))
         .select(
-            key, "line_no", "heading",
+            key, "line_no", "section", "heading",
             strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells", "labels",
         )
     )
@@ -81,12 +97,12 @@ def unpivot_rates(steps: DataFrame, key: str = "doc_id") -> DataFrame:
     rates = F.slice(F.col("cells"), 2, F.greatest(F.size("cells") - 1, F.lit(0)))
     return (
         steps.select(
-            key, "line_no", "heading", "step", "labels",
+            key, "line_no", "section", "heading", "step", "labels",
             F.posexplode(rates).alias("__i", "__rate"),
         )
         .withColumn("effective_label", F.get("labels", F.col("__i") + 1))
         .select(
-            key, "line_no", "heading", "step",
+            key, "line_no", "section", "heading", "step",
             (F.col("__i") + 1).alias("col_no"), "effective_label",
             effective_date(F.col("effective_label")).alias("effective"),
             money_to_double(F.col("__rate")).alias("rate"),

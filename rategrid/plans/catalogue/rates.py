@@ -11,19 +11,26 @@ from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import order_sheets
 from rategrid.sources.literal import literal_table
 
+# The level line of an order names the section of the customer's next order.
 _STEPS = """
+    o AS (
+      SELECT *, 'LEVEL ' || month(o_orderdate) AS level,
+             lag('LEVEL ' || month(o_orderdate)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey)
+               AS above
+      FROM orders),
     s AS (
       SELECT o_custkey AS doc_id, 4 * o_orderkey + unnest([3, 4, 5]) AS line_no,
-             unnest(['Section ' || o_orderpriority, 'Section ' || o_orderpriority,
-                     'LEVEL ' || month(o_orderdate)]) AS heading,
-             unnest(['1st Year', '2nd Year', 'LEVEL ' || month(o_orderdate)]) AS step,
+             unnest([above, above, level]) AS section,
+             unnest(['Section ' || o_orderpriority, 'Section ' || o_orderpriority, level])
+               AS heading,
+             unnest(['1st Year', '2nd Year', level]) AS step,
              unnest([[o_totalprice, o_totalprice + 1000], [o_totalprice + 5],
                      [o_totalprice + 7, o_totalprice + 9]]) AS rates
-      FROM orders)
+      FROM o)
 """
 
 
-@query("carry_heading", f"WITH {_STEPS} SELECT doc_id, line_no, heading, step FROM s")
+@query("carry_heading", f"WITH {_STEPS} SELECT doc_id, line_no, section, heading, step FROM s")
 def _carry_heading(spark, sf_dir):
     return carry_heading(order_sheets(spark, sf_dir), header_line=1).drop("cells", "labels")
 
@@ -32,7 +39,7 @@ def _carry_heading(spark, sf_dir):
     "unpivot_rates",
     f"""
     WITH {_STEPS}, r AS (SELECT *, unnest(range(len(rates))) AS i FROM s)
-    SELECT doc_id, line_no, heading, step, CAST(i + 1 AS INTEGER) AS col_no,
+    SELECT doc_id, line_no, section, heading, step, CAST(i + 1 AS INTEGER) AS col_no,
            CASE i WHEN 0 THEN 'current' ELSE '01/07/2022' END AS effective_label,
            CASE i WHEN 0 THEN NULL ELSE '2022-07-01' END AS effective,
            round(rates[i + 1], 2) AS rate

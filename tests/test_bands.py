@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rategrid import schemas
-from rategrid.functions.money import dollar_label, money_to_double, strip_footnote_digit
+from rategrid.functions.money import dollar_label, is_money, money_to_double, strip_footnote_digit
 from rategrid.operators.bands import (
     below_level,
     clean_salaries,
@@ -65,7 +65,7 @@ def test_filter_after_aggregate_reaches_the_scan(spark, tmp_path, salary_file):
 MONEY = [
     (" $78,909 ", 78909.0), ("1,307.96", 1307.96), ("-5", -5.0), ("$ 1 2", 12.0),
     ("\u00a0$9\u2003", 9.0), ("12d", None), ("NaN", None), ("0x1F", None), ("1e5", None),
-    ("", None), ("n/a", None), (None, None), (".5", None), ("5.", None),
+    ("- $1.5 0", -1.5), ("1.2.3", None), ("1-2", None), ("$", None), ("", None), ("n/a", None), (None, None), (".5", None), ("5.", None),
 ]
 
 
@@ -73,6 +73,8 @@ def test_money(frame):
     found = frame(MONEY, "text string, value double").select(
         "text", "value", money_to_double(F.col("text")).alias("found"))
     assert [r.text for r in found.collect() if r.found != r.value] == []
+    seen = frame(MONEY, "text string, value double").where(is_money(F.col("text")))
+    assert [r.value for r in seen.collect()] == [v for _, v in MONEY if v is not None]
 
 
 def test_dollar_label(one):

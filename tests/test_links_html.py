@@ -120,6 +120,7 @@ TABLES = [
     "<table><tr><td>caf&eacute;</td></tr></table>",
     "<table><td>no row</td></table>",
     "<table><tr><td>open",
+    "<!DOCTYPE html><?xml version='1'?><![unknown[<table><tr><td>a<td>b</table>",
 ]
 
 
@@ -140,6 +141,7 @@ def test_tables(frame):
         9: [[["café"]]],
         10: [[["no row"]]],
         11: [[["open"]]],
+        12: [],
     }
 
 

@@ -92,6 +92,13 @@ def test_headings(frame):
         (8, "LEVEL 7", "LEVEL 7"), (10, "Senior Specialist (-4%)", "Year 5 and thereafter")]
 
 
+def test_titles_below_a_grade(frame):
+    text = "Pharmacist\nGrade 3\nDirector\nDeputy\n1st Year\t2,315.39\nGrade 4\n2nd Year\t2,460.54"
+    steps = carry_heading(sheet(frame, text)).orderBy("line_no").collect()
+    assert [(r.section, r.heading, r.step, r.labels) for r in steps] == [
+        ("Grade 3", "Deputy", "1st Year", None), ("Grade 4", "Grade 4", "2nd Year", None)]
+
+
 def test_rates(frame):
     rates = sheet_rates(sheet(frame)).where("line_no in (3, 10)").orderBy("line_no", "col_no").collect()
     date = datetime.date
