@@ -79,6 +79,7 @@ def place(
     least: Mapping[str, Column] | None = None,
     greatest: Mapping[str, Column] | None = None,
     facts: DataFrame | None = None,
+    derived: Mapping[str, Column] | None = None,
     block_rows: int = BLOCK_ROWS,
     shuffle_first: bool = False,
 ) -> DataFrame:
@@ -89,6 +90,8 @@ def place(
     ``least``     smallest value in the group
     ``greatest``  largest value in the group
     ``facts``     columns of a table with one row per key; NULL without one
+    ``derived``   columns of the row itself, worked out once, in this order, for
+                  use in the values above and in the result
 
     All columns asked for share two passes over ``df``. By default the first pass
     reads only what the values need and reduces it before its shuffle. With
@@ -106,6 +109,8 @@ def place(
     values = {**before, **latest, **least, **greatest}
     inner = {name: f"__{name}" for name in values}
     rows = with_block(df, keys, order, block_rows, shuffle_first)
+    for name, value in (derived or {}).items():
+        rows = rows.withColumn(name, value)
     for name, value in values.items():
         rows = rows.withColumn(inner[name], value)
 

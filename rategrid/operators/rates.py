@@ -30,21 +30,6 @@ def has_rate(cells: Column) -> Column:
     return F.exists(rest, is_money)
 
 
-def sheet_heading(cells: Column) -> Column:
-    """Heading text on a heading line, NULL on any other.
-
-    A line without amounts is a heading, and so is a heading name with amounts.
-    """
-    name = strip_footnote_marks(F.get(cells, F.lit(0)))
-    return F.when(~has_rate(cells) | name.rlike(HEADING_NAME), name)
-
-
-def section_name(cells: Column) -> Column:
-    """Name of a level or grade, NULL on any other line."""
-    name = strip_footnote_marks(F.get(cells, F.lit(0)))
-    return F.when(name.rlike(HEADING_NAME), name)
-
-
 def header_labels(cells: Column) -> Column:
     """Column labels; a cell that also holds a date is two labels."""
     return F.flatten(F.transform(cells, lambda c: F.split(c, _DATE_AHEAD)))
@@ -68,27 +53,27 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
     a line ``labels`` is NULL.
     """
     is_header = F.col("line_no") == header_line
-    given = lines.select(key, "line_no", "line").where(~is_blank(F.col("line")))
-    cells = line_cells(F.col("line"))
+    cells, name, rated = F.col("cells"), F.col("step"), F.col("__rated")
+    named = name.rlike(HEADING_NAME)
     carried = place(
-        given,
+        lines.select(key, "line_no", "line").where(~is_blank(F.col("line"))),
         [key],
         "line_no",
+        derived={
+            "cells": line_cells(F.col("line")),
+            "step": strip_footnote_marks(F.get(cells, F.lit(0))),
+            "__rated": has_rate(cells),
+        },
+        # A line without amounts is a heading, and so is a heading name with amounts.
         latest={
-            "heading": F.when(~is_header, sheet_heading(cells)),
-            "section": F.when(~is_header, section_name(cells)),
+            "heading": F.when(~is_header & (~rated | named), name),
+            "section": F.when(~is_header & named, name),
         },
         greatest={"labels": F.when(is_header, header_labels(cells))},
         shuffle_first=True,
     )
-    return (
-        carried.where(~is_header)
-        .withColumn("cells", line_cells(F.col("line")))
-        .where(has_rate(F.col("cells")))
-        .select(
-            key, "line_no", "section", "heading",
-            strip_footnote_marks(F.get("cells", F.lit(0))).alias("step"), "cells", "labels",
-        )
+    return carried.where(~is_header & rated).select(
+        key, "line_no", "section", "heading", "step", "cells", "labels"
     )
 
 
