@@ -100,6 +100,8 @@ def place(
     all that is below it, once. That is the better way when the values come from
     the wide column of the rows (a line, a page) or ``df`` is costly.
 
+    A ``df`` that already has blocks (``with_block``) keeps them.
+
     Keys and order must not be NULL. The order column must be unique in its group
     for ``before`` and ``latest``.
     """
@@ -108,7 +110,7 @@ def place(
     keys = list(keys)
     values = {**before, **latest, **least, **greatest}
     inner = {name: f"__{name}" for name in values}
-    rows = with_block(df, keys, order, block_rows, shuffle_first)
+    rows = df if BLOCK in df.columns else with_block(df, keys, order, block_rows, shuffle_first)
     for name, value in (derived or {}).items():
         rows = rows.withColumn(name, value)
     for name, value in values.items():

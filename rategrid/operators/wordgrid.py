@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import place
+from rategrid.functions.blocks import BLOCK, place, with_block
 from rategrid.functions.text import trim_space
 
 PAGE = ["doc_id", "page_no"]
@@ -22,7 +22,8 @@ LABEL = "label"  # name of the first column, which has no header word
 def text_lines(words: DataFrame) -> DataFrame:
     """One row per page and ``y`` with its words from left to right."""
     ordered = F.sort_array(F.collect_list(F.struct("x", "text", "space")))
-    return words.groupBy(*PAGE, "y").agg(ordered.alias("words"))
+    block = [BLOCK] if BLOCK in words.columns else []
+    return words.groupBy(*PAGE, *block, "y").agg(ordered.alias("words"))
 
 
 def glued_cells(words: Column) -> Column:
@@ -56,34 +57,36 @@ def page_headers(lines: DataFrame) -> DataFrame:
     )
 
 
-def aligned_headers(header: Column, cells: Column) -> Column:
+def aligned_headers(names: Column, cells: Column) -> Column:
     """Header of each cell, lined up from the right; cells too many on the left get NULL."""
-    named = F.concat(F.array(F.lit(LABEL)), header)
-    shift = F.size(named) - F.size(cells)
-    return F.transform(
-        cells, lambda _, i: F.when(shift + i >= 0, F.get(named, F.greatest(shift + i, F.lit(0))))
+    spare = F.size(names) - F.size(cells)
+    unnamed = F.array_repeat(F.lit(None).cast("string"), -spare)
+    return F.when(spare >= 0, F.slice(names, spare + 1, F.size(cells))).otherwise(
+        F.concat(unnamed, names)
     )
 
 
 def word_table(words: DataFrame, remove_last: bool = True) -> DataFrame:
     """Body lines of every page: (doc_id, page_no, y, row_no, headers, cells)."""
+    # Words are shuffled once, by block: lines and block rows are both made from that.
     # The header is a page's first line, so the lines before a row number the rows.
     placed = place(
-        text_lines(words),
+        text_lines(with_block(words, PAGE, "y", shuffle=True)),
         PAGE,
         "y",
         before={"row_no": F.lit(1).cast("bigint")},
         least={"header": F.struct("y", "words")},
         greatest={"last_y": F.col("y")},
-        shuffle_first=True,
     )
     body = placed.where(F.col("y") > F.col("header.y"))
     if remove_last:
         body = body.where(F.col("y") < F.col("last_y"))
-    names = F.transform("header.words", lambda w: w["text"])
-    return body.withColumn("cells", glued_cells(F.col("words"))).select(
-        *PAGE, "y", "row_no", aligned_headers(names, F.col("cells")).alias("headers"), "cells"
+    words_above = F.transform("header.words", lambda w: w["text"])
+    read = body.withColumn("cells", glued_cells(F.col("words"))).withColumn(
+        "names", F.concat(F.array(F.lit(LABEL)), words_above)
     )
+    headers = aligned_headers(F.col("names"), F.col("cells"))
+    return read.select(*PAGE, "y", "row_no", headers.alias("headers"), "cells")
 
 
 def word_cells(table: DataFrame) -> DataFrame:

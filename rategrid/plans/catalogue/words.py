@@ -18,6 +18,8 @@ from rategrid.operators.wordgrid import (
 from rategrid.plans.registry import query
 from rategrid.plans.inputs import LAST_PAGE, order_words
 
+_PAGE = "length(CAST(doc_id AS VARCHAR))"
+_PAGE_OF_CUSTOMER = "length(CAST(c_custkey AS VARCHAR))"
 _ROWS = """
     r AS (
       SELECT o_custkey AS doc_id, o_orderkey AS y, o_orderstatus AS status,
@@ -36,7 +38,7 @@ _ROWS = """
 @query(
     "word_header",
     f"""
-    SELECT c_custkey AS doc_id, CAST(1 AS BIGINT) AS page_no, CAST(-1 AS BIGINT) AS header_y,
+    SELECT c_custkey AS doc_id, {_PAGE_OF_CUSTOMER} AS page_no, CAST(-1 AS BIGINT) AS header_y,
            {LAST_PAGE} AS last_y, 'status|pay|year' AS header
     FROM customer
     """,
@@ -52,12 +54,12 @@ def _word_header(spark, sf_dir):
     "word_cells",
     f"""
     WITH {_ROWS}, c AS (SELECT *, unnest(range(len(cells))) AS i FROM r)
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, y, CAST(i AS INTEGER) AS col_no,
+    SELECT doc_id, {_PAGE} AS page_no, y, CAST(i AS INTEGER) AS col_no,
            cells[i + 1] AS cell FROM c
     UNION ALL
-    SELECT c_custkey, 1, -1, unnest([0, 1]), unnest(['status', 'pay year']) FROM customer
+    SELECT c_custkey, {_PAGE_OF_CUSTOMER}, -1, unnest([0, 1]), unnest(['status', 'pay year']) FROM customer
     UNION ALL
-    SELECT c_custkey, 1, {LAST_PAGE}, 0, 'end of page' FROM customer
+    SELECT c_custkey, {_PAGE_OF_CUSTOMER}, {LAST_PAGE}, 0, 'end of page' FROM customer
     """,
 )
 def _word_cells(spark, sf_dir):
@@ -69,7 +71,7 @@ def _word_cells(spark, sf_dir):
     "word_align",
     f"""
     WITH {_ROWS}, c AS (SELECT *, unnest(range(len(cells))) AS i FROM r)
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, row_no, CAST(i AS INTEGER) AS col_no,
+    SELECT doc_id, {_PAGE} AS page_no, row_no, CAST(i AS INTEGER) AS col_no,
            headers[i + 1] AS header, cells[i + 1] AS cell FROM c
     """,
 )
@@ -81,9 +83,9 @@ def _word_align(spark, sf_dir):
     "word_rows",
     f"""
     WITH {_ROWS}
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, y, row_no FROM r
+    SELECT doc_id, {_PAGE} AS page_no, y, row_no FROM r
     UNION ALL
-    SELECT c_custkey, 1, {LAST_PAGE},
+    SELECT c_custkey, {_PAGE_OF_CUSTOMER}, {LAST_PAGE},
            1 + (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) FROM customer
     """,
 )
@@ -97,7 +99,7 @@ def _word_rows(spark, sf_dir):
     WITH l AS (
       SELECT o_custkey AS doc_id, o_orderkey AS y FROM orders
       UNION ALL SELECT c_custkey, unnest([-1, {LAST_PAGE}]) FROM customer)
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, y,
+    SELECT doc_id, {_PAGE} AS page_no, y,
            row_number() OVER (PARTITION BY doc_id ORDER BY y) AS line_no
     FROM l
     """,
@@ -111,7 +113,7 @@ def _word_line_numbers(spark, sf_dir):
     "word_pivot",
     f"""
     WITH {_ROWS}
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, row_no,
+    SELECT doc_id, {_PAGE} AS page_no, row_no,
            cells[list_position(headers, 'label')] AS label,
            cells[list_position(headers, 'status')] AS status,
            cells[list_position(headers, 'pay')] AS pay,
@@ -128,7 +130,7 @@ def _word_pivot(spark, sf_dir):
     f"""
     WITH {_ROWS},
     f AS (SELECT doc_id, unnest(headers) AS header, unnest(cells) AS cell FROM r)
-    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, header,
+    SELECT doc_id, {_PAGE} AS page_no, header,
            CASE WHEN header IS NULL OR header = 'label' THEN 'character'
                 WHEN bool_and(cell IN ('F', 'T')) THEN 'logical'
                 WHEN bool_and(regexp_matches(cell, '^[0-9]+$')) THEN 'integer'

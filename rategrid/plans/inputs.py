@@ -148,7 +148,8 @@ def page_sources(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 
 
 def order_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positioned words, one page per customer: a header line, a line per order and a
+    """Positioned words, one page per customer (numbered by the digits of its key, so
+    that page numbers vary): a header line, a line per order and a
     closing line. Priorities of two words make cells of two words; status O has a
     cell too many on the left, status P has none for the year."""
 
@@ -186,7 +187,8 @@ def order_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("words"),
     )
     return customer.unionByName(orders).select(
-        "doc_id", F.lit(1).cast("bigint").alias("page_no"), F.inline("words")
+        "doc_id", F.length(F.col("doc_id").cast("string")).cast("bigint").alias("page_no"),
+        F.inline("words"),
     )
 
 
