@@ -1,14 +1,14 @@
 """Links and tables out of HTML.
 
 Both are regular-expression chains that run in the JVM. Markup they cannot be
-trusted with (tables with spans, nesting or left-out end tags, rare entities) is
+trusted with (spans, nesting or left-out end tags in tables, loose quotes in
+anchors, rare entities) is
 handed, and only that markup, to a small parser in an Arrow function; all other
 rows pass NULL to it.
 """
 
 from __future__ import annotations
 
-from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -26,6 +26,7 @@ _NOT_MARKUP = (
     r"|<style\b.*?(?:</style\s*>|\z)"
     r"|<[!?][^>]*>"
 )
+_ANCHOR_START = r"(?i)<a(?=[\s>/])"
 _ANCHOR = r"""(?i)<a(?=[\s>/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _OTHER_ATTRIBUTE = (
     r"""\s+(?!href[\s=>])[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
@@ -43,9 +44,6 @@ COMMON_ENTITIES = [
 _RARE_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|#160|amp);)#?[A-Za-z0-9]+;"
 
 
-_LINKS = T.ArrayType(T.StringType())
-
-
 def element_text(html: Column) -> Column:
     """Markup without comments, scripts and styles."""
     return F.regexp_replace(html, _NOT_MARKUP, "")
@@ -57,32 +55,58 @@ def _decode_common(text: Column) -> Column:
     return text
 
 
+# --- links --------------------------------------------------------------------
+
+_LINKS = T.ArrayType(T.StringType())
+
+
+class _LinkReader(HTMLParser):
+    """``href`` of every anchor."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.links: list[str | None] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            given = [value or "" for name, value in attrs if name == "href"]
+            self.links.append(given[0] if given else None)
+
+
+def read_links(html: str) -> list[str | None]:
+    reader = _LinkReader()
+    reader.feed(html)
+    reader.close()
+    return reader.links
+
+
 @F.pandas_udf(_LINKS)
-def _decode_all(links: pd.Series) -> pd.Series:
-    return links.map(
-        lambda values: None
-        if values is None
-        else [None if v is None else unescape(v) for v in values]
-    )
+def _read_links(html: pd.Series) -> pd.Series:
+    return html.map(lambda text: None if text is None else read_links(text))
 
 
-def raw_links(html: Column) -> Column:
-    """``href`` of every anchor in document order, not decoded; NULL without ``href``."""
-    anchors = F.regexp_extract_all(element_text(html), F.lit(_ANCHOR), 0)
-    return F.transform(
-        anchors,
+def with_links(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Add the ``href`` of every anchor in document order; NULL for one without it."""
+    raw = F.transform(
+        F.regexp_extract_all(F.col("__markup"), F.lit(_ANCHOR), 0),
         lambda a: F.when(
             a.rlike(_HREF),
             F.concat(*[F.regexp_extract(a, _HREF, group) for group in (1, 2, 3)]),
         ),
     )
-
-
-def decoded_links(links: Column) -> Column:
-    """Links with their entities decoded."""
+    links = F.col("__hrefs")
+    # An anchor that was not seen has loose quotes; see the parser.
+    unseen = F.regexp_count(F.col("__markup"), F.lit(_ANCHOR_START)) != F.size(links)
     rare = F.exists(links, lambda v: F.coalesce(v.rlike(_RARE_ENTITY), F.lit(False)))
-    return F.when(~rare, F.transform(links, _decode_common)).otherwise(
-        _decode_all(F.when(rare, links))
+    parsed = _read_links(F.when(~F.col("__plain"), F.col("__markup")))
+    return (
+        df.withColumn("__markup", element_text(F.col(html)))
+        .withColumn("__hrefs", raw)
+        .withColumn("__plain", ~unseen & ~rare)
+        .withColumn(
+            out, F.when(F.col("__plain"), F.transform(links, _decode_common)).otherwise(parsed)
+        )
+        .drop("__markup", "__hrefs", "__plain")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rategrid.functions.blocks import place
-from rategrid.functions.markup import decoded_links, raw_links
+from rategrid.functions.markup import with_links
 from rategrid.functions.text import Pattern, matches
 from rategrid.functions.urls import absolute_url
 
@@ -20,11 +20,7 @@ SPREAD = 256  # parts of the sources that name one page
 
 def page_links(pages: DataFrame, out: str = "links") -> DataFrame:
     """Add all links of the page in document order; NULL for anchors without one."""
-    return (
-        pages.withColumn("__raw", raw_links(F.col("html")))
-        .withColumn(out, decoded_links(F.col("__raw")))
-        .drop("__raw")
-    )
+    return with_links(pages, "html", out)
 
 
 def matching_links(links: Column, pattern: Pattern) -> Column:

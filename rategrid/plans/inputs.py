@@ -179,7 +179,8 @@ def order_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.filter(
             words(
                 F.col("o_orderkey"),
-                (F.when(F.col("o_orderstatus") == "O", "extra"), no), (first, second.isNotNull()), (second, no), (F.col("o_orderstatus"), no),
+                (F.when(F.col("o_orderstatus") == "O", "extra"), no),
+                (first, second.isNotNull()), (second, no), (F.col("o_orderstatus"), no),
                 (F.format_number("o_totalprice", 2), no),
                 (F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate").cast("string")), no),
             ),
@@ -196,16 +197,20 @@ def order_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of rate sheets, one sheet per customer: a header line, and per order a
     heading, two steps (tab and blanks) and a heading with rates of its own."""
     price = F.col("o_totalprice")
-    at = lambda i: (F.col("o_orderkey") * 4 + i + 2).alias("line_no")
-    amount = lambda more: F.format_number(price + more, 2)
+    level = F.concat(F.lit("LEVEL "), F.month("o_orderdate"))
+
+    def line(i: int, text: Column) -> Column:
+        number = F.col("o_orderkey") * 4 + i + 2
+        return F.struct(number.alias("line_no"), text.alias("line"))
+
+    def amount(more: int) -> Column:
+        return F.format_number(price + more, 2)
+
     lines = F.array(
-        F.struct(at(0), F.concat(F.lit("Section "), F.col("o_orderpriority"), F.lit(" *")).alias("line")),
-        F.struct(at(1), F.concat_ws("\t", F.lit("1st Year"), amount(0), amount(1000)).alias("line")),
-        F.struct(at(2), F.concat_ws("  ", F.lit("2nd Year"), amount(5)).alias("line")),
-        F.struct(
-            at(3),
-            F.concat_ws("\t", F.concat(F.lit("LEVEL "), F.month("o_orderdate")), amount(7), amount(9)).alias("line"),
-        ),
+        line(0, F.concat(F.lit("Section "), F.col("o_orderpriority"), F.lit(" *"))),
+        line(1, F.concat_ws("\t", F.lit("1st Year"), amount(0), amount(1000))),
+        line(2, F.concat_ws("  ", F.lit("2nd Year"), amount(5))),
+        line(3, F.concat_ws("\t", level, amount(7), amount(9))),
     )
     header = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("doc_id"),

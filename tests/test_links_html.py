@@ -37,6 +37,7 @@ LINKED = [
     ('<a\n  href = "x"\n>1</a>', ["x"]),
     ("<p>none</p>", []),
     ('<a href="">1</a>', [""]),
+    ("<a href=x title=it's>1</a><a href='y'>2</a>", ["x", "y"]),
 ]
 
 
