@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from rategrid.plans.catalogue import ORACLES, QUERIES
 from tests.check import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,13 +19,14 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) == []
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
