@@ -8,7 +8,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rategrid.llm import simhash
+from rategrid.llm import bpe, packing, simhash, token_output
 from rategrid.plans.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,27 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op3_token_output")
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.read(token_output.write(table(spark, sf_dir, "documents")), checks=True)
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode_and_decode(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id",
+        F.shiftright(F.length("ids"), 2).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
