@@ -8,7 +8,8 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rategrid.llm import bpe, packing, simhash, token_output
+from rategrid.llm import bpe, packing, quality, simhash, token_output, toxicity
+from rategrid.llm.features import held_out
 from rategrid.plans.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def judged(found: DataFrame, threshold: float) -> DataFrame:
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return judged(toxicity.score(docs, model), toxicity.THRESHOLD)
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return judged(quality.score(docs, model), quality.THRESHOLD)
+
+
 @query("op3_token_output")
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(token_output.write(table(spark, sf_dir, "documents")), checks=True)
