@@ -7,20 +7,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rategrid.llm import simhash
+from rategrid.llm import language, lines, packing, quality, simhash
 from rategrid.llm.store import stash
 
 
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.keep_good(docs, quality.train(docs, labels))
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the corpus declares."""
+    return language.keep_known(docs, language.train(docs))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others, or they themselves, have before."""
+    return lines.drop_repeated_lines(docs)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.keep_one(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality", drop_poor),
+    ("language", drop_unknown_language),
+    ("lines", drop_lines),
     ("near_duplicates", drop_near_duplicates),
+    ("packing", pack),
 ]
 
-#: Trained models and whole-text fingerprints are beyond SQL; the stages are tested one by one.
+#: Trained models, fingerprints and edit distances are beyond SQL; the stages are tested one by one.
 ORACLE_SQL = None
 
 

@@ -37,8 +37,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(held: np.ndarray, offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of texts; one text may come as several pieces of one row."""
+NEWLINE = np.zeros(256, bool)
+NEWLINE[0x0A] = True
+
+
+def pieces(
+    held: np.ndarray, offsets: np.ndarray, most: int = PIECE, at_bytes: np.ndarray = SPACE
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of texts; one text may come as several pieces of one row.
+
+    Long texts are cut before one of ``at_bytes``; a stretch without any stays whole.
+    """
     first, n = 0, len(offsets) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
@@ -49,7 +58,7 @@ def pieces(held: np.ndarray, offsets: np.ndarray, most: int = PIECE) -> Iterator
             while at < end:
                 cut = min(at + most, end)
                 while cut < end:
-                    blank = np.flatnonzero(SPACE[held[cut:min(cut + 4096, end)]])
+                    blank = np.flatnonzero(at_bytes[held[cut:min(cut + 4096, end)]])
                     if len(blank):
                         cut += int(blank[0])
                         break

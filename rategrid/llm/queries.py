@@ -8,7 +8,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rategrid.llm import bpe, packing, quality, simhash, token_output, toxicity
+from rategrid.llm import ann, bpe, language, lines, merkle, packing, quality, simhash, token_output, toxicity
 from rategrid.llm.features import held_out
 from rategrid.plans.registry import table
 
@@ -70,7 +70,50 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """(page_id, text, declared, suffix, host, domain) of raw web pages."""
+    host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    declared = F.lower(F.regexp_extract("html", r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    named = pages.select("page_id", text.alias("text"), declared.alias("declared"), host.alias("host"))
+    blank = lambda c: F.when(c != "", c)
+    return named.select(
+        "page_id", "text", blank(F.col("declared")).alias("declared"),
+        blank(F.substring_index("host", ".", -1)).alias("suffix"), blank(F.col("host")).alias("host"),
+        blank(F.substring_index("host", ".", -2)).alias("domain"),
+    )
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train(table(spark, sf_dir, "documents"))
+    pages = page_evidence(table(spark, sf_dir, "pages"))
+    return language.identify(
+        pages, model, "page_id", "text", declared="declared", suffix="suffix", host="host", domain="domain"
+    )
+
+
+@query("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs, counts=("n_lines", "n_dropped"))
+
+
+@query("op8_merkle")
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.compare_with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_ann")
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
