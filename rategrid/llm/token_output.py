@@ -107,101 +107,111 @@ class Written(NamedTuple):
 
 
 def encode_documents(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
-    """(key, ids): little-endian ids of 16 bits where the vocabulary allows it, else 32."""
-    narrow = words(path).tokenizer.get_vocab_size() <= 1 << 16
+    """(key, ids, tally): the ids of each row, and per task one row with how often each id occurs.
+
+    Ids are little-endian, of 16 bits where the vocabulary allows it, else of 32.
+    """
+    size, width = _vocabulary(path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = words(path)
+        table, total = words(path), np.zeros(size, "<i8")
+        names = ["key", "ids", "tally"]
         for batch in batches:
-            ids = [table.ids(t or "") + END_BYTES for t in batch.column(1).to_pylist()]
-            if narrow:
-                ids = [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
+            ids = [
+                np.frombuffer(table.ids(t or "") + END_BYTES, "<u4").astype(width)
+                for t in batch.column(1).to_pylist()
+            ]
+            if ids:
+                total += np.bincount(np.concatenate(ids), minlength=size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([i.tobytes() for i in ids], pa.binary()), pa.nulls(len(ids), pa.binary())],
+                names=names,
+            )
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names=names
+        )
 
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).mapInArrow(
-        encode, "key bigint, ids binary"
+        encode, "key bigint, ids binary, tally binary"
     )
 
 
-def write(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> Written:
-    """Write the ids of all documents, an end id after each, in ascending key order.
-
-    NULL texts are empty; NULL keys come first; rows of one key are ordered by their
-    ids, so repeated rows stand side by side. An empty table gives no blocks. Other
-    columns are not read.
-    """
+def _vocabulary(path: str) -> tuple[int, str]:
+    """How many ids there are, and the numpy type that holds them."""
     size = words(path).tokenizer.get_vocab_size()
-    width = "<u2" if size <= 1 << 16 else "<u4"
-    encoded = stash(encode_documents(docs, key, text, path), "ids")
+    return size, "<u2" if size <= 1 << 16 else "<u4"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def tallied(encoded: DataFrame, size: int) -> np.ndarray:
+    """How often each id occurs in all documents."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(ids, width), minlength=size)
+            for tally in batch.column(0).to_pylist():
+                total += np.frombuffer(tally, "<i8")
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
-    counts = encoded.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = (
+        encoded.select("tally").filter(F.col("tally").isNotNull())
+        .mapInArrow(add, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    )
+    total = np.zeros(size, np.int64)
     # At most one row for each id of the vocabulary.
-    found = sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))
+    for r in counts.collect():
+        total[r["id"]] = r["n"]
+    return total
+
+
+def write(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> Written:
+    """Write the ids of all documents, an end id after each, in ascending key order.
+
+    NULL texts are empty; NULL keys come first; rows of one key are ordered by their
+    ids, so repeated rows stand side by side. An empty table gives no blocks. Other
+    columns are not read.
+    """
+    size, width = _vocabulary(path)
+    encoded = stash(encode_documents(docs, key, text, path), "ids")
+    total = tallied(encoded, size)
+    found = np.lexsort((np.arange(size), -total))[:int((total > 0).sum())]
     rank_of = np.zeros(size, np.uint32)
-    rank_of[[r["id"] for r in found]] = np.arange(len(found))
+    rank_of[found] = np.arange(len(found))
     book = docs.sparkSession.createDataFrame(
-        [(r["id"], i) for i, r in enumerate(found)], "id bigint, rank bigint"
+        [(int(t), i) for i, t in enumerate(found)], "id bigint, rank bigint"
     )
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, control, data = [], [], []
-            for ids in batch.column(1).to_pylist():
-                ranks = rank_of[np.frombuffer(ids, width)]
-                a, b = code(ranks)
-                n.append(len(ranks))
-                control.append(a)
-                data.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                names=["key", "n", "control", "data"],
-            )
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, block = TaskContext.get().partitionId(), 0
-        keys, counts, control, data = [], [], [], []
+        keys, held = [], []
 
         def close() -> pa.RecordBatch:
-            # The codes of a document start in the middle of a control byte: join the lengths.
-            n = np.array(counts, np.int64)
-            size = [LENGTHS[np.frombuffer(c, np.uint8)].ravel()[:k] - 1 for c, k in zip(control, counts, strict=True)]
-            two = np.zeros(control_bytes(int(n.sum())) * 4, np.uint8)
-            two[:n.sum()] = np.concatenate(size)
-            two = two.reshape(-1, 4)
-            joined = (two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6).astype(np.uint8).tobytes()
-            payload = write_block(keys, counts, joined, b"".join(data))
+            control, data = code(rank_of[np.concatenate(held)])
+            payload = write_block(keys, [len(h) for h in held], control, data)
             return pa.RecordBatch.from_arrays(
-                [pa.array([file], pa.int32()), pa.array([block], pa.int32()), pa.array([n.sum()], pa.int64()),
-                 pa.array([payload], pa.large_binary() if len(payload) >> 31 else pa.binary())],
+                [pa.array([file], pa.int32()), pa.array([block], pa.int32()),
+                 pa.array([sum(map(len, held))], pa.int64()), pa.array([payload], pa.binary())],
                 names=["file", "block", "ids", "payload"],
             )
 
+        n = 0
         for batch in batches:
-            for k, n, c, d in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                if keys and sum(counts) + n > BLOCK_IDS:
+            for k, ids in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                ids = np.frombuffer(ids, width)
+                if keys and n + len(ids) > BLOCK_IDS:
                     yield close()
-                    block += 1
-                    keys, counts, control, data = [], [], [], []
+                    block, keys, held, n = block + 1, [], [], 0
                 keys.append(k)
-                counts.append(n)
-                control.append(c)
-                data.append(d)
+                held.append(ids)
+                n += len(ids)
         if keys:
             yield close()
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        encoded.mapInArrow(coded, "key bigint, n bigint, control binary, data binary")
+        encoded.filter(F.col("ids").isNotNull()).select("key", "ids")
         .repartitionByRange(parts, "key")
-        .sortWithinPartitions("key", "n", "control", "data")
+        .sortWithinPartitions("key", "ids")
         .mapInArrow(blocks, "file int, block int, ids bigint, payload binary")
     )
     written = stash(rows, "blocks")

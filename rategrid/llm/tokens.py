@@ -18,82 +18,63 @@ from tokenizers import Tokenizer, pre_tokenizers
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 1
 END_BYTES = END.to_bytes(4, "little")
-WORDS = 600_000
+WORDS = 800_000
 #: Lower-case letters that no normalisation changes, then marks: one or two pieces for the model.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([-.,;:!?%$&*#|()]*)")
 
 
-class Words:
-    """Bytes of the little-endian 32-bit ids of a text."""
+class Words(dict[bytes, bytes]):
+    """Words with their little-endian 32-bit ids; a word that is missing is encoded."""
 
     def __init__(self, path: str, words: int = WORDS) -> None:
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.words = words
-        self.table: dict[bytes, bytes] = {}
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         # The byte-level step shows a byte as a character of its own.
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {
             ord(c): "".join(p for p, _ in as_bytes.pre_tokenize_str(c)) for c in map(chr, range(0xC0, 0x100))
         }
-        self.closing = {m: array("I", self.tokenizer.encode(m.decode()).ids).tobytes() for m in (b".", b",")}
-        self.marks = [
-            token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()
+        self.marks: dict[str, bytes] = {"": b""}
+        self.added = [
+            token.content.encode().lower() for token in self.tokenizer.get_added_tokens_decoder().values()
         ]
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct words; only what is not plainly letters and marks needs the whole chain."""
-        out: list[bytes | None] = []
-        odd: list[str] = []
-        tokenize, shown = self.model.tokenize, self.shown
-        for word in words:
-            text = word.decode()
-            plain = PLAIN.fullmatch(text.lower())
-            if plain is None:
-                odd.append(text)
-                out.append(None)
-                continue
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.words:
+            self.clear()
+        text = word.decode()
+        plain = PLAIN.fullmatch(text if text.isascii() else text.lower())
+        if plain is None:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        else:
             letters, marks = plain.groups()
-            ids = [t.id for t in tokenize(letters if letters.isascii() else letters.translate(shown))]
             if marks:
-                ids += [t.id for t in tokenize(marks)]
-            out.append(array("I", ids).tobytes())
-        if odd:
-            found = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
-            out = [array("I", next(found).ids).tobytes() if x is None else x for x in out]
-        return out
+                if marks not in self.marks:
+                    self.marks[marks] = self.piece(marks)
+                ids = self[letters.encode()] + self.marks[marks]
+            else:
+                ids = self.piece(letters if letters.isascii() else letters.translate(self.shown))
+        self[word] = ids
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(text)]).tobytes()
 
     def split(self, text: str) -> list[bytes]:
         """Words at white space, A-Z folded; not so beside added tokens, which are found as written."""
         raw = text.encode()
         plain = raw.lower()
-        return (raw if any(m in plain for m in self.marks) else plain).split()
+        return (raw if any(m in plain for m in self.added) else plain).split()
 
     def ids(self, text: str) -> bytes:
-        words = self.split(text)
-        table = self.table
-        new = set(words).difference(table)
-        if new:
-            if len(table) + len(new) > self.words:
-                table.clear()
-                new = set(words)
-            ended = []
-            for word in new:
-                # A word that differs from a known one in the closing mark only.
-                stem = word[:-1]
-                if word[-1:] in (b".", b",") and stem in table and stem[-1:].isalpha():
-                    ended.append((word, table[stem] + self.closing[word[-1:]]))
-            if ended:
-                table.update(ended)
-                new = new.difference(table)
-            new = list(new)
-            table.update(zip(new, self.encode(new), strict=True))
-        return b"".join([table[w] for w in words])
+        return b"".join([self[w] for w in self.split(text)])
 
 
 @lru_cache(maxsize=4)
-def words(path: str) -> Words:
+def words(path: str, most: int = WORDS) -> Words:
     """The table of this worker process."""
-    return Words(path)
+    return Words(path, most)
