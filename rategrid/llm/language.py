@@ -39,6 +39,8 @@ SHARE, MOST = 1 / 3, 300
 SMOOTH = 5.0
 #: Of the likelihood of a declared value or suffix, given a language.
 ADD = 0.5
+#: Share of the uniform distribution in each language's, so that a few odd trigrams decide little.
+MIXED = 0.2
 #: Prior share of ``und`` where nothing is known.
 UNKNOWN_SHARE = 1e-4
 #: Least probability of the language of a kept document.
@@ -52,7 +54,7 @@ class Model(NamedTuple):
 
 
 def grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, trigram buckets, where each text's begin) of lower-cased texts."""
+    """(first row, trigram buckets, where each text's begin) of lower-cased texts; digits take no part."""
     held, offsets = utf8(pc.utf8_lower(texts.fill_null("")))
     for first, part, ends in pieces(held, offsets):
         found = (Hashes(part).grams(GRAM) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -60,6 +62,9 @@ def grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         across = np.zeros(len(found), bool)
         for i in range(1, GRAM):
             across[np.clip(ends[1:-1] - i, 0, None)[ends[1:-1] - i < len(found)]] = True
+        digit = (part >= 0x30) & (part <= 0x39)
+        for i in range(GRAM):
+            across |= digit[i:i + len(found)]
         if across.any():
             kept = np.concatenate(([0], np.cumsum(~across)))
             found, at = found[~across], kept[at]
@@ -111,7 +116,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
         )
         for r in table.collect():
             counts[r["place"], r["bucket"]] = r["n"]
-    log = np.log((counts + ADD) / (counts.sum(1, keepdims=True) + ADD * (1 << BITS)))
+    even = 1 / (1 << BITS)
+    own = (counts + ADD) / (counts.sum(1, keepdims=True) + ADD * (1 << BITS))
+    log = np.log((1 - MIXED) * own + MIXED * even)
     return Model([*names, UNKNOWN], np.vstack([log, np.full((1, 1 << BITS), -BITS * np.log(2))]))
 
 
