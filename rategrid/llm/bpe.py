@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.llm.hamming import edges_of
 from rategrid.llm.token_output import code, control_bytes, decode
 from rategrid.llm.tokens import VOCABULARY, words
 
@@ -79,8 +80,54 @@ def blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[_Block]:
         yield block
 
 
-#: The place of a block's documents among its words.
-DOCUMENTS = -1
+#: Kinds of rows that meet in a block.
+WORDS, DOCUMENTS = b"W", b"D"
+#: Encoded words that are dealt to their blocks together: a row per block, not per word.
+TOGETHER = 200_000
+FEW = 20_000
+#: Documents that are written out together, in words.
+WRITTEN = 1 << 18
+
+
+def pack_words(places: np.ndarray, ids: list[bytes]) -> bytes:
+    sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
+    body = np.uint32(len(ids)).tobytes() + places.astype("<u4").tobytes() + sizes.tobytes() + b"".join(ids)
+    return zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def unpack_words(packed: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Places, where the ids of each end, and all ids."""
+    body = zstandard.ZstdDecompressor().decompress(packed)
+    n = int(np.frombuffer(body, "<u4", 1)[0])
+    sizes = np.frombuffer(body, "<u4", n, 4 + 4 * n)
+    return np.frombuffer(body, "<u4", n, 4), np.cumsum(sizes, dtype=np.int64), body[4 + 8 * n:]
+
+
+def pack_documents(keys: list[int | None], counts: list[int], places: np.ndarray) -> bytes:
+    control, data = code(places)
+    body = b"".join([
+        np.uint32(len(keys)).tobytes(), np.array([k or 0 for k in keys], "<i8").tobytes(),
+        np.array([k is None for k in keys], np.uint8).tobytes(), np.array(counts, "<u4").tobytes(), control, data,
+    ])
+    return zstandard.ZstdCompressor(level=3).compress(body)
+
+
+def unpack_documents(packed: bytes) -> tuple[list[int | None], list[int], np.ndarray]:
+    body = zstandard.ZstdDecompressor().decompress(packed)
+    n = int(np.frombuffer(body, "<u4", 1)[0])
+    keys = np.frombuffer(body, "<i8", n, 4).tolist()
+    missing = np.frombuffer(body, np.uint8, n, 4 + 8 * n).tolist()
+    counts = np.frombuffer(body, "<u4", n, 4 + 9 * n).astype(np.int64)
+    coded = np.frombuffer(body, np.uint8, offset=4 + 13 * n)
+    total = int(counts.sum())
+    places = decode(coded[:control_bytes(total)], coded[control_bytes(total):], total)
+    return [None if m else k for k, m in zip(keys, missing, strict=True)], counts.tolist(), places
+
+
+def _gathered(numbers: list[int], bodies: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int64()), pa.array(bodies, pa.binary())], names=["block", "body"]
+    )
 
 
 def pieces(spark, path: str = VOCABULARY) -> DataFrame:
@@ -115,32 +162,38 @@ def encode_and_decode(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 )
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
         for block in blocks(batches, path):
             listed, at = block.listed()
-            control, data = code(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block.number(listed, at)], pa.int64()), pa.array([DOCUMENTS], pa.int32()),
-                 pa.array([pack.compress(control + data)], pa.binary()),
-                 pa.array([block.keys], pa.list_(pa.int64())), pa.array([block.counts], pa.list_(pa.int64()))],
-                names=["block", "place", "ids", "keys", "counts"],
-            )
+            yield _gathered([block.number(listed, at)], [DOCUMENTS + pack_documents(block.keys, block.counts, at)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, last = words(path), {}
+        # Words come in order, so a small table is enough to look each up in the library once.
+        table = words(path, FEW)
+        blocks_of, places, ids = [], [], []
+
+        def packed() -> pa.RecordBatch:
+            number, place = np.concatenate(blocks_of), np.concatenate(places)
+            order = np.argsort(number, kind="stable")
+            cut = edges_of(number[order])
+            numbers, bodies = [], []
+            for first, last in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                some = order[first:last]
+                numbers.append(int(number[some[0]]))
+                bodies.append(WORDS + pack_words(place[some], [ids[i] for i in some.tolist()]))
+            return _gathered(numbers, bodies)
+
         for batch in batches:
-            found = batch.column(2).to_pylist()
-            new = [w for w in dict.fromkeys(found) if w not in last]
-            held = last | dict(zip(new, table.encode(new), strict=True))
-            last = {w: held[w] for w in found[-1:]}
-            ids = [held[w] for w in found]
-            none = pa.nulls(len(ids), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), none, none],
-                names=["block", "place", "ids", "keys", "counts"],
-            )
-
-    rows = "block bigint, place int, ids binary, keys array<bigint>, counts array<bigint>"
+            if batch.num_rows:
+                blocks_of.append(batch.column(0).to_numpy())
+                places.append(batch.column(1).to_numpy())
+                ids += [table[w] for w in batch.column(2).to_pylist()]
+            if len(ids) >= TOGETHER:
+                yield packed()
+                blocks_of, places, ids = [], [], []
+        if ids:
+            yield packed()
+
+    rows = "block bigint, body binary"
     encoded = (
         given.mapInArrow(lists, "block bigint, place int, word binary")
         .repartition("word").sortWithinPartitions("word")
@@ -151,17 +204,14 @@ def encode_and_decode(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column(1).to_numpy()
-            number = batch.column(0).to_numpy()
-            ids = batch.column(2).to_pylist()
-            by: defaultdict[int, list[bytes]] = defaultdict(list)
-            for b, p, i in zip(number.tolist(), place.tolist(), ids, strict=True):
-                if p >= 0:
-                    by[b].append(i)
-            for b, held in by.items():
-                found = np.unique(np.frombuffer(b"".join(held), "<u4")).astype(np.int32)
+            by: defaultdict[int, set[int]] = defaultdict(set)
+            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if body[:1] == WORDS:
+                    _, _, ids = unpack_words(body[1:])
+                    by[number].update(np.unique(np.frombuffer(ids, "<u4")).tolist())
+            for number, found in by.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), b)), pa.array(found)], names=["block", "id"]
+                    [pa.array([number] * len(found), pa.int64()), pa.array(sorted(found), pa.int32())], names=["block", "id"]
                 )
 
     # A row for each id of a block at most; the vocabulary has a fixed length.
@@ -171,35 +221,40 @@ def encode_and_decode(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         piece = dict(zip(right["id"].to_pylist(), right["piece"].to_pylist(), strict=True))
-        place = left["place"].to_numpy()
-        ids = left["ids"].to_pylist()
-        own = np.flatnonzero(place == DOCUMENTS).tolist()
-        word_ids: list[bytes | None] = [None] * (int(place.max(initial=-1)) + 1)
-        for p, i in zip(place.tolist(), ids, strict=True):
-            if p >= 0:
-                word_ids[p] = i
+        bodies = left["body"].to_pylist()
+        found = [unpack_words(b[1:]) for b in bodies if b[:1] == WORDS]
+        own = [b[1:] for b in bodies if b[:1] == DOCUMENTS]
+        size = max((int(p.max()) + 1 for p, _, _ in found), default=0)
+        word_ids: list[bytes | None] = [None] * size
+        for place, ends, ids in found:
+            start = 0
+            for p, end in zip(place.tolist(), ends.tolist(), strict=True):
+                word_ids[p] = ids[start:end]
+                start = end
         if not own or None in word_ids:
             raise RuntimeError("the words and the documents of a block come from different readings")
         shown = [" ".join([piece[x] for x in memoryview(i).cast("I")]) for i in word_ids]
         blank = not all(shown)
-        out_keys, out_ids, out_text = [], [], []
-        for at in own:
-            counts = left["counts"][at].as_py()
-            n = sum(counts)
-            coded = np.frombuffer(zstandard.ZstdDecompressor().decompress(ids[at]), np.uint8)
-            places = decode(coded[:control_bytes(n)], coded[control_bytes(n):], n)
-            out_keys += left["keys"][at].as_py()
-            first = 0
-            for c in counts:
-                mine = places[first:first + c].tolist()
-                first += c
-                out_ids.append(b"".join([word_ids[i] for i in mine]))
-                seen = [shown[i] for i in mine]
-                out_text.append(" ".join([s for s in seen if s] if blank else seen))
-        return pa.table({
-            "key": pa.array(out_keys, pa.int64()),
-            "ids": pa.array(out_ids, pa.binary()), "decoded": pa.array(out_text, pa.string()),
-        })
+        tables = []
+        for body in own:
+            keys, counts, places = unpack_documents(body)
+            ends = np.cumsum(counts)
+            first, start = 0, 0
+            while first < len(keys):
+                last = max(first + 1, int(np.searchsorted(ends, start + WRITTEN, "right")))
+                out_ids, out_text = [], []
+                for c in counts[first:last]:
+                    mine = places[start:start + c].tolist()
+                    start += c
+                    out_ids.append(b"".join([word_ids[i] for i in mine]))
+                    seen = [shown[i] for i in mine]
+                    out_text.append(" ".join([s for s in seen if s] if blank else seen))
+                tables.append(pa.table({
+                    "key": pa.array(keys[first:last], pa.int64()),
+                    "ids": pa.array(out_ids, pa.binary()), "decoded": pa.array(out_text, pa.string()),
+                }))
+                first = last
+        return pa.concat_tables(tables)
 
     done = gathered.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(
         write, "key bigint, ids binary, decoded string"
