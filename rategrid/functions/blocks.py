@@ -8,6 +8,10 @@ small row; these rows are summed up over the group and joined back on
 (keys, block). No task then holds more than one block of rows, and the rows
 themselves are shuffled once.
 
+The keys are held together in one struct. A struct is never NULL and equals another
+with the same NULLs, so rows without a key are a group like any other, and joins on
+it stay plain equalities that keep the partitioning.
+
 The order column must be integral. Blocks are even when it counts up without
 large holes, as line and page numbers do.
 """
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 BLOCK = "__block"
+KEY = "__key"
 BLOCK_ROWS = 16384
 
 
@@ -31,7 +36,7 @@ def with_block(
     block_rows: int = BLOCK_ROWS,
     shuffle: bool = False,
 ) -> DataFrame:
-    """Add the block number, with ``shuffle`` after shuffling by keys and block.
+    """Add the key struct and the block number, with ``shuffle`` after shuffling by both.
 
     The block is worked out above the shuffle, from the order column, and is never
     NULL: so passes that use the same columns have the same plan up to the shuffle,
@@ -39,17 +44,17 @@ def with_block(
     """
     block = F.coalesce(F.floor(F.col(order) / F.lit(block_rows)), F.lit(0)).cast("bigint")
     if shuffle:
-        df = df.repartition(*keys, block)
-    return df.withColumn(BLOCK, block)
+        df = df.repartition(F.struct(*keys), block)
+    return df.withColumns({KEY: F.struct(*keys), BLOCK: block})
 
 
-def inside_block(keys: Sequence[str], order: str) -> WindowSpec:
-    return Window.partitionBy(*keys, BLOCK).orderBy(order)
+def inside_block(order: str) -> WindowSpec:
+    return Window.partitionBy(KEY, BLOCK).orderBy(order)
 
 
-def across_blocks(keys: Sequence[str]) -> WindowSpec:
+def across_blocks() -> WindowSpec:
     """Over the block rows of a group, one per block."""
-    return Window.partitionBy(*keys).orderBy(BLOCK)
+    return Window.partitionBy(KEY).orderBy(BLOCK)
 
 
 def earlier(window: WindowSpec) -> WindowSpec:
@@ -102,8 +107,8 @@ def place(
 
     A ``df`` that already has blocks (``with_block``) keeps them.
 
-    Keys and order must not be NULL. The order column must be unique in its group
-    for ``before`` and ``latest``.
+    Keys may be NULL, in ``facts`` as well; the order column must not. It must be
+    unique in its group for ``before`` and ``latest``.
     """
     before, latest = dict(before or {}), dict(latest or {})
     least, greatest = dict(least or {}), dict(greatest or {})
@@ -123,11 +128,11 @@ def place(
     ]
     reduced += [F.min(inner[n]).alias(n) for n in least]
     reduced += [F.max(inner[n]).alias(n) for n in greatest]
-    grouped = rows.groupBy(*keys, BLOCK)
-    blocks = grouped.agg(*reduced) if reduced else rows.select(*keys, BLOCK).distinct()
-    across = across_blocks(keys)
+    grouped = rows.groupBy(KEY, BLOCK)
+    blocks = grouped.agg(*reduced) if reduced else rows.select(KEY, BLOCK).distinct()
+    across = across_blocks()
     blocks = blocks.select(
-        *keys,
+        KEY,
         BLOCK,
         *[F.sum(n).over(earlier(across)).alias(n) for n in before],
         *[F.last(n, ignorenulls=True).over(earlier(across)).alias(n) for n in latest],
@@ -135,18 +140,19 @@ def place(
         *[F.max(n).over(whole(across)).alias(n) for n in greatest],
     )
     if facts is not None:
-        blocks = blocks.join(facts, keys, "left")
+        held = [c for c in facts.columns if c not in keys]
+        blocks = blocks.join(facts.select(F.struct(*keys).alias(KEY), *held), KEY, "left")
 
     placed = rows.drop(*[inner[n] for n in [*least, *greatest]]).join(
-        blocks, [*keys, BLOCK]
+        blocks, [KEY, BLOCK]
     )
-    inside = inside_block(keys, order)
+    inside = inside_block(order)
     for n in before:
         placed = placed.withColumn(n, _or_zero(F.col(n), F.sum(inner[n]).over(earlier(inside))))
     for n in latest:
         here = F.last(inner[n], ignorenulls=True).over(so_far(inside))
         placed = placed.withColumn(n, F.coalesce(here, F.col(n)))
-    return placed.drop(BLOCK, *[inner[n] for n in [*before, *latest]])
+    return placed.drop(KEY, BLOCK, *[inner[n] for n in [*before, *latest]])
 
 
 def number_rows(

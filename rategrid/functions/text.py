@@ -13,17 +13,20 @@ WHITE_SPACE = (
 )
 
 Pattern = str | Column
+UNICODE = "(?U)"  # fixed value: character classes by Unicode
 
 
 def matches(line: Column, pattern: Pattern) -> Column:
-    """True where the pattern occurs in the line.
+    r"""True where the pattern occurs in the line.
 
-    For a pattern held in a column ``regexp_instr`` is used, because it keeps the
-    last compiled pattern while ``rlike`` compiles it again for every line.
+    Classes such as ``\s`` and ``\d`` hold what Unicode puts there, so a
+    no-break space is a blank. For a pattern held in a column ``regexp_instr`` is
+    used, because it keeps the last compiled pattern while ``rlike`` compiles it
+    again for every line.
     """
     if isinstance(pattern, str):
-        return line.rlike(pattern)
-    return F.regexp_instr(line, pattern) > 0
+        return line.rlike(UNICODE + pattern)
+    return F.regexp_instr(line, F.concat(F.lit(UNICODE), pattern)) > 0
 
 
 def trim_space(text: Column) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rategrid.functions.arrays import inlined
 from rategrid.functions.blocks import (
     BLOCK,
+    KEY,
     across_blocks,
     earlier,
     inside_block,
@@ -46,12 +47,13 @@ LAYOUT = ["start_pattern", "start_offset", "end_pattern", "end_offset", "skip_pa
 
 
 def section_span(
-    n_lines: Column, start_hit: Column, end_hit: Column, layout: dict[str, Column]
+    n_lines: Column, start_hit: Column, end_hit: Column, layout: dict[str, Column],
+    several: Column | None = None,
 ) -> Column:
     """``struct<first, last, reason>``; ``reason`` is NULL when there is a section.
 
     The span is clipped to the document. A span that ends before it starts is
-    rejected rather than read backwards.
+    rejected rather than read backwards, and so is a document with ``several`` layouts.
     """
     first = (
         F.when(layout["start_pattern"] == "", F.lit(1)).otherwise(start_hit)
@@ -61,7 +63,8 @@ def section_span(
         F.when(layout["end_pattern"] == "", n_lines).otherwise(end_hit) + layout["end_offset"]
     )
     reason = (
-        F.when(layout["start_pattern"].isNull() | layout["end_pattern"].isNull(), "no_layout")
+        F.when(F.lit(False) if several is None else F.coalesce(several, F.lit(False)), "several_layouts")
+        .when(layout["start_pattern"].isNull() | layout["end_pattern"].isNull(), "no_layout")
         .when(first.isNull(), "no_start")
         .when(last.isNull(), "no_end")
         .when(last < first, "end_before_start")
@@ -147,6 +150,14 @@ def page_lines(pages: DataFrame, key: str = "doc_id") -> DataFrame:
     return inlined(placed, [key], rows, "line_no")
 
 
+def one_layout(layouts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per document: its layout, and whether there are ``several`` that differ."""
+    held = layouts.groupBy(F.struct(key).alias(KEY)).agg(
+        F.min(F.struct(*LAYOUT)).alias("one"), F.max(F.struct(*LAYOUT)).alias("other")
+    )
+    return held.select(KEY, "one.*", (F.col("one") != F.col("other")).alias("several"))
+
+
 def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per block of pages: its lines, the lines before it, and its document's span.
 
@@ -156,34 +167,34 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     lines = F.col("__lines")
     facts = laid_out.withColumn("__lines", split_lines(F.col("text"))).select(
-        key, BLOCK, "page_no", *LAYOUT,
+        KEY, BLOCK, "page_no", *LAYOUT, "several",
         F.size(lines).cast("bigint").alias("n_lines"),
         last_match(lines, F.col("start_pattern")).alias("start_hit"),
         last_match(lines, F.col("end_pattern")).alias("end_hit"),
     )
-    above = F.coalesce(F.sum("n_lines").over(earlier(inside_block([key], "page_no"))), F.lit(0))
+    above = F.coalesce(F.sum("n_lines").over(earlier(inside_block("page_no"))), F.lit(0))
+    # The layout is the same in a document: as a grouping key it needs no sorting.
     blocks = (
         facts.withColumn("above", above)
-        .groupBy(key, BLOCK)
+        .groupBy(KEY, BLOCK, *LAYOUT, "several")
         .agg(
             F.sum("n_lines").alias("n_lines"),
             F.max(F.col("above") + F.col("start_hit")).alias("start_hit"),
             F.max(F.col("above") + F.col("end_hit")).alias("end_hit"),
-            *[F.max(name).alias(name) for name in LAYOUT],
         )
     )
-    across = across_blocks([key])
+    across = across_blocks()
     placed = blocks.withColumn(
         "before", F.coalesce(F.sum("n_lines").over(earlier(across)), F.lit(0))
     ).select(
-        key, BLOCK, "n_lines", "before", *LAYOUT,
+        KEY, BLOCK, "n_lines", "before", *LAYOUT, "several",
         F.sum("n_lines").over(whole(across)).alias("__n"),
         F.max(F.col("before") + F.col("start_hit")).over(whole(across)).alias("__start"),
         F.max(F.col("before") + F.col("end_hit")).over(whole(across)).alias("__end"),
     )
-    span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns())
+    span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns(), F.col("several"))
     return placed.withColumn("span", span).select(
-        key, BLOCK, "n_lines", "before", "skip_pattern", "span.*"
+        F.col(f"{KEY}.{key}").alias(key), KEY, BLOCK, "n_lines", "before", "skip_pattern", "span.*"
     )
 
 
@@ -193,24 +204,25 @@ def cut_pages(
     """Kept lines (key, line_no, line) of every section, and the rejected documents.
 
     ``pages`` has one row per (key, page_no) with ``text``; ``layouts`` one row per
-    document with the layout columns. Everything is joined on (key, block), so the
+    document with the layout columns; a document with layouts that differ is
+    rejected. The key may be NULL. Everything is joined on (key, block), so the
     text is shuffled once for both passes.
     """
     text = pages.select(key, "page_no", "text")
     rows = with_block(text, [key], "page_no", PAGE_BLOCK, shuffle=True)
-    blocks = rows.select(key, BLOCK).distinct()
-    spread = blocks.join(layouts.select(key, *LAYOUT), key, "left")
-    spans = page_spans(rows.join(spread, [key, BLOCK]), key)
+    blocks = rows.select(KEY, BLOCK).distinct()
+    spread = blocks.join(one_layout(layouts, key), KEY, "left")
+    spans = page_spans(rows.join(spread, [KEY, BLOCK]), key)
     wanted = spans.where(
         F.col("reason").isNull()
         & (F.col("before") < F.col("last"))
         & (F.col("before") + F.col("n_lines") >= F.col("first"))
-    ).select(key, BLOCK, "before", "skip_pattern", "first", "last")
+    ).select(KEY, BLOCK, "before", "skip_pattern", "first", "last")
 
     n_lines = F.size("__lines")
-    above = F.sum(n_lines).over(earlier(inside_block([key], "page_no")))
+    above = F.sum(n_lines).over(earlier(inside_block("page_no")))
     page = (
-        rows.join(wanted, [key, BLOCK])
+        rows.join(wanted, [KEY, BLOCK])
         .withColumn("__lines", split_lines(F.col("text")))
         .withColumn("before", F.col("before") + F.coalesce(above, F.lit(0)))
         .where((F.col("before") < F.col("last")) & (F.col("before") + n_lines >= F.col("first")))

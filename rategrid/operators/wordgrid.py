@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rategrid.functions.blocks import BLOCK, place, with_block
+from rategrid.functions.blocks import BLOCK, KEY, place, with_block
 from rategrid.functions.text import trim_space
 
 PAGE = ["doc_id", "page_no"]
@@ -22,7 +22,7 @@ LABEL = "label"  # name of the first column, which has no header word
 def text_lines(words: DataFrame) -> DataFrame:
     """One row per page and ``y`` with its words from left to right."""
     ordered = F.sort_array(F.collect_list(F.struct("x", "text", "space")))
-    block = [BLOCK] if BLOCK in words.columns else []
+    block = [KEY, BLOCK] if BLOCK in words.columns else []
     return words.groupBy(*PAGE, *block, "y").agg(ordered.alias("words"))
 
 
