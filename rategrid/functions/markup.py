@@ -1,10 +1,11 @@
 """Links and tables out of HTML.
 
-Both are regular-expression chains that run in the JVM. Markup they cannot be
-trusted with (spans, nesting or left-out end tags in tables, loose quotes in
-anchors, rare entities) is
-handed, and only that markup, to a small parser in an Arrow function; all other
-rows pass NULL to it.
+Both are regular-expression chains that run in the JVM. They are used on markup
+that is plain beyond doubt: every ``<`` begins a tag of regular form, no quoted value
+holds ``<`` or ``>``, entities are common ones with their ``;``, comments and scripts
+don't begin inside a tag; for tables also no spans, nesting or left-out end tags, for
+links no ``href`` that was not understood. All other markup, and only that, is handed
+as it is to a small parser in an Arrow function; the other rows pass NULL to it.
 """
 
 from __future__ import annotations
@@ -41,7 +42,16 @@ COMMON_ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&amp;", "&"),
 ]
-_RARE_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|#160|amp);)#?[A-Za-z0-9]+;"
+# Any other reference, with its semicolon or without.
+_RARE_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|#160|amp);)#?[A-Za-z0-9]"
+# A tag of regular form.
+_TAG = (
+    r"""</?[A-Za-z][A-Za-z0-9:-]*+"""
+    r"""(?:\s++[A-Za-z_:][A-Za-z0-9_:.-]*+(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=`/]++(?=[\s>])))?)*+"""
+    r"""\s*+/?>"""
+)
+# What is no markup for the parser, begun inside a tag or a quoted value.
+_HIDDEN = r"""(?is)=\s*["'][^"'<>]*<(?:[!?]|script\b|style\b)|<[a-z/][^<>]*<(?:[!?]|script\b|style\b)"""
 
 
 def element_text(html: Column) -> Column:
@@ -49,6 +59,13 @@ def element_text(html: Column) -> Column:
     return F.regexp_replace(html, _NOT_MARKUP, "")
 
 
+def _regular(html: Column, markup: Column) -> Column:
+    """True where every ``<`` of the markup is a tag that the expressions here can read."""
+    opened = F.length(markup) - F.length(F.replace(markup, F.lit("<"), F.lit("")))
+    regular = F.regexp_count(markup, F.lit(_TAG)) == opened
+    return regular & ~markup.rlike(_RARE_ENTITY) & ~html.rlike(_HIDDEN)
+
+
 def _decode_common(text: Column) -> Column:
     for entity, char in COMMON_ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -60,7 +77,13 @@ def _decode_common(text: Column) -> Column:
 _LINKS = T.ArrayType(T.StringType())
 
 
-class _LinkReader(HTMLParser):
+class _Reader(HTMLParser):
+    def parse_marked_section(self, i, report=1):
+        # Sections of unknown kinds are skipped like comments.
+        return self.parse_bogus_comment(i, 0)
+
+
+class _LinkReader(_Reader):
     """``href`` of every anchor."""
 
     def __init__(self) -> None:
@@ -95,14 +118,12 @@ def with_links(df: DataFrame, html: str, out: str) -> DataFrame:
         ),
     )
     links = F.col("__hrefs")
-    # An anchor that was not seen has loose quotes; see the parser.
     unseen = F.regexp_count(F.col("__markup"), F.lit(_ANCHOR_START)) != F.size(links)
-    rare = F.exists(links, lambda v: F.coalesce(v.rlike(_RARE_ENTITY), F.lit(False)))
-    parsed = _read_links(F.when(~F.col("__plain"), F.col("__markup")))
+    parsed = _read_links(F.when(~F.col("__plain"), F.col(html)))
     return (
         df.withColumn("__markup", element_text(F.col(html)))
         .withColumn("__hrefs", raw)
-        .withColumn("__plain", ~unseen & ~rare)
+        .withColumn("__plain", _regular(F.col(html), F.col("__markup")) & ~unseen)
         .withColumn(
             out, F.when(F.col("__plain"), F.transform(links, _decode_common)).otherwise(parsed)
         )
@@ -113,11 +134,9 @@ def with_links(df: DataFrame, html: str, out: str) -> DataFrame:
 # --- tables -------------------------------------------------------------------
 
 _TABLE_ROWS = T.ArrayType(T.ArrayType(_LINKS))
-_MAX_COLSPAN = 1000  # fixed value: HTML standard, larger spans count as 1000
-_MAX_ROWSPAN = 65534  # fixed value: HTML standard
 
 
-class _TableReader(HTMLParser):
+class _TableReader(_Reader):
     """Rows and cells of every table.
 
     A row counts for each table around it and a cell for each row around it, so
@@ -148,8 +167,9 @@ class _TableReader(HTMLParser):
             named = dict(attrs)
             cell = {
                 "parts": [],
-                "columns": _span(named.get("colspan"), _MAX_COLSPAN),
-                "rows": _span(named.get("rowspan"), _MAX_ROWSPAN),
+                "columns": _span(named.get("colspan")),
+                "rows": _span(named.get("rowspan")),
+                "head": tag == "th",
             }
             for table in self._open:
                 if table["row"] is not None:
@@ -167,20 +187,22 @@ class _TableReader(HTMLParser):
             self._open.pop()
 
     def handle_data(self, data):
+        if self.cdata_elem is not None:  # inside a script or style
+            return
         for table in self._open:
             if table["cell"] is not None:
                 table["cell"]["parts"].append(data)
 
 
-def _span(value: str | None, most: int) -> int:
+def _span(value: str | None) -> int:
     try:
-        return min(max(int(value), 1), most)
+        return max(int(value), 1)
     except (TypeError, ValueError):
         return 1
 
 
-def _fill_spans(rows: list[list[dict]]) -> list[list[str]]:
-    """Repeat a cell over the columns and the existing rows it spans."""
+def _fill_spans(rows: list[list[dict]], most: int | None = None) -> list[list[str]]:
+    """Repeat a cell over the columns and the existing rows it spans, ``most`` at most."""
     filled: list[list[str]] = []
     hanging: dict[int, tuple[int, str]] = {}  # column -> rows still to fill, text
     for row in rows:
@@ -197,8 +219,8 @@ def _fill_spans(rows: list[list[dict]]) -> list[list[str]]:
                 depth, text = hanging.pop(len(out))
                 put(text, depth)
             text = "".join(cell["parts"]).strip()
-            for _ in range(cell["columns"]):
-                put(text, cell["rows"])
+            for _ in range(cell["columns"] if most is None else min(cell["columns"], most)):
+                put(text, cell["rows"] if most is None else min(cell["rows"], most))
         while len(out) in hanging:
             depth, text = hanging.pop(len(out))
             put(text, depth)
@@ -207,16 +229,32 @@ def _fill_spans(rows: list[list[dict]]) -> list[list[str]]:
     return filled
 
 
-def read_tables(html: str) -> list[list[list[str]]]:
+def read_tables(html: str, most: int | None = None) -> list[list[list[str]]]:
+    reader = _TableReader()
+    reader.feed(html)
+    reader.close()
+    return [_fill_spans(rows, most) for rows in reader.tables]
+
+
+def read_headed(html: str) -> list[bool]:
+    """Per table whether its first row is of header cells."""
     reader = _TableReader()
     reader.feed(html)
     reader.close()
-    return [_fill_spans(rows) for rows in reader.tables]
+    return [bool(rows and rows[0]) and all(c["head"] for c in rows[0]) for rows in reader.tables]
+
+
+def _table_reader(most: int | None):
+    @F.pandas_udf(_TABLE_ROWS)
+    def read(html: pd.Series) -> pd.Series:
+        return html.map(lambda text: None if text is None else read_tables(text, most))
+
+    return read
 
 
-@F.pandas_udf(_TABLE_ROWS)
-def _read_tables(html: pd.Series) -> pd.Series:
-    return html.map(lambda text: None if text is None else read_tables(text))
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def _read_headed(html: pd.Series) -> pd.Series:
+    return html.map(lambda text: None if text is None else read_headed(text))
 
 
 # A document's table tags, each followed by a blank: tables one after another, every
@@ -225,12 +263,12 @@ _TABLE_TAG = r"(?i)<(/?(?:table|tr|td|th))(?=[\s>/])"
 _FLAT_TABLES = r"(?i)^(?:table (?:tr (?:t[dh] /t[dh] )*+/tr )*+/table )*+$"
 
 
-def _plain_tables(markup: Column) -> Column:
+def _plain_tables(html: Column, markup: Column) -> Column:
     """True where the quick reading of tables is exact."""
     tags = F.array_join(F.regexp_extract_all(markup, F.lit(_TABLE_TAG), 1), " ")
     flat = (tags == "") | F.concat(tags, F.lit(" ")).rlike(_FLAT_TABLES)
     spans = markup.rlike(r"(?i)\b(?:colspan|rowspan)\b")
-    return flat & ~spans & ~markup.rlike(_RARE_ENTITY)
+    return flat & ~spans & _regular(html, markup)
 
 
 def _inner(text: Column, tag: str) -> Column:
@@ -243,18 +281,40 @@ def _cell_text(cell: Column) -> Column:
     return trim_space(_decode_common(F.regexp_replace(cell, r"(?s)<[^>]*>", "")))
 
 
-def with_table_rows(df: DataFrame, html: str, out: str) -> DataFrame:
-    """Add the cell texts of all tables, ``tables[rows[cells]]``, in document order."""
+def with_table_rows(df: DataFrame, html: str, out: str, most_span: int | None = None) -> DataFrame:
+    """Add the cell texts of all tables, ``tables[rows[cells]]``, in document order.
+
+    A cell is repeated over all columns and existing rows that it says it spans. For
+    documents that may claim absurd spans ``most_span`` bounds them.
+    """
     quick = F.transform(
         _inner(F.col("__markup"), "table"),
         lambda t: F.transform(
             _inner(t, "tr"), lambda r: F.transform(_inner(r, "t[dh]"), _cell_text)
         ),
     )
-    parsed = _read_tables(F.when(~F.col("__plain"), F.col("__markup")))
+    parsed = _table_reader(most_span)(F.when(~F.col("__plain"), F.col(html)))
+    return (
+        df.withColumn("__markup", element_text(F.col(html)))
+        .withColumn("__plain", _plain_tables(F.col(html), F.col("__markup")))
+        .withColumn(out, F.when(F.col("__plain"), quick).otherwise(parsed))
+        .drop("__markup", "__plain")
+    )
+
+
+def with_headed(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Add, for each table in document order, whether its first row is of ``<th>`` cells."""
+    quick = F.transform(
+        _inner(F.col("__markup"), "table"),
+        lambda t: F.coalesce(
+            F.get(F.transform(_inner(t, "tr"), lambda r: r.rlike(r"(?i)<th(?=[\s>/])") & ~r.rlike(r"(?i)<td(?=[\s>/])")), F.lit(0)),
+            F.lit(False),
+        ),
+    )
+    parsed = _read_headed(F.when(~F.col("__plain"), F.col(html)))
     return (
         df.withColumn("__markup", element_text(F.col(html)))
-        .withColumn("__plain", _plain_tables(F.col("__markup")))
+        .withColumn("__plain", _plain_tables(F.col(html), F.col("__markup")))
         .withColumn(out, F.when(F.col("__plain"), quick).otherwise(parsed))
         .drop("__markup", "__plain")
     )

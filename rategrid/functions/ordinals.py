@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Fixed value: at most this many split points, so also of rows in the
-# whole-table window below.
+# Split points, at least.
 SPLITS = 256
 
 
-def with_ordinals(levels: DataFrame) -> DataFrame:
+def with_ordinals(levels: DataFrame, splits: int | None = None) -> DataFrame:
     """Add ``ordinal`` 1, 2, 3, ... to levels (level, n), each level once.
 
-    Levels are cut into ranges at up to ``SPLITS`` levels picked by hash, numbered
+    Levels are cut into ranges at up to ``splits`` levels picked by hash, numbered
     within their range, and moved up by the number of levels in lower ranges. So
-    no task sorts all levels, however many there are.
+    no task sorts all levels, however many there are. By default there are four times
+    as many split points as shuffle partitions, which are set to suit the data; so
+    ranges grow in number with it, and a range that happens to be wide is a small part.
 
     All passes read the same two columns, which lets Spark reuse one shuffle of
     the counted levels for them.
     """
+    if splits is None:
+        splits = max(SPLITS, 4 * int(levels.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     some = F.struct("level", "n")
     picked = (
-        levels.groupBy(F.pmod(F.xxhash64("level"), F.lit(SPLITS)).alias("slot"))
+        levels.groupBy(F.pmod(F.xxhash64("level"), F.lit(splits)).alias("slot"))
         .agg(F.min_by(some, F.xxhash64(F.lit("split"), F.col("level"))).alias("split"))
         .agg(F.collect_list("split.level"))
     )

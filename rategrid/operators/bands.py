@@ -109,65 +109,80 @@ def overlap_ranges(
 
 
 def _level_of(lo: Column, hi: Column) -> Column:
-    """Smallest k >= 0 with a width of at most 2**k."""
-    return F.greatest(F.ceil(F.log2(F.greatest(hi - lo, F.lit(1.0)))), F.lit(0)).cast("int")
+    """Smallest k with a width of at most 2**k and bucket numbers that are exact."""
+    # Half the width, as the whole may be beyond the largest number.
+    width = F.ceil(F.log2(F.greatest(hi / 2 - lo / 2, F.lit(0.5)))) + 1
+    size = F.ceil(F.log2(F.greatest(F.abs(lo), F.abs(hi), F.lit(1.0)))) - 51
+    return F.greatest(width, size, F.lit(0)).cast("int")
 
 
 def _bucket(value: Column, level: Column) -> Column:
-    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+    # In two steps: 2**1024 is beyond the largest number.
+    half = F.floor(level / 2)
+    return F.floor(value / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), level - half)).cast("bigint")
 
 
-def overlap_join(bands: DataFrame, ranges: DataFrame, top_level: int = 40) -> DataFrame:
+def overlap_join(bands: DataFrame, ranges: DataFrame) -> DataFrame:
     """The same for a table of ranges (post, post_lo, post_hi) of any size.
 
-    Each interval lies in at most two buckets of a grid as coarse as itself. A
+    Each interval lies in at most three buckets of a grid as coarse as itself. A
     pair is found where the finer one of the two looks at the grid of the coarser
-    one, so this is an equi-join on (level, bucket) with no more than
-    ``2 * (top_level + 1)`` rows per interval and side, and no pair is tried that
-    is not close. Widths up to ``2**top_level`` are on the grid; wider intervals
-    are held at the top level and cover as many buckets as they need.
+    one, so this is an equi-join on (level, bucket), with a few rows per interval
+    and level in use, and no pair is tried that is not close.
+
+    Ranges may be open: an infinite end counts as just beyond the last finite end of
+    either table for the grid, and as it is for the overlap. Ends that are unknown
+    (NULL or NaN) or the wrong way round give no pair.
     """
 
+    def ends(df: DataFrame, lo: str, hi: str) -> DataFrame:
+        both = F.array(*[F.when(F.abs(F.col(c)) < float("inf"), F.col(c)) for c in (lo, hi)])
+        return df.agg(F.min(F.array_min(both)).alias("least"), F.max(F.array_max(both)).alias("most"))
+
+    # One row: the finite ends of both tables.
+    outer = ends(bands, "lo", "hi").unionByName(ends(ranges, "post_lo", "post_hi")).agg(
+        F.struct(F.coalesce(F.min("least"), F.lit(0.0)).alias("least"),
+                 F.coalesce(F.max("most"), F.lit(0.0)).alias("most"))
+    )
+
     def with_level(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        level = F.least(_level_of(F.col(lo), F.col(hi)), F.lit(top_level))
-        return df.withColumn("__level", level)
-
-    def at_own(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        level = F.col("__level")
-        return df.withColumn("__grid", level).withColumn(
-            "__bucket",
-            F.explode(F.sequence(_bucket(F.col(lo), level), _bucket(F.col(hi), level))),
+        known = df.where((F.col(lo) <= F.col(hi)) & ~F.isnan(lo) & ~F.isnan(hi))
+        known = known.withColumn("__outer", outer.scalar())
+        inside = lambda c: F.greatest(F.least(F.col(c), F.col("__outer.most")), F.col("__outer.least"))
+        return known.withColumns({"__lo": inside(lo), "__hi": inside(hi)}).drop("__outer").withColumn(
+            "__level", _level_of(F.col("__lo"), F.col("__hi"))
         )
 
-    def at_coarser(df: DataFrame, lo: str, hi: str, from_level: Column, used: DataFrame) -> DataFrame:
-        # Only the grids the other side has intervals on, at most top_level + 1.
+    def on_grid(df: DataFrame) -> DataFrame:
+        grid = F.col("__grid")
+        buckets = F.sequence(_bucket(F.col("__lo"), grid), _bucket(F.col("__hi"), grid))
+        return df.withColumn("__bucket", F.explode(buckets))
+
+    def at_own(df: DataFrame) -> DataFrame:
+        return on_grid(df.withColumn("__grid", F.col("__level"))).drop("__level", "__hi")
+
+    def at_coarser(df: DataFrame, from_level: Column, used: DataFrame) -> DataFrame:
+        # Only the grids the other side has intervals on.
         grids = F.filter("__used", lambda g: g >= from_level)
         df = df.withColumn("__used", used.scalar()).withColumn("__grid", F.explode(grids))
-        df = df.drop("__used")
-        grid = F.col("__grid")
-        return df.withColumn(
-            "__bucket", F.explode(F.sequence(_bucket(F.col(lo), grid), _bucket(F.col(hi), grid)))
-        )
+        return on_grid(df).drop("__used", "__level", "__hi")
 
     def used_levels(df: DataFrame) -> DataFrame:
         return df.agg(F.collect_set("__level"))
 
-    b = with_level(bands.where(F.col("lo") <= F.col("hi")), "lo", "hi")
-    p = with_level(ranges.where(F.col("post_lo") <= F.col("post_hi")), "post_lo", "post_hi")
-    b_on_p = at_coarser(b, "lo", "hi", F.col("__level"), used_levels(p)).drop("__level").join(
-        at_own(p, "post_lo", "post_hi").drop("__level"), ["__grid", "__bucket"]
-    )
-    p_on_b = at_own(b, "lo", "hi").drop("__level").join(
-        at_coarser(p, "post_lo", "post_hi", F.col("__level") + 1, used_levels(b)).drop("__level"),
-        ["__grid", "__bucket"],
-    )
-    # A pair can share two buckets: keep it in the one where both have begun.
-    met = F.greatest(F.col("lo"), F.col("post_lo"))
+    b = with_level(bands, "lo", "hi")
+    p = with_level(ranges, "post_lo", "post_hi")
+    on = ["__grid", "__bucket"]
+    named = lambda df: df.withColumnRenamed("__lo", "__post_lo")
+    b_on_p = at_coarser(b, F.col("__level"), used_levels(p)).join(named(at_own(p)), on)
+    p_on_b = at_own(b).join(named(at_coarser(p, F.col("__level") + 1, used_levels(b))), on)
+    # A pair can share several buckets: keep it in the one where both have begun.
+    met = F.greatest(F.col("__lo"), F.col("__post_lo"))
     return (
         b_on_p.unionByName(p_on_b)
         .where((F.col("lo") <= F.col("post_hi")) & (F.col("hi") >= F.col("post_lo")))
         .where(F.col("__bucket") == _bucket(met, F.col("__grid")))
-        .drop("__grid", "__bucket")
+        .drop("__grid", "__bucket", "__lo", "__post_lo")
         .withColumn(
             "overlap", _overlap(F.col("lo"), F.col("hi"), F.col("post_lo"), F.col("post_hi"))
         )

@@ -71,11 +71,10 @@ def padded_cells(
 ) -> DataFrame:
     """``cells`` rows of ragged tables, each row filled with "" to its table's width."""
     keys = list(keys)
-    wide = place(rows, keys, row, greatest={"__width": F.size(cells)})
-    filled = F.transform(
-        F.sequence(F.lit(0), F.col("__width") - 1),
-        lambda i: F.coalesce(F.get(F.col(cells), i), F.lit("")),
-    )
+    wide = place(rows, keys, row, greatest={"__width": F.size(cells)}, shuffle_first=True)
+    # A sequence down to -1 would count backwards: a table of empty rows has no cells.
+    numbers = F.when(F.col("__width") > 0, F.sequence(F.lit(0), F.col("__width") - 1))
+    filled = F.transform(numbers, lambda i: F.coalesce(F.get(F.col(cells), i), F.lit("")))
     return wide.select(*keys, row, F.posexplode(filled).alias("col_no", "cell"))
 
 
@@ -98,21 +97,22 @@ def sample_lines(
     ).drop("__end")
 
 
-def infer_widths(sample: DataFrame, keys: Sequence[str], line: str = "line") -> DataFrame:
-    """Fixed-width columns of each document from its sample lines.
+def infer_widths(lines: DataFrame, keys: Sequence[str], line: str = "line") -> DataFrame:
+    """Fixed-width columns of each document from its lines, or from ``sample_lines``.
 
-    A column is a run of character positions that are not blank in every sample
-    line. ``begin`` and ``end`` count from 0, ``end`` is exclusive; the last column
-    is open (NULL). The positions of a document are those of its sample lines, so
-    the window below is as small as the sample.
+    A column is a run of character positions that are not blank in every line.
+    ``begin`` and ``end`` count from 0, ``end`` is exclusive; the last column is open
+    (NULL). ``seen`` is the end of the column as far as the lines show it. Positions
+    are reduced to distinct ones in each task before they are shuffled, and a document
+    has no more of them than its longest line has characters.
     """
     keys = list(keys)
-    chars = F.posexplode(F.split(F.col(line), "")).alias("position", "char")
+    chars = F.transform(
+        F.split(F.col(line), ""),
+        lambda c, i: F.when((c != "") & ~c.rlike(r"(?U)\s"), i),
+    )
     used = (
-        sample.select(*keys, chars)
-        .where((F.col("char") != "") & ~F.col("char").rlike(r"(?U)\s"))
-        .select(*keys, "position")
-        .distinct()
+        lines.select(*keys, F.explode(F.array_compact(chars)).alias("position")).distinct()
     )
     by_position = Window.partitionBy(*keys).orderBy("position")
     runs = (
@@ -126,6 +126,7 @@ def infer_widths(sample: DataFrame, keys: Sequence[str], line: str = "line") ->
         (F.row_number().over(by_begin) - 1).alias("col_no"),
         "begin",
         F.when(F.lead("begin").over(by_begin).isNotNull(), F.col("end")).alias("end"),
+        F.col("end").alias("seen"),
     )
 
 
@@ -135,11 +136,13 @@ def cut_widths(
 ) -> DataFrame:
     """Lines into trimmed cells by their document's columns.
 
-    ``truncated`` marks lines with text outside the columns, which is lost.
+    ``truncated`` marks lines that the columns do not fit: text outside of them is
+    lost, or a wide gap beyond what the open column was seen to hold shows that it
+    holds two. Neither happens with columns inferred from all lines.
     """
     keys = list(keys)
     spec = widths.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("col_no", "begin", "end"))).alias("__spec")
+        F.sort_array(F.collect_list(F.struct("col_no", "begin", "end", "seen"))).alias("__spec")
     )
     text = F.col(line)
 
@@ -152,10 +155,13 @@ def cut_widths(
         "__cells", F.lit(0),
         lambda acc, cell: acc + F.length(F.regexp_replace(cell, r"(?U)\s", "")),
     )
+    last = F.try_element_at("__spec", F.lit(-1))
+    beyond = F.substring(text, last["seen"], F.greatest(F.length(text) - last["seen"] + 1, F.lit(0)))
+    merged = F.coalesce(beyond.rlike(r"(?U)\s{2,}\S"), F.lit(False))
     return (
         place(lines, keys, row, facts=spec)
         .withColumn("__cells", F.transform("__spec", cut))
-        .withColumn("truncated", bare > inside)
+        .withColumn("truncated", (bare > inside) | merged)
         .select(*keys, row, "truncated", F.posexplode("__cells").alias("col_no", "cell"))
     )
 
@@ -186,7 +192,7 @@ def split_ocr(line: Column) -> Column:
 _LEADING_ZERO = r"^[-+]?0[0-9]"
 TYPE_PATTERNS = [
     ("logical", r"^(?:T|F|TRUE|FALSE|true|false|True|False)$"),
-    ("integer", r"^[-+]?[0-9]{1,9}$"),
+    ("integer", r"^[-+]?[0-9]+$"),
     ("double", r"^[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"),
     ("number", r"^-?[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]*)?$|^-?[0-9]+(?:\.[0-9]*)?$"),
     ("time", r"^[0-2]?[0-9]:[0-5][0-9](?::[0-5][0-9])?$"),
@@ -205,6 +211,9 @@ def _type_checks(cell: str) -> dict[str, Column]:
         fits = value.rlike(pattern)
         if name in _NUMERIC:
             fits = fits & ~value.rlike(_LEADING_ZERO)
+        if name == "integer":
+            # Whole numbers beyond 64 bits are read as double.
+            fits = fits & value.try_cast("bigint").isNotNull()
         checks[f"is_{name}"] = fits
     return checks
 

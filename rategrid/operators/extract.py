@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rategrid.functions.arrays import inlined
 from rategrid.operators.columns import split_wide
 from rategrid.operators.html_tables import html_tables, newest_table
+from rategrid.operators.links import bad_order
 from rategrid.operators.sections import cut_text
 
 
@@ -40,6 +41,7 @@ def extract_tables(docs: DataFrame, layout: dict[str, Column] | None = None) ->
             ~known,
             F.concat(F.lit("unknown type: "), F.coalesce("doc_type", F.lit("NULL"))),
         )
+        .when((F.col("route") == "html") & bad_order(F.col("order")), "bad order")
         .when((F.col("route") == "html") & F.col("rows").isNull(), "no table")
         .when(F.col("route") == "pdf", F.col("reason"))
     )

@@ -1,51 +1,27 @@
-"""Keep going when single rows fail."""
+"""Keep going when single rows fail.
 
-from __future__ import annotations
+Operators that check rows give one frame, in which ``reason`` says why a row failed
+and is NULL for one that worked. It is split only where good rows and rejects part,
+at a sink or a join, so a query that wants both reads its input once.
+"""
 
-from collections.abc import Callable, Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def split_faults(
-    df: DataFrame, failed: Column, stage: str, key: Column, reason: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Rows that worked, and one reject for each row that did not."""
-    fault = F.coalesce(failed, F.lit(False))
-    bad = df.where(fault).select(
-        F.lit(stage).alias("stage"), key.cast("string").alias("key"), reason.alias("reason")
-    )
-    return df.where(~fault), bad
+def with_reason(df: DataFrame, failed: Column, reason: Column) -> DataFrame:
+    """Add ``reason`` to rows that failed; unknown counts as not failed."""
+    return df.withColumn("reason", F.when(F.coalesce(failed, F.lit(False)), reason))
 
 
-def map_safely(
-    df: DataFrame, function: Callable[[dict], object], result_type: T.DataType
-) -> DataFrame:
-    """Call ``function`` for every row; add its ``result`` or its ``error``.
+def worked(df: DataFrame) -> DataFrame:
+    return df.where(F.col("reason").isNull()).drop("reason")
 
-    For work that has no Spark expression. A row that raises gets the message in
-    ``error`` and a NULL result; the task goes on with the next row.
-    """
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField("result", result_type), T.StructField("error", T.StringType())]
-    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            results, errors = [], []
-            for row in batch.to_dict("records"):
-                try:
-                    results.append(function(row))
-                    errors.append(None)
-                except Exception as error:  # noqa: BLE001 - any failure is this row's own
-                    results.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield batch.assign(
-                result=pd.Series(results, index=batch.index, dtype=object),
-                error=pd.Series(errors, index=batch.index, dtype=object),
-            )
-
-    return df.mapInPandas(run, schema)
+def rejects(df: DataFrame, stage: str, key: Column) -> DataFrame:
+    """(stage, key, reason) of the rows that failed."""
+    return df.where(F.col("reason").isNotNull()).select(
+        F.lit(stage).alias("stage"), key.cast("string").alias("key"), "reason"
+    )

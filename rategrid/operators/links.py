@@ -13,9 +13,10 @@ from rategrid.functions.blocks import place
 from rategrid.functions.markup import with_links
 from rategrid.functions.text import Pattern, matches
 from rategrid.functions.urls import absolute_url
+from rategrid.operators.faults import rejects, with_reason
 
 FORWARD, REVERSE = "fwd", "rev"  # earliest link first / newest link first
-SPREAD = 256  # parts of the sources that name one page
+SPREAD = 256  # parts of the sources that name one page, at least
 
 
 def page_links(pages: DataFrame, out: str = "links") -> DataFrame:
@@ -48,27 +49,20 @@ def bad_order(order: Column) -> Column:
     return ~F.coalesce(F.lower(order).isin(FORWARD, REVERSE), F.lit(False))
 
 
-def split_by_order(sources: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Sources with a usable order, and the others as rejects.
+def check_order(sources: DataFrame, strict: bool = False) -> DataFrame:
+    """Add ``reason`` to sources whose order can't be used.
 
     With ``strict`` a bad order stops the job when its row is reached.
     """
     message = F.concat(F.lit("order must be 'fwd' or 'rev', not: "),
                        F.coalesce("order", F.lit("NULL")))
     if strict:
-        checked = sources.withColumn(
-            "order", F.when(bad_order(F.col("order")), F.raise_error(message)).otherwise(
-                F.col("order"))
-        )
-        return checked, rejects(sources.where(F.lit(False)), message)
-    bad = bad_order(F.col("order"))
-    return sources.where(~bad), rejects(sources.where(bad), message)
-
-
-def rejects(sources: DataFrame, reason: Column) -> DataFrame:
-    return sources.select(
-        F.lit("order").alias("stage"), F.col("state").alias("key"), reason.alias("reason")
-    )
+        message = F.raise_error(message).cast("string")
+    return with_reason(sources, bad_order(F.col("order")), message)
+
+
+def order_rejects(checked: DataFrame) -> DataFrame:
+    return rejects(checked, "order", F.col("state"))
 
 
 def latest_links(index: DataFrame, out: str = "latest") -> DataFrame:
@@ -86,24 +80,26 @@ def latest_links(index: DataFrame, out: str = "latest") -> DataFrame:
 def resolve_sources(sources: DataFrame, pages: DataFrame) -> DataFrame:
     """Add ``doc_url``: newest link of an index source, own address of any other.
 
-    ``pages`` has one row per address. Only the links of a page meet the sources,
-    not its markup, and they meet each combination of address, pattern and order
-    once. Sources are spread over ``SPREAD`` parts by state, so a page that many
-    of them name is not one join key.
+    Only the links of a page meet the sources, not its markup, and they meet each
+    combination of address, pattern and order once. Of several pages of one address
+    the link that sorts last counts, so a source stays one row; ``page_rejects``
+    lists such addresses. Sources are spread by state, over more parts where there
+    are more shuffle partitions, so a page that many of them name is not one join key.
     """
+    spread = max(SPREAD, int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = ["__url", "__pattern", "__order"]
     keyed = sources.drop("doc_url").select(
         "*",
         F.coalesce("url", F.lit("")).alias("__url"),
         F.coalesce("pattern", F.lit("")).alias("__pattern"),
         F.coalesce("order", F.lit("")).alias("__order"),
-        F.pmod(F.xxhash64("state"), F.lit(SPREAD)).alias("__part"),
+        F.pmod(F.xxhash64("state"), F.lit(spread)).alias("__part"),
     )
     linked = page_links(pages.select(F.col("url").alias("__url"), "html")).drop("html")
     wanted = keyed.where(F.col("type") == "IDX").select(*key).distinct()
     found = matching_links(F.col("links"), F.col("__pattern"))
     newest = absolute_url(F.col("__url"), newest_link(found, F.col("__order")))
-    latest = wanted.join(linked, "__url").select(*key, newest.alias("__latest"))
+    latest = wanted.join(linked, "__url").groupBy(*key).agg(F.max(newest).alias("__latest"))
     doc_url = F.when(F.col("type") == "IDX", F.col("__latest")).otherwise(F.col("url"))
     return (
         place(keyed, key, "__part", facts=latest, block_rows=1)
@@ -112,6 +108,13 @@ def resolve_sources(sources: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
+def page_rejects(pages: DataFrame) -> DataFrame:
+    """Addresses with several pages."""
+    counted = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    reason = F.concat(F.col("n").cast("string"), F.lit(" pages of one address"))
+    return rejects(with_reason(counted, F.col("n") > 1, reason), "page", F.col("url"))
+
+
 def award_path(state: Column, doc_type: Column, folder: str) -> Column:
     """Where a source's document is kept: ``folder/STATE.type``."""
     return F.concat_ws("/", F.lit(folder), F.concat_ws(".", F.upper(state), F.lower(doc_type)))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from rategrid.functions.blocks import place
 from rategrid.functions.money import (
-    is_money,
     money_to_double,
     strip_footnote_digit,
     strip_footnote_marks,
 )
 from rategrid.functions.text import is_blank, trim_space
 from rategrid.operators.columns import split_mixed
+from rategrid.operators.faults import rejects
 
 # Fixed value: names that are a heading even on a line with rates of its own.
 HEADING_NAME = r"(?i)^\s*(?:level|grade)\s*[0-9]+"
@@ -24,10 +24,9 @@ def line_cells(line: Column) -> Column:
     return F.transform(split_mixed(line), trim_space)
 
 
-def has_rate(cells: Column) -> Column:
-    """Whether any cell after the first is an amount."""
-    rest = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
-    return F.exists(rest, is_money)
+def _alone(cells: Column) -> Column:
+    """Whether only one cell of the line is not blank."""
+    return F.size(F.filter(cells, lambda c: c != "")) == 1
 
 
 def header_labels(cells: Column) -> Column:
@@ -48,12 +47,14 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
     """Steps of a sheet: key, line_no, section, heading, step, cells, labels.
 
     ``heading`` is the nearest heading above a step and ``section`` the nearest one
-    named like a level or grade: a sheet may list job titles below a grade.
+    named like a level or grade: a sheet may list job titles below a grade. A line
+    of one cell is a heading, and so is a line with such a name; a line of several
+    cells is a step, with amounts or without.
     ``header_line`` is the number of the line with the column labels; without such
     a line ``labels`` is NULL.
     """
     is_header = F.col("line_no") == header_line
-    cells, name, rated = F.col("cells"), F.col("step"), F.col("__rated")
+    cells, name, alone = F.col("cells"), F.col("step"), F.col("__alone")
     named = name.rlike(HEADING_NAME)
     carried = place(
         lines.select(key, "line_no", "line").where(~is_blank(F.col("line"))),
@@ -62,37 +63,43 @@ def carry_heading(lines: DataFrame, key: str = "doc_id", header_line: int = 0) -
         derived={
             "cells": line_cells(F.col("line")),
             "step": strip_footnote_marks(F.get(cells, F.lit(0))),
-            "__rated": has_rate(cells),
+            "__alone": _alone(cells),
         },
-        # A line without amounts is a heading, and so is a heading name with amounts.
         latest={
-            "heading": F.when(~is_header & (~rated | named), name),
+            "heading": F.when(~is_header & (alone | named), name),
             "section": F.when(~is_header & named, name),
         },
         greatest={"labels": F.when(is_header, header_labels(cells))},
         shuffle_first=True,
     )
-    return carried.where(~is_header & rated).select(
+    return carried.where(~is_header & ~alone).select(
         key, "line_no", "section", "heading", "step", "cells", "labels"
     )
 
 
 def unpivot_rates(steps: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per step and rate column, with the column's label and date."""
+    """One row per step and rate column, with the column's label and date.
+
+    A cell that is no amount has no ``rate`` and a ``reason``; blank cells are left out.
+    """
     rates = F.slice(F.col("cells"), 2, F.greatest(F.size("cells") - 1, F.lit(0)))
     return (
         steps.select(
             key, "line_no", "section", "heading", "step", "labels",
             F.posexplode(rates).alias("__i", "__rate"),
         )
+        .where(F.col("__rate") != "")
         .withColumn("effective_label", F.get("labels", F.col("__i") + 1))
+        .withColumn("rate", money_to_double(F.col("__rate")))
         .select(
             key, "line_no", "section", "heading", "step",
             (F.col("__i") + 1).alias("col_no"), "effective_label",
             effective_date(F.col("effective_label")).alias("effective"),
-            money_to_double(F.col("__rate")).alias("rate"),
+            "rate",
+            F.when(
+                F.col("rate").isNull(), F.concat(F.lit("no amount: "), F.col("__rate"))
+            ).alias("reason"),
         )
-        .where(F.col("rate").isNotNull())
     )
 
 
@@ -101,18 +108,15 @@ def sheet_rates(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     return unpivot_rates(carry_heading(lines, key, header_line=1), key)
 
 
-def to_common_band(
-    salaries: DataFrame, crosswalk: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Salaries with the common band of their (state, level); others are rejects."""
+def to_common_band(salaries: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Salaries with the common ``band`` of their (state, level), or a ``reason``."""
     named = salaries.withColumn("level", strip_footnote_marks(F.col("level")))
     joined = named.join(crosswalk.select("state", "level", "band"), ["state", "level"], "left")
-    rejected = joined.where(F.col("band").isNull()).select(
-        F.lit("crosswalk").alias("stage"),
-        F.concat_ws("/", "state", "level").alias("key"),
-        F.lit("no band").alias("reason"),
-    )
-    return joined.where(F.col("band").isNotNull()), rejected
+    return joined.withColumn("reason", F.when(F.col("band").isNull(), "no band"))
+
+
+def crosswalk_rejects(banded: DataFrame) -> DataFrame:
+    return rejects(banded, "crosswalk", F.concat_ws("/", "state", "level"))
 
 
 def clean_pay_points(rows: DataFrame, pay_point: str, digits: bool = True) -> DataFrame:

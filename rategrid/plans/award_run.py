@@ -5,22 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rategrid.functions.arrays import inlined
 from rategrid.functions.money import money_to_double
 from rategrid.functions.text import trim_space
 from rategrid.operators.bands import BAND_KEYS, band_parts, finish_bands, merge_parts
 from rategrid.operators.columns import split_wide
-from rategrid.operators.links import award_path, resolve_sources, split_by_order
-from rategrid.operators.rates import to_common_band
-from rategrid.operators.sections import cut_pages
+from rategrid.operators.faults import rejects, with_reason, worked
+from rategrid.operators.html_tables import headed_tables, html_tables, newest_table
+from rategrid.operators.links import (
+    award_path,
+    bad_order,
+    check_order,
+    order_rejects,
+    page_rejects,
+    resolve_sources,
+)
+from rategrid.operators.rates import crosswalk_rejects, to_common_band
+from rategrid.operators.sections import LAYOUT, cut_pages
+
+Picks = tuple[Column, Column]
 
 
 def acquire(sources: DataFrame, pages: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Registry with ``doc_url`` and ``award_file``, and sources with a bad order."""
-    usable, rejected = split_by_order(sources)
-    registry = resolve_sources(usable, pages).withColumn(
+    """Registry with ``doc_url`` and ``award_file``; sources with a bad order and
+    addresses with several pages as rejects."""
+    checked = check_order(sources)
+    registry = resolve_sources(worked(checked), pages).withColumn(
         "award_file", award_path(F.col("state"), F.col("doc_type"), folder)
     )
-    return registry, rejected
+    return registry, order_rejects(checked).unionByName(page_rejects(pages))
+
+
+def _pay_rows(cells: DataFrame, level: Column, amount: Column) -> DataFrame:
+    return cells.select(
+        "doc_id", "line_no", trim_space(level).alias("level"),
+        money_to_double(amount).alias("annual"),
+    )
 
 
 def extract(
@@ -32,21 +52,85 @@ def extract(
     """
     lines, rejected = cut_pages(pages, layouts)
     cells = lines.select("doc_id", "line_no", split_wide(F.col("line")).alias("cells"))
-    rows = cells.select(
-        "doc_id", "line_no", trim_space(level).alias("level"),
-        money_to_double(amount).alias("annual"),
+    return _pay_rows(cells, level, amount), rejected
+
+
+def extract_markup(html: DataFrame, level: Column, amount: Column) -> tuple[DataFrame, DataFrame]:
+    """The same for awards in HTML (doc_id, html, order): rows of the newest table.
+
+    A first row of column names is left out.
+    """
+    read = headed_tables(html_tables(html))
+    rows = newest_table(F.col("tables"), F.col("order"))
+    read = read.withColumn("rows", rows).withColumn(
+        "named", newest_table(F.col("headed"), F.col("order"))
     )
-    return rows, rejected
+    reason = F.when(bad_order(F.col("order")), "bad order").otherwise("no table")
+    read = with_reason(
+        read.select("doc_id", "order", "rows", "named"), F.col("rows").isNull(), reason
+    )
+    numbered = F.transform("rows", lambda r, i: F.struct(i.cast("bigint").alias("line_no"), r.alias("cells")))
+    body = F.filter(numbered, lambda r: ~F.col("named") | (r["line_no"] > 0))
+    cells = inlined(read.where(F.col("reason").isNull()), ["doc_id"], body, "line_no")
+    return _pay_rows(cells, level, amount), rejects(read, "html", F.col("doc_id"))
+
+
+def extract_any(
+    docs: DataFrame, pages: DataFrame, html: DataFrame, text_picks: Picks, html_picks: Picks
+) -> tuple[DataFrame, DataFrame]:
+    """Pay rows of documents of all types, and a reject for every document without.
+
+    ``docs`` has doc_id, doc_type and the layout columns, one row per document. PDF
+    awards are cut out of ``pages``, HTML awards read from ``html``; scans and unknown
+    types, documents without text and texts of unknown documents are rejects.
+    """
+    kind = F.lower("doc_type")
+    of_kind = lambda k: docs.where(kind == k)
+    known = docs.select("doc_id")
+    as_text, as_html = of_kind("pdf"), of_kind("html")
+    from_text, no_section = extract(
+        pages.join(as_text.select("doc_id"), "doc_id", "left_semi"),
+        as_text.select("doc_id", *LAYOUT), *text_picks,
+    )
+    from_html, no_table = extract_markup(
+        html.join(as_html.select("doc_id"), "doc_id", "left_semi"), *html_picks
+    )
+
+    def listed(ids: DataFrame, stage: str, reason: Column) -> DataFrame:
+        return ids.select(F.lit(stage).alias("stage"), F.col("doc_id").cast("string").alias("key"), reason.alias("reason"))
+
+    unread = docs.where(~F.coalesce(kind.isin("pdf", "html"), F.lit(False)))
+    why = F.when(kind == "scan.pdf", "scanned document").otherwise(
+        F.concat(F.lit("unknown type: "), F.coalesce("doc_type", F.lit("NULL")))
+    )
+    page_ids, html_ids = pages.select("doc_id").distinct(), html.select("doc_id").distinct()
+    found = [
+        listed(unread, "doc_type", why),
+        listed(as_text.join(page_ids, "doc_id", "left_anti"), "section", F.lit("no text")),
+        listed(as_html.join(html_ids, "doc_id", "left_anti"), "html", F.lit("no text")),
+        listed(page_ids.join(known, "doc_id", "left_anti"), "section", F.lit("unknown document")),
+        listed(html_ids.join(known, "doc_id", "left_anti"), "html", F.lit("unknown document")),
+    ]
+    rejected = no_section.unionByName(no_table)
+    for more in found:
+        rejected = rejected.unionByName(more)
+    return from_text.unionByName(from_html), rejected
 
 
 def analyse(
     rows: DataFrame, docs: DataFrame, crosswalk: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Bands of pay rows, and levels without a band.
+    """Bands of pay rows; levels without a band and unknown documents as rejects.
 
     Rows are reduced per document and level before they meet the documents'
     states, so a document of many rows is small by then.
     """
-    parts = band_parts(rows, ["doc_id", "level"]).join(docs.select("doc_id", "state"), "doc_id")
-    banded, rejected = to_common_band(parts, crosswalk)
-    return finish_bands(merge_parts(banded, BAND_KEYS), BAND_KEYS), rejected
+    states = docs.select("doc_id", "state", F.lit(True).alias("__known"))
+    parts = band_parts(rows, ["doc_id", "level"]).join(states, "doc_id", "left")
+    parts = with_reason(parts, F.col("__known").isNull(), F.lit("unknown document"))
+    banded = to_common_band(worked(parts).drop("__known"), crosswalk)
+    rejected = rejects(parts, "document", F.col("doc_id")).distinct()
+    return (
+        finish_bands(merge_parts(worked(banded), BAND_KEYS), BAND_KEYS),
+        rejected.unionByName(crosswalk_rejects(banded)),
+    )

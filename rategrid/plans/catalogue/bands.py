@@ -170,7 +170,11 @@ def _band_overlap(spark, sf_dir):
       SELECT l_linenumber AS band, CAST(floor(l_extendedprice / 1000) AS BIGINT) AS step,
              min(l_extendedprice) AS lo, max(l_extendedprice) AS hi
       FROM lineitem GROUP BY 1, 2),
-    p AS (SELECT s_name AS post, s_acctbal * 9 AS post_lo, s_acctbal * 9 + s_nationkey AS post_hi
+    p AS (SELECT s_name AS post,
+                 CASE s_nationkey WHEN 3 THEN CAST('-infinity' AS DOUBLE) ELSE s_acctbal * 9 END
+                   AS post_lo,
+                 CASE s_nationkey WHEN 24 THEN CAST('infinity' AS DOUBLE)
+                   ELSE s_acctbal * 9 + s_nationkey END AS post_hi
           FROM supplier)
     SELECT band, step, lo, hi, post, post_lo, post_hi,
            least(hi, post_hi) - greatest(lo, post_lo) AS overlap
@@ -178,13 +182,16 @@ def _band_overlap(spark, sf_dir):
     """,
 )
 def _band_overlap_table(spark, sf_dir):
-    # Narrow steps of pay and narrow posts, so a post meets a few steps only.
+    # Narrow steps of pay and narrow posts, so a post meets a few steps only; the posts
+    # of two nations are open below or above.
     raw = supplier_salaries(spark, sf_dir).drop("s_suppkey")
     steps = clean_salaries(raw).withColumn("step", F.floor(F.col("annual") / 1000))
     posts = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("post"),
-        (F.col("s_acctbal") * 9).alias("post_lo"),
-        (F.col("s_acctbal") * 9 + F.col("s_nationkey")).alias("post_hi"),
+        F.when(F.col("s_nationkey") == 3, float("-inf")).otherwise(F.col("s_acctbal") * 9)
+        .alias("post_lo"),
+        F.when(F.col("s_nationkey") == 24, float("inf"))
+        .otherwise(F.col("s_acctbal") * 9 + F.col("s_nationkey")).alias("post_hi"),
     )
     return overlap_join(salary_bands(steps, ["band", "step"]), posts)
 

@@ -102,8 +102,13 @@ _PARTS = """
     p AS (SELECT p_brand AS doc_id, p_type, CAST(p_size AS VARCHAR) AS size,
                  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS line_no
           FROM part),
-    w AS (SELECT doc_id, max(length(p_type)) AS type_width FROM p WHERE line_no <= 20
-          GROUP BY doc_id)
+    w AS (SELECT doc_id, max(length(p_type)) AS type_width FROM p GROUP BY doc_id)
+"""
+# The same from lines 10 to 20 only, or the last line of a shorter document.
+_SAMPLED = """
+    n AS (SELECT *, max(line_no) OVER (PARTITION BY doc_id) AS lines FROM p),
+    s AS (SELECT doc_id, max(length(p_type)) AS type_width, max(length(size)) AS size_width FROM n
+          WHERE line_no BETWEEN least(10, lines) AND 20 GROUP BY doc_id)
 """
 
 
@@ -125,21 +130,51 @@ def _part_lines(spark, sf_dir):
     """,
 )
 def _fwf_infer(spark, sf_dir):
-    return infer_widths(sample_lines(_part_lines(spark, sf_dir), ["doc_id"]), ["doc_id"])
+    return infer_widths(_part_lines(spark, sf_dir), ["doc_id"]).drop("seen")
+
+
+@query(
+    "fwf_infer_sample",
+    f"""
+    WITH {_PARTS}, {_SAMPLED}
+    SELECT doc_id, unnest([0, 1, 2]) AS col_no, unnest([0, 10, 22]) AS begin,
+           CAST(unnest([length(doc_id), 10 + type_width, NULL]) AS INTEGER) AS "end",
+           CAST(unnest([length(doc_id), 10 + type_width, 22 + size_width]) AS INTEGER) AS seen
+    FROM s
+    """,
+)
+def _fwf_infer_sample(spark, sf_dir):
+    lines = _part_lines(spark, sf_dir)
+    return infer_widths(sample_lines(lines, ["doc_id"], 10, 20, clip=True), ["doc_id"])
 
 
 @query(
     "fwf_read",
     f"""
     WITH {_PARTS}
+    SELECT doc_id, line_no, false AS truncated, unnest([0, 1, 2]) AS col_no,
+           unnest([doc_id, p_type, size]) AS cell
+    FROM p
+    """,
+)
+def _fwf_read(spark, sf_dir):
+    lines = _part_lines(spark, sf_dir)
+    return cut_widths(lines, infer_widths(lines, ["doc_id"]), ["doc_id"])
+
+
+@query(
+    "fwf_read_sample",
+    f"""
+    WITH {_PARTS}, {_SAMPLED}
     SELECT doc_id, line_no, length(p_type) > type_width AS truncated,
            unnest([0, 1, 2]) AS col_no, unnest([doc_id, p_type[:type_width], size]) AS cell
-    FROM p JOIN w USING (doc_id)
+    FROM p JOIN s USING (doc_id)
     """,
 )
-def _fwf_read(spark, sf_dir):
+def _fwf_read_sample(spark, sf_dir):
+    # Columns of a few lines: what does not fit them is marked.
     lines = _part_lines(spark, sf_dir)
-    widths = infer_widths(sample_lines(lines, ["doc_id"]), ["doc_id"])
+    widths = infer_widths(sample_lines(lines, ["doc_id"], 10, 20, clip=True), ["doc_id"])
     return cut_widths(lines, widths, ["doc_id"])
 
 

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from rategrid.functions.arrays import exploded, inlined
 from rategrid.operators.html_tables import (
+    headed_tables,
     html_tables,
+    named_rows,
     newest_table,
-    promote_header,
     rows_with_header,
     table_cells,
 )
 from rategrid.plans.registry import query, table
-from rategrid.plans.inputs import part_pages
+from rategrid.plans.inputs import part_awards, part_pages
 
 # The cells of both tables of a part page, as (table_no, row_no, col_no, cell).
 _CELLS = """
@@ -113,5 +114,44 @@ def _header_promote(spark, sf_dir):
     """,
 )
 def _header_promote_cells(spark, sf_dir):
-    cells = table_cells(html_tables(part_pages(spark, sf_dir)).select("doc_id", "tables"))
-    return promote_header(cells, ["doc_id", "table_no"])
+    # All tables of a document: the header is taken inside its array of rows.
+    tables = html_tables(part_pages(spark, sf_dir)).select("doc_id", "tables")
+    rows = exploded(tables, ["doc_id"], "tables", "table_no", "rows")
+    return inlined(rows, ["doc_id", "table_no"], rows_with_header(F.col("rows")), "row_no")
+
+
+@query(
+    "html_cells_marked",
+    """
+    SELECT p_partkey AS doc_id, unnest([0, 1, 2, 3]) AS col_no,
+           unnest([p_name, p_size || ' < 99 and y > 3', 'AT&T ' || chr(169) || ' 1', p_brand])
+             AS cell
+    FROM part
+    """,
+)
+def _html_cells_marked(spark, sf_dir):
+    # A quoted mark in a tag, bare marks in the text, references without semicolons.
+    html = F.concat(
+        F.lit('<table><tr><td title="a > b">'), "p_name", F.lit("</td><td>"), F.col("p_size"),
+        F.lit(" < 99 and y > 3</td><td>AT&ampT &copy 1</td><td>"), "p_brand",
+        F.lit("</td></tr></table>"),
+    )
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), html.alias("html"))
+    return table_cells(html_tables(part).select("doc_id", "tables")).drop("table_no", "row_no")
+
+
+@query(
+    "html_named_rows",
+    """
+    SELECT 'P' || p_partkey AS doc_id, unnest([0, 0, 1, 1]) AS row_no,
+           unnest([0, 1, 0, 1]) AS col_no, unnest(['Level', 'Pay', 'Level', 'Pay']) AS header,
+           unnest(['1-URGENT', '$' || format('{:,.2f}', p_retailprice), '5-LOW',
+                   '$' || format('{:,.2f}', p_retailprice + 1)]) AS cell
+    FROM part WHERE p_type NOT IN ('SMALL', 'PROMO')
+    """,
+)
+def _html_named_rows(spark, sf_dir):
+    read = headed_tables(html_tables(part_awards(spark, sf_dir)))
+    newest = newest_table(F.col("tables"), F.col("order"))
+    rows = named_rows(newest, newest_table(F.col("headed"), F.col("order")))
+    return inlined(read, ["doc_id"], rows, "row_no")

@@ -9,11 +9,11 @@ from rategrid.functions.urls import absolute_url
 from rategrid.operators.links import (
     absolute_links,
     award_path,
+    check_order,
     latest_links,
     matching_links,
     page_links,
     resolve_sources,
-    split_by_order,
 )
 from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import page_sources
@@ -132,11 +132,10 @@ def _order_rejects(spark, sf_dir):
     url = F.col("url")
     order = F.when(url.endswith("#top"), "newest").when(~url.contains("/de/"), F.col("order"))
     sources = page_sources(spark, sf_dir).withColumn("order", order)
-    good, bad = split_by_order(sources)
-    return good.select(
-        F.col("state").alias("key"), F.lit("ok").alias("stage"),
-        F.lit(None).cast("string").alias("reason"),
-    ).unionByName(bad)
+    return check_order(sources).select(
+        F.col("state").alias("key"),
+        F.when(F.col("reason").isNull(), "ok").otherwise("order").alias("stage"), "reason",
+    )
 
 
 @query(
@@ -156,6 +155,43 @@ def _resolve_sources(spark, sf_dir):
     return resolved.select("state", "url", "type", "doc_url")
 
 
+_RESOLVED = f"""
+    WITH {_SOURCES},
+    l AS (SELECT *, list_filter({_LINKS}, lambda h: regexp_matches(h, pattern)) AS hs FROM src)
+    SELECT state, url, type,
+           CASE WHEN type <> 'IDX' THEN url
+                WHEN len(hs) > 0 THEN {_ORIGIN} ||
+                  CASE WHEN lower("order") = 'fwd' THEN hs[-1] ELSE hs[1] END END AS doc_url
+    FROM l
+"""
+
+
+@query("resolve_sources_doubled", _RESOLVED)
+def _resolve_sources_doubled(spark, sf_dir):
+    # Every page is there twice; a source stays one row.
+    pages = table(spark, sf_dir, "pages")
+    resolved = resolve_sources(page_sources(spark, sf_dir), pages.unionByName(pages))
+    return resolved.select("state", "url", "type", "doc_url")
+
+
+@query(
+    "link_extract_loose",
+    """
+    SELECT p_partkey, unnest([0, 1, 2, 3]) AS pos,
+           unnest(['/' || p_name, '/b', p_brand, NULL]) AS href
+    FROM part
+    """,
+)
+def _link_extract_loose(spark, sf_dir):
+    # No blank before href, a slash in its place, no quotes, and an anchor without any.
+    html = F.concat(
+        F.lit('<a class="c"href="/'), "p_name", F.lit('">1</a><a/href="/b">2</a><a href='),
+        "p_brand", F.lit(' >3</a><a name="x > href=y">4</a>'),
+    )
+    pages = page_links(table(spark, sf_dir, "part").select("p_partkey", html.alias("html")))
+    return exploded(pages, ["p_partkey"], "links", "pos", "href")
+
+
 @query(
     "award_path",
     """

@@ -24,7 +24,8 @@ _STEPS = """
              unnest(['Section ' || o_orderpriority, 'Section ' || o_orderpriority, level])
                AS heading,
              unnest(['1st Year', '2nd Year', level]) AS step,
-             unnest([[o_totalprice, o_totalprice + 1000], [o_totalprice + 5],
+             unnest([[o_totalprice, o_totalprice + 1000],
+                     [CASE WHEN o_orderstatus <> 'P' THEN o_totalprice + 5 END],
                      [o_totalprice + 7, o_totalprice + 9]]) AS rates
       FROM o)
 """
@@ -32,7 +33,7 @@ _STEPS = """
 
 @query("carry_heading", f"WITH {_STEPS} SELECT doc_id, line_no, section, heading, step FROM s")
 def _carry_heading(spark, sf_dir):
-    return carry_heading(order_sheets(spark, sf_dir), header_line=1).drop("cells", "labels")
+    return carry_heading(order_sheets(spark, sf_dir, agreed=True), header_line=1).drop("cells", "labels")
 
 
 @query(
@@ -42,12 +43,13 @@ def _carry_heading(spark, sf_dir):
     SELECT doc_id, line_no, section, heading, step, CAST(i + 1 AS INTEGER) AS col_no,
            CASE i WHEN 0 THEN 'current' ELSE '01/07/2022' END AS effective_label,
            CASE i WHEN 0 THEN NULL ELSE '2022-07-01' END AS effective,
-           round(rates[i + 1], 2) AS rate
+           round(rates[i + 1], 2) AS rate,
+           CASE WHEN rates[i + 1] IS NULL THEN 'no amount: negotiable' END AS reason
     FROM r
     """,
 )
 def _unpivot_rates(spark, sf_dir):
-    rates = sheet_rates(order_sheets(spark, sf_dir))
+    rates = sheet_rates(order_sheets(spark, sf_dir, agreed=True))
     return rates.withColumn("effective", F.col("effective").cast("string"))
 
 
@@ -105,11 +107,8 @@ def _level_crosswalk(spark, sf_dir):
     levels = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("state"), F.concat(F.col("p_type"), F.lit(" #")).alias("level")
     )
-    banded, rejected = to_common_band(levels, literal_table(spark, rows, schema))
-    return banded.select(
-        F.concat_ws("/", "state", "level").alias("key"), "band",
-        F.lit(None).cast("string").alias("reason"),
-    ).unionByName(rejected.select("key", F.lit(None).cast("int").alias("band"), "reason"))
+    banded = to_common_band(levels, literal_table(spark, rows, schema))
+    return banded.select(F.concat_ws("/", "state", "level").alias("key"), "band", "reason")
 
 
 @query(

@@ -264,6 +264,43 @@ def _repeat_headers_paged(spark, sf_dir):
     return without_repeats(page_lines(_turn_pages(spark, sf_dir)), "^(The|Le|La|Der|Die) ")
 
 
+@query(
+    "repeat_headers_null_key",
+    f"""
+    WITH {_TURN_LINES},
+    m AS (SELECT * REPLACE (CASE WHEN doc_id % 3 > 0 THEN doc_id END AS doc_id,
+                            CASE WHEN doc_id % 3 > 0 THEN line_no
+                                 ELSE 1000 * doc_id + line_no END AS line_no),
+                 regexp_matches(line, '^(The|Le|La|Der|Die) ') AS hit FROM lines)
+    SELECT doc_id, line_no, line FROM m WHERE NOT hit
+    UNION ALL
+    SELECT doc_id, min(line_no), arg_min(line, line_no) FROM m WHERE hit GROUP BY doc_id
+    """,
+)
+def _repeat_headers_null_key(spark, sf_dir):
+    # A third of the documents have lost their key: their lines are one document.
+    lines, known = page_lines(_turn_pages(spark, sf_dir)), F.col("doc_id") % 3 > 0
+    lines = lines.withColumn(
+        "line_no", F.when(known, F.col("line_no")).otherwise(1000 * F.col("doc_id") + F.col("line_no"))
+    ).withColumn("doc_id", F.when(known, F.col("doc_id")))
+    return without_repeats(lines, "^(The|Le|La|Der|Die) ")
+
+
+@query(
+    "skip_lines_nbsp",
+    f"""
+    WITH {_LINES}
+    SELECT doc_id, 2 * line_no - 1 AS line_no, line FROM lines
+    """,
+)
+def _skip_lines_nbsp(spark, sf_dir):
+    # A page number after every line but the last, set in with no-break blanks.
+    paged = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\u00a0\u00a012\n"))
+    rows = _document_rows(spark, sf_dir, paged)
+    kept = rows.withColumn("rows", drop_matching(F.col("rows"), F.lit(r"^\s+\d+$")))
+    return inlined(kept, ["doc_id"], "rows", "line_no")
+
+
 @query(
     "page_subset",
     """

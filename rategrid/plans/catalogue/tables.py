@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from rategrid import schemas
 from rategrid.operators.bands import clean_salaries
 from rategrid.operators.combine import combine_states, with_layouts
-from rategrid.operators.faults import split_faults
+from rategrid.operators.faults import with_reason
 from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import award_docs, salaries
 from rategrid.sources.literal import literal_table
@@ -84,6 +84,21 @@ def _partitioned_sink(spark, sf_dir):
     return spark.read.schema(schemas.SALARIES).parquet(path)
 
 
+@query(
+    "partitioned_one_state",
+    """
+    SELECT n_name AS state, ' P-' || l_linenumber || ' ' AS level,
+           l_extendedprice AS annual, l_linenumber AS band
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+                  JOIN nation ON s_nationkey = n_nationkey
+    WHERE n_name = 'NATION_3'
+    """,
+)
+def _partitioned_one_state(spark, sf_dir):
+    # Only the folder of the state is read back.
+    return _partitioned_sink(spark, sf_dir).where(F.col("state") == "NATION_3")
+
+
 @query(
     "combine_states",
     """
@@ -135,7 +150,5 @@ def _fault_isolated(spark, sf_dir):
     reason = F.when(F.col("found") == "", "no number").otherwise(
         F.concat(F.lit("not a number: "), F.col("found"))
     )
-    good, bad = split_faults(events, F.col("k").isNull(), "props", F.col("event_id"), reason)
-    return good.select(
-        F.col("event_id").cast("string").alias("key"), "k", F.lit(None).cast("string").alias("reason")
-    ).unionByName(bad.select("key", F.lit(None).cast("int").alias("k"), "reason"))
+    checked = with_reason(events, F.col("k").isNull(), reason)
+    return checked.select(F.col("event_id").cast("string").alias("key"), "k", "reason")

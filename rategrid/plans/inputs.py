@@ -132,6 +132,24 @@ def part_pages(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     )
 
 
+def part_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One award in HTML per part: doc_id, state, order and html, a table with names."""
+    row = lambda level, pay: F.concat(
+        F.lit("<tr><td>"), F.lit(level), F.lit("</td><td>"), money(pay), F.lit("</td></tr>")
+    )
+    html = F.concat(
+        F.lit("<p>a > b</p><table><tr><th>Level</th><th>Pay</th></tr>"),
+        row("1-URGENT", F.col("p_retailprice")), row("5-LOW", F.col("p_retailprice") + 1),
+        F.lit("</table>"),
+    )
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey")).alias("doc_id"),
+        F.concat(F.lit("NATION_"), F.col("p_size") % 25).alias("state"),
+        F.when(F.col("p_type") == "PROMO", "newest").otherwise("fwd").alias("order"),
+        F.when(F.col("p_type") == "SMALL", "<p>no table</p>").otherwise(html).alias("html"),
+    )
+
+
 def page_sources(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """One source per page, told apart by its address: ``.html`` pages are documents
     themselves, the others index pages; links are newest last on https and newest
@@ -193,9 +211,10 @@ def order_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_sheets(spark: SparkSession, sf_dir: str, agreed: bool = False) -> DataFrame:
     """Lines of rate sheets, one sheet per customer: a header line, and per order a
-    heading, two steps (tab and blanks) and a heading with rates of its own."""
+    heading, two steps (tab and blanks) and a heading with rates of its own. With
+    ``agreed`` the second step of orders of status P has no amount but a word."""
     price = F.col("o_totalprice")
     level = F.concat(F.lit("LEVEL "), F.month("o_orderdate"))
 
@@ -206,10 +225,13 @@ def order_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def amount(more: int) -> Column:
         return F.format_number(price + more, 2)
 
+    second = amount(5)
+    if agreed:
+        second = F.when(F.col("o_orderstatus") == "P", "negotiable").otherwise(second)
     lines = F.array(
         line(0, F.concat(F.lit("Section "), F.col("o_orderpriority"), F.lit(" *"))),
         line(1, F.concat_ws("\t", F.lit("1st Year"), amount(0), amount(1000))),
-        line(2, F.concat_ws("  ", F.lit("2nd Year"), amount(5))),
+        line(2, F.concat_ws("  ", F.lit("2nd Year"), second)),
         line(3, F.concat_ws("\t", level, amount(7), amount(9))),
     )
     header = table(spark, sf_dir, "customer").select(

@@ -7,19 +7,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset and the session is local, as in tests, a temporary folder
-    is used; on a cluster an unset folder is an error.
+    The setting is read from the session; only where it is unset, as in tests, a
+    folder of its own is made and set. What is written there goes when the
+    application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get(SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="rategrid-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = "file://" + tempfile.mkdtemp(prefix="rategrid-")
+        spark.conf.set(SETTING, root)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
 
 
 def write_csv(df: DataFrame, path: str) -> None:

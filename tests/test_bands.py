@@ -18,7 +18,7 @@ from rategrid.operators.bands import (
 )
 from rategrid.sources.readers import read_csv
 
-# Known bands of the salary file in tests/data: state, band, lowest, highest pay.
+# Known bands: state, band, lowest, highest pay.
 GOLDEN = {
     ("NSW", 1): (68216, 88011), ("NSW", 2): (93469, 102511), ("NSW", 3): (108229, 119390),
     ("NSW", 4): (124705, 131953), ("NSW", 5): (137424, 140007), ("NSW", 6): (142616, 145253),
@@ -35,11 +35,17 @@ GOLDEN = {
 
 @pytest.fixture
 def salary_file(spark, tmp_path):
-    """The golden bands as a salary file: BOM, CRLF, padded levels, quoted money."""
-    lines = ["state,level,annual,band"]
+    """The golden bands as a salary file: BOM, CRLF, padded levels, quoted money.
+
+    Amounts between the two ends are there as well, and the rows in no order.
+    """
+    rng, rows = random.Random(11), []
     for (state, band), (lo, hi) in GOLDEN.items():
-        lines.append(f'{state}, {band}.1 ," ${lo:,} ",{band}')
-        lines.append(f'{state}, {band}.2 ," ${hi:,} ",{band}')
+        rows.append(f'{state}, {band}.1 ," ${lo:,} ",{band}')
+        rows.append(f'{state}, {band}.2 ," ${hi:,} ",{band}')
+        rows += [f'{state}, {band}.3 ," ${rng.randint(lo, hi):,} ",{band}' for _ in range(3)]
+    rng.shuffle(rows)
+    lines = ["state,level,annual,band", *rows]
     path = tmp_path / "salaries.csv"
     path.write_bytes(b"\xef\xbb\xbf" + "\r\n".join(lines).encode() + b"\r\n")
     return read_csv(spark, str(path), schemas.SALARIES_RAW)
@@ -135,9 +141,25 @@ def test_overlap_join_equals_brute_force(spark):
         (i, j, min(hi, phi) - max(lo, plo))
         for i, lo, hi in a for j, plo, phi in b if lo <= phi and hi >= plo
     )
-    for top in (40, 3):
-        found = overlap_join(bands, posts, top_level=top).select("band", "post", "overlap")
-        assert sorted(tuple(r) for r in found.collect()) == wanted
+    found = overlap_join(bands, posts).select("band", "post", "overlap")
+    assert sorted(tuple(r) for r in found.collect()) == wanted
+
+
+def test_open_and_very_wide_ranges(spark):
+    inf, big = float("inf"), 1.7e308
+    a = [(0, 1.0, 2.0), (1, -5.0, inf), (2, -inf, inf), (3, 1e21, 2e21), (4, -big, big), (5, 7.0, 7.0),
+         (6, 3.0, 1.0), (7, None, 1.0), (8, float("nan"), float("nan")), (9, -inf, -inf), (10, 0.1, 1e300)]
+    b = [(0, 2.0, inf), (1, -inf, 1.0), (2, 0.0, 1e21), (3, 7.0, 7.0), (4, inf, inf), (5, -1e-300, 1e-300), (6, 1e300, big)]
+    bands = spark.createDataFrame(a, "band int, lo double, hi double")
+    posts = spark.createDataFrame(b, "post int, post_lo double, post_hi double")
+    wanted = sorted(
+        (i, j) for i, lo, hi in a if lo is not None and lo <= hi for j, plo, phi in b if lo <= phi and hi >= plo
+    )
+    found = overlap_join(bands, posts)
+    assert sorted((r.band, r.post) for r in found.collect()) == wanted
+    narrow = overlap_join(bands.where("band = 0"), posts.where("post = 0")).first()
+    assert narrow.overlap == 0.0
+    assert overlap_join(bands.where("band = 99"), posts).count() == 0
 
 
 def test_overlap_of_given_ranges_is_narrow(frame):

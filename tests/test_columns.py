@@ -79,7 +79,7 @@ def fixed_lines(frame, lines=FIXED, doc=1):
 def test_fixed_widths(frame):
     lines = fixed_lines(frame)
     widths = infer_widths(sample_lines(lines, ["doc_id"], 1, 3), ["doc_id"])
-    spec = sorted(tuple(r) for r in widths.drop("doc_id").collect())
+    spec = sorted(tuple(r) for r in widths.drop("doc_id", "seen").collect())
     # "P 2" leaves no gap, because other sample lines fill it.
     assert spec == [(0, 2, 7), (1, 9, 13), (2, 16, 20), (3, 21, None)]
     cells = cut_widths(lines, widths, ["doc_id"])
@@ -95,6 +95,26 @@ def test_fixed_widths(frame):
     }
 
 
+def test_columns_that_begin_late(frame):
+    lines = fixed_lines(frame, ["ab  cd"] * 20 + ["ab  cd  ef", "ab  cdefg"])
+    sampled = infer_widths(sample_lines(lines, ["doc_id"], 1, 20), ["doc_id"])
+    cells = cut_widths(lines, sampled, ["doc_id"]).where("line_no > 19").orderBy("line_no", "col_no")
+    # Two columns in one cell are marked; a longer last cell is not.
+    assert [(r.line_no, r.truncated, r.cell) for r in cells.collect() if r.col_no == 1] == [
+        (20, False, "cd"), (21, True, "cd  ef"), (22, False, "cdefg")]
+    lines = fixed_lines(frame, ["ab  cd"] * 20 + ["ab  cd  ef"])
+    cells = cut_widths(lines, infer_widths(lines, ["doc_id"]), ["doc_id"])
+    assert [(r.truncated, r.cell) for r in cells.where("line_no = 21").orderBy("col_no").collect()] == [
+        (False, "ab"), (False, "cd"), (False, "ef")]
+
+
+def test_table_of_empty_rows(frame):
+    rows = frame([(1, 0, []), (1, 1, []), (None, 0, ["a"]), (None, 1, ["b", "c"])],
+                 "doc_id int, row_no int, cells array<string>")
+    found = sorted(((r.row_no, r.col_no, r.cell) for r in padded_cells(rows, ["doc_id"]).collect()))
+    assert found == [(0, 0, "a"), (0, 1, ""), (1, 0, "b"), (1, 1, "c")]
+
+
 def test_sample_of_a_short_document(frame):
     """Lines 10 to 20, or the last line when there are fewer than ten."""
     short = fixed_lines(frame, ["x"] * 4)
@@ -121,8 +141,8 @@ def test_ocr(one, line, repaired, cells):
 
 TYPED = {
     "logical": ["T", "FALSE", "", "NA", "true"],
-    "integer": ["1", "-20", " 3 "],
-    "double": ["1", "2.5", "-1e3", ".5"],
+    "integer": ["1", "-20", " 3 ", "2000000000", "9223372036854775807"],
+    "double": ["1", "2.5", "-1e3", ".5", "9223372036854775808"],
     "number": ["1,234", "567", "1,234,567.5"],
     "time": ["9:30", "23:59:59"],
     "date": ["2020-02-01", "2021/12/31"],

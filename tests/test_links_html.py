@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import random
 from urllib.parse import urljoin
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from rategrid.functions.markup import read_tables
+from rategrid.functions.markup import read_headed, read_links, read_tables
 from rategrid.functions.urls import absolute_url
+from rategrid.operators.faults import worked
 from rategrid.operators.html_tables import (
+    headed_tables,
+    named_rows,
     html_tables,
     newest_table,
     promote_header,
@@ -20,7 +24,9 @@ from rategrid.operators.links import (
     latest_links,
     page_links,
     resolve_sources,
-    split_by_order,
+    check_order,
+    order_rejects,
+    page_rejects,
 )
 from rategrid.sources.readers import read_html_files
 
@@ -88,18 +94,25 @@ def test_resolve_sources(frame):
          ("E", "http://h/d/i", "IDX", None, "fwd")],
         "state string, url string, type string, pattern string, order string")
     found = {r.state: r.doc_url for r in resolve_sources(sources, pages).collect()}
-    assert found == {"A": "http://h/d/new-Award.pdf", "B": "http://h/old-Award.pdf",
-                     "C": "http://h/doc", "D": None, "E": None}
+    wanted = {"A": "http://h/d/new-Award.pdf", "B": "http://h/old-Award.pdf",
+              "C": "http://h/doc", "D": None, "E": None}
+    assert found == wanted
+    doubled = pages.unionByName(pages)
+    again = resolve_sources(sources, doubled).collect()
+    assert {r.state: r.doc_url for r in again} == wanted and len(again) == len(wanted)
+    assert [tuple(r) for r in page_rejects(doubled).collect()] == [
+        ("page", "http://h/d/i", "2 pages of one address")]
+    assert page_rejects(pages).count() == 0
 
 
 def test_bad_order(frame):
     sources = frame([("A", "fwd"), ("B", "Rev"), ("C", "up"), ("D", None)],
                     "state string, order string")
-    good, bad = split_by_order(sources)
-    assert sorted(r.state for r in good.collect()) == ["A", "B"]
-    assert sorted(r.key for r in bad.collect()) == ["C", "D"]
-    strict, none = split_by_order(sources, strict=True)
-    assert none.count() == 0
+    checked = check_order(sources)
+    assert sorted(r.state for r in worked(checked).collect()) == ["A", "B"]
+    assert sorted(r.key for r in order_rejects(checked).collect()) == ["C", "D"]
+    strict = check_order(sources, strict=True)
+    assert [r.reason for r in strict.where("state < 'C'").collect()] == [None, None]
     with pytest.raises(PySparkException, match="order must be"):
         strict.collect()
 
@@ -188,3 +201,58 @@ def test_html_files(spark, tmp_path):
     pages = read_html_files(spark, str(tmp_path))
     row = page_links(pages).first()
     assert row.links == ["F.html#1", "F.html#2"] and row.path.endswith("a.html")
+
+
+# Pieces that are put together at random; quick reading must give what the parser gives.
+PIECES = [
+    "<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>", "<td title=\"a > b\">",
+    "<td title='x<y'>", "<a href=\"u\">", "<a class=\"c\"href=\"v\">", "<a/href=\"w\">", "<a href='q>r'>", "</a>",
+    "x < 5 and y > 3", "AT&ampT &copy 1", "a &lt; b", "&eacute;", "R&D", "5", " ", "<br>", "<b>", "</b>",
+    "<!-- c -->", "<!-- <td> -->", "<td title=\"<!--\">", "<script>if (a<b) \"<td>\"</script>", "<a\nhref = z >",
+    "<a data-href=n>", "<td colspan=2>", "<p title=it's>", "<>", "< td>", "</ td>", "&#160;", "&nbsp;", "<tr/>",
+]
+
+
+def test_quick_reading_equals_the_parser_on_any_markup(frame):
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        parts = [rng.choice(PIECES) for _ in range(rng.randint(1, 9))]
+        if i % 2:
+            cells = "".join(f"<{t}>{rng.choice(PIECES)}</{t}>" for t in rng.choices(["td", "th"], k=3))
+            parts = [f"<table><tr>{cells}</tr></table>", *parts[:2]]
+        rows.append((i, "".join(parts)))
+    docs = frame(rows, "id int, html string")
+    read = headed_tables(html_tables(page_links(docs)))
+    found = {r.id: r for r in read.collect()}
+    for i, html in rows:
+        assert found[i].links == read_links(html), html
+        assert found[i].tables == read_tables(html), html
+        assert found[i].headed == read_headed(html), html
+
+
+def test_marked_cells(frame):
+    rows = [(0, '<table><tr><td title="a > b">5</td><td>x < 5 and y > 3</td><td>AT&ampT &copy 1</td></tr></table>')]
+    (row,) = html_tables(frame(rows, "id int, html string")).collect()
+    assert row.tables == [[["5", "x < 5 and y > 3", "AT&T \u00a9 1"]]]
+
+
+def test_spans_are_bounded_on_request_only(frame):
+    docs = frame([("<table><tr><td colspan=1200>a</td></tr></table>",)], "html string")
+    assert len(html_tables(docs).first().tables[0][0]) == 1200
+    assert len(html_tables(docs, most_span=7).first().tables[0][0]) == 7
+
+
+def test_named_rows(frame):
+    html = ("<table><tr><th>Level</th><th>Pay</th></tr><tr><td>P1</td><td>5</td></tr><tr><td>P2</td></tr></table>"
+            "<table><tr><td>a</td></tr><tr><td>b</td><td>c</td></tr></table><table></table>")
+    read = headed_tables(html_tables(frame([(html,)], "html string")))
+    found = []
+    for t in range(3):
+        rows = named_rows(F.col("tables")[t], F.col("headed")[t])
+        found.append([tuple(r) for r in read.select(F.inline(rows)).collect()])
+    assert found == [
+        [(0, 0, "Level", "P1"), (0, 1, "Pay", "5"), (1, 0, "Level", "P2"), (1, 1, "Pay", None)],
+        [(0, 0, "X1", "a"), (0, 1, "X2", None), (1, 0, "X1", "b"), (1, 1, "X2", "c")],
+        [],
+    ]

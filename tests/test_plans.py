@@ -16,7 +16,9 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="needs the tes
 MARKUP = {
     "html_cells", "html_cells_spanned", "html_latest_table", "header_promote",
     "header_promote_cells", "link_extract", "link_filter", "link_absolute", "latest_link",
-    "resolve_sources", "award_registry", "dispatch_doc_type",
+    "resolve_sources", "resolve_sources_doubled", "award_registry", "dispatch_doc_type",
+    "link_extract_loose", "html_cells_marked", "html_named_rows", "award_bands_mixed",
+    "award_rejects",
 }
 # One row per document or line in, no meeting of rows: nothing may be shuffled.
 NARROW = {
@@ -25,6 +27,7 @@ NARROW = {
     "latest_link", "award_path", "mixed_split", "doc_lines", "last_match", "section_text",
     "skip_lines", "skip_blank", "repeat_headers", "page_subset", "skip_head", "head_lines",
     "footnote_clean", "fault_isolated", "dispatch_doc_type", "order_rejects", "combine_states", "ordered_filter",
+    "link_extract_loose", "html_cells_marked", "html_named_rows", "skip_lines_nbsp",
 }
 
 
@@ -53,6 +56,13 @@ def test_flagship_reads_few_columns_and_filters_in_the_scan(spark):
     assert "ReadSchema: struct<l_suppkey:bigint,l_linenumber:int,l_extendedprice:double>" in text
 
 
+@pytest.mark.parametrize(
+    "name", ["order_rejects", "fault_isolated", "level_crosswalk", "header_promote_cells", "split_columns"]
+)
+def test_good_rows_and_rejects_read_the_table_once(spark, name):
+    assert plan(spark, name, final=True).count("FileScan") == 1
+
+
 @pytest.mark.parametrize("name", ["carry_heading", "doc_lines_paged", "section_slice", "word_pivot"])
 def test_wide_rows_are_shuffled_once(spark, name):
     """Both passes over the documents read one shuffle."""

@@ -5,9 +5,11 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from rategrid.operators.faults import worked
 from rategrid.operators.rates import (
     carry_heading,
     clean_pay_points,
+    crosswalk_rejects,
     effective_date,
     header_labels,
     sheet_rates,
@@ -110,6 +112,17 @@ def test_rates(frame):
         ("Year 5 and thereafter", 2, "2020-02-01", date(2020, 2, 1), 106985.0)]
 
 
+def test_steps_without_amounts(frame):
+    text = "Level\t2020-02-01\t2021-02-01\nLEVEL 1\n1st Year\tnegotiable\tnegotiable\n2nd Year\t5\t\nSenior\n3rd Year\t\t7"
+    steps = carry_heading(sheet(frame, text), header_line=1).orderBy("line_no").collect()
+    assert [(r.heading, r.step) for r in steps] == [
+        ("LEVEL 1", "1st Year"), ("LEVEL 1", "2nd Year"), ("Senior", "3rd Year")]
+    rates = sheet_rates(sheet(frame, text)).orderBy("line_no", "col_no").collect()
+    assert [(r.step, r.col_no, r.rate, r.reason) for r in rates] == [
+        ("1st Year", 1, None, "no amount: negotiable"), ("1st Year", 2, None, "no amount: negotiable"),
+        ("2nd Year", 1, 5.0, None), ("3rd Year", 2, 7.0, None)]
+
+
 def test_header_cell_for_two_columns(one):
     labels = header_labels(F.array(F.lit("Classification"), F.lit("current 2022-07-01")))
     assert one(labels) == ["Classification", "current", "2022-07-01"]
@@ -122,8 +135,9 @@ def test_crosswalk(frame):
     salaries = frame([("WA", "P-1.2", 1.0), ("WA", "P-9 *", 2.0), ("Qld", "P-1.2", 3.0)],
                      "state string, level string, annual double")
     crosswalk = frame([("WA", "P-1.2", 1), ("WA", "P-9", 6)], "state string, level string, band int")
-    banded, rejected = to_common_band(salaries, crosswalk)
-    assert sorted((r.level, r.band) for r in banded.collect()) == [("P-1.2", 1), ("P-9", 6)]
+    banded = to_common_band(salaries, crosswalk)
+    assert sorted((r.level, r.band) for r in worked(banded).collect()) == [("P-1.2", 1), ("P-9", 6)]
+    rejected = crosswalk_rejects(banded)
     assert [tuple(r) for r in rejected.collect()] == [("crosswalk", "Qld/P-1.2", "no band")]
 
 
