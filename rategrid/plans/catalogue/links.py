@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rategrid import schemas
 from rategrid.functions.arrays import exploded
 from rategrid.functions.urls import absolute_url
 from rategrid.operators.links import (
@@ -17,6 +18,7 @@ from rategrid.operators.links import (
 )
 from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import page_sources
+from rategrid.sources.readers import read_table
 
 _LINKS = """regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)"""
 _ORIGIN = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
@@ -40,7 +42,8 @@ _SOURCES = """
     """,
 )
 def _link_extract(spark, sf_dir):
-    pages = page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = read_table(spark, f"{sf_dir.rstrip('/')}/pages.parquet", schemas.PAGES)
+    pages = page_links(pages.select("page_id", "html"))
     return exploded(pages, ["page_id"], "links", "pos", "href")
 
 

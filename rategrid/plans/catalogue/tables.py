@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rategrid import schemas
+from rategrid.functions.text import split_lines
 from rategrid.operators.bands import clean_salaries
 from rategrid.operators.combine import combine_states, with_layouts
 from rategrid.operators.faults import with_reason
 from rategrid.plans.registry import query, table
-from rategrid.plans.inputs import award_docs, salaries
+from rategrid.plans.inputs import award_docs, award_pages, order_words, salaries
 from rategrid.sources.literal import literal_table
-from rategrid.sources.readers import read_csv
+from rategrid.sources.readers import read_csv, read_table
 from rategrid.sources.sinks import shared_folder, write_by_state, write_csv
 
 
@@ -99,6 +100,37 @@ def _partitioned_one_state(spark, sf_dir):
     return _partitioned_sink(spark, sf_dir).where(F.col("state") == "NATION_3")
 
 
+@query(
+    "page_text_source",
+    """
+    SELECT CAST(o_custkey AS BIGINT) AS doc_id, o_orderkey + 1 AS page_no, 3 AS n_lines
+    FROM orders
+    UNION ALL SELECT c_custkey, 0, 5 FROM customer
+    UNION ALL SELECT c_custkey, 1099511627776, 2 FROM customer
+    """,
+)
+def _page_text_source(spark, sf_dir):
+    path = shared_folder(spark, "page_text")
+    award_pages(spark, sf_dir).write.mode("overwrite").parquet(path)
+    pages = read_table(spark, path, schemas.PAGE_TEXT)
+    return pages.select("doc_id", "page_no", F.size(split_lines(F.col("text"))).alias("n_lines"))
+
+
+@query(
+    "words_source",
+    """
+    SELECT c_custkey AS doc_id, CAST(length(CAST(c_custkey AS VARCHAR)) AS BIGINT) AS page_no,
+           unnest([0, 10, 20]) AS x, CAST(-1 AS BIGINT) AS y,
+           unnest(['status', 'pay', 'year']) AS text, unnest([false, true, false]) AS space
+    FROM customer
+    """,
+)
+def _words_source(spark, sf_dir):
+    path = shared_folder(spark, "words")
+    order_words(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return read_table(spark, path, schemas.WORDS).where("y = -1")
+
+
 @query(
     "combine_states",
     """
