@@ -39,6 +39,9 @@ SHARE, MOST = 1 / 3, 300
 SMOOTH = 5.0
 #: Of the likelihood of a declared value or suffix, given a language.
 ADD = 0.5
+#: Trigrams of a single text say more of that text, which may be labelled wrongly, than of
+#: the language: they don't count, once a language has so many texts.
+TEXTS = 10
 #: Share of the uniform distribution in each language's, so that a few odd trigrams decide little.
 MIXED = 0.2
 #: Prior share of ``und`` where nothing is known.
@@ -92,17 +95,20 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
     place = {n: i for i, n in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), 1 << BITS), np.int64)
+        total, texts_with = (np.zeros((len(names), 1 << BITS), np.int64) for _ in range(2))
         for batch in batches:
             at = [place.get(x, -1) for x in batch.column(0).to_pylist()]
             for start, buckets, ends in grams(batch.column(1)):
                 for i in range(len(ends) - 1):
                     if at[start + i] >= 0:
-                        total[at[start + i]] += np.bincount(buckets[ends[i]:ends[i + 1]], minlength=1 << BITS)
+                        n = np.bincount(buckets[ends[i]:ends[i + 1]], minlength=1 << BITS)
+                        total[at[start + i]] += n
+                        texts_with[at[start + i]] += n > 0
         row, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(row, pa.int64()), pa.array(bucket, pa.int64()), pa.array(total[row, bucket])],
-            names=["place", "bucket", "n"],
+            [pa.array(row, pa.int64()), pa.array(bucket, pa.int64()), pa.array(total[row, bucket]),
+             pa.array(texts_with[row, bucket])],
+            names=["place", "bucket", "n", "texts"],
         )
 
     counts = np.zeros((len(names), 1 << BITS))
@@ -111,11 +117,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
         table = (
             rows.join(F.broadcast(chosen.limit(most * len(names))), ["lang", "order"])
             .groupBy("lang", "order").agg(F.first("text").alias("text")).select("lang", "text")
-            .mapInArrow(count, "place bigint, bucket bigint, n bigint")
-            .groupBy("place", "bucket").agg(F.sum("n").alias("n"))
+            .mapInArrow(count, "place bigint, bucket bigint, n bigint, texts bigint")
+            .groupBy("place", "bucket").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
         )
+        many = [min(r["count"], most) >= TEXTS for r in sorted(found, key=lambda r: r["lang"])]
         for r in table.collect():
-            counts[r["place"], r["bucket"]] = r["n"]
+            if r["texts"] > 1 or not many[r["place"]]:
+                counts[r["place"], r["bucket"]] = r["n"]
     even = 1 / (1 << BITS)
     own = (counts + ADD) / (counts.sum(1, keepdims=True) + ADD * (1 << BITS))
     log = np.log((1 - MIXED) * own + MIXED * even)

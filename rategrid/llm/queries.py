@@ -99,7 +99,45 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(docs, counts=("n_lines", "n_dropped"))
 
 
-@query("op8_merkle")
+@query("op8_merkle", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    n AS (SELECT doc_id, t, length(t) AS n_chars,
+                 coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nx
+          FROM d),
+    e AS (SELECT doc_id, n_chars, t, nx,
+                 substr(t, 1, n_chars - n_chars // 4) || substr(nx, 1, n_chars // 4) AS ed FROM n),
+    x AS (SELECT doc_id, unnest([0, 1, 2]) AS kind, unnest([t, ed, nx]) AS text FROM e),
+    w AS (SELECT doc_id, kind,
+                 list_transform(string_split(text, chr(10) || chr(10)), lambda s:
+                   list_transform(string_split(s, chr(10)), lambda p: string_split(p, ' '))) AS ws
+          FROM x),
+    p AS (SELECT doc_id, kind, list_transform(ws, lambda s: list_transform(s, lambda v: struct_pack(
+                   h := md5(array_to_string(v, ' ')),
+                   r := list_transform(range(0, len(v), 4), lambda i:
+                          substr(md5(array_to_string(list_slice(v, i + 1, i + 4), ' ')), 1, 8))))) AS ps
+          FROM w),
+    s AS (SELECT doc_id, kind, list_transform(ps, lambda s: struct_pack(
+                   h := md5(array_to_string(list_transform(s, lambda q: q.h), '')),
+                   b := array_to_string(list_transform(s, lambda q:
+                          substr(q.h, 1, 8) || '.' || array_to_string(q.r, '.')), ','))) AS ss,
+                 flatten(list_transform(ps, lambda s: flatten(list_transform(s, lambda q: q.r)))) AS runs
+          FROM p),
+    f AS (SELECT doc_id, kind, runs, md5(array_to_string(list_transform(ss, lambda s: s.h), '')) AS root,
+                 array_to_string(list_transform(ss, lambda s: substr(s.h, 1, 8) || '=' || s.b), ';') AS below
+          FROM s),
+    m AS (SELECT a.doc_id, b.kind, a.root || ':' || a.below AS fp, b.root || ':' || b.below AS other,
+                 CASE WHEN a.root = b.root THEN 1.0 ELSE least(0.9999, greatest(
+                   2.0 * len(list_distinct(list_intersect(a.runs, b.runs)))
+                     / (len(list_distinct(a.runs)) + len(list_distinct(b.runs))),
+                   CAST(len(list_filter(range(1, least(len(a.runs), len(b.runs)) + 1),
+                          lambda i: a.runs[i] = b.runs[i])) AS DOUBLE)
+                     / greatest(len(a.runs), len(b.runs)))) END AS near
+          FROM f a JOIN f b ON a.doc_id = b.doc_id AND a.kind = 0 AND b.kind > 0)
+    SELECT e.doc_id, CAST(e.n_chars AS BIGINT) AS n_chars, sha256(e.ed) AS edited_sha256, one.fp AS fingerprint,
+           one.other AS edited_fingerprint, CAST(one.near AS DOUBLE) AS near_edited, CAST(two.near AS DOUBLE) AS near_next
+    FROM e JOIN m one ON one.doc_id = e.doc_id AND one.kind = 1
+           JOIN m two ON two.doc_id = e.doc_id AND two.kind = 2
+    """)
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.compare_with_next(table(spark, sf_dir, "documents"))
     return found.select(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from rategrid.llm import merkle
-from rategrid.llm.queries import QUERIES
+from rategrid.llm.queries import ORACLES, QUERIES
 from rategrid.plans.registry import table
+from tests.check import duck
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,6 +70,15 @@ def test_query(spark):
     assert rounded(found) == rounded({k: (v[0], hashlib.sha256(v[1].encode()).hexdigest(), *v[2:]) for k, v in wanted.items()})
 
 
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_query_equals_sql(spark, folder):
+    asked = duck(folder).execute(ORACLES["op8_merkle"])
+    names = [c[0] for c in asked.description]
+    found = QUERIES["op8_merkle"](spark, folder)
+    assert sorted(found.columns) == sorted(names)
+    assert sorted(map(tuple, found.select(*names).collect())) == sorted(asked.fetchall())
+
+
 def test_odd_rows(spark):
     rows = [(5, "", 1), (1, None, 2), (9, "é🙂x " * 9 + "\n\n\nq", None), (7, " a  b\n\n", 4), (3, "w " * 40000, 1)]
     schema = "doc_id bigint, text string, fingerprint int"
@@ -95,3 +106,16 @@ def test_differing(spark):
 def test_no_python_on_the_way(spark):
     plan = QUERIES["op8_merkle"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_texts_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = QUERIES["op8_merkle"](spark, SF)
+        done.collect()
+        plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet [doc_id") == 1
