@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rategrid.llm.features import Hashes, gram_rows, held_out, pieces, row_sums, utf8, word_spans
+from rategrid.llm.sample import smallest
 
 BUCKET_BITS = 16
 GRAMS = (3, 4)
@@ -115,12 +116,12 @@ def logits(texts: pa.Array, model: Model) -> np.ndarray:
 
 def sample(labels: DataFrame, key: str, label: str, most: int) -> DataFrame:
     """(key, label, order): at most so many labelled keys that are not held out, by hash."""
-    return (
+    known = (
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
         .select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
         .withColumn("order", F.xxhash64("key", F.lit(4)))
-        .orderBy("order", "key", "label").limit(most)
     )
+    return smallest(known, "order", most, "key", "label")
 
 
 def train(

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rategrid.llm.features import Hashes, held_out, pieces, utf8, word_spans
+from rategrid.llm.sample import smallest
 
 #: Labelled documents in the index, at most, by label; terms, at most.
 TOXIC, CLEAN = 2000, 4000
@@ -257,9 +258,8 @@ def examples(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
         .select(F.col(key).alias("key"), (F.col(label) > 0).cast("int").alias("label")).distinct()
         .withColumn("order", F.xxhash64("key", F.lit(2)))
     )
-    first = ("order", "key")
-    chosen = known.filter("label = 1").orderBy(*first).limit(toxic).unionByName(
-        known.filter("label = 0").orderBy(*first).limit(clean)
+    chosen = smallest(known.filter("label = 1"), "order", toxic, "key").unionByName(
+        smallest(known.filter("label = 0"), "order", clean, "key")
     )
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
 
@@ -356,6 +356,9 @@ def train(
         .repartition(1).sortWithinPartitions("order", "label", "at", "n")
         .mapInArrow(indexed, "model binary").first()
     )
+    if held is None:
+        none = build([], [], np.empty(0, np.int64), size)
+        return Model(vocabulary, idf, none, *calibrate(none, [], np.empty(0, np.int64), share))
     return Model(vocabulary, idf, *pickle.loads(bytes(held["model"])))
 
 
