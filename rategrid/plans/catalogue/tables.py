@@ -120,15 +120,18 @@ def _page_text_source(spark, sf_dir):
     "words_source",
     """
     SELECT c_custkey AS doc_id, CAST(length(CAST(c_custkey AS VARCHAR)) AS BIGINT) AS page_no,
-           unnest([0, 10, 20]) AS x, CAST(-1 AS BIGINT) AS y,
-           unnest(['status', 'pay', 'year']) AS text, unnest([false, true, false]) AS space
-    FROM customer
+           6 + CAST(coalesce(sum(CASE WHEN o_orderkey IS NOT NULL THEN
+             3 + CASE WHEN o_orderpriority LIKE '% %' THEN 1 ELSE 0 END
+               + CASE o_orderstatus WHEN 'O' THEN 2 WHEN 'P' THEN 0 ELSE 1 END END), 0) AS BIGINT)
+             AS n_words
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2
     """,
 )
 def _words_source(spark, sf_dir):
     path = shared_folder(spark, "words")
     order_words(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return read_table(spark, path, schemas.WORDS).where("y = -1")
+    words = read_table(spark, path, schemas.WORDS)
+    return words.groupBy("doc_id", "page_no").agg(F.count("text").alias("n_words"))
 
 
 @query(
