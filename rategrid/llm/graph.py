@@ -27,8 +27,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         least = links.groupBy("a").agg(F.min("b").alias("m"))
         hung = links.join(least, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        out = hung.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.filter("a > b").distinct()
+        out = hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return out.filter("a > b")
 
 
 def _state(links: DataFrame):
