@@ -120,10 +120,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
             .mapInArrow(count, "place bigint, bucket bigint, n bigint, texts bigint")
             .groupBy("place", "bucket").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
         )
-        many = [min(r["count"], most) >= TEXTS for r in sorted(found, key=lambda r: r["lang"])]
-        for r in table.collect():
-            if r["texts"] > 1 or not many[r["place"]]:
-                counts[r["place"], r["bucket"]] = r["n"]
+        many = np.array([min(r["count"], most) >= TEXTS for r in sorted(found, key=lambda r: r["lang"])])
+        held = {c: column.to_numpy() for c, column in zip(table.columns, table.toArrow().columns, strict=True)}
+        kept = (held["texts"] > 1) | ~many[held["place"]]
+        counts[held["place"][kept], held["bucket"][kept]] = held["n"][kept]
     even = 1 / (1 << BITS)
     own = (counts + ADD) / (counts.sum(1, keepdims=True) + ADD * (1 << BITS))
     log = np.log((1 - MIXED) * own + MIXED * even)
