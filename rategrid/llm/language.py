@@ -20,8 +20,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rategrid.llm.features import Hashes, pieces, row_sums, utf8
@@ -131,10 +132,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
 
 
 def text_evidence(rows: DataFrame, model: Model, text: str) -> DataFrame:
-    """Replace the text by ``said``, log likelihoods by language, the largest being 0."""
+    """Replace the text by ``said``, log likelihoods by language, and ``p``, their probabilities alone."""
     at = rows.columns.index(text)
     kept = [f for f in rows.schema.fields if f.name != text]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "said array<double>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "said array<double>", "p array<double>"])
     held = rows.sparkSession.sparkContext.broadcast(model.log)
 
     def say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,21 +150,23 @@ def text_evidence(rows: DataFrame, model: Model, text: str) -> DataFrame:
             weight = np.minimum(n * SHARE, MOST) / np.maximum(n, 1)
             sums *= weight[:, None]
             sums -= sums.max(1, initial=-np.inf, keepdims=True)
+            lists = [pa.array(list(x), pa.list_(pa.float64())) for x in (sums, normed(sums))]
             yield pa.RecordBatch.from_arrays(
-                [*(c for i, c in enumerate(batch.columns) if i != at),
-                 pa.array(list(sums), pa.list_(pa.float64()))],
-                names=[*(f.name for f in kept), "said"],
+                [*(c for i, c in enumerate(batch.columns) if i != at), *lists],
+                names=[*(f.name for f in kept), "said", "p"],
             )
 
     return rows.mapInArrow(say, schema)
 
 
-def _normed(logs: Column) -> Column:
-    """Probabilities of log weights."""
-    top = F.array_max(logs)
-    raised = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
+def normed(logs: np.ndarray) -> np.ndarray:
+    """Probabilities of log weights, by row."""
+    raised = np.exp(logs - logs.max(1, initial=-np.inf, keepdims=True))
+    return raised / raised.sum(1, keepdims=True)
+
+
+def rows_of(column: pa.Array, size: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
 def _counts(rows: DataFrame, level: str, size: int, out: str) -> DataFrame:
@@ -191,7 +194,7 @@ def identify(
         *[(F.col(c).cast("string") if c else nothing).alias(n) for n, c in (
             ("declared", declared), ("suffix", suffix), ("host", host), ("domain", domain))],
     )
-    said = stash(text_evidence(rows, model, "text").withColumn("p", _normed(F.col("said"))), "said")
+    said = stash(text_evidence(rows, model, "text"), "said")
     # One row: counts over all pages.
     everything = _counts(said.withColumn("all", F.lit(0)), "all", size, "n").first()
     base = np.full(size, 1.0)
@@ -200,51 +203,50 @@ def identify(
     base[-1] = UNKNOWN_SHARE
     total = np.array(everything["n"]) if everything else np.zeros(size)
     prior = (total + SMOOTH * base) / (total.sum() + SMOOTH * base.sum())
-    prior_at = F.array(*[F.lit(float(x)) for x in prior])
-    total_at = F.array(*[F.lit(float(x)) for x in total])
-
-    def placed(found: DataFrame, level: str, out: str) -> DataFrame:
-        return found.join(_counts(said, level, size, out), level, "left")
-
-    found = said
-    for level in ("declared", "suffix", "domain", "host"):
-        found = placed(found, level, f"n_{level}")
-    zero = F.array(*[F.lit(0.0)] * size)
-
-    def less_own(counts: Column) -> Column:
-        return F.zip_with(F.coalesce(counts, zero), "p", lambda n, p: F.greatest(n - p, F.lit(0.0)))
-
-    def smoothed(counts: Column, above: Column) -> Column:
-        sum_ = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(counts, above, lambda n, p: (n + SMOOTH * p) / (sum_ + SMOOTH))
-
     # Distinct values of a kind of evidence, for its smoothing: one row.
     kinds = said.agg(*[F.approx_count_distinct(c).alias(c) for c in ("declared", "suffix")]).first()
-
-    def likely(counts: Column, kind: str) -> Column:
-        """Log likelihood of the value by language; 0 where there is none."""
-        per = F.zip_with(
-            less_own(counts), total_at,
-            lambda n, t: F.log((n + ADD) / (F.greatest(t - 1, F.lit(0.0)) + ADD * (kinds[kind] + 1))),
-        )
-        return F.when(F.col(kind).isNotNull(), per).otherwise(zero)
-
-    found = found.withColumn("by_domain", smoothed(less_own(F.col("n_domain")), prior_at))
-    found = found.withColumn("by_host", smoothed(less_own(F.col("n_host")), F.col("by_domain")))
-    found = found.withColumn("by_markup", likely(F.col("n_declared"), "declared"))
-    found = found.withColumn("by_suffix", likely(F.col("n_suffix"), "suffix"))
-    sums = F.transform("said", lambda x, i: (
-        x + F.log(F.element_at("by_host", i + 1)) + F.element_at("by_markup", i + 1) + F.element_at("by_suffix", i + 1)
-    ))
-    names = F.array(*[F.lit(n) for n in model.languages])
-    found = found.select("key", "said", _normed(sums).alias("q"))
-    best = F.array_position("q", F.array_max("q")).cast("int")
-    silent = F.array_min("said") == F.array_max("said")
-    alone = F.when(silent, F.lit(size)).otherwise(F.array_position("said", F.array_max("said"))).cast("int")
-    return found.select(
-        F.col("key").alias(key), F.element_at(names, best).alias("lang"),
-        F.array_max("q").alias("confidence"), F.element_at(names, alone).alias("text_lang"),
+    zero = F.array(*[F.lit(0.0)] * size)
+    levels = ("declared", "suffix", "domain", "host")
+    found = said
+    for level in levels:
+        found = found.join(_counts(said, level, size, f"n_{level}"), level, "left")
+    # Lists are never NULL here: a level without a value has no counts.
+    found = found.select(
+        "key", "said", "p", *[F.coalesce(f"n_{c}", zero).alias(f"n_{c}") for c in levels],
+        *[F.isnotnull(c).alias(f"has_{c}") for c in ("declared", "suffix")],
     )
+    names = np.array(model.languages, object)
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            said, p, *counts = (rows_of(batch.column(i), size) for i in range(1, 7))
+            # A page is no evidence for itself.
+            declared, suffix, domain, host = (np.maximum(n - p, 0) for n in counts)
+
+            def likely(n: np.ndarray, kind: str, given: pa.Array) -> np.ndarray:
+                per = np.log((n + ADD) / (np.maximum(total - 1, 0) + ADD * (kinds[kind] + 1)))
+                return np.where(given.to_numpy(zero_copy_only=False)[:, None], per, 0)
+
+            by_domain = (domain + SMOOTH * prior) / (domain.sum(1, keepdims=True) + SMOOTH)
+            by_host = (host + SMOOTH * by_domain) / (host.sum(1, keepdims=True) + SMOOTH)
+            q = normed(
+                said + np.log(by_host) + likely(declared, "declared", batch.column(7))
+                + likely(suffix, "suffix", batch.column(8))
+            )
+            alone = np.where(said.min(1) == said.max(1), size - 1, said.argmax(1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names[q.argmax(1)], pa.string()), pa.array(q.max(1)),
+                 pa.array(names[alone], pa.string())],
+                names=["key", "lang", "confidence", "text_lang"],
+            )
+
+    schema = T.StructType([
+        found.schema["key"], T.StructField("lang", T.StringType()),
+        T.StructField("confidence", T.DoubleType()), T.StructField("text_lang", T.StringType()),
+    ])
+    return found.mapInArrow(fuse, schema).withColumnRenamed("key", key)
 
 
 def keep_known(docs: DataFrame, model: Model, text: str = "text", declared: str = "lang", host: str = "source") -> DataFrame:
