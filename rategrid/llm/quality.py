@@ -150,7 +150,7 @@ def train(
         examples, known = [], []
         for batch in batches:
             for y, at, x in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-                examples.append((np.frombuffer(at, np.int32), np.frombuffer(x, np.float32).astype(float)))
+                examples.append((np.frombuffer(at, np.int32), np.frombuffer(x, np.float32)))
                 known.append(int(y > 0))
         if examples:
             model = fit(examples, np.array(known))
