@@ -38,6 +38,8 @@ from rategrid.llm.tokens import END_BYTES, VOCABULARY, words
 MAGIC = b"RGT1"
 #: A block is closed at this many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 20
+#: Numbers that are coded or decoded at a time; a multiple of four.
+STEP = 1 << 18
 _CODES = np.arange(256, dtype=np.uint8)
 #: Lengths of the four codes of a control byte.
 LENGTHS = np.stack([(_CODES >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1)
@@ -45,27 +47,33 @@ LENGTHS = np.stack([(_CODES >> s & 3) + 1 for s in (0, 2, 4, 6)], axis=1)
 
 def code(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
-    ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    two = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    two[:len(ranks)] = size - 1
-    two = two.reshape(-1, 4)
-    control = two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
-    used = np.arange(4) < size[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    controls, datas = [], []
+    for first in range(0, len(ranks), STEP):
+        some = ranks[first:first + STEP].astype("<u4")
+        size = 1 + (some > 0xFF) + (some > 0xFFFF) + (some > 0xFFFFFF)
+        two = np.zeros(-(-len(some) // 4) * 4, np.uint8)
+        two[:len(some)] = size - 1
+        two = two.reshape(-1, 4)
+        control = two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6
+        controls.append(control.astype(np.uint8).tobytes())
+        datas.append(some.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes())
+    return b"".join(controls), b"".join(datas)
 
 
 def decode(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     """The numbers again: lengths by table lookup, places by their sums."""
-    size = LENGTHS[control].ravel()[:n]
-    ends = np.cumsum(size, dtype=np.int64)
-    starts = ends - size
-    out = data[starts].astype(np.uint32)
-    for i in (1, 2, 3):
-        longer = np.flatnonzero(size > i)
-        if not len(longer):
-            break
-        out[longer] |= data[starts[longer] + i].astype(np.uint32) << np.uint32(8 * i)
+    out, at = np.empty(n, np.uint32), 0
+    for first in range(0, n, STEP):
+        some = out[first:first + STEP]
+        size = LENGTHS[control[first // 4:(first + STEP) // 4]].ravel()[:len(some)]
+        starts = np.cumsum(size, dtype=np.int64) - size + at
+        some[:] = data[starts]
+        for i in (1, 2, 3):
+            longer = np.flatnonzero(size > i)
+            if not len(longer):
+                break
+            some[longer] |= data[starts[longer] + i].astype(np.uint32) << np.uint32(8 * i)
+        at += int(size.sum(dtype=np.int64))
     return out
 
 
