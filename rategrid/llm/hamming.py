@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELL = 16384
+#: Cells up to this size are searched one by one only if they hold a near pair.
+SMALL = 64
 
 
 def forest(prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,6 +42,20 @@ def forest(prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
+def holding(prints: np.ndarray, at: np.ndarray, most: int) -> np.ndarray:
+    """Which of the cells that begin at ``at`` hold two fingerprints within ``most`` bits; larger ones may."""
+    size = np.diff(at)
+    found = size > SMALL
+    owner, stop = np.repeat(np.arange(len(size)), size), np.repeat(at[1:], size)
+    rows, step = np.flatnonzero(~found[owner]), 1
+    while len(rows):
+        rows = rows[(rows + step < stop[rows]) & ~found[owner[rows]]]
+        near = np.bitwise_count(prints[rows] ^ prints[rows + step]) <= most
+        found[owner[rows[near]]] = True
+        step += 1
+    return found
+
+
 def runs(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[pa.RecordBatch]:
     """Batches cut anew so that rows alike in their first ``by`` columns stay together."""
     kept: list[pa.RecordBatch] = []
@@ -120,10 +136,10 @@ def links(
             size = np.diff(at)
             bits = fp.view(np.uint64)
             out: list[tuple[np.ndarray, np.ndarray]] = []
-            two = at[:-1][size == 2]
-            near = two[np.bitwise_count(bits[two] ^ bits[two + 1]) <= most]
-            out.append((fp[near + 1], fp[near]))
-            for i in np.flatnonzero(size > 2):
+            some = holding(bits, at, most)
+            two = at[:-1][some & (size == 2)]
+            out.append((fp[two + 1], fp[two]))
+            for i in np.flatnonzero(some & (size > 2)):
                 one = slice(at[i], at[i + 1])
                 x, y = forest(bits[one], most)
                 out.append((fp[one][x], fp[one][y]))
