@@ -102,9 +102,12 @@ class Hashes:
         return h
 
 
-def word_spans(held: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of the words: runs of letters, digits and bytes beyond ASCII."""
-    inside = WORD[held]
+def word_spans(
+    held: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the words: runs of letters, digits and bytes beyond ASCII, or of the bytes ``inside``."""
+    if inside is None:
+        inside = WORD[held]
     begins = np.zeros(len(held) + 1, bool)
     begins[offsets] = True
     first, last = inside.copy(), inside.copy()
