@@ -31,9 +31,8 @@ from rategrid.llm.store import stash
 UNKNOWN = "und"
 GRAM = 3
 BITS = 14
-#: Labelled texts a language is learnt from, at most, and languages, at most.
+#: Labelled texts a language is learnt from, at most.
 SAMPLE = 1000
-LANGUAGES = 256
 #: Trigrams overlap, so they count as a third each, and no more than so many in all.
 SHARE, MOST = 1 / 3, 300
 #: Added to counts of languages, in pages, where a level is smoothed by the one above.
@@ -78,14 +77,14 @@ def grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = SAMPLE) -> Model:
     """Count trigrams of at most ``most`` labelled texts of a language, chosen by hash.
 
-    The languages with most texts are learnt, ``LANGUAGES`` at most; the tables that
-    reach the driver have one row for each of these and each bucket.
+    Every language that has a labelled text is learnt; the tables that reach the driver
+    have one row for each of these and each bucket.
     """
     order = F.xxhash64(text)
     rows = docs.filter(F.col(lang).isNotNull() & (F.col(lang) != "")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("order")
     )
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    found = rows.groupBy("lang").count().collect()
     names = sorted(r["lang"] for r in found)
     # Ranked on hashes alone; the texts of the chosen are joined afterwards.
     first = Window.partitionBy("lang").orderBy("order")
@@ -96,27 +95,27 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
     place = {n: i for i, n in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, texts_with = (np.zeros((len(names), 1 << BITS), np.int64) for _ in range(2))
         for batch in batches:
-            at = [place.get(x, -1) for x in batch.column(0).to_pylist()]
+            at = [place[x] for x in batch.column(0).to_pylist()]
+            cells, copies = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for start, buckets, ends in grams(batch.column(1)):
                 for i in range(len(ends) - 1):
-                    if at[start + i] >= 0:
-                        n = np.bincount(buckets[ends[i]:ends[i + 1]], minlength=1 << BITS)
-                        total[at[start + i]] += n
-                        texts_with[at[start + i]] += n > 0
-        row, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(row, pa.int64()), pa.array(bucket, pa.int64()), pa.array(total[row, bucket]),
-             pa.array(texts_with[row, bucket])],
-            names=["place", "bucket", "n", "texts"],
-        )
+                    bucket, n = np.unique(buckets[ends[i]:ends[i + 1]], return_counts=True)
+                    cells.append((at[start + i] << BITS) + bucket)
+                    copies.append(n)
+            cell, back = np.unique(np.concatenate(cells), return_inverse=True)
+            total = np.bincount(back, np.concatenate(copies), len(cell)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell >> BITS), pa.array(cell & ((1 << BITS) - 1)), pa.array(total),
+                 pa.array(np.bincount(back, minlength=len(cell)))],
+                names=["place", "bucket", "n", "texts"],
+            )
 
     counts = np.zeros((len(names), 1 << BITS))
     if names:
         # Copies of a chosen text count once.
         table = (
-            rows.join(F.broadcast(chosen.limit(most * len(names))), ["lang", "order"])
+            rows.join(F.broadcast(chosen), ["lang", "order"])
             .groupBy("lang", "order").agg(F.first("text").alias("text")).select("lang", "text")
             .mapInArrow(count, "place bigint, bucket bigint, n bigint, texts bigint")
             .groupBy("place", "bucket").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -78,3 +79,30 @@ def test_grams_stay_in_their_text():
         for i in range(len(ends) - 1):
             counts[first + i] = ends[i + 1] - ends[i]
     assert [counts[i] for i in range(6)] == [2, 0, 0, 0, 1, 0]
+
+
+def test_every_labelled_language_is_learnt(spark):
+    rows = []
+    for i in range(300):
+        word = "".join(chr(0x4E00 + 7 * i + j) for j in range(7))
+        # A few languages have more texts than the others.
+        rows += [(len(rows) + j, f"{word} " * (20 + j), f"l{i:03}", "s", "h") for j in range(1 + i % 3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(docs)
+    assert model.languages == [*(f"l{i:03}" for i in range(300)), language.UNKNOWN]
+    kept = {r["page_id"] for r in language.keep_known(docs, model).collect()}
+    assert kept == {r[0] for r in rows}
+    found = language.identify(docs, model, "page_id", "text").collect()
+    wrong = [r for r in found if r["text_lang"] != dict((x[0], x[2]) for x in rows)[r["page_id"]]]
+    assert not wrong
+
+
+def test_model_is_that_of_plain_counts(spark):
+    texts = [(1, "abcd abc", "x", "", ""), (2, "abc", "x", "", ""), (3, "abc", "x", "", ""), (4, "qrs", "y", "", "")]
+    model = language.train(spark.createDataFrame(texts, SCHEMA))
+    counts = np.zeros((2, 1 << language.BITS))
+    for row, part in ((0, ["abcd abc", "abc"]), (1, ["qrs"])):
+        for _, found, _ in language.grams(pa.array(part)):
+            np.add.at(counts[row], found, 1)
+    own = (counts + language.ADD) / (counts.sum(1, keepdims=True) + language.ADD * (1 << language.BITS))
+    assert np.allclose(model.log[:2], np.log((1 - language.MIXED) * own + language.MIXED / (1 << language.BITS)))
