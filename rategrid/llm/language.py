@@ -175,6 +175,11 @@ def _counts(rows: DataFrame, level: str, size: int, out: str) -> DataFrame:
     return found.select(level, F.array(*[f"s{i}" for i in range(size)]).alias(out))
 
 
+def distinct_values(rows: DataFrame, column: str) -> int:
+    """How many values a column has, NULL not counted."""
+    return rows.filter(F.col(column).isNotNull()).select(column).distinct().count()
+
+
 def identify(
     pages: DataFrame, model: Model, key: str, text: str,
     declared: str | None = None, suffix: str | None = None,
@@ -202,8 +207,8 @@ def identify(
     base[-1] = UNKNOWN_SHARE
     total = np.array(everything["n"]) if everything else np.zeros(size)
     prior = (total + SMOOTH * base) / (total.sum() + SMOOTH * base.sum())
-    # Distinct values of a kind of evidence, for its smoothing: one row.
-    kinds = said.agg(*[F.approx_count_distinct(c).alias(c) for c in ("declared", "suffix")]).first()
+    # Distinct values of a kind of evidence, for its smoothing.
+    kinds = {c: distinct_values(said, c) for c in ("declared", "suffix")}
     zero = F.array(*[F.lit(0.0)] * size)
     levels = ("declared", "suffix", "domain", "host")
     found = said

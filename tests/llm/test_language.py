@@ -106,3 +106,9 @@ def test_model_is_that_of_plain_counts(spark):
             np.add.at(counts[row], found, 1)
     own = (counts + language.ADD) / (counts.sum(1, keepdims=True) + language.ADD * (1 << language.BITS))
     assert np.allclose(model.log[:2], np.log((1 - language.MIXED) * own + language.MIXED / (1 << language.BITS)))
+
+
+def test_distinct_values_are_counted_exactly(spark):
+    rows = spark.range(30000).selectExpr("if(id % 3 = 0, NULL, cast(id % 9973 as string)) as declared")
+    assert language.distinct_values(rows, "declared") == len({i % 9973 for i in range(30000) if i % 3})
+    assert language.distinct_values(rows.limit(0), "declared") == 0
