@@ -155,12 +155,17 @@ def near_duplicates(
         .select("key", "fp"),
         "prints",
     )
-    prints = stash(rows.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
+    named = least_of(rows, "key", bits, cell).withColumnRenamed("least", "component_id")
+    return rows.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def least_of(rows: DataFrame, value: str, bits: int, cell: int) -> DataFrame:
+    """(fp, least): the smallest value in the component of each distinct fingerprint of ``rows``."""
+    prints = stash(rows.groupBy("fp").agg(F.min(value).alias("least")), "distinct")
     groups = linked(prints.select("fp"), bits, cell)
     member = prints.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    least = member.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = member.select("fp", "group").join(least, "group").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id")
+    least = member.groupBy("group").agg(F.min("least").alias("least"))
+    return member.select("fp", "group").join(least, "group").select("fp", "least")
 
 
 def keep_one(
@@ -169,17 +174,29 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs``, with one document of each near-duplicate group.
 
-    The one with the smallest key stays; of repeated rows of that key, one. Rows
-    without a key can't be named: they stay.
+    The one with the smallest key stays; of several texts of that key in the group, that
+    of the smallest hash, and of repeated rows, one. Rows without a key can't be named:
+    they stay.
     """
-    found = near_duplicates(docs, key, text, shingle, bits)
-    stays = found.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    first = Window.partitionBy(key).orderBy(text)
-    order = "__first"
-    while order in docs.columns:
-        order += "_"
-    named = (
-        docs.filter(F.col(key).isNotNull()).join(stays, key, "left_semi")
+    named = docs.filter(F.col(key).isNotNull())
+    a, b = F.xxhash64(text, F.isnull(text), F.lit(1)), F.xxhash64(F.lit(2), text, F.isnull(text))
+    row = F.struct(F.col(key).alias("key"), a.alias("a"), b.alias("b"))
+    # Rows without a key link others, but are never the least.
+    rows = stash(
+        with_fingerprint(
+            docs.select(F.when(F.col(key).isNotNull(), row).alias("row"), F.col(text).alias("text")), shingle=shingle
+        ).select("row", "fp"),
+        "prints",
+    )
+    # A text has one fingerprint, so a row is the least of one component at most.
+    stays = least_of(rows, "row", bits, hamming.CELL).select("least").distinct()
+    mark, order = "__row", "__first"
+    while {mark, order} & set(docs.columns):
+        mark, order = mark + "_", order + "_"
+    first = Window.partitionBy(mark).orderBy(text)
+    kept = (
+        named.withColumn(mark, row)
+        .join(stays.withColumnRenamed("least", mark), mark, "left_semi")
         .withColumn(order, F.row_number().over(first)).filter(F.col(order) == 1)
     )
-    return named.select(docs.columns).unionByName(docs.filter(F.col(key).isNull()))
+    return kept.select(docs.columns).unionByName(docs.filter(F.col(key).isNull()))

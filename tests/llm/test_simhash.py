@@ -110,3 +110,14 @@ def test_odd_rows(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 7, 8]
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert near_duplicates(none).count() == 0 and keep_one(none).count() == 0
+
+
+def test_keep_one_of_keys_with_several_texts(spark):
+    one, other = (" ".join(f"{w}{i * i}" for i in range(60)) for w in "ab")
+    for rows in ([(5, one), (5, other)], [(5, other), (5, one), (5, one)]):
+        kept = keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert sorted(tuple(r) for r in kept) == [(5, one), (5, other)]
+    for a, b in ((one, other), (other, one)):
+        rows = [(3, a), (5, a), (5, b), (None, a), (7, None), (7, "")]
+        kept = keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert {tuple(r) for r in kept} >= {(3, a), (5, b), (None, a)} and len(kept) == 4
