@@ -35,10 +35,12 @@ from rategrid.llm.store import release, stash
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Language of texts that have none.
 UNKNOWN = "und"
-#: Bytes of text worked on at a time, and occurrences tallied together.
-CHUNK, TALLY = 1 << 22, 1 << 22
-#: Counters of a summary, about, and survivors that are sent to every task, at most.
-COUNTERS, HELD = 1 << 18, 1 << 21
+#: Bytes of text worked on at a time, occurrences tallied together, and words whose hash is kept.
+CHUNK, TALLY, KNOWN = 1 << 21, 1 << 21, 300_000
+#: Hash partitions at least, so that a tally's share of one is small; counters of a summary, about.
+PARTS, COUNTERS = 4096, 1 << 18
+#: Survivors, and totals of languages, that are sent to every task, at most.
+HELD, LANGUAGES = 1 << 21, 100_000
 #: Marks and line ends end a piece, blanks and tabs a word.
 _FLAT = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -52,10 +54,10 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict[bytes, int]):
-    """Hashes of the words a task has met; at most a million are kept."""
+    """Hashes of the words a task has met; at most ``KNOWN`` are kept."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= KNOWN:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -128,21 +130,32 @@ class Held:
         return found
 
 
+def packed(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Stretches of an array as binary values."""
+    held = pa.py_buffer(np.ascontiguousarray(values))
+    offsets = pa.py_buffer((edge * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, offsets, held])
+
+
 def tallied(batches: Iterator[pa.RecordBatch], parts: int, sizes: range, pairs: Held | None) -> Iterator[pa.RecordBatch]:
-    """(slot, hash, n): tallies of n-grams, and what each hash partition got; slot is 2 x partition, + 1 for tallies.
+    """(slot, mass, hashes, counts): tallies of n-grams by hash partition, and what each partition got.
 
-    With ``pairs``, n-grams whose pairs are not all among them are left out.
+    A row of slot 2 x partition + 1 holds a tally, as packed numbers, one of slot 2 x partition
+    the occurrences. With ``pairs``, n-grams whose pairs are not all among them are left out.
     """
-    mass = np.zeros(parts, np.int64)
+    names, mass = ["slot", "mass", "hashes", "counts"], np.zeros(parts, np.int64)
     kept: list[np.ndarray] = []
 
     def flush() -> pa.RecordBatch:
         h, n = np.unique(np.concatenate(kept), return_counts=True)
         part = ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        np.add.at(mass, part, n)
         kept.clear()
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        edge, own = np.append(first, len(h)), part[first]
+        mass[own] += np.add.reduceat(n, first)
         return pa.RecordBatch.from_arrays(
-            [pa.array(part * 2 + 1), pa.array(h.view(np.int64)), pa.array(n)], names=["slot", "hash", "n"]
+            [pa.array(own * 2 + 1), pa.nulls(len(own), pa.int64()), packed(h, edge), packed(n.astype(np.uint32), edge)],
+            names=names,
         )
 
     for chunk, _ in chunks(batches):
@@ -162,10 +175,9 @@ def tallied(batches: Iterator[pa.RecordBatch], parts: int, sizes: range, pairs:
             yield flush()
     if sum(map(len, kept)):
         yield flush()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.flatnonzero(mass) * 2), pa.array(np.zeros(np.count_nonzero(mass), np.int64)), pa.array(mass[mass > 0])],
-        names=["slot", "hash", "n"],
-    )
+    own = np.flatnonzero(mass)
+    none = pa.nulls(len(own), pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(own * 2), pa.array(mass[own]), none, none], names=names)
 
 
 class Summary:
@@ -213,26 +225,24 @@ def summarised(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(summary.frequent(least))], names=["hash"])
 
     for batch in batches:
-        slot, hashes, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        edge = np.append(np.flatnonzero(np.append(True, slot[1:] != slot[:-1])), len(slot))
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            if a == b:
-                continue
-            if slot[a] >> 1 != part:
+        slots, masses = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        for i, slot in enumerate(slots.tolist()):
+            if slot >> 1 != part:
                 yield from done()
-                part, mass, summary = slot[a] >> 1, 0, None
-            if slot[a] & 1 == 0:
-                mass += int(n[a:b].sum())
+                part, mass, summary = slot >> 1, 0, None
+            if slot & 1 == 0:
+                mass += int(masses[i])
             else:
                 summary = summary or Summary(mass // least + 1)
-                summary.add(hashes[a:b], n[a:b])
+                hashes, counts = (batch.column(c)[i].as_buffer() for c in (2, 3))
+                summary.add(np.frombuffer(hashes, np.int64), np.frombuffer(counts, np.uint32).astype(np.int64))
     yield from done()
 
 
 def survivors(texts: DataFrame, parts: int, sizes: range, least: int, pairs) -> DataFrame:
     """(hash) of the n-grams that may occur ``least`` times, written."""
     tallies = texts.mapInArrow(
-        lambda b: tallied(b, parts, sizes, pairs.value if pairs else None), "slot bigint, hash bigint, n bigint"
+        lambda b: tallied(b, parts, sizes, pairs.value if pairs else None), "slot bigint, mass bigint, hashes binary, counts binary"
     )
     dealt = tallies.repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot")
     return stash(dealt.mapInArrow(lambda b: summarised(b, least), "hash bigint"), "survivors")
@@ -297,7 +307,7 @@ def frequent_phrases(
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # At most one word in two bytes, as a word and as a pair.
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // (least * COUNTERS) + 1)
+    parts = max(PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // (least * COUNTERS) + 1)
     short = survivors(texts, parts, range(1, min(2, longest) + 1), least, None)
     found = short
     if longest > 2:
@@ -327,7 +337,7 @@ def _part(words: Column, first: Column | int, length: Column) -> Column:
 def _band(score: Column) -> Column:
     """Bands of scores: how many bits, then the four bits after the first."""
     bits = F.length(F.bin(score))
-    return (bits * 16 + F.pmod(F.expr(f"shiftright(score, greatest(length(bin(score)) - 5, 0))"), F.lit(16))).cast("int")
+    return (bits * 16 + F.pmod(F.expr("shiftright(score, greatest(length(bin(score)) - 5, 0))"), F.lit(16))).cast("int")
 
 
 def collocations(
@@ -350,6 +360,8 @@ def collocations(
         raise ValueError("a phrase has two words at least")
     counts = frequent_phrases(docs, lang, text, least, longest, most)
     totals = counts.filter(F.col("size") == 0).select("lang", F.col("n").alias("total"))
+    if totals.count() <= LANGUAGES:
+        totals = F.broadcast(totals)
     known = counts.filter(F.col("size") > 0).select("lang", "phrase", "n")
     words = F.split("phrase", " ")
     candidates = counts.filter(F.col("size") > 1).select("lang", "size", "phrase", F.col("n").alias("a"), words.alias("w"))
