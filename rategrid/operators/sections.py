@@ -29,11 +29,14 @@ from rategrid.functions.blocks import (
 )
 from rategrid.functions.text import (
     Pattern,
+    broken,
+    compiled,
     drop_blank,
-    drop_matching,
+    drop_hits,
     first_match,
+    found,
     is_blank,
-    last_match,
+    last_hit,
     matches,
     numbered,
     split_lines,
@@ -41,6 +44,8 @@ from rategrid.functions.text import (
 
 PAGE_BLOCK = 4096  # pages in a block of a document
 LAYOUT = ["start_pattern", "start_offset", "end_pattern", "end_offset", "skip_pattern"]
+PATTERNS = ["start_pattern", "end_pattern", "skip_pattern"]
+READY = [f"__{name}" for name in PATTERNS]
 
 
 # --- rules --------------------------------------------------------------------
@@ -48,12 +53,13 @@ LAYOUT = ["start_pattern", "start_offset", "end_pattern", "end_offset", "skip_pa
 
 def section_span(
     n_lines: Column, start_hit: Column, end_hit: Column, layout: dict[str, Column],
-    several: Column | None = None,
+    several: Column | None = None, bad: Column | None = None,
 ) -> Column:
     """``struct<first, last, reason>``; ``reason`` is NULL when there is a section.
 
     The span is clipped to the document. A span that ends before it starts is
-    rejected rather than read backwards, and so is a document with ``several`` layouts.
+    rejected rather than read backwards, and so is a document with ``several`` layouts
+    or a ``bad`` pattern, which names it.
     """
     first = (
         F.when(layout["start_pattern"] == "", F.lit(1)).otherwise(start_hit)
@@ -64,6 +70,7 @@ def section_span(
     )
     reason = (
         F.when(F.lit(False) if several is None else F.coalesce(several, F.lit(False)), "several_layouts")
+        .when(F.lit(False) if bad is None else bad.isNotNull(), F.lit(None) if bad is None else bad)
         .when(layout["start_pattern"].isNull() | layout["end_pattern"].isNull(), "no_layout")
         .when(first.isNull(), "no_start")
         .when(last.isNull(), "no_end")
@@ -88,8 +95,24 @@ def layout_literals(
     return {name: F.lit(value) for name, value in zip(LAYOUT, values, strict=True)}
 
 
+def bad_pattern(layout: dict[str, Column]) -> Column:
+    """``bad_start_pattern`` and so on for the first pattern that does not compile, else NULL."""
+    return F.coalesce(*[F.when(broken(layout[name]), F.lit(f"bad_{name}")) for name in PATTERNS])
+
+
+def with_ready_patterns(df: DataFrame, layout: dict[str, Column]) -> DataFrame:
+    """Add the layout's patterns, compiled once a row, and which of them is bad."""
+    ready = {held: compiled(layout[name]) for held, name in zip(READY, PATTERNS, strict=True)}
+    return df.withColumns({**ready, "__bad": bad_pattern(layout)})
+
+
+def _last_hit(lines: Column, ready: str) -> Column:
+    return last_hit(lines, lambda line: found(line, F.col(ready)))
+
+
 def _kept(rows: Column, skip_pattern: Column, skip_blank: bool) -> Column:
-    rows = drop_matching(rows, skip_pattern)
+    empty = F.coalesce(skip_pattern, F.lit("")) == ""
+    rows = F.when(empty, rows).otherwise(drop_hits(rows, F.col(READY[2])))
     return drop_blank(rows) if skip_blank else rows
 
 
@@ -107,21 +130,22 @@ def cut_text(
     lines = F.col("__lines")
     span = section_span(
         F.size(lines),
-        last_match(lines, layout["start_pattern"]),
-        last_match(lines, layout["end_pattern"]),
+        _last_hit(lines, READY[0]),
+        _last_hit(lines, READY[1]),
         layout,
+        bad=F.col("__bad"),
     )
     first, last = F.col("__span.first"), F.col("__span.last")
     cut = numbered(F.slice(lines, first.cast("int"), (last - first + 1).cast("int")), first - 1)
     return (
-        docs.withColumn("__lines", split_lines(F.col(text)))
+        with_ready_patterns(docs, layout).withColumn("__lines", split_lines(F.col(text)))
         .withColumn("__span", span)
         .withColumn("reason", F.col("__span.reason"))
         .withColumn(
             "section",
             F.when(F.col("reason").isNull(), _kept(cut, layout["skip_pattern"], skip_blank)),
         )
-        .drop("__lines", "__span")
+        .drop("__lines", "__span", "__bad", *READY)
     )
 
 
@@ -151,11 +175,13 @@ def page_lines(pages: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def one_layout(layouts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document: its layout, and whether there are ``several`` that differ."""
+    """One row per document: its layout, whether there are ``several`` that differ, and
+    its patterns compiled, with the name of one that is bad."""
     held = layouts.groupBy(F.struct(key).alias(KEY)).agg(
         F.min(F.struct(*LAYOUT)).alias("one"), F.max(F.struct(*LAYOUT)).alias("other")
     )
-    return held.select(KEY, "one.*", (F.col("one") != F.col("other")).alias("several"))
+    one = held.select(KEY, "one.*", (F.col("one") != F.col("other")).alias("several"))
+    return with_ready_patterns(one, layout_columns())
 
 
 def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -167,16 +193,16 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     lines = F.col("__lines")
     facts = laid_out.withColumn("__lines", split_lines(F.col("text"))).select(
-        KEY, BLOCK, "page_no", *LAYOUT, "several",
+        KEY, BLOCK, "page_no", *LAYOUT, "several", "__bad", READY[2],
         F.size(lines).cast("bigint").alias("n_lines"),
-        last_match(lines, F.col("start_pattern")).alias("start_hit"),
-        last_match(lines, F.col("end_pattern")).alias("end_hit"),
+        _last_hit(lines, READY[0]).alias("start_hit"),
+        _last_hit(lines, READY[1]).alias("end_hit"),
     )
     above = F.coalesce(F.sum("n_lines").over(earlier(inside_block("page_no"))), F.lit(0))
     # The layout is the same in a document: as a grouping key it needs no sorting.
     blocks = (
         facts.withColumn("above", above)
-        .groupBy(KEY, BLOCK, *LAYOUT, "several")
+        .groupBy(KEY, BLOCK, *LAYOUT, "several", "__bad", READY[2])
         .agg(
             F.sum("n_lines").alias("n_lines"),
             F.max(F.col("above") + F.col("start_hit")).alias("start_hit"),
@@ -187,14 +213,14 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
     placed = blocks.withColumn(
         "before", F.coalesce(F.sum("n_lines").over(earlier(across)), F.lit(0))
     ).select(
-        KEY, BLOCK, "n_lines", "before", *LAYOUT, "several",
+        KEY, BLOCK, "n_lines", "before", *LAYOUT, "several", "__bad", READY[2],
         F.sum("n_lines").over(whole(across)).alias("__n"),
         F.max(F.col("before") + F.col("start_hit")).over(whole(across)).alias("__start"),
         F.max(F.col("before") + F.col("end_hit")).over(whole(across)).alias("__end"),
     )
-    span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns(), F.col("several"))
+    span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns(), F.col("several"), F.col("__bad"))
     return placed.withColumn("span", span).select(
-        F.col(f"{KEY}.{key}").alias(key), KEY, BLOCK, "n_lines", "before", "skip_pattern", "span.*"
+        F.col(f"{KEY}.{key}").alias(key), KEY, BLOCK, "n_lines", "before", "skip_pattern", READY[2], "span.*"
     )
 
 
@@ -217,7 +243,7 @@ def cut_pages(
         F.col("reason").isNull()
         & (F.col("before") < F.col("last"))
         & (F.col("before") + F.col("n_lines") >= F.col("first"))
-    ).select(KEY, BLOCK, "before", "skip_pattern", "first", "last")
+    ).select(KEY, BLOCK, "before", "skip_pattern", READY[2], "first", "last")
 
     n_lines = F.size("__lines")
     above = F.sum(n_lines).over(earlier(inside_block("page_no")))
@@ -247,9 +273,12 @@ def last_matching_line(lines: DataFrame, pattern: Pattern, key: str = "doc_id")
 
 
 def without_matching(lines: DataFrame, pattern: Pattern) -> DataFrame:
-    if isinstance(pattern, str) and pattern == "":
-        return lines
-    return lines.where(~matches(F.col("line"), pattern))
+    """Lines without the pattern. An empty one, and one in a column that is NULL or does
+    not compile, keep the line."""
+    if isinstance(pattern, str):
+        return lines if pattern == "" else lines.where(~matches(F.col("line"), pattern))
+    ready = lines.withColumn("__ready", F.when(pattern != "", compiled(pattern)))
+    return ready.where(F.col("__ready").isNull() | ~found(F.col("line"), F.col("__ready"))).drop("__ready")
 
 
 def without_blank(lines: DataFrame, trim: bool = False) -> DataFrame:
@@ -263,18 +292,24 @@ def only_matching(lines: DataFrame, pattern: Pattern) -> DataFrame:
 
 def without_repeats(lines: DataFrame, pattern: Pattern, key: str = "doc_id") -> DataFrame:
     """Drop every line with the pattern but the document's first one."""
-    hit = F.coalesce(matches(F.col("line"), pattern), F.lit(False))
+    if not isinstance(pattern, str):
+        lines, pattern = lines.withColumn("__ready", compiled(pattern)), F.col("__ready")
+    hit = matches(F.col("line"), pattern) if isinstance(pattern, str) else found(F.col("line"), pattern)
+    hit = F.coalesce(hit, F.lit(False))
     placed = place(lines, [key], "line_no", least={"__first": F.when(hit, F.col("line_no"))})
-    return placed.where(~hit | (F.col("line_no") == F.col("__first"))).drop("__first")
+    return placed.where(~hit | (F.col("line_no") == F.col("__first"))).drop("__first", "__ready")
 
 
 def without_repeats_in(docs: DataFrame, rows: str, pattern: Pattern) -> DataFrame:
     """The same for the numbered lines of documents held in one row each."""
     first = first_match(F.transform(rows, lambda r: r["line"]), pattern)
+    if not isinstance(pattern, str):
+        docs, pattern = docs.withColumn("__ready", compiled(pattern)), F.col("__ready")
+    hit = (lambda e: matches(e, pattern)) if isinstance(pattern, str) else (lambda e: found(e, pattern))
     kept = F.filter(
-        rows, lambda r, i: ~matches(r["line"], pattern) | (i + 1 == F.col("__first"))
+        rows, lambda r, i: ~F.coalesce(hit(r["line"]), F.lit(False)) | (i + 1 == F.col("__first"))
     )
-    return docs.withColumn("__first", first).withColumn(rows, kept).drop("__first")
+    return docs.withColumn("__first", first).withColumn(rows, kept).drop("__first", "__ready")
 
 
 def after_head(rows: Column, n: int) -> Column:

@@ -19,6 +19,7 @@ from rategrid.operators.links import (
     order_rejects,
     page_rejects,
     resolve_sources,
+    source_rejects,
 )
 from rategrid.operators.rates import crosswalk_rejects, to_common_band
 from rategrid.operators.sections import LAYOUT, cut_pages
@@ -27,13 +28,15 @@ Picks = tuple[Column, Column]
 
 
 def acquire(sources: DataFrame, pages: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Registry with ``doc_url`` and ``award_file``; sources with a bad order and
-    addresses with several pages as rejects."""
+    """Registry with ``doc_url`` and ``award_file``; rejects: sources with a bad order, those
+    for which no document was found, and addresses with several pages."""
     checked = check_order(sources)
-    registry = resolve_sources(worked(checked), pages).withColumn(
+    resolved = resolve_sources(worked(checked), pages)
+    registry = resolved.drop("reason").withColumn(
         "award_file", award_path(F.col("state"), F.col("doc_type"), folder)
     )
-    return registry, order_rejects(checked).unionByName(page_rejects(pages))
+    rejected = order_rejects(checked).unionByName(source_rejects(resolved))
+    return registry, rejected.unionByName(page_rejects(pages))
 
 
 def _pay_rows(cells: DataFrame, level: Column, amount: Column) -> DataFrame:

@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from rategrid import schemas
 from rategrid.functions.arrays import exploded
-from rategrid.functions.urls import absolute_url
+from rategrid.functions.urls import absolute_url, url_key
 from rategrid.operators.links import (
     absolute_links,
     award_path,
     check_order,
+    check_pattern,
     latest_links,
     matching_links,
     page_links,
     resolve_sources,
+    source_rejects,
 )
 from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import page_sources
@@ -223,3 +225,108 @@ def _url_forms(spark, sf_dir):
         absolute_url(F.col("url"), F.lit("../../../../")).alias("root"),
         absolute_url(F.lit("http://other.example/x"), F.col("url")).alias("same"),
     )
+
+
+# Sources with patterns that do not compile among good ones, by the page's number.
+_BROKEN = {1: "(", 2: "[a", 3: "*en", 4: "(?<x", 5: "en\\"}
+_BROKEN_SQL = "CASE page_id % 7 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _BROKEN.items()) + " ELSE pattern END"
+
+
+def _with_broken_patterns(sources):
+    pattern = F.col("pattern")
+    for remainder, text in _BROKEN.items():
+        pattern = F.when(F.col("page_id") % 7 == remainder, text).otherwise(pattern)
+    return sources.withColumn("pattern", pattern)
+
+
+@query(
+    "pattern_rejects",
+    f"""
+    WITH {_SOURCES},
+    s AS (SELECT *, {_BROKEN_SQL} AS p, page_id % 7 BETWEEN 1 AND 5 AS bad FROM src),
+    l AS (SELECT *, CASE WHEN NOT bad THEN list_filter({_LINKS}, lambda h: regexp_matches(h, pattern)) END AS hs FROM s)
+    SELECT state, CASE WHEN len(hs) > 0 THEN {_ORIGIN} ||
+             CASE WHEN lower("order") = 'fwd' THEN hs[-1] ELSE hs[1] END END AS latest,
+           CASE WHEN bad THEN 'pattern does not compile: ' || p END AS reason
+    FROM l
+    """,
+)
+def _pattern_rejects(spark, sf_dir):
+    # Five kinds of broken patterns; the other sources find their links all the same.
+    index = _with_broken_patterns(page_sources(spark, sf_dir, "html"))
+    return latest_links(check_pattern(index)).select("state", "latest", "reason")
+
+
+@query(
+    "source_rejects",
+    f"""
+    WITH {_SOURCES},
+    s AS (SELECT *, {_BROKEN_SQL} AS p, type = 'IDX' AND page_id % 7 BETWEEN 1 AND 5 AS bad,
+                 page_id % 5 = 0 AS gone, type = 'WEB' AND page_id % 3 = 0 AS bare FROM src),
+    l AS (SELECT *, CASE WHEN NOT bad THEN list_filter({_LINKS}, lambda h: regexp_matches(h, pattern)) END AS hs FROM s)
+    SELECT 'source' AS stage, state AS key,
+           CASE WHEN bare THEN 'no address' WHEN bad THEN 'pattern does not compile: ' || p
+                WHEN pattern IS NULL THEN 'no pattern' WHEN gone THEN 'no index page'
+                ELSE 'no matching link' END AS reason
+    FROM l
+    WHERE bare OR type = 'IDX' AND (bad OR pattern IS NULL OR gone OR len(hs) = 0)
+    """,
+)
+def _source_rejects(spark, sf_dir):
+    # A fifth of the pages is missing, and a third of the documents has no address.
+    sources = _with_broken_patterns(page_sources(spark, sf_dir))
+    bare = (F.col("type") == "WEB") & (F.col("page_id") % 3 == 0)
+    sources = sources.withColumn("url", F.when(~bare, F.col("url")))
+    pages = table(spark, sf_dir, "pages").where(F.col("page_id") % 5 != 0)
+    return source_rejects(resolve_sources(sources, pages))
+
+
+def _spelt(url):
+    """The same address in other words: case, port, dots, escapes and a fragment."""
+    scheme = F.regexp_extract(url, "^(https?)://", 1)
+    host = F.regexp_extract(url, "^https?://([^/?#]+)", 1)
+    rest = F.regexp_extract(url, "^https?://[^/?#]+([^#]*)", 1)
+    port = F.when(scheme == "https", ":443").otherwise(":80")
+    return F.concat(
+        F.upper(scheme), F.lit("://"), F.upper(host), port, F.lit("/x/.."),
+        F.replace(rest, F.lit("e"), F.lit("%65")), F.lit("#top"),
+    )
+
+
+@query(
+    "resolve_sources_forms",
+    r"""
+    WITH s AS (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM pages),
+    k AS (SELECT *, CASE WHEN regexp_matches(bare, '^https?://[^/?#]+$') THEN bare || '/' ELSE bare END AS key FROM s),
+    l AS (SELECT *, list_filter(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1),
+                    lambda h: regexp_matches(h, 'en')) AS hs FROM k),
+    n AS (SELECT key, max(CASE WHEN len(hs) > 0 THEN hs[-1] END) AS path FROM l GROUP BY key)
+    SELECT 'S' || page_id AS state,
+           CASE WHEN path IS NOT NULL THEN upper(regexp_extract(url, '^(https?)', 1)) || '://'
+             || upper(regexp_extract(url, '^https?://([^/?#]+)', 1))
+             || CASE WHEN url LIKE 'https%' THEN ':443' ELSE ':80' END || path END AS doc_url,
+           CASE WHEN path IS NULL THEN 'no matching link' END AS reason
+    FROM l JOIN n USING (key)
+    """,
+)
+def _resolve_sources_forms(spark, sf_dir):
+    # Every source spells its index page otherwise than the pages table does.
+    sources = page_sources(spark, sf_dir).withColumns(
+        {"url": _spelt(F.col("url")), "type": F.lit("IDX"), "pattern": F.lit("en"), "order": F.lit("fwd")}
+    )
+    resolved = resolve_sources(sources, table(spark, sf_dir, "pages"))
+    return resolved.select("state", "doc_url", "reason")
+
+
+@query(
+    "url_keys",
+    """
+    WITH s AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS bare FROM pages),
+    k AS (SELECT page_id, CASE WHEN regexp_matches(bare, '^https?://[^/?#]+$') THEN bare || '/' ELSE bare END AS key FROM s)
+    SELECT page_id, key AS own, key AS spelt FROM k
+    """,
+)
+def _url_keys(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(
+        "page_id", url_key(F.col("url")).alias("own"), url_key(_spelt(F.col("url"))).alias("spelt")
+    )

@@ -31,7 +31,10 @@ from rategrid.operators.sections import (
     without_repeats_in,
 )
 from rategrid.plans.registry import query, table
-from rategrid.plans.inputs import award_doc_layouts, award_pages, part_pages
+from rategrid import schemas
+from rategrid.operators.combine import with_layouts
+from rategrid.plans.inputs import award_doc_layouts, award_docs, award_pages, part_pages
+from rategrid.sources.literal import literal_table
 
 # A word looked for in documents of each language.
 WORDS = {"en": " the ", "fr": " les ", "de": " und ", "es": " que "}
@@ -393,3 +396,28 @@ def _dispatch_doc_type(spark, sf_dir):
         *[F.get("row.cells", F.lit(i)).alias(f"c{i}") for i in range(3)],
         "reason",
     )
+
+
+@query(
+    "section_bad_patterns",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN n_nationkey % 5 IN (0, 4) THEN
+             CASE WHEN count(o_orderkey) > 0 THEN count(o_orderkey) END END AS n_lines,
+           CASE n_nationkey % 5 WHEN 1 THEN 'bad_start_pattern' WHEN 2 THEN 'bad_end_pattern'
+             WHEN 3 THEN 'bad_skip_pattern'
+             ELSE CASE WHEN count(o_orderkey) = 0 THEN 'end_before_start' END END AS reason
+    FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey
+    GROUP BY c_custkey, n_nationkey
+    """,
+)
+def _section_bad_patterns(spark, sf_dir):
+    # Layouts of three states in five hold a pattern that does not compile.
+    good = ["PART B", 2, "PART C", -1, r"^\s+\d+$"]
+    kinds = [good, ["(", *good[1:]], [*good[:2], "[", *good[3:]], [*good[:4], "*"], good]
+    layouts = literal_table(spark, [(f"NATION_{i}", *kinds[i % 5]) for i in range(25)], schemas.LAYOUTS)
+    docs = with_layouts(award_docs(spark, sf_dir), layouts)
+    lines, rejected = cut_pages(award_pages(spark, sf_dir), docs)
+    kept = lines.groupBy(F.col("doc_id").cast("string").alias("key")).agg(F.count("line").alias("n_lines"))
+    return kept.select("key", "n_lines", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("key", F.lit(None).cast("bigint").alias("n_lines"), "reason")
+    )

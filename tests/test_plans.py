@@ -18,7 +18,7 @@ MARKUP = {
     "header_promote_cells", "link_extract", "link_filter", "link_absolute", "latest_link",
     "resolve_sources", "resolve_sources_doubled", "award_registry", "dispatch_doc_type",
     "link_extract_loose", "html_cells_marked", "html_named_rows", "award_bands_mixed",
-    "award_rejects",
+    "award_rejects", "pattern_rejects", "source_rejects", "resolve_sources_forms",
 }
 # One row per document or line in, no meeting of rows: nothing may be shuffled.
 NARROW = {
@@ -28,6 +28,7 @@ NARROW = {
     "skip_lines", "skip_blank", "repeat_headers", "page_subset", "skip_head", "head_lines",
     "footnote_clean", "fault_isolated", "dispatch_doc_type", "order_rejects", "combine_states", "ordered_filter",
     "link_extract_loose", "html_cells_marked", "html_named_rows", "skip_lines_nbsp",
+    "pattern_rejects", "url_keys",
 }
 
 
