@@ -10,10 +10,11 @@ from rategrid.functions.text import split_lines
 from rategrid.operators.bands import clean_salaries
 from rategrid.operators.combine import combine_states, with_layouts
 from rategrid.operators.faults import with_reason
+from rategrid.operators.html_tables import html_tables
 from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import award_docs, award_pages, order_words, salaries
 from rategrid.sources.literal import literal_table
-from rategrid.sources.readers import read_csv, read_table
+from rategrid.sources.readers import csv_rejects, read_csv, read_csv_checked, read_html_files, read_table
 from rategrid.sources.sinks import shared_folder, write_by_state, write_csv
 
 
@@ -187,3 +188,165 @@ def _fault_isolated(spark, sf_dir):
     )
     checked = with_reason(events, F.col("k").isNull(), reason)
     return checked.select(F.col("event_id").cast("string").alias("key"), "k", "reason")
+
+
+@query(
+    "partitioned_rewrite",
+    """
+    SELECT n_name AS state, ' P-' || l_linenumber || ' ' AS level,
+           CASE n_name WHEN 'NATION_3' THEN 2 * l_extendedprice ELSE l_extendedprice END AS annual,
+           l_linenumber AS band
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+                  JOIN nation ON s_nationkey = n_nationkey
+    """,
+)
+def _partitioned_rewrite(spark, sf_dir):
+    # All states are written, then one of them again.
+    path = shared_folder(spark, "partitioned_rewrite")
+    rows = clean_salaries(salaries(spark, sf_dir))
+    write_by_state(rows, path)
+    again = rows.where(F.col("state") == "NATION_3").withColumn("annual", 2 * F.col("annual"))
+    write_by_state(again, path)
+    return spark.read.schema(schemas.SALARIES).parquet(path)
+
+
+def _write_lines(lines, path, parts=16, encoding=None):
+    """Files of raw lines in the order ``ord``, one for each value of ``file``."""
+    dealt = lines.repartition(parts, "file").sortWithinPartitions("file", "ord")
+    writer = dealt.select("file", "line").write.mode("append").partitionBy("file")
+    if encoding is None:
+        writer.text(path)
+    else:
+        # The text writer knows UTF-8 only; a CSV of one column without quotes is the same.
+        writer.options(encoding=encoding, quote="", sep="\u0001", ignoreLeadingWhiteSpace=False,
+                       ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)
+
+
+def _customer_csv(spark, sf_dir, name, header, record):
+    """CSV files written by hand: customers in 16 files, each with the header."""
+    path = shared_folder(spark, name)
+    rows = table(spark, sf_dir, "customer").select(
+        F.pmod("c_custkey", F.lit(16)).alias("file"), F.lit(1).alias("ord"), record.alias("line")
+    )
+    first = spark.range(16).select(F.col("id").alias("file"), F.lit(0).alias("ord"), F.lit(header).alias("line"))
+    _write_lines(first.unionByName(rows), path)
+    return path
+
+
+_CUSTOMER = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("said", T.StringType()),
+    T.StructField("c_acctbal", T.DoubleType()), T.StructField("c_mktsegment", T.StringType()),
+])
+
+
+def _quoted(*parts):
+    return F.concat(F.lit('"'), F.replace(F.concat(*parts), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+@query(
+    "csv_quoted",
+    """
+    SELECT c_custkey, 'says "' || c_name || '", ' || chr(10) || 'twice' AS said, c_acctbal, c_mktsegment
+    FROM customer
+    """,
+)
+def _csv_quoted(spark, sf_dir):
+    # Columns in another order than the schema's and one more; quotes, commas and line ends in cells.
+    said = _quoted(F.lit('says "'), "c_name", F.lit('", \ntwice'))
+    record = F.concat_ws(",", said, F.lit("more"), F.col("c_acctbal").cast("string"), F.col("c_mktsegment"), F.col("c_custkey").cast("string"))
+    path = _customer_csv(spark, sf_dir, "csv_quoted", "said,other,C_ACCTBAL,c_mktsegment,c_custkey", record)
+    return read_csv(spark, path, _CUSTOMER)
+
+
+@query(
+    "csv_rejects",
+    """
+    SELECT 'csv' AS stage,
+           c_custkey || CASE c_custkey % 5 WHEN 1 THEN ',x,' || c_nationkey || 'k,' || c_mktsegment
+             WHEN 2 THEN ',"a,b"' ELSE ',x,1,' || c_mktsegment || ',' || c_name END AS key,
+           CASE c_custkey % 5 WHEN 1 THEN 'c_acctbal is no double: ' || c_nationkey || 'k'
+             ELSE 'another number of cells than the header has' END AS reason
+    FROM customer WHERE c_custkey % 5 BETWEEN 1 AND 3
+    UNION ALL
+    SELECT 'good', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_custkey % 5 IN (0, 4)
+    """,
+)
+def _csv_rejects(spark, sf_dir):
+    # Three records in five do not fit: no number, a cell too few, a cell too many.
+    kind = F.col("c_custkey") % 5
+    record = F.concat_ws(
+        ",", F.col("c_custkey").cast("string"),
+        F.when(kind == 1, F.concat(F.lit("x,"), F.col("c_nationkey"), F.lit("k,"), "c_mktsegment"))
+        .when(kind == 2, '"a,b"').when(kind == 3, F.concat(F.lit("x,1,"), "c_mktsegment", F.lit(","), "c_name"))
+        .otherwise(F.concat(F.lit("x, "), F.col("c_nationkey"), F.lit(" ,"), "c_mktsegment")),
+    )
+    path = _customer_csv(spark, sf_dir, "csv_rejects", "c_custkey,said,c_acctbal,c_mktsegment", record)
+    checked = read_csv_checked(spark, path, _CUSTOMER)
+    good = checked.where(F.col("reason").isNull()).select(
+        F.lit("good").alias("stage"), F.col("c_custkey").cast("string").alias("key"),
+        F.col("c_acctbal").cast("int").cast("string").alias("reason"),
+    )
+    return csv_rejects(checked).unionByName(good)
+
+
+@query(
+    "csv_exact",
+    r"""
+    SELECT c_custkey, CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'NA'
+             WHEN 3 THEN 'say "' || c_name || '"' WHEN 4 THEN c_name || ',' || c_mktsegment
+             WHEN 5 THEN c_name || chr(13) || chr(10) || c_mktsegment || chr(13) WHEN 6 THEN ' ' || c_name || chr(9)
+             WHEN 7 THEN '\"' || c_name || '\' ELSE '"' END AS said,
+           CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal, c_mktsegment
+    FROM customer
+    """,
+)
+def _csv_exact(spark, sf_dir):
+    # What a sink writes its own reader reads back, missing values and empty texts apart.
+    kind, name, segment = F.col("c_custkey") % 9, F.col("c_name"), F.col("c_mktsegment")
+    said = (
+        F.when(kind == 1, "").when(kind == 2, "NA").when(kind == 3, F.concat(F.lit('say "'), name, F.lit('"')))
+        .when(kind == 4, F.concat(name, F.lit(","), segment))
+        .when(kind == 5, F.concat(name, F.lit("\r\n"), segment, F.lit("\r")))
+        .when(kind == 6, F.concat(F.lit(" "), name, F.lit("\t")))
+        .when(kind == 7, F.concat(F.lit('\\"'), name, F.lit("\\"))).when(kind == 8, '"')
+    )
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", said.alias("said"),
+        F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal")).alias("c_acctbal"), "c_mktsegment",
+    )
+    path = shared_folder(spark, "csv_exact")
+    write_csv(rows, path, exact=True)
+    return read_csv(spark, path, _CUSTOMER, exact=True)
+
+
+# Charsets of written files, and what their pages say of them; the last says nothing.
+_CHARSETS = [("ISO-8859-1", '<meta charset="latin1">', "latin1"), ("UTF-16", "", "utf-16be"), ("UTF-8", "", "utf-8")]
+
+
+@query(
+    "html_files",
+    """
+    SELECT 'Höhe ' || s_name AS name, '£' || s_suppkey AS pay,
+           CASE s_nationkey % 3 WHEN 0 THEN 'latin1' WHEN 1 THEN 'utf-16be' ELSE 'utf-8' END AS charset
+    FROM supplier
+    """,
+)
+def _html_files(spark, sf_dir):
+    # A file for each nation and thousand suppliers, in three charsets.
+    path = shared_folder(spark, "html_files")
+    suppliers = table(spark, sf_dir, "supplier").withColumn(
+        "file", F.concat_ws("-", "s_nationkey", F.floor(F.col("s_suppkey") / 1000))
+    )
+    line = F.concat(F.lit("<tr><td>Höhe "), "s_name", F.lit("</td><td>£"), "s_suppkey", F.lit("</td></tr>"))
+    for i, (charset, meta, _) in enumerate(_CHARSETS):
+        some = suppliers.where(F.col("s_nationkey") % 3 == i)
+        rows = some.select("file", F.lit(1).alias("ord"), line.alias("line"))
+        files = some.select("file").distinct()
+        ends = files.select("file", F.inline(F.array(
+            F.struct(F.lit(0).alias("ord"), F.lit(f"<html><head>{meta}</head><table>").alias("line")),
+            F.struct(F.lit(2).alias("ord"), F.lit("</table></html>").alias("line")),
+        )))
+        _write_lines(ends.unionByName(rows), path, encoding=charset)
+    read = html_tables(read_html_files(spark, path))
+    rows = read.select("charset", F.explode(F.flatten("tables")).alias("cells"))
+    return rows.select(F.get("cells", F.lit(0)).alias("name"), F.get("cells", F.lit(1)).alias("pay"), "charset")

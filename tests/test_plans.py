@@ -19,6 +19,7 @@ MARKUP = {
     "resolve_sources", "resolve_sources_doubled", "award_registry", "dispatch_doc_type",
     "link_extract_loose", "html_cells_marked", "html_named_rows", "award_bands_mixed",
     "award_rejects", "pattern_rejects", "source_rejects", "resolve_sources_forms",
+    "html_files",
 }
 # One row per document or line in, no meeting of rows: nothing may be shuffled.
 NARROW = {
