@@ -48,8 +48,8 @@ def with_block(
     return df.withColumns({KEY: F.struct(*keys), BLOCK: block})
 
 
-def inside_block(order: str) -> WindowSpec:
-    return Window.partitionBy(KEY, BLOCK).orderBy(order)
+def inside_block(order: str, *ties: str) -> WindowSpec:
+    return Window.partitionBy(KEY, BLOCK).orderBy(order, *ties)
 
 
 def across_blocks() -> WindowSpec:
@@ -85,6 +85,7 @@ def place(
     greatest: Mapping[str, Column] | None = None,
     facts: DataFrame | None = None,
     derived: Mapping[str, Column] | None = None,
+    ties: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
     shuffle_first: bool = False,
 ) -> DataFrame:
@@ -108,7 +109,8 @@ def place(
     A ``df`` that already has blocks (``with_block``) keeps them.
 
     Keys may be NULL, in ``facts`` as well; the order column must not. It must be
-    unique in its group for ``before`` and ``latest``.
+    unique in its group for ``before`` and ``latest``; for ``before`` the columns ``ties`` may
+    tell rows of the same order apart.
     """
     before, latest = dict(before or {}), dict(latest or {})
     least, greatest = dict(least or {}), dict(greatest or {})
@@ -146,7 +148,7 @@ def place(
     placed = rows.drop(*[inner[n] for n in [*least, *greatest]]).join(
         blocks, [KEY, BLOCK]
     )
-    inside = inside_block(order)
+    inside = inside_block(order, *ties)
     for n in before:
         placed = placed.withColumn(n, _or_zero(F.col(n), F.sum(inner[n]).over(earlier(inside))))
     for n in latest:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,9 +10,19 @@ from pyspark.sql.window import Window
 SPLITS = 256
 
 
-def with_ordinals(levels: DataFrame, splits: int | None = None) -> DataFrame:
+def _key(collation: str | None) -> Column:
+    """What levels are ordered by; levels that a collation holds equal go by their bytes."""
+    if collation is None:
+        return F.col("level")
+    return F.struct(F.collate("level", collation).alias("by"), F.col("level").alias("level"))
+
+
+def with_ordinals(levels: DataFrame, splits: int | None = None, collation: str | None = None) -> DataFrame:
     """Add ``ordinal`` 1, 2, 3, ... to levels (level, n), each level once.
 
+    Texts are ordered by bytes, or by the rules of a ``collation``, such as ``UNICODE`` or
+    ``de``: there ``a`` comes before ``Z``.
+
     Levels are cut into ranges at up to ``splits`` levels picked by hash, numbered
     within their range, and moved up by the number of levels in lower ranges. So
     no task sorts all levels, however many there are. By default there are four times
@@ -28,17 +38,18 @@ def with_ordinals(levels: DataFrame, splits: int | None = None) -> DataFrame:
     picked = (
         levels.groupBy(F.pmod(F.xxhash64("level"), F.lit(splits)).alias("slot"))
         .agg(F.min_by(some, F.xxhash64(F.lit("split"), F.col("level"))).alias("split"))
-        .agg(F.collect_list("split.level"))
+        .select("split.level").agg(F.collect_list(_key(collation)))
     )
+    key = _key(collation)
     placed = levels.withColumn("splits", picked.scalar()).select(
-        "level", "n", F.size(F.filter("splits", lambda s: s <= F.col("level"))).alias("range")
+        "level", "n", F.size(F.filter("splits", lambda s: s <= key)).alias("range")
     )
     lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     present = F.count(F.when(F.col("n") > 0, 1))
     moved = placed.groupBy("range").agg(present.alias("levels")).select(
         "range", F.coalesce(F.sum("levels").over(lower), F.lit(0)).alias("below")
     )
-    inside = Window.partitionBy("range").orderBy("level")
+    inside = Window.partitionBy("range").orderBy(key)
     return (
         placed.join(moved, "range")
         .withColumn("ordinal", (F.col("below") + F.row_number().over(inside)).cast("int"))

@@ -72,11 +72,13 @@ def below_level(df: DataFrame, column: str, threshold, levels: DataFrame | None
     return df.where(F.col(column) < threshold).where(known.exists())
 
 
-def ordered_levels(df: DataFrame, column: str) -> DataFrame:
-    """Levels of an ordered variable with ordinal and number of rows."""
+def ordered_levels(df: DataFrame, column: str, collation: str | None = None) -> DataFrame:
+    """Levels of an ordered variable with ordinal and number of rows.
+
+    Levels that are text go by bytes, or by a ``collation`` (``UNICODE``, ``de``, ...)."""
     known = df.where(F.col(column).isNotNull())
     counted = known.groupBy(F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    return with_ordinals(counted)
+    return with_ordinals(counted, collation=collation)
 
 
 def _overlap(lo: Column, hi: Column, p_lo: Column, p_hi: Column) -> Column:

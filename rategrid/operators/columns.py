@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from rategrid.functions.arrays import inlined
 from rategrid.functions.blocks import place
-from rategrid.functions.text import trim_space
+from rategrid.functions.text import let, trim_space
 
 WIDE_GAP = r"(?U)\s{2,}"  # fixed value: columns are two or more blanks apart
 TAB_OR_WIDE_GAP = r"(?U)\t|\s{2,}"
@@ -97,23 +98,40 @@ def sample_lines(
     ).drop("__end")
 
 
+def _occupied(line: Column) -> Column:
+    """``array<struct<word, bits>>``: the positions of a line that are not blank, 64 to a
+    number, lowest bit first; words without any are left out."""
+    marks = F.regexp_replace(F.regexp_replace(line, r"(?U)\S", "1"), r"(?U)\s", "0")
+    last = F.floor((F.length(line) - 1) / 64).cast("int")
+    words = F.when(F.length(line) > 0, F.sequence(F.lit(0), last))
+
+    def bits(marks: Column, word: Column) -> Column:
+        part = F.reverse(F.substring(marks, word * 64 + 1, F.lit(64)))
+        return F.conv(part, 2, -10).cast("bigint")
+
+    held = let(marks, lambda m: F.transform(
+        words, lambda w: F.struct(w.alias("word"), bits(m, w).alias("bits"))
+    ))
+    return F.filter(held, lambda w: w["bits"] != 0)
+
+
 def infer_widths(lines: DataFrame, keys: Sequence[str], line: str = "line") -> DataFrame:
     """Fixed-width columns of each document from its lines, or from ``sample_lines``.
 
     A column is a run of character positions that are not blank in every line.
     ``begin`` and ``end`` count from 0, ``end`` is exclusive; the last column is open
-    (NULL). ``seen`` is the end of the column as far as the lines show it. Positions
-    are reduced to distinct ones in each task before they are shuffled, and a document
-    has no more of them than its longest line has characters.
+    (NULL). ``seen`` is the end of the column as far as the lines show it. A line is one
+    bit map for every 64 positions; these are or-ed in each task before they are shuffled,
+    and the runs are read off one map per document and 64 positions.
     """
     keys = list(keys)
-    chars = F.transform(
-        F.split(F.col(line), ""),
-        lambda c, i: F.when((c != "") & ~c.rlike(r"(?U)\s"), i),
-    )
-    used = (
-        lines.select(*keys, F.explode(F.array_compact(chars)).alias("position")).distinct()
+    maps = (
+        inlined(lines, keys, _occupied(F.col(line)), "word")
+        .groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
     )
+    is_set = lambda i: F.getbit("bits", i) == 1
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), is_set)
+    used = maps.select(*keys, F.explode(F.transform(places, lambda i: F.col("word") * 64 + i)).alias("position"))
     by_position = Window.partitionBy(*keys).orderBy("position")
     runs = (
         used.withColumn("run", F.col("position") - F.row_number().over(by_position))
@@ -236,6 +254,46 @@ def guess_types(cells: DataFrame, keys: Sequence[str], cell: str = "cell") -> Da
     return cells.groupBy(*keys).agg(*held).select(*keys, _first_type().alias("type"))
 
 
+#: Fields of a typed value; the one of the column's type is set.
+VALUE_FIELDS = ["logical", "integer", "double", "seconds", "date", "datetime", "text"]
+
+
+def typed_value(cell: Column, kind: Column) -> Column:
+    """A cell as a value of a type that ``guess_types`` names.
+
+    A struct of ``logical``, ``integer``, ``double`` (of double and number), ``seconds``
+    of the day (of time), ``date``, ``datetime`` and ``text`` (of character), one of which
+    is set. Empty and NA cells, and cells that are no value of the type after all (the 30th
+    of February), have none.
+    """
+    text = trim_space(cell)
+    given = F.when((text != "") & (text != "NA"), text)
+    of = lambda *kinds: F.when(kind.isin(*kinds), given)
+    parts = F.split(of("time"), ":")
+    part = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit("0")).try_cast("bigint")
+    return F.struct(
+        F.when(of("logical").isNotNull(), F.upper(given).startswith("T")).alias("logical"),
+        of("integer").try_cast("bigint").alias("integer"),
+        F.regexp_replace(of("double", "number"), ",", "").try_cast("double").alias("double"),
+        F.when(parts.isNotNull(), part(0) * 3600 + part(1) * 60 + part(2)).alias("seconds"),
+        F.regexp_replace(of("date"), "/", "-").try_cast("date").alias("date"),
+        of("datetime").try_cast("timestamp_ntz").alias("datetime"),
+        F.when(kind == "character", cell).alias("text"),
+    )
+
+
+def typed_cells(
+    cells: DataFrame, table_keys: Sequence[str], column: str = "col_no", row: str = "row_no", cell: str = "cell"
+) -> DataFrame:
+    """Add ``type``, guessed from all cells of the column, and ``value`` of that type."""
+    checks = _type_checks(cell)
+    typed = place(cells, [*table_keys, column], row, least=checks)
+    return (
+        typed.withColumn("type", _first_type()).drop(*checks)
+        .withColumn("value", typed_value(F.col(cell), F.col("type")))
+    )
+
+
 def text_cells(
     cells: DataFrame, table_keys: Sequence[str], row: str = "row_no", cell: str = "cell"
 ) -> DataFrame:
@@ -248,5 +306,3 @@ def text_cells(
 def text_columns(df: DataFrame) -> DataFrame:
     """The text columns of a table with a schema."""
     return df.select([f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
-
-

@@ -1,8 +1,10 @@
 """Tables from positioned words (doc_id, page_no, x, y, text, space).
 
-The words of one text line (one ``y`` of a page) become one row. What a line
-takes from its page (header, last line, number of earlier lines) is worked out by
-blocks of ``y``, so a page of any length is spread out.
+Two forms of the same rules. ``cell_rows`` gives one row per cell and never gathers a
+text line (one ``y`` of a page): words find their cell by a count of the cells ended before
+them, by blocks of ``x``, so a line of any length is spread out. ``word_table`` gives one row
+per line, for wide tables, and holds a line's words in it. What a line takes from its
+page (header, last line, number of earlier lines) is worked out by blocks of ``y`` in both.
 """
 
 from __future__ import annotations
@@ -108,3 +110,62 @@ def word_columns(table: DataFrame, names: Sequence[str]) -> DataFrame:
             for name in [LABEL, *names]
         ],
     )
+
+
+# --- one row per cell -----------------------------------------------------------
+
+
+def placed_words(words: DataFrame) -> DataFrame:
+    """Add to words ``col_no``, the cell of its line that a word is in, and ``at``, its
+    number in the line; both count from 0.
+
+    A word followed by a space continues in the next one, so a word's cell is the number
+    of words before it that end one. Words at one ``x`` go by their text.
+    """
+    one = F.lit(1).cast("bigint")
+    ended = F.when(~F.coalesce("space", F.lit(False)), one).otherwise(one - 1)
+    return place(
+        words.select(*PAGE, "x", "y", "text", "space"), [*PAGE, "y"], "x",
+        before={"col_no": ended, "at": one}, ties=["text", "space"], shuffle_first=True,
+    )
+
+
+def line_cells(placed: DataFrame) -> DataFrame:
+    """(doc_id, page_no, y, col_no, cell) of placed words; only the words of a cell meet."""
+    ordered = F.sort_array(F.collect_list(F.struct("at", "text")))
+    return placed.groupBy(*PAGE, "y", "col_no").agg(
+        trim_space(F.array_join(F.transform(ordered, lambda w: w["text"]), " ")).alias("cell")
+    )
+
+
+def cell_rows(words: DataFrame, remove_last: bool = True) -> DataFrame:
+    """(doc_id, page_no, row_no, col_no, header, cell) of the body lines of every page.
+
+    Headers are lined up from the right, as in ``aligned_headers``.
+    """
+    placed = placed_words(words)
+    page = F.struct(*PAGE).alias("page")
+    lines = placed.groupBy(*PAGE, "y").agg(
+        (F.max("col_no") + 1).alias("n_cells"), (F.max("at") + 1).alias("n_words")
+    )
+    # The header is a page's first line, so the lines before a row number the rows.
+    ranked = place(
+        lines, PAGE, "y", before={"row_no": F.lit(1).cast("bigint")},
+        least={"header": F.struct("y", "n_words")}, greatest={"last_y": F.col("y")},
+    )
+    body = ranked.where(F.col("y") > F.col("header.y"))
+    if remove_last:
+        body = body.where(F.col("y") < F.col("last_y"))
+    # A line with as many cells as there are names begins with the label.
+    first = F.col("header.n_words") + 1 - F.col("n_cells")
+    body = body.select(page, "y", "row_no", first.alias("first"))
+    heads = ranked.where(F.col("y") == F.col("header.y")).select(page, "y")
+    names = placed.select(page, "y", "at", F.col("text").alias("name")).join(heads, ["page", "y"]).select(
+        "page", (F.col("at") + 1).alias("place"), "name"
+    )
+    cells = line_cells(placed).select(page, "y", "col_no", "cell").join(body, ["page", "y"])
+    named = cells.withColumn("place", F.col("first") + F.col("col_no")).join(names, ["page", "place"], "left")
+    header = F.when(F.col("place") == 0, LABEL).otherwise(F.col("name"))
+    return named.select(
+        "page.*", "row_no", F.col("col_no").cast("int").alias("col_no"), header.alias("header"), "cell"
+    )

@@ -220,3 +220,25 @@ def _tick_coverage(spark, sf_dir):
 )
 def _salary_rows(spark, sf_dir):
     return clean_salaries(salaries(spark, sf_dir)).select("state", "level", "annual", "band")
+
+
+@query(
+    "ordered_levels_text",
+    """
+    WITH v AS (SELECT CASE p_partkey % 3 WHEN 0 THEN upper(p_type) WHEN 1 THEN lower(p_type)
+                        ELSE upper(left(p_type, 1)) || lower(substr(p_type, 2)) END
+                      || CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN 'a' WHEN 2 THEN 'B' ELSE 'z' END AS level FROM part),
+    n AS (SELECT level, count(*) AS n FROM v GROUP BY level)
+    SELECT level, CAST(row_number() OVER (ORDER BY lower(level),
+             regexp_replace(regexp_replace(level, '[a-z]', '0', 'g'), '[A-Z]', '1', 'g')) AS INTEGER) AS ordinal, n
+    FROM n
+    """,
+)
+def _ordered_levels_text(spark, sf_dir):
+    # Upper and lower case side by side, as a locale sorts them, not all capitals first.
+    kind, size = F.col("p_partkey") % 3, F.col("p_size") % 4
+    level = F.concat(
+        F.when(kind == 0, F.upper("p_type")).when(kind == 1, F.lower("p_type")).otherwise(F.initcap("p_type")),
+        F.when(size == 0, "").when(size == 1, "a").when(size == 2, "B").otherwise("z"),
+    )
+    return ordered_levels(table(spark, sf_dir, "part").select(level.alias("level")), "level", "UNICODE")

@@ -16,6 +16,7 @@ from rategrid.operators.columns import (
     split_ocr,
     split_wide,
     text_cells,
+    typed_cells,
 )
 from rategrid.plans.registry import query, table
 
@@ -213,6 +214,31 @@ def _guess_types(spark, sf_dir):
     return guess_types(_supplier_cells(spark, sf_dir), ["doc_id", "col_no"])
 
 
+@query(
+    "cell_values",
+    """
+    WITH s AS (
+      SELECT s_nationkey AS doc_id, bool_or(abs(s_acctbal) >= 1000) AS big
+      FROM supplier GROUP BY 1),
+    c AS (SELECT *, unnest(range(8)) AS col_no FROM supplier)
+    SELECT s_nationkey AS doc_id, s_suppkey AS row_no, CAST(col_no AS INTEGER) AS col_no,
+           CASE col_no WHEN 0 THEN 'character' WHEN 1 THEN 'double' WHEN 2 THEN 'integer'
+             WHEN 3 THEN CASE WHEN big THEN 'number' ELSE 'double' END WHEN 4 THEN 'date'
+             WHEN 7 THEN 'character' ELSE 'logical' END AS type,
+           CASE col_no WHEN 5 THEN s_acctbal > 5000 END AS logical,
+           CASE col_no WHEN 2 THEN CAST(s_suppkey AS BIGINT) END AS integer,
+           CASE WHEN col_no IN (1, 3) THEN s_acctbal END AS double,
+           CASE col_no WHEN 4 THEN CAST('2020-02-01' AS DATE) + CAST(s_nationkey AS INTEGER) END AS date,
+           CASE col_no WHEN 0 THEN s_name WHEN 7 THEN lpad(CAST(s_suppkey AS VARCHAR), 9, '0') END AS text
+    FROM c JOIN s ON s_nationkey = doc_id
+    """,
+)
+def _cell_values(spark, sf_dir):
+    typed = typed_cells(_supplier_cells(spark, sf_dir), ["doc_id"])
+    fields = [F.col(f"value.{f}").alias(f) for f in ("logical", "integer", "double", "date", "text")]
+    return typed.select("doc_id", "row_no", "col_no", "type", *fields)
+
+
 @query(
     "text_columns",
     """

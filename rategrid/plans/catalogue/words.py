@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rategrid.functions.blocks import number_rows
-from rategrid.operators.columns import guess_types
+from rategrid.operators.columns import guess_types, typed_cells
 from rategrid.operators.wordgrid import (
     PAGE,
-    glued_cells,
+    cell_rows,
+    line_cells,
     page_headers,
+    placed_words,
     text_lines,
-    word_cells,
     word_columns,
     word_table,
 )
-from rategrid.plans.registry import query
+from rategrid.plans.registry import query, table
 from rategrid.plans.inputs import LAST_PAGE, order_words
 
 _PAGE = "length(CAST(doc_id AS VARCHAR))"
@@ -63,8 +64,8 @@ def _word_header(spark, sf_dir):
     """,
 )
 def _word_cells(spark, sf_dir):
-    lines = text_lines(order_words(spark, sf_dir))
-    return lines.select(*PAGE, "y", F.posexplode(glued_cells(F.col("words"))).alias("col_no", "cell"))
+    cells = line_cells(placed_words(order_words(spark, sf_dir)))
+    return cells.withColumn("col_no", F.col("col_no").cast("int"))
 
 
 @query(
@@ -76,7 +77,7 @@ def _word_cells(spark, sf_dir):
     """,
 )
 def _word_align(spark, sf_dir):
-    return word_cells(word_table(order_words(spark, sf_dir)))
+    return cell_rows(order_words(spark, sf_dir))
 
 
 @query(
@@ -141,5 +142,53 @@ def _word_pivot(spark, sf_dir):
     """,
 )
 def _word_types(spark, sf_dir):
-    cells = word_cells(word_table(order_words(spark, sf_dir)))
-    return guess_types(cells, [*PAGE, "header"])
+    return guess_types(cell_rows(order_words(spark, sf_dir)), [*PAGE, "header"])
+
+
+@query(
+    "word_values",
+    f"""
+    WITH {_ROWS},
+    f AS (SELECT doc_id, row_no, unnest(range(len(cells))) AS i, unnest(headers) AS header, unnest(cells) AS cell FROM r),
+    t AS (SELECT doc_id, header,
+            CASE WHEN header IS NULL OR header = 'label' THEN 'character'
+                WHEN bool_and(cell IN ('F', 'T')) THEN 'logical'
+                WHEN bool_and(regexp_matches(cell, '^[0-9]+$')) THEN 'integer'
+                WHEN bool_and(regexp_matches(cell, '^[0-9]+(\\.[0-9]+)?$')) THEN 'double'
+                WHEN bool_and(regexp_matches(cell, '^[0-9,]+(\\.[0-9]+)?$')) THEN 'number'
+                ELSE 'character' END AS type
+          FROM f GROUP BY doc_id, header)
+    SELECT f.doc_id, {_PAGE.replace("doc_id", "f.doc_id")} AS page_no, row_no, CAST(i AS INTEGER) AS col_no, f.header, type,
+           CASE type WHEN 'logical' THEN cell = 'T' END AS logical,
+           CASE type WHEN 'integer' THEN CAST(cell AS BIGINT) END AS integer,
+           CASE WHEN type IN ('double', 'number') THEN CAST(replace(cell, ',', '') AS DOUBLE) END AS double,
+           CASE type WHEN 'character' THEN cell END AS text
+    FROM f JOIN t ON f.doc_id = t.doc_id AND f.header IS NOT DISTINCT FROM t.header
+    """,
+)
+def _word_values(spark, sf_dir):
+    typed = typed_cells(cell_rows(order_words(spark, sf_dir)), PAGE, column="header")
+    fields = [F.col(f"value.{f}").alias(f) for f in ("logical", "integer", "double", "text")]
+    return typed.select(*PAGE, "row_no", "col_no", "header", "type", *fields)
+
+
+@query(
+    "word_cells_one_line",
+    """
+    WITH w AS (SELECT o_custkey % 5 AS doc_id, o_orderkey AS x, o_orderpriority AS text,
+                      o_orderstatus = 'O' AS space FROM orders),
+    n AS (SELECT *, coalesce(sum(CASE WHEN space THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY x
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS col_no FROM w)
+    SELECT doc_id, CAST(1 AS BIGINT) AS page_no, CAST(0 AS BIGINT) AS y, CAST(col_no AS BIGINT) AS col_no,
+           string_agg(text, ' ' ORDER BY x) AS cell
+    FROM n GROUP BY doc_id, col_no
+    """,
+)
+def _word_cells_one_line(spark, sf_dir):
+    # Five pages, all words of which stand on one line.
+    words = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 5).cast("bigint").alias("doc_id"), F.lit(1).cast("bigint").alias("page_no"),
+        F.col("o_orderkey").alias("x"), F.lit(0).cast("bigint").alias("y"),
+        F.col("o_orderpriority").alias("text"), (F.col("o_orderstatus") == "O").alias("space"),
+    )
+    return line_cells(placed_words(words))
