@@ -281,18 +281,22 @@ def _cell_text(cell: Column) -> Column:
     return trim_space(_decode_common(F.regexp_replace(cell, r"(?s)<[^>]*>", "")))
 
 
+def _quick_tables(markup: Column) -> Column:
+    return F.transform(
+        _inner(markup, "table"),
+        lambda t: F.transform(
+            _inner(t, "tr"), lambda r: F.transform(_inner(r, "t[dh]"), _cell_text)
+        ),
+    )
+
+
 def with_table_rows(df: DataFrame, html: str, out: str, most_span: int | None = None) -> DataFrame:
     """Add the cell texts of all tables, ``tables[rows[cells]]``, in document order.
 
     A cell is repeated over all columns and existing rows that it says it spans. For
     documents that may claim absurd spans ``most_span`` bounds them.
     """
-    quick = F.transform(
-        _inner(F.col("__markup"), "table"),
-        lambda t: F.transform(
-            _inner(t, "tr"), lambda r: F.transform(_inner(r, "t[dh]"), _cell_text)
-        ),
-    )
+    quick = _quick_tables(F.col("__markup"))
     parsed = _table_reader(most_span)(F.when(~F.col("__plain"), F.col(html)))
     return (
         df.withColumn("__markup", element_text(F.col(html)))
@@ -302,19 +306,40 @@ def with_table_rows(df: DataFrame, html: str, out: str, most_span: int | None =
     )
 
 
-def with_headed(df: DataFrame, html: str, out: str) -> DataFrame:
-    """Add, for each table in document order, whether its first row is of ``<th>`` cells."""
-    quick = F.transform(
-        _inner(F.col("__markup"), "table"),
+def _headed_rows(markup: Column) -> Column:
+    return F.transform(
+        _inner(markup, "table"),
         lambda t: F.coalesce(
             F.get(F.transform(_inner(t, "tr"), lambda r: r.rlike(r"(?i)<th(?=[\s>/])") & ~r.rlike(r"(?i)<td(?=[\s>/])")), F.lit(0)),
             F.lit(False),
         ),
     )
+
+
+def with_headed(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Add, for each table in document order, whether its first row is of ``<th>`` cells."""
     parsed = _read_headed(F.when(~F.col("__plain"), F.col(html)))
     return (
         df.withColumn("__markup", element_text(F.col(html)))
         .withColumn("__plain", _plain_tables(F.col(html), F.col("__markup")))
-        .withColumn(out, F.when(F.col("__plain"), quick).otherwise(parsed))
+        .withColumn(out, F.when(F.col("__plain"), _headed_rows(F.col("__markup"))).otherwise(parsed))
         .drop("__markup", "__plain")
     )
+
+
+@F.pandas_udf(T.StructType([T.StructField("tables", _TABLE_ROWS), T.StructField("headed", T.ArrayType(T.BooleanType()))]))
+def _read_both(html: pd.Series) -> pd.DataFrame:
+    read = [(None, None) if text is None else (read_tables(text), read_headed(text)) for text in html]
+    return pd.DataFrame({"tables": [t for t, _ in read], "headed": [h for _, h in read]})
+
+
+def with_tables(df: DataFrame, html: str, tables: str, headed: str) -> DataFrame:
+    """``with_table_rows`` and ``with_headed`` in one reading of the document."""
+    return (
+        df.withColumn("__markup", element_text(F.col(html)))
+        .withColumn("__plain", _plain_tables(F.col(html), F.col("__markup")))
+        .withColumn("__read", _read_both(F.when(~F.col("__plain"), F.col(html))))
+        .withColumn(tables, F.when(F.col("__plain"), _quick_tables(F.col("__markup"))).otherwise(F.col("__read.tables")))
+        .withColumn(headed, F.when(F.col("__plain"), _headed_rows(F.col("__markup"))).otherwise(F.col("__read.headed")))
+        .drop("__markup", "__plain", "__read")
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rategrid.functions.arrays import exploded
 from rategrid.functions.blocks import place
-from rategrid.functions.markup import with_headed, with_table_rows
+from rategrid.functions.markup import with_headed, with_table_rows, with_tables
 from rategrid.operators.links import FORWARD, REVERSE
 
 
@@ -26,6 +26,11 @@ def headed_tables(pages: DataFrame, html: str = "html", out: str = "headed") ->
     return with_headed(pages, html, out)
 
 
+def tables_and_headings(pages: DataFrame, html: str = "html", tables: str = "tables", headed: str = "headed") -> DataFrame:
+    """``html_tables`` and ``headed_tables`` of documents that are read once for both."""
+    return with_tables(pages, html, tables, headed)
+
+
 def named_rows(rows: Column, headed: Column) -> Column:
     """``array<struct<row_no, col_no, header, cell>>`` of a table's rows below its names.
 

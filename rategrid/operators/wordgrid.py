@@ -130,23 +130,32 @@ def placed_words(words: DataFrame) -> DataFrame:
     )
 
 
-def line_cells(placed: DataFrame) -> DataFrame:
-    """(doc_id, page_no, y, col_no, cell) of placed words; only the words of a cell meet."""
-    ordered = F.sort_array(F.collect_list(F.struct("at", "text")))
+def _cells(placed: DataFrame) -> DataFrame:
+    """One row per cell with its words in order; only the words of a cell meet."""
     return placed.groupBy(*PAGE, "y", "col_no").agg(
-        trim_space(F.array_join(F.transform(ordered, lambda w: w["text"]), " ")).alias("cell")
+        F.sort_array(F.collect_list(F.struct("at", "text"))).alias("words")
     )
 
 
+def _glued(words: Column) -> Column:
+    return trim_space(F.array_join(F.transform(words, lambda w: w["text"]), " "))
+
+
+def line_cells(placed: DataFrame) -> DataFrame:
+    """(doc_id, page_no, y, col_no, cell) of placed words."""
+    return _cells(placed).select(*PAGE, "y", "col_no", _glued(F.col("words")).alias("cell"))
+
+
 def cell_rows(words: DataFrame, remove_last: bool = True) -> DataFrame:
     """(doc_id, page_no, row_no, col_no, header, cell) of the body lines of every page.
 
     Headers are lined up from the right, as in ``aligned_headers``.
     """
-    placed = placed_words(words)
+    # Cells are made once, by line: lines, names and rows are all read off them.
     page = F.struct(*PAGE).alias("page")
-    lines = placed.groupBy(*PAGE, "y").agg(
-        (F.max("col_no") + 1).alias("n_cells"), (F.max("at") + 1).alias("n_words")
+    cells = _cells(placed_words(words))
+    lines = cells.groupBy(*PAGE, "y").agg(
+        (F.max("col_no") + 1).alias("n_cells"), (F.max(F.element_at("words", -1)["at"]) + 1).alias("n_words")
     )
     # The header is a page's first line, so the lines before a row number the rows.
     ranked = place(
@@ -160,10 +169,10 @@ def cell_rows(words: DataFrame, remove_last: bool = True) -> DataFrame:
     first = F.col("header.n_words") + 1 - F.col("n_cells")
     body = body.select(page, "y", "row_no", first.alias("first"))
     heads = ranked.where(F.col("y") == F.col("header.y")).select(page, "y")
-    names = placed.select(page, "y", "at", F.col("text").alias("name")).join(heads, ["page", "y"]).select(
-        "page", (F.col("at") + 1).alias("place"), "name"
+    names = cells.select(page, "y", "words").join(heads, ["page", "y"]).select("page", F.inline("words")).select(
+        "page", (F.col("at") + 1).alias("place"), F.col("text").alias("name")
     )
-    cells = line_cells(placed).select(page, "y", "col_no", "cell").join(body, ["page", "y"])
+    cells = cells.select(page, "y", "col_no", _glued(F.col("words")).alias("cell")).join(body, ["page", "y"])
     named = cells.withColumn("place", F.col("first") + F.col("col_no")).join(names, ["page", "place"], "left")
     header = F.when(F.col("place") == 0, LABEL).otherwise(F.col("name"))
     return named.select(

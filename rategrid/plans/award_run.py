@@ -11,7 +11,7 @@ from rategrid.functions.text import trim_space
 from rategrid.operators.bands import BAND_KEYS, band_parts, finish_bands, merge_parts
 from rategrid.operators.columns import split_wide
 from rategrid.operators.faults import rejects, with_reason, worked
-from rategrid.operators.html_tables import headed_tables, html_tables, newest_table
+from rategrid.operators.html_tables import newest_table, tables_and_headings
 from rategrid.operators.links import (
     award_path,
     bad_order,
@@ -63,7 +63,7 @@ def extract_markup(html: DataFrame, level: Column, amount: Column) -> tuple[Data
 
     A first row of column names is left out.
     """
-    read = headed_tables(html_tables(html))
+    read = tables_and_headings(html)
     rows = newest_table(F.col("tables"), F.col("order"))
     read = read.withColumn("rows", rows).withColumn(
         "named", newest_table(F.col("headed"), F.col("order"))

@@ -13,10 +13,11 @@ from rategrid.operators.wordgrid import (
     page_headers,
     placed_words,
     text_lines,
+    word_cells,
     word_columns,
     word_table,
 )
-from rategrid.plans.registry import query, table
+from rategrid.plans.registry import ORACLES, query, table
 from rategrid.plans.inputs import LAST_PAGE, order_words
 
 _PAGE = "length(CAST(doc_id AS VARCHAR))"
@@ -77,6 +78,12 @@ def _word_cells(spark, sf_dir):
     """,
 )
 def _word_align(spark, sf_dir):
+    return word_cells(word_table(order_words(spark, sf_dir)))
+
+
+# The same rows, from words that are never gathered by line.
+@query("word_align_long", ORACLES["word_align"])
+def _word_align_long(spark, sf_dir):
     return cell_rows(order_words(spark, sf_dir))
 
 
@@ -142,7 +149,7 @@ def _word_pivot(spark, sf_dir):
     """,
 )
 def _word_types(spark, sf_dir):
-    return guess_types(cell_rows(order_words(spark, sf_dir)), [*PAGE, "header"])
+    return guess_types(word_cells(word_table(order_words(spark, sf_dir))), [*PAGE, "header"])
 
 
 @query(
@@ -167,7 +174,7 @@ def _word_types(spark, sf_dir):
     """,
 )
 def _word_values(spark, sf_dir):
-    typed = typed_cells(cell_rows(order_words(spark, sf_dir)), PAGE, column="header")
+    typed = typed_cells(word_cells(word_table(order_words(spark, sf_dir))), PAGE, column="header")
     fields = [F.col(f"value.{f}").alias(f) for f in ("logical", "integer", "double", "text")]
     return typed.select(*PAGE, "row_no", "col_no", "header", "type", *fields)
 

@@ -18,6 +18,7 @@ from rategrid.operators.html_tables import (
     promote_header,
     rows_with_header,
     table_cells,
+    tables_and_headings,
 )
 from rategrid.operators.links import (
     award_path,
@@ -256,3 +257,15 @@ def test_named_rows(frame):
         [(0, 0, "X1", "a"), (0, 1, "X2", None), (1, 0, "X1", "b"), (1, 1, "X2", "c")],
         [],
     ]
+
+
+def test_tables_and_headings_in_one_reading(frame):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice(PIECES) for _ in range(rng.randint(1, 9)))) for i in range(200)]
+    rows += [(1000 + i, html) for i, html in enumerate(TABLES)] + [(2000, None)]
+    docs = frame(rows, "id int, html string")
+    both = {r.id: (r.tables, r.headed) for r in tables_and_headings(docs).collect()}
+    apart = {r.id: (r.tables, r.headed) for r in headed_tables(html_tables(docs)).collect()}
+    assert both == apart
+    plan = tables_and_headings(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
