@@ -168,7 +168,10 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def train(good: DataFrame, k: int, most: int = SAMPLE, recall: float = RECALL) -> Model | None:
-    """Fit on at most ``most`` rows, chosen by hash, in one task. None without rows."""
+    """Fit on at most ``most`` distinct vectors, chosen by hash, in one task. None without rows.
+
+    Of vectors that are the same one takes part, so a common one does not fill the sample.
+    """
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [matrix(b.column(0)) for b in batches if b.num_rows]
@@ -176,6 +179,7 @@ def train(good: DataFrame, k: int, most: int = SAMPLE, recall: float = RECALL) -
             model = fit(np.concatenate(held), k, recall)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
+    good = good.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
     sample = smallest(good.withColumn("order", F.xxhash64("vec_id", F.lit(10))), "order", most, "vec_id")
     found = (
         sample.repartition(1).sortWithinPartitions("order", "vec_id").select("v")
@@ -191,7 +195,7 @@ def search(
     """(query_id, rank, vec_id, score): the k nearest found for the rows where ``asked`` holds.
 
     ``asked`` is a condition on ``vec_id``. A query meets every other id, ties go to
-    the smaller. NULL, zero, non-finite vectors and those of another length than the
+    the smaller. A query whose parts hold fewer than k rows meets all parts. NULL, zero, non-finite vectors and those of another length than the
     commonest take no part, nor do rows without an id; an id that repeats counts once,
     with its smallest vector. An empty table gives an empty one.
     """
@@ -225,22 +229,8 @@ def search(
         # One row per part.
         return {r["part"]: r["count"] for r in table.groupBy("part").count().collect()}
 
-    rows_in, asked_in = sizes(base), sizes(queries)
-    chunks = spark.createDataFrame(
-        [(p, -(-rows_in.get(p, 0) // ROWS) or 1, -(-asked_in.get(p, 0) // QUERIES) or 1) for p in range(model.parts)],
-        "part int, of_rows int, of_queries int",
-    )
-
-    def dealt(table: DataFrame, mine: str, other: str) -> DataFrame:
-        cut = table.join(F.broadcast(chunks), "part")
-        own = F.pmod(F.xxhash64("vec_id"), F.col(mine)).cast("int")
-        cut = cut.withColumn(mine, own).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        return cut.select("part", "of_rows", "of_queries", "vec_id", "v")
-
+    rows_in = sizes(base)
     cell = ["part", "of_rows", "of_queries"]
-    meet = dealt(base, "of_rows", "of_queries").groupBy(*cell).cogroup(
-        dealt(queries, "of_queries", "of_rows").groupBy(*cell)
-    )
 
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -270,7 +260,35 @@ def search(
             out.append((who[row], ids[at], exact))
         return pa.table([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=names)
 
-    found = meet.applyInArrow(compared, "query_id bigint, vec_id bigint, score double")
+    def met(queries: DataFrame) -> DataFrame:
+        """The nearest rows of each query in each of its parts, chunk by chunk."""
+        asked_in = sizes(queries)
+        chunks = spark.createDataFrame(
+            [(p, -(-rows_in.get(p, 0) // ROWS) or 1, -(-asked_in.get(p, 0) // QUERIES) or 1) for p in range(model.parts)],
+            "part int, of_rows int, of_queries int",
+        )
+
+        def dealt(table: DataFrame, mine: str, other: str) -> DataFrame:
+            cut = table.join(F.broadcast(chunks), "part")
+            own = F.pmod(F.xxhash64("vec_id"), F.col(mine)).cast("int")
+            cut = cut.withColumn(mine, own).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            return cut.select("part", "of_rows", "of_queries", "vec_id", "v")
+
+        meet = dealt(base, "of_rows", "of_queries").groupBy(*cell).cogroup(
+            dealt(queries, "of_queries", "of_rows").groupBy(*cell)
+        )
+        return meet.applyInArrow(compared, "query_id bigint, vec_id bigint, score double")
+
+    found = met(queries)
+    total = sum(rows_in.values())
+    if sum(sorted(rows_in.get(p, 0) for p in range(model.parts))[:model.visits]) <= k and model.visits < model.parts:
+        # Parts are so small that a query may lack rows: such queries go to all parts.
+        found = stash(found, "found")
+        enough = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")).filter(F.col("n") >= min(k, total - 1))
+        lacking = good.filter(asked).join(enough, "vec_id", "left_anti")
+        everywhere = stash(lacking.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(model.parts - 1)))), "everywhere")
+        again = met(everywhere)
+        found = found.join(everywhere.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)

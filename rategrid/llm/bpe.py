@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rategrid.llm.hamming import edges_of
+from rategrid.llm.store import steady
 from rategrid.llm.token_output import code, control_bytes, decode
 from rategrid.llm.tokens import VOCABULARY, words
 
@@ -143,9 +144,11 @@ def encode_and_decode(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     NULL texts are empty and give no ids and an empty text. NULL keys stay NULL,
     repeated rows give repeated rows, an empty table an empty one. Other columns are
-    not read.
+    not read. Rows whose order may change between readings, as after a shuffle, are
+    written first.
     """
-    given = docs.select(F.col(key).cast("bigint"), F.col(text))
+    # Words and documents of a block are told from two readings, which must agree.
+    given = steady(docs.select(F.col(key).cast("bigint"), F.col(text)), "texts")
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, path):

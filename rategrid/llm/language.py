@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rategrid.llm.features import Hashes, pieces, row_sums, utf8
+from rategrid.llm.sample import SPARE
 from rategrid.llm.store import stash
 
 UNKNOWN = "und"
@@ -74,6 +75,28 @@ def grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield first, found, at
 
 
+def lowest(rows: DataFrame, most: int) -> DataFrame:
+    """Distinct (lang, order) in which every language has its ``most`` smallest orders, and few others.
+
+    A language with many texts takes part with those below a threshold only, some ``SPARE``
+    times as many as asked for, so none has to be ordered whole in one task.
+    """
+    hashes = stash(rows.select("lang", "order").distinct(), "hashes")
+    counts = {r["lang"]: r["count"] for r in hashes.groupBy("lang").count().collect()}
+    below = {x: int(-(1 << 63) + (1 << 64) * (SPARE * most / n)) for x, n in counts.items() if n > 2 * SPARE * most}
+    if not below:
+        return hashes
+    spark = rows.sparkSession
+    limits = lambda: F.broadcast(spark.createDataFrame(sorted(below.items()), "lang string, below bigint"))
+    few = lambda: hashes.join(limits(), "lang", "left").filter(
+        F.col("below").isNull() | (F.col("order") < F.col("below"))
+    ).drop("below")
+    left = {r["lang"]: r["count"] for r in few().groupBy("lang").count().collect()}
+    for x in [x for x in below if left.get(x, 0) < most]:
+        del below[x]
+    return few() if below else hashes
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = SAMPLE) -> Model:
     """Count trigrams of at most ``most`` labelled texts of a language, chosen by hash.
 
@@ -89,7 +112,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = S
     # Ranked on hashes alone; the texts of the chosen are joined afterwards.
     first = Window.partitionBy("lang").orderBy("order")
     chosen = (
-        rows.select("lang", "order").distinct().withColumn("nth", F.row_number().over(first))
+        lowest(rows, most).withColumn("nth", F.row_number().over(first))
         .filter(F.col("nth") <= most).select("lang", "order")
     )
     place = {n: i for i, n in enumerate(names)}

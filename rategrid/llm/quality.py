@@ -170,7 +170,14 @@ def train(
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """Add the probability of label 1. NULL and empty texts get that of the bias."""
+    """Add the probability of label 1. NULL and empty texts get that of the bias.
+
+    A column that is called ``out`` already is replaced; texts are taken whole, of any length.
+    Repeated rows give repeated rows, an empty table an empty one.
+    """
+    if out == text:
+        raise ValueError("the score needs another column than the text")
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     at = docs.columns.index(text)
 

@@ -68,7 +68,13 @@ def fingerprint(text: str, shingle: int = SHINGLE, block: int = 1 << 16) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
-    """Add the fingerprint of a text column as a signed 64-bit number; NULL text counts as empty."""
+    """Add the fingerprint of a text column as a signed 64-bit number; NULL text counts as empty.
+
+    A column that is called ``out`` already is replaced.
+    """
+    if out == text:
+        raise ValueError("the fingerprint needs another column than the text")
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
     at = docs.columns.index(text)
 

@@ -16,9 +16,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def folder(spark: SparkSession) -> str:
-    """The folder of this session; ``spark.checkpoint.dir`` is set only where it is unset."""
+    """The folder of this session; only in local mode is ``spark.checkpoint.dir`` set where it is unset.
+
+    On a cluster a folder of the driver's own would hold nothing of what executors write.
+    """
     root = spark.conf.get(SETTING, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SETTING} must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="rategrid-")
         spark.conf.set(SETTING, root)
     return root.rstrip("/")
@@ -41,6 +46,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def steady(df: DataFrame, name: str) -> DataFrame:
+    """A table that gives the same rows in the same order whenever a partition is read.
+
+    A plain scan does; rows that have been shuffled may come in another order at a second
+    reading, so they are written first.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return stash(df, name) if "Exchange" in plan or "ExistingRDD" in plan else df
+
+
 def release(df: DataFrame) -> None:
     """Delete a stashed table that nothing reads any more."""
     path = getattr(df, "_stash_path", None)

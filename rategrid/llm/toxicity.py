@@ -367,8 +367,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
 
     ``evidence`` names a column of (example, label, cosine), nearest first. NULL and
     empty texts, and those without a known term, have no neighbours and get the share
-    of label 1 among such examples.
+    of label 1 among such examples. Columns that are called so already are replaced. Texts are
+    taken whole; repeated rows give repeated rows, an empty table an empty one.
     """
+    if text in (out, evidence):
+        raise ValueError("the score and the evidence need other columns than the text")
+    docs = docs.drop(out, *([evidence] if evidence else []))
     key = T.LongType()
     near = T.ArrayType(T.StructType([
         T.StructField("example", key), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType()),
