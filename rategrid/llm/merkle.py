@@ -3,9 +3,12 @@
 A text is cut at blank lines into sections and at line ends into paragraphs; joining
 them again gives the text, so nothing is lost. A paragraph's hash is that of its
 text, a section's that of its paragraphs' hashes, the root that of the sections'
-hashes. Below a paragraph stand the hashes of its runs of four words, so that an edit
-inside a long paragraph can be told from another paragraph. A fingerprint is the tree
-as text:
+hashes. Below a paragraph stand the hashes of its runs, so that an edit inside a long
+paragraph can be told from another paragraph. Runs end where the content says so, at one
+word in ``WORDS``, so a word put in changes one run or two and the later ones stay; a paragraph
+without blanks is cut so at one character in ``SIGNS``. A run that nothing ends for long (one
+word, over and over) is cut by length from its start.
+A fingerprint is the tree as text:
 
     root ':' section ';' section ...
     section   = hash '=' paragraph ',' paragraph ...
@@ -17,20 +20,57 @@ hashes are cut to eight; they locate and count what differs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rategrid.llm.store import stash
 
-#: Words in a run.
-RUN = 4
+#: Words, and characters of a paragraph without blanks, in a run on average.
+WORDS, SIGNS = 4, 16
+#: Words or characters of the longest run that is not cut by length.
+LONGEST = 64
+_MARK = "\x01"
 
 
 def _short(hashed: Column) -> Column:
     return F.substring(hashed, 1, 8)
 
 
+def _runs(paragraph: Column) -> Column:
+    """The runs of a paragraph, one at least."""
+
+    def ended(parts: Column, between: str, size: int, length: bool) -> Column:
+        ends = lambda w: F.pmod(F.ascii(w) + (F.length(w) if length else F.lit(0)), F.lit(size)) == 0
+        marked = F.transform(parts, lambda w: F.when(ends(w), F.concat(w, F.lit(_MARK))).otherwise(w))
+        return F.split(F.regexp_replace(F.array_join(marked, between), f"{_MARK}$", ""), _MARK + between, -1)
+
+    def bounded(runs: Column, long: Callable[[Column], Column], pieces: Callable[[Column], Column]) -> Column:
+        return F.flatten(F.transform(runs, lambda r: F.when(long(r), pieces(r)).otherwise(F.array(r))))
+
+    def of_words(words: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(WORDS))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, F.lit(WORDS)), " "))
+
+    def of_signs(run: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(run), F.lit(SIGNS))
+        return F.transform(starts, lambda i: F.substring(run, i, F.lit(SIGNS)))
+
+    # So many words have at least twice as many characters, but for one.
+    many_words = lambda r: (F.length(r) >= 2 * LONGEST) & (F.size(F.split(r, " ", -1)) > LONGEST)
+    in_words = bounded(
+        ended(F.split(paragraph, " ", -1), " ", WORDS, True), many_words,
+        lambda r: F.transform(F.array(F.split(r, " ", -1)), of_words)[0],
+    )
+    in_signs = bounded(
+        ended(F.regexp_extract_all(paragraph, F.lit("(?s)."), 0), "", SIGNS, False),
+        lambda r: F.length(r) > LONGEST, of_signs,
+    )
+    return F.when(paragraph.contains(" "), in_words).otherwise(in_signs)
+
+
 def fingerprint(text: Column) -> Column:
     """The tree of a text; NULL counts as empty.
 
@@ -38,16 +78,10 @@ def fingerprint(text: Column) -> Column:
     be worked out for each of them otherwise.
     """
 
-    def runs(words: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(words) - 1, F.lit(RUN)),
-            lambda i: _short(F.md5(F.array_join(F.slice(words, i + 1, F.lit(RUN)), " "))),
-        )
-
-    def paragraph(words: Column) -> Column:
+    def paragraph(text: Column) -> Column:
         return F.struct(
-            F.md5(F.array_join(words, " ")).alias("hash"),
-            F.array_join(runs(words), ".").alias("runs"),
+            F.md5(text).alias("hash"),
+            F.array_join(F.transform(_runs(text), lambda r: _short(F.md5(r))), ".").alias("runs"),
         )
 
     def section(paragraphs: Column) -> Column:
@@ -59,8 +93,7 @@ def fingerprint(text: Column) -> Column:
         )
 
     sections = F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), lambda s: F.split(s, "\n", -1))
-    words = F.transform(sections, lambda s: F.transform(s, lambda p: F.split(p, " ", -1)))
-    trees = F.transform(F.transform(words, lambda s: F.transform(s, paragraph)), section)
+    trees = F.transform(F.transform(sections, lambda s: F.transform(s, paragraph)), section)
     whole = F.transform(F.array(trees), lambda t: F.concat(
         F.md5(F.array_join(F.transform(t, lambda s: s["hash"]), "")), F.lit(":"),
         F.array_join(F.transform(t, lambda s: F.concat(_short(s["hash"]), F.lit("="), s["below"])), ";"),

@@ -121,14 +121,26 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     e AS (SELECT doc_id, n_chars, t, nx,
                  substr(t, 1, n_chars - n_chars // 4) || substr(nx, 1, n_chars // 4) AS ed FROM n),
     x AS (SELECT doc_id, unnest([0, 1, 2]) AS kind, unnest([t, ed, nx]) AS text FROM e),
-    w AS (SELECT doc_id, kind,
+    t AS (SELECT doc_id, kind,
                  list_transform(string_split(text, chr(10) || chr(10)), lambda s:
-                   list_transform(string_split(s, chr(10)), lambda p: string_split(p, ' '))) AS ws
+                   list_transform(string_split(s, chr(10)), lambda p: struct_pack(p := p, gap := CASE WHEN contains(p, ' ') THEN ' ' ELSE '' END,
+                     v := list_transform(CASE WHEN contains(p, ' ') THEN string_split(p, ' ') ELSE regexp_extract_all(p, '(?s).') END,
+                       lambda w: struct_pack(w := w, cut := CASE WHEN w = '' THEN true WHEN contains(p, ' ')
+                         THEN (unicode(w) + length(w)) % 4 = 0 ELSE unicode(w) % 16 = 0 END))))) AS ws
           FROM x),
-    p AS (SELECT doc_id, kind, list_transform(ws, lambda s: list_transform(s, lambda v: struct_pack(
-                   h := md5(array_to_string(v, ' ')),
-                   r := list_transform(range(0, len(v), 4), lambda i:
-                          substr(md5(array_to_string(list_slice(v, i + 1, i + 4), ' ')), 1, 8))))) AS ps
+    w AS (SELECT doc_id, kind, list_transform(ws, lambda s: list_transform(s, lambda q: struct_pack(h := md5(q.p),
+                   r := CASE q.gap WHEN ' ' THEN flatten(list_transform(string_split(regexp_replace(
+                       array_to_string(list_transform(q.v, lambda w: w.w || CASE WHEN w.cut THEN chr(1) ELSE '' END), ' '),
+                       '\x01$', ''), chr(1) || ' '), lambda r: CASE WHEN len(string_split(r, ' ')) > 64
+                       THEN list_transform(range(0, len(string_split(r, ' ')), 4), lambda i:
+                         array_to_string(list_slice(string_split(r, ' '), i + 1, i + 4), ' ')) ELSE [r] END))
+                     ELSE flatten(list_transform(string_split(regexp_replace(coalesce(
+                       array_to_string(list_transform(q.v, lambda w: w.w || CASE WHEN w.cut THEN chr(1) ELSE '' END), ''), ''),
+                       '\x01$', ''), chr(1)), lambda r: CASE WHEN length(r) > 64
+                       THEN list_transform(range(0, length(r), 16), lambda i: substr(r, i + 1, 16)) ELSE [r] END)) END))) AS rs
+          FROM t),
+    p AS (SELECT doc_id, kind, list_transform(rs, lambda s: list_transform(s, lambda q: struct_pack(h := q.h,
+                   r := list_transform(q.r, lambda r: substr(md5(r), 1, 8))))) AS ps
           FROM w),
     s AS (SELECT doc_id, kind, list_transform(ps, lambda s: struct_pack(
                    h := md5(array_to_string(list_transform(s, lambda q: q.h), '')),

@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -172,9 +172,28 @@ def tallied(encoded: DataFrame, size: int) -> np.ndarray:
     return total
 
 
-def write(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> Written:
+def _kept(rows: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """A table written below a folder that stays, or for the time of the application."""
+    if folder is None:
+        return stash(rows, name)
+    rows.write.parquet(f"{folder.rstrip('/')}/{name}")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder.rstrip('/')}/{name}")
+
+
+def load(spark: SparkSession, folder: str) -> Written:
+    """What ``write`` has left in a folder, for ``read`` in any session."""
+    return Written(*(spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in ("blocks", "index", "book")))
+
+
+def write(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, folder: str | None = None
+) -> Written:
     """Write the ids of all documents, an end id after each, in ascending key order.
 
+    With ``folder``, a new one, the files stay there: ``blocks`` (a file of blocks per range
+    of keys), ``index`` (the ids before each block) and ``book`` (the id of each rank).
+    Without, they go when the application ends.
+
     NULL texts are empty; NULL keys come first; rows of one key are ordered by their
     ids, so repeated rows stand side by side. An empty table gives no blocks. Other
     columns are not read.
@@ -222,9 +241,12 @@ def write(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
         .sortWithinPartitions("key", "ids")
         .mapInArrow(blocks, "file int, block int, ids bigint, payload binary")
     )
-    written = stash(rows, "blocks")
+    written = _kept(rows, folder, "blocks")
     release(encoded)
-    return Written(written, index_of(written), book)
+    index = index_of(written)
+    if folder is not None:
+        index, book = _kept(index, folder, "index"), _kept(book, folder, "book")
+    return Written(written, index, book)
 
 
 def index_of(blocks: DataFrame) -> DataFrame:

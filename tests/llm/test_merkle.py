@@ -19,14 +19,26 @@ def md5(text):
     return hashlib.md5(text.encode()).hexdigest()
 
 
+def plain_runs(paragraph):
+    spaced = " " in paragraph
+    parts, size, gap = (paragraph.split(" "), 4, " ") if spaced else (list(paragraph), 16, "")
+    ends = [((ord(w[0]) if w else 0) + (len(w) if spaced else 0)) % size == 0 for w in parts]
+    runs = [[]]
+    for i, (word, end) in enumerate(zip(parts, ends, strict=True)):
+        runs[-1].append(word)
+        if end and i + 1 < len(parts):
+            runs.append([])
+    cut = [[run] if len(run) <= 64 else [run[i:i + size] for i in range(0, len(run), size)] for run in runs]
+    return [gap.join(run) for some in cut for run in some]
+
+
 def plain_tree(text):
     sections = []
     for section in text.split("\n\n"):
-        paragraphs = [p.split(" ") for p in section.split("\n")]
-        hashes = [md5(" ".join(w)) for w in paragraphs]
+        paragraphs = section.split("\n")
+        hashes = [md5(p) for p in paragraphs]
         below = [
-            h[:8] + "." + ".".join(md5(" ".join(w[i:i + 4]))[:8] for i in range(0, len(w), 4))
-            for h, w in zip(hashes, paragraphs, strict=True)
+            h[:8] + "." + ".".join(md5(r)[:8] for r in plain_runs(p)) for h, p in zip(hashes, paragraphs, strict=True)
         ]
         sections.append((md5("".join(hashes)), ",".join(below)))
     return md5("".join(h for h, _ in sections)) + ":" + ";".join(f"{h[:8]}={b}" for h, b in sections)
@@ -119,3 +131,31 @@ def test_texts_are_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "ReusedExchange" in plan and plan.count("FileScan parquet [doc_id") == 1
+
+
+def near(spark, one, other):
+    row = spark.createDataFrame([(one, other)], "a string, b string").select(
+        merkle.fingerprint(F.col("a")).alias("a"), merkle.fingerprint(F.col("b")).alias("b")
+    ).select(merkle.likeness(F.col("a"), F.col("b"), merkle.runs_of(F.col("a")), merkle.runs_of(F.col("b"))).alias("x")).first()
+    return row["x"]
+
+
+def test_a_word_put_in_changes_little(spark):
+    words = [f"w{i * 37 % 101}x{i}" for i in range(200)]
+    text = " ".join(words)
+    assert near(spark, text, "new " + text) > 0.9
+    assert near(spark, text, " ".join(words[:90] + ["new"] + words[90:])) > 0.9
+    assert near(spark, text, " ".join(f"v{i * 53 % 97}" for i in range(200))) < 0.1
+
+
+def test_texts_without_blanks(spark):
+    signs = "".join(chr(0x4E00 + i * i * 31 % 5000) for i in range(400))
+    other = "".join(chr(0x4E00 + i * i * 17 % 4999 + 1) for i in range(400))
+    assert near(spark, signs, signs[:300] + other[:100]) > 0.5
+    assert near(spark, signs, "\u4e00" + signs) > 0.9
+    assert near(spark, signs, other) < 0.1
+
+
+def test_one_word_over_and_over(spark):
+    text = "the " * 400
+    assert near(spark, text, text[:1200] + "other words " * 30) > 0.5

@@ -159,3 +159,13 @@ def test_bpe_odd_rows(spark, library, monkeypatch):
         assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == ids
         assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
     assert bpe.encode_and_decode(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_files_are_read_by_another_session(spark, tmp_path):
+    docs = spark.createDataFrame([(2, "two words"), (1, None), (None, "x"), (2, "two words")], "doc_id bigint, text string")
+    folder = str(tmp_path / "out")
+    own = token_output.read(token_output.write(docs, folder=folder)).collect()
+    other = token_output.read(token_output.load(spark.newSession(), folder)).collect()
+    assert sorted(map(tuple, own), key=repr) == sorted(map(tuple, other), key=repr) and len(own) == 4
+    again = token_output.read(token_output.write(docs)).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, own), key=repr)
