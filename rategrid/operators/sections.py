@@ -185,7 +185,8 @@ def one_layout(layouts: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per block of pages: its lines, the lines before it, and its document's span.
+    """Per block of pages: its lines, the lines before it, and its document's span; the
+    document's first page in the block that holds it.
 
     ``laid_out`` has pages with block and layout. Each page is reduced to its
     number of lines and last hits; a block of pages becomes one row before
@@ -204,6 +205,7 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
         facts.withColumn("above", above)
         .groupBy(KEY, BLOCK, *LAYOUT, "several", "__bad", READY[2])
         .agg(
+            F.min("page_no").alias("first_page"),
             F.sum("n_lines").alias("n_lines"),
             F.max(F.col("above") + F.col("start_hit")).alias("start_hit"),
             F.max(F.col("above") + F.col("end_hit")).alias("end_hit"),
@@ -214,53 +216,84 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
         "before", F.coalesce(F.sum("n_lines").over(earlier(across)), F.lit(0))
     ).select(
         KEY, BLOCK, "n_lines", "before", *LAYOUT, "several", "__bad", READY[2],
+        F.when(F.col(BLOCK) == F.min(BLOCK).over(whole(across)), F.col("first_page")).alias("first_page"),
         F.sum("n_lines").over(whole(across)).alias("__n"),
         F.max(F.col("before") + F.col("start_hit")).over(whole(across)).alias("__start"),
         F.max(F.col("before") + F.col("end_hit")).over(whole(across)).alias("__end"),
     )
     span = section_span(F.col("__n"), F.col("__start"), F.col("__end"), layout_columns(), F.col("several"), F.col("__bad"))
     return placed.withColumn("span", span).select(
-        F.col(f"{KEY}.{key}").alias(key), KEY, BLOCK, "n_lines", "before", "skip_pattern", READY[2], "span.*"
+        F.col(f"{KEY}.{key}").alias(key), KEY, BLOCK, "n_lines", "before", "first_page", "skip_pattern", READY[2], "span.*"
     )
 
 
-def cut_pages(
-    pages: DataFrame, layouts: DataFrame, key: str = "doc_id", skip_blank: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """Kept lines (key, line_no, line) of every section, and the rejected documents.
-
-    ``pages`` has one row per (key, page_no) with ``text``; ``layouts`` one row per
-    document with the layout columns; a document with layouts that differ is
-    rejected. The key may be NULL. Everything is joined on (key, block), so the
-    text is shuffled once for both passes.
-    """
+def _spans(pages: DataFrame, layouts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Pages by block, and the span of each block's document. Everything is joined on
+    (key, block), so the text is shuffled once for both passes."""
     text = pages.select(key, "page_no", "text")
     rows = with_block(text, [key], "page_no", PAGE_BLOCK, shuffle=True)
     blocks = rows.select(KEY, BLOCK).distinct()
     spread = blocks.join(one_layout(layouts, key), KEY, "left")
-    spans = page_spans(rows.join(spread, [KEY, BLOCK]), key)
-    wanted = spans.where(
-        F.col("reason").isNull()
-        & (F.col("before") < F.col("last"))
-        & (F.col("before") + F.col("n_lines") >= F.col("first"))
-    ).select(KEY, BLOCK, "before", "skip_pattern", READY[2], "first", "last")
+    return rows, page_spans(rows.join(spread, [KEY, BLOCK]), key)
+
+
+def _inside_span() -> Column:
+    return (F.col("before") < F.col("last")) & (F.col("before") + F.col("n_lines") >= F.col("first"))
+
 
+def _cut_lines(placed: DataFrame, skip_blank: bool) -> DataFrame:
+    """Add ``__kept``, the page's lines in the span; NULL for pages outside of it."""
     n_lines = F.size("__lines")
     above = F.sum(n_lines).over(earlier(inside_block("page_no")))
     page = (
-        rows.join(wanted, [KEY, BLOCK])
-        .withColumn("__lines", split_lines(F.col("text")))
+        placed.withColumn("__lines", split_lines(F.col("text")))
         .withColumn("before", F.col("before") + F.coalesce(above, F.lit(0)))
-        .where((F.col("before") < F.col("last")) & (F.col("before") + n_lines >= F.col("first")))
+        .withColumn("n_lines", n_lines)
     )
     from_line = F.greatest(F.col("first") - F.col("before"), F.lit(1))
-    n_taken = F.least(F.col("last") - F.col("before"), n_lines) - from_line + 1
+    n_taken = F.least(F.col("last") - F.col("before"), F.col("n_lines")) - from_line + 1
     taken = numbered(
         F.slice(F.col("__lines"), from_line.cast("int"), n_taken.cast("int")),
         F.col("before") + from_line - 1,
     )
-    kept = _kept(taken, F.col("skip_pattern"), skip_blank)
-    return inlined(page, [key], kept, "line_no"), section_rejects(spans.select(key, "reason").distinct(), key)
+    kept = F.when(F.col("reason").isNull() & _inside_span(), _kept(taken, F.col("skip_pattern"), skip_blank))
+    return page.withColumn("__kept", kept)
+
+
+def cut_pages(
+    pages: DataFrame, layouts: DataFrame, key: str = "doc_id", skip_blank: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Kept lines (key, line_no, line) of every section, and the rejected documents.
+
+    ``pages`` has one row per (key, page_no) with ``text``; ``layouts`` one row per
+    document with the layout columns; a document with layouts that differ is
+    rejected. The key may be NULL.
+    """
+    rows, spans = _spans(pages, layouts, key)
+    wanted = spans.where(F.col("reason").isNull() & _inside_span()).drop(key, "first_page", "n_lines")
+    cut = _cut_lines(rows.join(wanted, [KEY, BLOCK]), skip_blank)
+    lines = inlined(cut.where(F.col("__kept").isNotNull()), [key], "__kept", "line_no")
+    return lines, section_rejects(spans.select(key, "reason").distinct(), key)
+
+
+def cut_pages_checked(
+    pages: DataFrame, layouts: DataFrame, key: str = "doc_id", skip_blank: bool = True
+) -> DataFrame:
+    """(key, line_no, line, reason): the kept lines of ``cut_pages`` and its rejects in one frame.
+
+    Every document has one row without a line besides, which holds its ``reason`` or, for a
+    document that was cut, NULL: so the pages are read once for lines, rejects and the list of
+    documents that have text.
+    """
+    rows, spans = _spans(pages, layouts, key)
+    wanted = spans.where(F.col("first_page").isNotNull() | (F.col("reason").isNull() & _inside_span())).drop(key, "n_lines")
+    cut = _cut_lines(rows.join(wanted, [KEY, BLOCK]), skip_blank)
+    none = F.struct(F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"))
+    head = F.when(F.col("page_no") == F.col("first_page"), F.array(none))
+    said = F.concat(F.coalesce(head, F.array().cast("array<struct<line_no: bigint, line: string>>")),
+                    F.coalesce("__kept", F.array().cast("array<struct<line_no: bigint, line: string>>")))
+    held = cut.withColumn("__said", said).where(F.size("__said") > 0)
+    return held.select(key, F.inline("__said"), "reason")
 
 
 # --- single steps on lines ----------------------------------------------------

@@ -22,7 +22,7 @@ from rategrid.operators.links import (
     source_rejects,
 )
 from rategrid.operators.rates import crosswalk_rejects, to_common_band
-from rategrid.operators.sections import LAYOUT, cut_pages
+from rategrid.operators.sections import LAYOUT, cut_pages, cut_pages_checked
 
 Picks = tuple[Column, Column]
 
@@ -137,3 +137,87 @@ def analyse(
         finish_bands(merge_parts(worked(banded), BAND_KEYS), BAND_KEYS),
         rejected.unionByName(crosswalk_rejects(banded)),
     )
+
+
+def extract_checked(
+    docs: DataFrame, pages: DataFrame, html: DataFrame, text_picks: Picks, html_picks: Picks
+) -> DataFrame:
+    """Pay rows and rejects of documents of all types in one frame.
+
+    (doc_id, stage, level, annual, line_no, reason); a row without ``line_no`` stands for
+    its document, with the reason for which it gave no rows or NULL. Pages and HTML are read
+    once. What the documents themselves say (their type, that they are unknown, that they
+    have no text) is added by ``analyse_checked``.
+    """
+    kind = F.lower("doc_type")
+    cut = cut_pages_checked(pages, docs.where(kind == "pdf").select("doc_id", *LAYOUT))
+    level, amount = text_picks
+    from_text = cut.withColumn("cells", split_wide(F.col("line"))).select(
+        "doc_id", F.lit("section").alias("stage"), "line_no", trim_space(level).alias("level"),
+        money_to_double(amount).alias("annual"), "reason",
+    )
+    read = tables_and_headings(html)
+    read = read.withColumns({
+        "rows": newest_table(F.col("tables"), F.col("order")), "named": newest_table(F.col("headed"), F.col("order")),
+    })
+    why = F.when(bad_order(F.col("order")), "bad order").otherwise("no table")
+    read = with_reason(read.select("doc_id", "order", "rows", "named"), F.col("rows").isNull(), why)
+    cells = "struct<line_no: bigint, cells: array<string>>"
+    numbered = F.transform("rows", lambda r, i: F.struct(i.cast("bigint").alias("line_no"), r.alias("cells")))
+    body = F.filter(numbered, lambda r: ~F.col("named") | (r["line_no"] > 0))
+    said = F.concat(F.array(F.lit(None).cast(cells)), F.coalesce(body, F.array().cast(f"array<{cells}>")))
+    level, amount = html_picks
+    from_html = read.select("doc_id", F.inline(said), "reason").select(
+        "doc_id", F.lit("html").alias("stage"), "line_no", trim_space(level).alias("level"),
+        money_to_double(amount).alias("annual"), "reason",
+    )
+    return from_text.unionByName(from_html)
+
+
+def analyse_checked(rows: DataFrame, docs: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """(state, band, lo, hi, n, n_known, stage, key, reason): parts of bands, and rejects.
+
+    Rows are reduced per document and level before they meet the documents. ``bands_of`` and
+    ``rejects_of`` part the frame; it is small by then.
+    """
+    line = F.col("line_no").isNotNull().alias("is_row")
+    parts = band_parts(rows.select("*", line), ["doc_id", "stage", "level", "is_row", "reason"])
+    kind = F.lower("doc_type")
+    held = docs.select("doc_id", "state", "doc_type", kind.alias("kind"), F.lit(True).alias("known"))
+    # Every document without parts comes up as well: it has no text, or is of no type that is read.
+    met = parts.withColumnRenamed("reason", "why").join(held, "doc_id", "full")
+    own = F.when(kind == "pdf", "section").when(kind == "html", "html").otherwise("doc_type")
+    of_type = F.when(kind == "scan.pdf", "scanned document").otherwise(
+        F.concat(F.lit("unknown type: "), F.coalesce("doc_type", F.lit("NULL")))
+    )
+    reason = (
+        F.when(F.col("known").isNull(), "unknown document")
+        .when(own == "doc_type", of_type)
+        .when(F.col("stage").isNull(), "no text")
+        .otherwise(F.col("why"))
+    )
+    # Parts of a text that is not of its document's type say nothing.
+    foreign = F.col("known") & F.col("stage").isNotNull() & (own.isin("section", "html") & (own != F.col("stage")))
+    met = met.where(~F.coalesce(foreign, F.lit(False))).withColumns({"reason": reason, "stage": F.coalesce(
+        F.when(F.col("known") & (own == "doc_type"), "doc_type"), "stage", own
+    )})
+    # A document's reason is said by the row that stands for it; its other rows are then left out.
+    is_row = F.coalesce("is_row", F.lit(False))
+    met = met.where(is_row == F.col("reason").isNull()).withColumnRenamed("reason", "failed")
+    banded = to_common_band(met, crosswalk)
+    unbanded = is_row & F.col("band").isNull()
+    return banded.select(
+        "state", "band", "lo", "hi", "n", "n_known",
+        F.when(unbanded, "crosswalk").otherwise(F.col("stage")).alias("stage"),
+        F.when(unbanded, F.concat_ws("/", "state", "level")).when(~is_row, F.col("doc_id").cast("string")).alias("key"),
+        F.when(is_row, F.col("reason")).otherwise(F.col("failed")).alias("reason"),
+    )
+
+
+def bands_of(checked: DataFrame) -> DataFrame:
+    good = checked.where(F.col("reason").isNull()).select(*BAND_KEYS, "lo", "hi", "n", "n_known")
+    return finish_bands(merge_parts(good, BAND_KEYS), BAND_KEYS)
+
+
+def rejects_of(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNotNull()).select("stage", "key", "reason")

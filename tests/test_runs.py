@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from rategrid import schemas
 from rategrid.operators.combine import with_layouts
-from rategrid.plans.award_run import acquire, analyse, extract
+from rategrid.plans.award_run import (
+    acquire,
+    analyse,
+    analyse_checked,
+    bands_of,
+    extract,
+    extract_any,
+    extract_checked,
+    rejects_of,
+)
 from rategrid.sources.literal import literal_table
 from rategrid.sources.readers import read_csv
 from rategrid.sources.sinks import write_csv
@@ -87,3 +96,41 @@ def test_sections_of_arriving_documents(spark, frame, tmp_path):
     query = stream.writeStream.format("memory").queryName("sections").trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert [tuple(r) for r in spark.table("sections").collect()] == [(1, 3, " a  1")]
+
+
+def test_rows_and_rejects_of_all_types_in_one_frame(frame):
+    layout = ("^PART B", 2, "^PART C", -1, r"^\s+\d+$")
+    none = (None, None, None, None, None)
+    docs = frame([
+        (1, "NSW", "pdf", *layout), (2, "NSW", "PDF", *none), (3, "QLD", "html", *none), (4, "QLD", "html", *none),
+        (5, "WA", "scan.pdf", *none), (6, "WA", "docx", *none), (7, "WA", "pdf", *layout), (8, "WA", "html", *none),
+        (9, "WA", "html", *layout), (10, "WA", "pdf", "(", 1, "x", 1, ""), (11, "SA", "pdf", "^PART B", 1, "^PART C", -1, ""),
+    ], "doc_id bigint, state string, doc_type string, start_pattern string, start_offset int, end_pattern string, "
+       "end_offset int, skip_pattern string")
+    pages = frame(
+        [(1, i, t) for i, t in enumerate(AWARD, 1)]
+        + [(2, 1, "x"), (9, 1, AWARD[1]), (10, 1, "x"), (99, 1, "y"), (11, 1, "PART B\n \nPART C")],
+        "doc_id bigint, page_no bigint, text string")
+    row = "<tr><td>%s</td><td>%s</td></tr>"
+    table = "<table>" + row % ("P-1", "$50") + row % ("P-2", "n/a") + row % ("P-9", "$1") + "</table>"
+    html = frame([(3, table, "fwd"), (4, "<p>", "fwd"), (9, table, "up"), (98, table, "fwd"), (1, table, "fwd")],
+                 "doc_id bigint, html string, order string")
+    cell = lambda i: F.get("cells", F.lit(i))
+    picks = (cell(1), cell(3)), (cell(0), cell(1))
+    crosswalk = frame([("NSW", "P-1", 1), ("NSW", "P-2", 1), ("NSW", "P-9", 3), ("QLD", "P-1", 1), ("QLD", "P-2", 2)],
+                      "state string, level string, band int")
+    checked = analyse_checked(extract_checked(docs, pages, html, *picks), docs, crosswalk)
+    bands = sorted(tuple(r) for r in bands_of(checked).collect())
+    assert bands == [("NSW", 1, 78909.0, 88174.0), ("NSW", 3, 1.0, 1.0), ("QLD", 1, 50.0, 50.0), ("QLD", 2, None, None)]
+    found = sorted(tuple(r) for r in rejects_of(checked).collect())
+    assert found == sorted([
+        ("section", "2", "no_layout"), ("html", "4", "no table"), ("doc_type", "5", "scanned document"),
+        ("doc_type", "6", "unknown type: docx"), ("section", "7", "no text"), ("html", "8", "no text"),
+        ("html", "9", "bad order"), ("section", "10", "bad_start_pattern"), ("section", "99", "unknown document"),
+        ("html", "98", "unknown document"), ("crosswalk", "QLD/P-9", "no band"),
+    ])
+    # The same from rows and rejects apart.
+    rows, rejected = extract_any(docs, pages, html, *picks)
+    apart, more = analyse(rows, docs, crosswalk)
+    assert sorted(tuple(r) for r in apart.collect()) == bands
+    assert sorted(tuple(r) for r in rejected.unionByName(more).collect()) == found
