@@ -13,8 +13,8 @@ from rategrid.operators.html_tables import (
     rows_with_header,
     table_cells,
 )
-from rategrid.plans.registry import query, table
-from rategrid.plans.inputs import part_awards, part_pages
+from rategrid.plans.registry import query
+from rategrid.plans.inputs import part_awards, part_pages, parts
 
 # The cells of both tables of a part page, as (table_no, row_no, col_no, cell).
 _CELLS = """
@@ -70,7 +70,7 @@ def _html_cells(spark, sf_dir):
 def _html_cells_spanned(spark, sf_dir):
     # A first row over two columns, its first cell over two rows, end tags left out.
     cell = lambda c: F.concat(F.lit("<td>"), c.cast("string"))
-    part = table(spark, sf_dir, "part").select(
+    part = parts(spark, sf_dir).select(
         F.col("p_partkey").alias("doc_id"),
         F.concat(
             F.lit("<table><tr><td rowspan=2>"), "p_brand", cell(F.col("p_brand")),
@@ -136,7 +136,7 @@ def _html_cells_marked(spark, sf_dir):
         F.lit(" < 99 and y > 3</td><td>AT&ampT &copy 1</td><td>"), "p_brand",
         F.lit("</td></tr></table>"),
     )
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), html.alias("html"))
+    part = parts(spark, sf_dir).select(F.col("p_partkey").alias("doc_id"), html.alias("html"))
     return table_cells(html_tables(part).select("doc_id", "tables")).drop("table_no", "row_no")
 
 

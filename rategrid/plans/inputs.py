@@ -17,6 +17,8 @@ from rategrid.sources.literal import literal_table
 
 # Page number of the closing page of an award; row pages count up from 1.
 LAST_PAGE = 1 << 40
+# Parts that one task makes documents of.
+SPREAD = 16384
 
 
 def money(amount: Column) -> Column:
@@ -24,6 +26,19 @@ def money(amount: Column) -> Column:
     return F.concat(F.lit(" $"), F.format_number(amount, 2), F.lit(" "))
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts; more than ``SPREAD`` of them are dealt out, ``SPREAD`` a task, by whole rows.
+
+    A part takes some ten bytes in its file and a tenth of a millisecond as a document, so the
+    few splits of the file would leave most tasks without work.
+    """
+    part = table(spark, sf_dir, "part")
+    rows = part.count()
+    if rows <= SPREAD:
+        return part
+    return part.repartition(max(rows // SPREAD + 1, spark.sparkContext.defaultParallelism), *part.columns)
+
+
 def states_of_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     supplier = table(spark, sf_dir, "supplier")
@@ -120,7 +135,7 @@ def part_pages(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
         row(F.lit("type &amp; size"), F.col("p_type"), F.col("p_size")),
         F.lit("</TABLE>"),
     )
-    return table(spark, sf_dir, "part").select(
+    return parts(spark, sf_dir).select(
         F.col("p_partkey").alias("doc_id"),
         F.when(F.col("p_type").isin("ECONOMY", "SMALL", "MEDIUM"), "fwd").otherwise("rev")
         .alias("order"),
@@ -142,7 +157,7 @@ def part_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
         row("1-URGENT", F.col("p_retailprice")), row("5-LOW", F.col("p_retailprice") + 1),
         F.lit("</table>"),
     )
-    return table(spark, sf_dir, "part").select(
+    return parts(spark, sf_dir).select(
         F.concat(F.lit("P"), F.col("p_partkey")).alias("doc_id"),
         F.concat(F.lit("NATION_"), F.col("p_size") % 25).alias("state"),
         F.when(F.col("p_type") == "PROMO", "newest").otherwise("fwd").alias("order"),
