@@ -145,15 +145,19 @@ def place(
         held = [c for c in facts.columns if c not in keys]
         blocks = blocks.join(facts.select(F.struct(*keys).alias(KEY), *held), KEY, "left")
 
-    placed = rows.drop(*[inner[n] for n in [*least, *greatest]]).join(
-        blocks, [KEY, BLOCK]
-    )
+    # Sums inside the block are worked out below the join, which keeps the order they need:
+    # so the rows are sorted once.
     inside = inside_block(order, *ties)
+    placed = rows.drop(*[inner[n] for n in [*least, *greatest]])
+    for n in before:
+        placed = placed.withColumn(inner[n], F.sum(inner[n]).over(earlier(inside)))
+    for n in latest:
+        placed = placed.withColumn(inner[n], F.last(inner[n], ignorenulls=True).over(so_far(inside)))
+    placed = placed.join(blocks, [KEY, BLOCK])
     for n in before:
-        placed = placed.withColumn(n, _or_zero(F.col(n), F.sum(inner[n]).over(earlier(inside))))
+        placed = placed.withColumn(n, _or_zero(F.col(n), F.col(inner[n])))
     for n in latest:
-        here = F.last(inner[n], ignorenulls=True).over(so_far(inside))
-        placed = placed.withColumn(n, F.coalesce(here, F.col(n)))
+        placed = placed.withColumn(n, F.coalesce(inner[n], n))
     return placed.drop(KEY, BLOCK, *[inner[n] for n in [*before, *latest]])
 
 

@@ -188,22 +188,20 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per block of pages: its lines, the lines before it, and its document's span; the
     document's first page in the block that holds it.
 
-    ``laid_out`` has pages with block and layout. Each page is reduced to its
-    number of lines and last hits; a block of pages becomes one row before
+    ``laid_out`` has pages with block, lines above in the block and layout. Each page is
+    reduced to its number of lines and last hits; a block of pages becomes one row before
     anything meets the rest of its document.
     """
     lines = F.col("__lines")
     facts = laid_out.withColumn("__lines", split_lines(F.col("text"))).select(
-        KEY, BLOCK, "page_no", *LAYOUT, "several", "__bad", READY[2],
+        KEY, BLOCK, "page_no", "above", *LAYOUT, "several", "__bad", READY[2],
         F.size(lines).cast("bigint").alias("n_lines"),
         _last_hit(lines, READY[0]).alias("start_hit"),
         _last_hit(lines, READY[1]).alias("end_hit"),
     )
-    above = F.coalesce(F.sum("n_lines").over(earlier(inside_block("page_no"))), F.lit(0))
     # The layout is the same in a document: as a grouping key it needs no sorting.
     blocks = (
-        facts.withColumn("above", above)
-        .groupBy(KEY, BLOCK, *LAYOUT, "several", "__bad", READY[2])
+        facts.groupBy(KEY, BLOCK, *LAYOUT, "several", "__bad", READY[2])
         .agg(
             F.min("page_no").alias("first_page"),
             F.sum("n_lines").alias("n_lines"),
@@ -228,11 +226,14 @@ def page_spans(laid_out: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _spans(pages: DataFrame, layouts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Pages by block, and the span of each block's document. Everything is joined on
+    """Pages by block, with the lines above them in it, and the span of each block's document. Everything is joined on
     (key, block), so the text is shuffled once for both passes."""
     text = pages.select(key, "page_no", "text")
     rows = with_block(text, [key], "page_no", PAGE_BLOCK, shuffle=True)
     blocks = rows.select(KEY, BLOCK).distinct()
+    # Below the joins, which keep the order that this needs: pages are sorted once.
+    n_lines = F.size(split_lines(F.col("text"))).cast("bigint")
+    rows = rows.withColumn("above", F.coalesce(F.sum(n_lines).over(earlier(inside_block("page_no"))), F.lit(0)))
     spread = blocks.join(one_layout(layouts, key), KEY, "left")
     return rows, page_spans(rows.join(spread, [KEY, BLOCK]), key)
 
@@ -244,10 +245,9 @@ def _inside_span() -> Column:
 def _cut_lines(placed: DataFrame, skip_blank: bool) -> DataFrame:
     """Add ``__kept``, the page's lines in the span; NULL for pages outside of it."""
     n_lines = F.size("__lines")
-    above = F.sum(n_lines).over(earlier(inside_block("page_no")))
     page = (
         placed.withColumn("__lines", split_lines(F.col("text")))
-        .withColumn("before", F.col("before") + F.coalesce(above, F.lit(0)))
+        .withColumn("before", F.col("before") + F.col("above"))
         .withColumn("n_lines", n_lines)
     )
     from_line = F.greatest(F.col("first") - F.col("before"), F.lit(1))
