@@ -157,22 +157,26 @@ def cell_rows(words: DataFrame, remove_last: bool = True) -> DataFrame:
     lines = cells.groupBy(*PAGE, "y").agg(
         (F.max("col_no") + 1).alias("n_cells"), (F.max(F.element_at("words", -1)["at"]) + 1).alias("n_words")
     )
-    # The header is a page's first line, so the lines before a row number the rows.
+    # The header is a page's first line, so the lines before a row number the rows. Lines are
+    # compared by all they hold, so body and header are read off one table of lines.
+    spot = F.struct("y", "n_words", "n_cells")
     ranked = place(
         lines, PAGE, "y", before={"row_no": F.lit(1).cast("bigint")},
-        least={"header": F.struct("y", "n_words")}, greatest={"last_y": F.col("y")},
+        least={"header": spot}, greatest={"last_y": F.col("y")},
     )
-    body = ranked.where(F.col("y") > F.col("header.y"))
+    body = ranked.where((spot > F.col("header")) & F.col("header.y").isNotNull())
     if remove_last:
         body = body.where(F.col("y") < F.col("last_y"))
     # A line with as many cells as there are names begins with the label.
     first = F.col("header.n_words") + 1 - F.col("n_cells")
-    body = body.select(page, "y", "row_no", first.alias("first"))
-    heads = ranked.where(F.col("y") == F.col("header.y")).select(page, "y")
-    names = cells.select(page, "y", "words").join(heads, ["page", "y"]).select("page", F.inline("words")).select(
+    # A struct is never NULL, so a join on it filters nothing below: all read one shuffle of cells.
+    line = F.struct(*PAGE, "y").alias("line")
+    body = body.select(line, "row_no", first.alias("first"))
+    heads = ranked.where(spot == F.col("header")).select(line)
+    names = cells.select(page, line, "words").join(heads, "line").select("page", F.inline("words")).select(
         "page", (F.col("at") + 1).alias("place"), F.col("text").alias("name")
     )
-    cells = cells.select(page, "y", "col_no", _glued(F.col("words")).alias("cell")).join(body, ["page", "y"])
+    cells = cells.select(page, line, "col_no", _glued(F.col("words")).alias("cell")).join(body, "line")
     named = cells.withColumn("place", F.col("first") + F.col("col_no")).join(names, ["page", "place"], "left")
     header = F.when(F.col("place") == 0, LABEL).otherwise(F.col("name"))
     return named.select(

@@ -57,3 +57,18 @@ def test_pages_are_sorted_once(spark, frame):
         text = plan(lines)
         assert text.index("SortMergeJoin") < text.index("Window")
         assert sorted((r.line_no, r.line) for r in lines.collect()) == [(3, "a"), (4, "b")]
+
+
+def test_cells_are_made_once(spark, frame):
+    words = frame(
+        [(1, 1, 0, 1, "pay", False), (1, 1, 0, 2, "a", True), (1, 1, 1, 2, "b", False), (1, 1, 2, 2, "5", False), (1, 1, 0, 3, "end", False),
+         (2, 1, 0, None, "pay", False), (2, 1, 0, 2, "a", False), (2, 1, 0, 3, "end", False)],
+        "doc_id bigint, page_no bigint, x int, y bigint, text string, space boolean",
+    )
+    with merged_joins(spark):
+        cells = cell_rows(words)
+        assert sorted(map(tuple, cells.collect())) == [(1, 1, 1, 0, "label", "a b"), (1, 1, 1, 1, "pay", "5")]
+        made = plan(cells).split("== Initial Plan ==")[0]
+    # The words of a cell meet behind one shuffle, which names, lines and cells read.
+    fresh = [x for x in made.split("\n") if " Exchange hashpartitioning(doc_id" in x and "col_no" in x and "Reused" not in x]
+    assert len(fresh) == 1
