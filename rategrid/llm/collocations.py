@@ -10,7 +10,8 @@ A phrase must occur ``least`` times. Which ones do is found without counting all
   off bounds how far a counter falls short, so counters that can't reach ``least`` go.
 * Words and pairs are summarised first. Longer phrases are then dealt only where all their
   pairs survive: a phrase is no more frequent than its pairs.
-* The last pass counts the survivors, by their words, exactly.
+* The last pass counts the survivors, by their words, exactly. A task adds its counts up
+  and deals them by hash partition, a row for each; a partition's rows are added up in turn.
 
 A partition's summary is bounded by its capacity, and there are more partitions where
 there is more text. A very common phrase is one row of a tally. Survivors go to all
@@ -25,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ UNKNOWN = "und"
 CHUNK, TALLY, KNOWN = 1 << 21, 1 << 21, 300_000
 #: Hash partitions at least, so that a tally's share of one is small; counters of a summary, about.
 PARTS, COUNTERS = 4096, 1 << 18
+#: Bytes of exact counts that are held before they are added up.
+SUMMED = 1 << 25
 #: Survivors, and totals of languages, that are sent to every task, at most.
 HELD, LANGUAGES = 1 << 21, 100_000
 #: Marks and line ends end a piece, blanks and tabs a word.
@@ -293,6 +297,79 @@ def counted(batches: Iterator[pa.RecordBatch], longest: int, wanted: Held | None
             ], names=names)
 
 
+class Sums:
+    """Counts of alike rows, added up whenever over ``SUMMED`` bytes have come; the last column is ``n``."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.held: list[pa.RecordBatch] = []
+        self.size, self.limit = 0, SUMMED
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.held.append(batch)
+        self.size += batch.nbytes
+        if self.size > self.limit:
+            self.held = self.table().to_batches()
+            self.size = sum(b.nbytes for b in self.held)
+            self.limit = max(SUMMED, 2 * self.size)
+
+    def table(self) -> pa.Table:
+        rows = pa.Table.from_batches(self.held)
+        *keys, n = rows.column_names
+        found = rows.group_by(keys, use_threads=False).aggregate([(n, "sum")])
+        return found.select([*keys, f"{n}_sum"]).rename_columns([*keys, n])
+
+
+def dealt(batches: Iterator[pa.RecordBatch], parts: int, longest: int, wanted: Held) -> Iterator[pa.RecordBatch]:
+    """(part, langs, sizes, phrases, counts): what ``counted`` finds in a task, a row for each hash partition.
+
+    The numbers of all words are in the first partition.
+    """
+    sums = Sums()
+
+    def flush() -> pa.RecordBatch:
+        table = sums.table()
+        sums.clear()
+        h = table["hash"].fill_null(0).combine_chunks().to_numpy().view(np.uint64)
+        part = ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, table = part[order], table.drop_columns("hash").take(order).combine_chunks()
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        edge = pa.array(np.append(first, len(part)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(edge, c.combine_chunks()) for c in table.columns]
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), *lists], names=["part", "langs", "sizes", "phrases", "counts"])
+
+    for batch in counted(batches, longest, wanted):
+        sums.add(batch)
+        if sums.limit > SUMMED:
+            yield flush()
+    if sums.held:
+        yield flush()
+
+
+def added(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, size, phrase, n) of rows of ``dealt`` sorted by part: the totals, and what occurs ``least`` times."""
+    part, sums = -1, Sums()
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if sums.held:
+            table = sums.table()
+            yield from table.filter((pc.field("size") == 0) | (pc.field("n") >= least)).to_batches()
+            sums.clear()
+
+    for batch in batches:
+        for i, own in enumerate(batch.column(0).to_pylist()):
+            if own != part:
+                yield from done()
+                part = own
+            sums.add(pa.RecordBatch.from_arrays(
+                [batch.column(c)[i].values for c in range(1, 5)], names=["lang", "size", "phrase", "n"]
+            ))
+    yield from done()
+
+
 def frequent_phrases(
     docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST, most: int = HELD
 ) -> DataFrame:
@@ -315,15 +392,24 @@ def frequent_phrases(
         longer = survivors(texts, parts, range(3, longest + 1), least, pairs)
         found = short.unionByName(longer)
     wanted = held(found, most)
-    rows = texts.mapInArrow(
-        lambda b: counted(b, longest, wanted.value if wanted else None),
-        "lang string, size int, phrase string, hash bigint, n bigint",
-    )
     if wanted is None:
+        rows = texts.mapInArrow(
+            lambda b: counted(b, longest, None), "lang string, size int, phrase string, hash bigint, n bigint"
+        )
         known = rows.filter(F.col("size") > 0).join(found.distinct(), "hash", "left_semi")
         rows = rows.filter(F.col("size") == 0).unionByName(known.select(rows.columns))
-    counts = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    done = stash(counts.filter((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
+        counts = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        counts = counts.filter((F.col("size") == 0) | (F.col("n") >= least))
+    else:
+        own = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tallies = texts.mapInArrow(
+            lambda b: dealt(b, own, longest, wanted.value),
+            "part int, langs array<string>, sizes array<int>, phrases array<string>, counts array<bigint>",
+        )
+        counts = tallies.repartition("part").sortWithinPartitions("part").mapInArrow(
+            lambda b: added(b, least), "lang string, size int, phrase string, n bigint"
+        )
+    done = stash(counts, "phrases")
     release(short)
     if longest > 2:
         release(longer)

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rategrid.llm import collocations as c
@@ -119,3 +120,33 @@ def test_query(spark):
     names = [d[0] for d in wanted.description]
     rows = [tuple(r) for r in QUERIES["op12_collocations"](spark, sf).select(*names).collect()]
     assert rows and sorted(rows) == sorted(wanted.fetchall())
+
+
+def test_counts_are_dealt_a_row_for_each_partition(monkeypatch):
+    """However many phrases are frequent, a task's counts are a row for each hash partition."""
+    monkeypatch.setattr(c, "CHUNK", 3000)
+    for words in (20, 2000):
+        text = ". ".join(f"p{i} q{i}" for i in range(words) for _ in range(3))
+        batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+        wanted = Counter(w for i in range(words) for w in (f"p{i}", f"q{i}", f"p{i} q{i}") for _ in range(3))
+        hashes = np.concatenate([h for chunk, _ in c.chunks(iter([batch])) for _, _, h in chunk.grams(2)])
+        held = c.Held(np.unique(hashes))
+        rows = pa.Table.from_batches(c.dealt(iter([batch, batch]), 8, 2, held))
+        assert rows.num_rows <= 8 and sorted(rows["part"].to_pylist()) == rows["part"].to_pylist()
+        found = pa.Table.from_batches(c.added(iter(rows.to_batches()), 6)).to_pylist()
+        assert {r["phrase"]: r["n"] for r in found if r["size"]} == {w: 2 * n for w, n in wanted.items()}
+        assert [r["n"] for r in found if not r["size"]] == [12 * words]
+
+
+def test_counts_added_up_in_parts(monkeypatch):
+    monkeypatch.setattr(c, "CHUNK", 300)
+    rows = texts(random.Random(3), 150)
+    batch = pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows], "text": [r[1] or "" for r in rows]})
+    hashes = np.concatenate([h for chunk, _ in c.chunks(iter([batch])) for _, _, h in chunk.grams(5)])
+    held = c.Held(np.unique(hashes))
+    found = []
+    for summed in (c.SUMMED, 20_000, 2000, 1):
+        monkeypatch.setattr(c, "SUMMED", summed)
+        dealt = pa.Table.from_batches(c.dealt(iter([batch, batch]), 7, 5, held)).sort_by("part").combine_chunks()
+        found.append(sorted(pa.Table.from_batches(c.added(iter(dealt.to_batches()), 6)).to_pylist(), key=str))
+    assert len(found[0]) > 100 and all(f == found[0] for f in found)
